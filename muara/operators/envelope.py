@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from muara.settings import DEFAULTS, Settings
@@ -13,24 +13,27 @@ from muara.settings import DEFAULTS, Settings
 def json_envelopes(
     records: DataFrame,
     key: str,
-    row_id: Column,
+    row_id: str,
     as_of: datetime,
     source: str,
     settings: Settings = DEFAULTS,
 ) -> DataFrame:
     """One envelope per location, or several numbered parts where a location has more records than fit one.
 
-    A part holds about ``envelope_records`` rows, so no group grows with the data. ``row_id`` must differ
-    between any two rows, copies included; its hash picks the part. ``records_count`` is the count of the
-    whole location in every part.
+    A part holds about ``envelope_records`` rows, so no group grows with the data. The column ``row_id``
+    differs between any two rows, copies included; its hash picks the part. ``records_count`` is the count
+    of the whole location in every part. The shuffle by part lies between join and grouping, so Spark may
+    split a hot location in the join.
     """
-    columns = records.columns
+    columns = [c for c in records.columns if c != row_id]
     counts = records.groupBy(key).agg(F.count(F.lit(1)).alias("total"))
     sized = counts.withColumn("parts", F.ceil(F.col("total") / F.lit(settings.envelope_records)))
     rows = records.withColumn("row_hash", F.xxhash64(row_id)).join(sized, key)
-    part = F.pmod(F.col("row_hash"), F.col("parts")).cast("int").alias("part")
-    grouped = rows.groupBy(key, "total", "parts", part).agg(
-        F.collect_list(F.struct(*columns)).alias("records")
+    rows = rows.withColumn("part", F.pmod(F.col("row_hash"), F.col("parts")).cast("int"))
+    grouped = (
+        rows.repartition(key, "part")
+        .groupBy(key, "part", "total", "parts")
+        .agg(F.collect_list(F.struct(*columns)).alias("records"))
     )
     envelope = F.struct(
         F.lit("success").alias("status"),

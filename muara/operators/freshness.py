@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from muara.functions.clock import at, minutes_between
@@ -41,8 +41,8 @@ def with_age(latest: DataFrame, as_of: datetime, settings: Settings = DEFAULTS)
 def freshness_report(locations: DataFrame) -> DataFrame:
     """Locations per label with their share in percent."""
     counts = locations.groupBy(F.col("freshness_status").alias("st")).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n")).scalar()
-    return counts.withColumn("percent", F.col("n") * F.lit(100.0) / total)
+    all_labels = Window.partitionBy()  # over at most three rows
+    return counts.withColumn("percent", F.col("n") * F.lit(100.0) / F.sum("n").over(all_labels))
 
 
 def freshness_gate(locations: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:

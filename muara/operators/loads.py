@@ -48,26 +48,24 @@ def latest_per_key(
     first_kept: Sequence[str] = (),
 ) -> DataFrame:
     """State after applying the batch row by row: the last row of a key wins, ``first_kept`` columns come
-    from the row that created the key.
+    from the row that created the key. Keys are not null, and unique in ``existing``.
 
-    One aggregation instead of a window: copies of a key collapse before the shuffle, so a key with very
-    many copies is not sorted in one task.
+    The batch is reduced to one row per key by an aggregation, not a window, so copies of a key collapse
+    before the shuffle. Then both sides of the join have unique keys and cannot be skewed.
     """
     columns = existing.columns
     last_kept = [c for c in columns if c not in keys and c not in first_kept]
-    seq_type = batch.schema[seq].dataType
-    before = F.struct(F.lit(0).alias("step"), F.lit(None).cast(seq_type).alias("at"))
-    after = F.struct(F.lit(1).alias("step"), F.col(seq).alias("at"))
-    old = existing.select(*columns, before.alias("turn"))
-    new = batch.select(*columns, after.alias("turn"))
-    picked = [F.max_by(F.struct(*last_kept), "turn").alias("newest")]
+    picked = [F.max_by(F.struct(*last_kept), seq).alias("newest")]
     if first_kept:
-        picked.append(F.min_by(F.struct(*first_kept), "turn").alias("oldest"))
-    merged = old.unionByName(new).groupBy(*keys).agg(*picked)
-    source = {c: F.col(c) for c in keys}
-    source |= {c: F.col(f"newest.{c}") for c in last_kept}
-    source |= {c: F.col(f"oldest.{c}") for c in first_kept}
-    return merged.select(*[source[c].alias(c) for c in columns])
+        picked.append(F.min_by(F.struct(*first_kept), seq).alias("oldest"))
+    changes = batch.groupBy(*keys).agg(*picked)
+    merged = existing.withColumn("known", F.lit(True)).join(changes, list(keys), "full_outer")
+    value = {c: F.col(c) for c in keys}
+    for c in last_kept:
+        value[c] = F.when(F.col("newest").isNotNull(), F.col(f"newest.{c}")).otherwise(F.col(c))
+    for c in first_kept:
+        value[c] = F.when(F.col("known"), F.col(c)).otherwise(F.col(f"oldest.{c}"))
+    return merged.select(*[value[c].alias(c) for c in columns])
 
 
 def partition_values(rows: DataFrame, column: str) -> list[object]:
@@ -98,7 +96,7 @@ def upsert(
         return
     touched = partition_values(batch, table.partition_by)
     existing = existing.where(F.col(table.partition_by).isin(touched))
-    # The partition column follows from the key, so grouping by it too changes nothing.
+    # The partition column follows from the key, so adding it to the key changes nothing.
     merged = latest_per_key(existing, batch, [*keys, table.partition_by], seq, first_kept)
     table.replace_partitions(merged, touched, base, stream)
 

@@ -69,8 +69,11 @@ def duplicate_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
-    """Child rows whose non-null key has no parent."""
-    known = parent.select(F.col(parent_key).alias(child_key)).distinct()
+    """Child rows whose non-null key has no parent.
+
+    The parent is not made distinct first: an aggregation there would keep Spark from splitting a hot key.
+    """
+    known = parent.select(F.col(parent_key).alias(child_key))
     return child.where(F.col(child_key).isNotNull()).join(known, child_key, "left_anti")
 
 

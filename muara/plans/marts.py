@@ -199,3 +199,44 @@ def customers_per_nation(nation: DataFrame, customer: DataFrame) -> DataFrame:
         nation=nation,
         customer=customer,
     )
+
+
+def location_dimension(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
+    """Location code with city and province."""
+    return (
+        customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+        .select(
+            F.col("c_custkey").alias("adm4"),
+            F.col("c_name").alias("location_name"),
+            F.col("r_name").alias("province"),
+            F.col("n_name").alias("city_regency"),
+        )
+    )
+
+
+def records_by_province(fact: DataFrame, locations: DataFrame) -> DataFrame:
+    """Fact joined to the location dimension, reduced per location before the join."""
+    suhu = F.col("suhu_celsius").cast("decimal(20,4)")
+    per_location = fact.groupBy("adm4").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(suhu).alias("suhu"), F.count("suhu_celsius").alias("suhu_n")
+    )
+    return (
+        per_location.join(locations, "adm4", "left")
+        .groupBy("province")
+        .agg(
+            F.count(F.lit(1)).alias("locations"),
+            F.sum("n").alias("records"),
+            F.try_divide(F.sum("suhu").cast("double"), F.sum("suhu_n")).alias("temp_avg"),
+        )
+    )
+
+
+def namespace_totals(counts: DataFrame, namespaces: DataFrame) -> DataFrame:
+    """Tables and rows per namespace."""
+    return (
+        counts.join(namespaces, "table_name")
+        .groupBy("namespace")
+        .agg(F.count(F.lit(1)).alias("tables"), F.sum("row_count").alias("total_rows"))
+        .orderBy(F.desc("total_rows"), "namespace")
+    )

@@ -364,6 +364,29 @@ def oracle_sql() -> dict[str, str]:
             select 'success' status, count(*) tables, cast(sum(row_count) as bigint) total_rows,
                 array_to_string(list_slice(list_sort(list(target)), 1, 10), ',') first_tables from c
             union all select 'failed', 1, 0, 'rating'""",
+        "sync_alerts": f"""with m as (select 100.0::double * count(*) / (count(*) + 1) p, count(*) n
+                from ({counts}))
+            select 'success_lt_95' rule_name, p metric, p < 95 fired,
+                case when p < 95 then 'Low success rate' end alert_text from m
+            union all select 'tables_lt_85', n::double, n < 85, case when n < 85 then 'Tables are missing' end
+                from m
+            union all select 'failures_gt_3', 1, false, null""",
+        "clone_structure": f"select table_name, case when table_name = 'nation' then 'skipped'"
+        f" else 'created' end status, row_count from ({counts})",
+        "on_demand_copy": f"""select {AS_OF} created_at, 'sales_orders' table_name, count(*) row_count
+                from orders
+            union all select {AS_OF} + interval 1 hour, 'supplier', count(*) from supplier""",
+        "namespace_totals": f"""select case when table_name = 'events' then 'weather'
+                when table_name in ('documents', 'pages') then 'analytics' else 'public' end namespace,
+                count(*) tables, cast(sum(row_count) as bigint) total_rows from ({counts}) group by 1""",
+        "records_by_province": """select r_name province, count(distinct user_id) locations,
+                count(*) records,
+                cast(sum(cast(value as decimal(18,2))) as double) / count(*) temp_avg
+            from events left join customer on c_custkey = user_id
+            left join nation on n_nationkey = c_nationkey left join region on r_regionkey = n_regionkey
+            group by 1""",
+        "console_feed": "select cast(user_id as varchar) adm4, 'Kota ' || user_id lokasi,"
+        " count(*) records_count, max(value) temp_max from events group by 1, 2",
         "stream_upsert": f"""with r as (
             select user_id, wh, event_type, value, {HUMIDITY} k, lot,
                 min(lot) over (partition by user_id, wh) first_lot,

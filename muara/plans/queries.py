@@ -19,8 +19,16 @@ from muara.operators.asof import asof_join
 from muara.operators.envelope import envelope_records, json_envelopes
 from muara.operators.forecast import parse_documents, valid_points
 from muara.plans import marts
+from muara.plans.console import console_envelopes, console_records
 from muara.plans.ingest import FACT_KEYS, PARTITION, IngestOptions, fact_table
-from muara.plans.sync import run_sync, sync_summary as summarise
+from muara.plans.sync import (
+    clone_structures,
+    on_demand_sync,
+    run_sync,
+    schema_from_catalog,
+    sync_metrics,
+    sync_summary as summarise,
+)
 from muara.session import scratch_path
 from muara.settings import DEFAULTS, Settings
 from muara.sources import catalog
@@ -398,8 +406,11 @@ def decode_codes(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def json_envelope(spark: SparkSession, folder: str) -> DataFrame:
     """Envelopes per location, read back and counted."""
-    events = read_table(spark, folder, "events").select("event_id", "user_id", "ts", "event_type", "value")
-    envelopes = json_envelopes(events, "user_id", F.col("event_id"), AS_OF, "spark")
+    row = F.struct("_metadata.file_path", "_metadata.row_index").alias("row")
+    events = read_table(spark, folder, "events").select(
+        "event_id", "user_id", "ts", "event_type", "value", row
+    )
+    envelopes = json_envelopes(events, "user_id", "row", AS_OF, "spark")
     records = envelope_records(envelopes, "event_id bigint, user_id bigint, value double")
     return records.groupBy(F.col("user_id").alias("adm4")).agg(
         F.count(F.lit(1)).alias("records_count"), F.max("event_id").alias("last_event")
@@ -776,6 +787,86 @@ def sync_summary(spark: SparkSession, folder: str) -> DataFrame:
     return summarise(results)
 
 
+@query
+def sync_alerts(spark: SparkSession, folder: str) -> DataFrame:
+    """Alert rules over the metrics of that run."""
+    _, results = _copy_all(spark, folder, [SyncTask("rating", "rating")])
+    return quality.evaluate_alerts(sync_metrics(results), quality.sync_rules())
+
+
+@query
+def clone_structure(spark: SparkSession, folder: str) -> DataFrame:
+    """Tables created from measured catalog rows, then every source loaded into them by name."""
+    tables = all_tables(spark, folder)
+    warehouse = new_warehouse(spark)
+    warehouse.table("nation").replace(tables["nation"])
+    schemas = schema_from_catalog(catalog.column_profile(tables.items()))
+    made = clone_structures(warehouse, schemas)
+    tasks = [SyncTask(name, name) for name in TABLES]
+    run_sync(warehouse, lambda name: loads.aligned(tables[name], warehouse.table(name).read()), tasks)
+    return made.join(count_rows((n, warehouse.table(n).read()) for n in TABLES), "table_name")
+
+
+@query
+def on_demand_copy(spark: SparkSession, folder: str) -> DataFrame:
+    """Two tables, one renamed, refreshed on demand with a load stamp; the second run finds no orders."""
+    warehouse = new_warehouse(spark)
+    tasks = [
+        SyncTask("orders", "sales_orders", "keep_if_empty"),
+        SyncTask("supplier", "supplier", "keep_if_empty"),
+    ]
+    on_demand_sync(warehouse, lambda name: read_table(spark, folder, name), tasks, AS_OF)
+
+    def without_orders(name: str) -> DataFrame:
+        rows = read_table(spark, folder, name)
+        return rows.where("o_orderkey is null") if name == "orders" else rows
+
+    on_demand_sync(warehouse, without_orders, tasks, NEXT_RUN)
+    return union_all(
+        warehouse.table(name)
+        .read()
+        .groupBy("created_at")
+        .agg(F.count(F.lit(1)).alias("row_count"))
+        .withColumn("table_name", F.lit(name))
+        for name in ("sales_orders", "supplier")
+    )
+
+
+@query
+def namespace_totals(spark: SparkSession, folder: str) -> DataFrame:
+    homes = {"events": "weather", "documents": "analytics", "pages": "analytics"}
+    rows = [(name, homes.get(name, "public")) for name in TABLES]
+    namespaces = spark.createDataFrame(rows, "table_name string, namespace string")
+    return marts.namespace_totals(table_row_counts(spark, folder), namespaces)
+
+
+@query
+def records_by_province(spark: SparkSession, folder: str) -> DataFrame:
+    customer, nation, region = (read_table(spark, folder, n) for n in ("customer", "nation", "region"))
+    dimension = marts.location_dimension(customer, nation, region)
+    return marts.records_by_province(forecast_fact(spark, folder), dimension)
+
+
+@query
+def console_feed(spark: SparkSession, folder: str) -> DataFrame:
+    """Every location's documents through the console form, counted from its envelopes."""
+    documents = render_documents(
+        feed_points(spark, folder), ["user_id", "day"], "event_id", feed_header()
+    ).select(
+        "doc",
+        F.col("user_id").cast("string").alias("requested_adm4"),
+        F.struct("run", "user_id", "day").alias("doc_seq"),
+    )
+    code = F.col("user_id").cast("string").alias("adm4")
+    blank = [F.lit("").alias(c) for c in ("location_name", "desa", "kecamatan", "kabupaten", "provinsi")]
+    locations = read_table(spark, folder, "events").select(code, *blank).distinct()
+    envelopes = console_envelopes(console_records(documents, locations), AS_OF)
+    records = envelope_records(envelopes, "adm4 string, lokasi string, suhu_celsius double")
+    return records.groupBy("adm4", "lokasi").agg(
+        F.count(F.lit(1)).alias("records_count"), F.max("suhu_celsius").alias("temp_max")
+    )
+
+
 # ---------------------------------------------------------------- streams
 
 

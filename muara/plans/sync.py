@@ -4,12 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-
-from muara.operators.loads import append_load, full_refresh, refresh_keep_if_empty, upsert
-from muara.schemas import SYNC_RESULT
+from pyspark.sql import types as T
+
+from muara.functions.clock import at
+from muara.operators.loads import (
+    aligned,
+    append_load,
+    full_refresh,
+    refresh_keep_if_empty,
+    upsert,
+    with_created_at,
+)
+from muara.schemas import SYNC_RESULT, spark_type
 from muara.sources.manifests import SyncTask, one_namespace
 from muara.sources.snapshots import Warehouse
 from muara.sources.tables import incremental_scan
@@ -59,6 +69,49 @@ def run_sync(
     return warehouse.spark.createDataFrame(results, SYNC_RESULT)
 
 
+def clone_structures(warehouse: Warehouse, schemas: dict[str, T.StructType]) -> DataFrame:
+    """Create the tables that are absent; one row per table: created, skipped or error."""
+
+    def create(item: tuple[str, T.StructType]) -> tuple[str, str]:
+        name, schema = item
+        try:
+            return name, "created" if warehouse.table(name).create_if_absent(schema) else "skipped"
+        except Exception as error:  # the failed table is reported, the others go on
+            return name, f"error: {str(error).splitlines()[0]}"
+
+    results = [create(item) for item in schemas.items()]
+    return warehouse.spark.createDataFrame(results, "table_name string, status string")
+
+
+def schema_from_catalog(columns: DataFrame) -> dict[str, T.StructType]:
+    """Spark schemas from catalog rows (see ``catalog.column_profile``): one row per column is collected."""
+    schemas: dict[str, T.StructType] = {}
+    for row in columns.orderBy("table_name", "ordinal").collect():
+        kind = spark_type(row["data_type"], row["char_len"], row["num_precision"], row["num_scale"])
+        kind = T.StringType() if isinstance(kind, (T.VarcharType, T.CharType)) else kind
+        schema = schemas.setdefault(row["table_name"], T.StructType())
+        schema.add(row["column_name"], kind)
+    return schemas
+
+
+def on_demand_sync(
+    warehouse: Warehouse,
+    read_source: Callable[[str], DataFrame],
+    tasks: Iterable[SyncTask],
+    as_of: datetime,
+) -> DataFrame:
+    """Clone each structure with a load stamp, then refresh by name; an empty source changes nothing."""
+    tasks = one_namespace(tasks)
+
+    def stamped(name: str) -> DataFrame:
+        return with_created_at(read_source(name), at(as_of))
+
+    for task in tasks:
+        warehouse.table(task.target).create_if_absent(stamped(task.source).schema)
+    targets = {task.source: warehouse.table(task.target).read() for task in tasks}
+    return run_sync(warehouse, lambda name: aligned(stamped(name), targets[name]), tasks)
+
+
 def sync_summary(results: DataFrame) -> DataFrame:
     """Tables, rows and the first ten table names per status."""
     names = F.slice(F.array_sort(F.collect_list("target")), 1, 10)
@@ -86,6 +139,6 @@ def require_success(results: DataFrame) -> None:
         raise SyncFailed(f"failed tables: {', '.join(sorted(failed))}")
 
 
-def manifest_from_catalog(spark: SparkSession, names: Iterable[str]) -> list[SyncTask]:
+def manifest_from_names(names: Iterable[str]) -> list[SyncTask]:
     """A full-refresh task per table name found in the source."""
     return [SyncTask(name, name) for name in sorted(names)]

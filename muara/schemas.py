@@ -103,6 +103,8 @@ def spark_type(
         return T.CharType(length)
     if data_type == "numeric":
         return T.DecimalType(38, 18) if precision is None else T.DecimalType(precision, scale or 0)
+    if data_type.endswith("[]"):
+        return T.ArrayType(spark_type(data_type[:-2]))
     simple = {
         "smallint": T.ShortType(),
         "integer": T.IntegerType(),

@@ -131,7 +131,7 @@ class SnapshotTable:
 
     def _load_folders(self, load_id: str) -> list[str]:
         middle = f"{self.partition_by}=*/" if self.partition_by else ""
-        found = self._fs().globStatus(self._path(f"{self.data}/{middle}{LOAD_ID}={load_id}"))
+        found = self._fs().globStatus(self._path(f"{self.data}/{middle}{LOAD_ID}={load_id}")) or []
         depth = 2 if self.partition_by else 1
         return sorted("/".join(s.getPath().toUri().getPath().split("/")[-depth:]) for s in found)
 

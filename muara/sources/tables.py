@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from muara.session import scratch_path
+from muara.settings import DEFAULTS
 
 # The tables of a test data folder.
 TABLES = (
@@ -52,6 +53,19 @@ def read_jdbc(
     )
 
 
+def write_jdbc(
+    rows: DataFrame, url: str, table: str, batch_rows: int = DEFAULTS.jdbc_batch_rows, **options: str
+) -> None:
+    """Append to a database table in batches; every task writes its own partition."""
+    (
+        rows.write.format("jdbc")
+        .options(url=url, dbtable=table, batchsize=str(batch_rows))
+        .options(**options)
+        .mode("append")
+        .save()
+    )
+
+
 def incremental_scan(source: DataFrame, target: DataFrame, column: str) -> DataFrame:
     """Source rows past the target's high-water mark; all of them while the target is empty.
 

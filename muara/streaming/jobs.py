@@ -66,12 +66,18 @@ def dedup_stream(
     checkpoint: str,
     settings: Settings = DEFAULTS,
 ) -> StreamingQuery:
-    """Drop repeats of a key that arrive within the retention window; older rows are late and dropped."""
+    """Drop repeats of a key that arrive within the retention window; older rows are late and dropped.
+
+    Copies of one key are dropped per input partition first, each partition's in a task of its own, and
+    what is left of them meets in the second step. The first step only thins out, so its salt need not be
+    stable.
+    """
     unique = (
-        rows.withColumn(EVENT_TIME, to_instant(F.col(stamp)))
+        rows.withColumns({EVENT_TIME: to_instant(F.col(stamp)), "salt": F.spark_partition_id()})
         .withWatermark(EVENT_TIME, f"{settings.retention_days} days")
+        .dropDuplicatesWithinWatermark([*keys, "salt"])
         .dropDuplicatesWithinWatermark(keys)
-        .drop(EVENT_TIME)
+        .drop(EVENT_TIME, "salt")
     )
     return _start(unique.writeStream.format("parquet").option("path", out), checkpoint)
 
