@@ -53,16 +53,20 @@ def weather_code_table(spark: SparkSession) -> DataFrame:
 def decode_weather_code(rows: DataFrame, code: str, out: str = "cuaca") -> DataFrame:
     """Join the 32-row code table (fixed size, so broadcast); unknown codes keep the code in the text."""
     key = F.col(code).cast("string")
-    codes = F.broadcast(weather_code_table(rows.sparkSession))
+    codes = F.broadcast(weather_code_table(rows.sparkSession).withColumnRenamed("code", "weather_code"))
     unknown = F.format_string("Unknown (%s)", F.coalesce(key, F.lit("None")))
     return (
-        rows.join(codes, key == codes["code"], "left")
+        rows.join(codes, key == F.col("weather_code"), "left")
         .withColumn(out, F.coalesce(F.col("description"), unknown))
-        .drop(codes["code"])
-        .drop("description")
+        .drop("weather_code", "description")
     )
 
 
+def percent(part: Column, whole: Column) -> Column:
+    """Share in percent; null when there is nothing to share."""
+    return F.try_divide(part * F.lit(100.0), whole)
+
+
 def freshness_label(age_minutes: Column, settings: Settings = DEFAULTS) -> Column:
     return (
         F.when(age_minutes <= settings.fresh_minutes, "FRESH")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from muara.functions.clock import at, minutes_between
-from muara.functions.labels import freshness_label
+from muara.functions.labels import freshness_label, percent
 from muara.operators.loads import delete_where, update_where
 from muara.settings import DEFAULTS, Settings
 from muara.sources.snapshots import SnapshotTable
@@ -42,12 +42,12 @@ def freshness_report(locations: DataFrame) -> DataFrame:
     """Locations per label with their share in percent."""
     counts = locations.groupBy(F.col("freshness_status").alias("st")).agg(F.count(F.lit(1)).alias("n"))
     all_labels = Window.partitionBy()  # over at most three rows
-    return counts.withColumn("percent", F.col("n") * F.lit(100.0) / F.sum("n").over(all_labels))
+    return counts.withColumn("percent", percent(F.col("n"), F.sum("n").over(all_labels)))
 
 
 def freshness_gate(locations: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """One row: percent of stale locations and whether a sync may start."""
-    stale = F.count_if(F.col("freshness_status") == "STALE") * F.lit(100.0) / F.count(F.lit(1))
+    stale = percent(F.count_if(F.col("freshness_status") == "STALE"), F.count(F.lit(1)))
     return locations.agg(stale.alias("stale_percent")).withColumn(
         "open", F.coalesce(F.col("stale_percent") <= settings.stale_alert_percent, F.lit(False))
     )

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from muara.functions.clock import ISO_STAMP
+from muara.functions.labels import percent
 from muara.settings import DEFAULTS, Settings
 from muara.sources.tables import table_row_counts, union_all
 
@@ -186,10 +187,9 @@ def feed_metrics(fact: DataFrame, stale: Column, hour: Column) -> DataFrame:
     per_location = per_hour.groupBy("adm4").agg(
         F.sum("n").alias("n"), F.count(F.lit(1)).alias("hours"), F.max("latest").alias("latest")
     )
-    hundred = F.lit(100.0)
     return per_location.agg(
-        (hundred * F.count_if(stale) / F.count(F.lit(1))).alias("stale_pct"),
-        (hundred * (F.sum("n") - F.sum("hours")) / F.sum("n")).alias("dup_pct"),
+        percent(F.count_if(stale), F.count(F.lit(1))).alias("stale_pct"),
+        percent(F.sum("n") - F.sum("hours"), F.sum("n")).alias("dup_pct"),
     )
 
 

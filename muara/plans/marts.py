@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from muara.functions.clock import at, hour_floor, minutes_between
+from muara.functions.labels import percent
 from muara.settings import DEFAULTS, Settings
 
 
@@ -118,7 +119,7 @@ def driver_performance(trips: DataFrame) -> DataFrame:
 
 
 def _percent(condition: Column) -> Column:
-    return F.count_if(condition) * F.lit(100.0) / F.count(F.lit(1))
+    return percent(F.count_if(condition), F.count(F.lit(1)))
 
 
 def current_per_location(fact: DataFrame, as_of: datetime, tie: str) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from muara.functions.clock import at
+from muara.functions.labels import percent
 from muara.operators.loads import (
     aligned,
     append_load,
@@ -126,7 +127,7 @@ def sync_metrics(results: DataFrame) -> DataFrame:
     """One row of run metrics for the alert rules."""
     good = F.count_if(F.col("status") == "success")
     return results.agg(
-        (good * F.lit(100.0) / F.count(F.lit(1))).alias("success_pct"),
+        percent(good, F.count(F.lit(1))).alias("success_pct"),
         good.alias("table_count"),
         F.count_if(F.col("status") == "failed").alias("failures"),
     )

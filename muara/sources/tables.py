@@ -69,10 +69,13 @@ def write_jdbc(
 def incremental_scan(source: DataFrame, target: DataFrame, column: str) -> DataFrame:
     """Source rows past the target's high-water mark; all of them while the target is empty.
 
-    The mark is a scalar subquery, which Spark evaluates once and pushes into the scan.
+    The mark is one value, fetched as text and used as a literal, so the filter reaches Parquet and JDBC
+    scans.
     """
-    mark = target.agg(F.max(column)).scalar()
-    return source.where((F.col(column) > mark) | mark.isNull())
+    mark = target.agg(F.max(column).cast("string")).first()[0]
+    if mark is None:
+        return source
+    return source.where(F.col(column) > F.lit(mark).cast(source.schema[column].dataType))
 
 
 def stage(rows: DataFrame, label: str) -> DataFrame:
