@@ -21,6 +21,7 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "muara
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.scheduler.mode", "FAIR")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 

@@ -23,30 +23,28 @@ def column_profile(tables: Iterable[tuple[str, DataFrame]]) -> DataFrame:
 
 
 def _profile_one(name: str, table: DataFrame) -> DataFrame:
-    wanted = [F.count(F.lit(1)).alias("rows")]
-    for at, field in enumerate(table.schema.fields):
-        wanted.append(F.count(F.col(f"`{field.name}`")).alias(f"n{at}"))
-        if isinstance(field.dataType, T.StringType):
-            wanted.append(F.max(F.char_length(F.col(f"`{field.name}`"))).alias(f"len{at}"))
-    described = []
+    measures, described = ["count(1) as rows"], []
     for at, field in enumerate(table.schema.fields):
+        column = "`" + field.name.replace("`", "``") + "`"
+        measures.append(f"count({column}) as n{at}")
+        is_text = isinstance(field.dataType, T.StringType)
+        measures.append(f"{f'max(char_length({column}))' if is_text else 'cast(null as int)'} as len{at}")
         kind, precision, scale = catalog_type(field.dataType)
-        length = F.col(f"len{at}") if isinstance(field.dataType, T.StringType) else F.lit(None).cast("int")
         described.append(
-            F.struct(
-                F.lit(name).alias("table_name"),
-                F.lit(at + 1).alias("ordinal"),
-                F.lit(field.name).alias("column_name"),
-                F.lit(kind).alias("data_type"),
-                length.alias("char_len"),
-                F.lit(precision).cast("int").alias("num_precision"),
-                F.lit(scale).cast("int").alias("num_scale"),
-                (F.col(f"n{at}") < F.col("rows")).alias("nullable"),
-                F.lit(None).cast("string").alias("default"),
-                F.col(f"n{at}").alias("non_null"),
-            )
+            f"struct({_quoted(name)} as table_name, {at + 1} as ordinal, {_quoted(field.name)} as column_name,"
+            f" {_quoted(kind)} as data_type, len{at} as char_len, cast({_number(precision)} as int) as"
+            f" num_precision, cast({_number(scale)} as int) as num_scale, n{at} < rows as nullable,"
+            f" cast(null as string) as default, n{at} as non_null)"
         )
-    return table.agg(*wanted).select(F.inline(F.array(*described)))
+    return table.selectExpr(*measures).selectExpr(f"inline(array({', '.join(described)}))")
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _number(value: int | None) -> str:
+    return "null" if value is None else str(value)
 
 
 def numbered_tables(counts: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from muara.session import scratch_path
 from muara.settings import DEFAULTS
@@ -29,8 +30,16 @@ TABLES = (
 )
 
 
+_schemas: dict[tuple[str, str], StructType] = {}
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A source table. Its schema is discovered once per application, as that costs a job of its own."""
+    path = f"{folder}/{name}.parquet"
+    known = (spark.sparkContext.applicationId, path)
+    if known not in _schemas:
+        _schemas[known] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[known]).parquet(path)
 
 
 def read_jdbc(
