@@ -43,12 +43,12 @@ def asof_join(
         match.alias("r"),
     )
     both = lefts.unionByName(rights.where("k is not null"), allowMissingColumns=True)
-    # The row number only spreads copies of one row over slices.
-    spread = both.withColumn("copy", F.monotonically_increasing_id())
+    # Hash and row number only spread rows of one moment, and copies of one row, over slices.
+    spread = both.withColumns({"hash": F.xxhash64("l", "r"), "copy": F.monotonically_increasing_id()})
     sliced = stage(
-        spread.repartitionByRange("k", "at", "side", "tie", "copy")
+        spread.repartitionByRange("k", "at", "side", "tie", "hash", "copy")
         .withColumn("slice", F.spark_partition_id())
-        .drop("copy"),
+        .drop("hash", "copy"),
         "asof",
     )
     here = Window.partitionBy("slice", "k").orderBy("at", "side", "tie")

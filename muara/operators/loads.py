@@ -204,7 +204,5 @@ def archive_by_year(table: SnapshotTable, archive: SnapshotTable, column: str, b
     old = F.year(F.col(column)) < before_year
     rows = table.read()
     archive.create_if_absent(rows.schema)
-    version = table.state()["version"]
-    if archive.state()["streams"].get("archive", 0) < version:
-        archive.append(rows.where(old), ("archive", version))
+    archive.append(rows.where(old), ("archive", table.state()["version"]))
     delete_where(table, old)

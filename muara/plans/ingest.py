@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 from muara.functions.clock import at
 from muara.operators.forecast import parse_documents, rejected_documents, rejected_points, valid_points
 from muara.operators.freshness import apply_retention, delete_expired, refresh_row_labels
-from muara.operators.loads import upsert, upsert_counters
+from muara.operators.loads import partition_values, upsert, upsert_counters
 from muara.operators.quality import CheckFailed, require_rows
 from muara.schemas import FORECAST_FACT
 from muara.settings import DEFAULTS, Settings
 from muara.sources.snapshots import SnapshotTable, Warehouse
-from muara.sources.tables import stage
+from muara.sources.tables import staged
 
 FACT_KEYS = ("adm4", "waktu")
 PARTITION = "waktu_date"
@@ -72,22 +72,22 @@ def ingest_documents(
     """
     if stream and table.state()["streams"].get(stream[0], -1) >= stream[1]:
         return {"inserted": 0, "updated": 0, "total": 0, "rejected": 0}
-    points = stage(
-        parse_documents(documents, locations, options.mode, options.adm4_from_request, settings), "points"
-    )
-    batch = fact_rows(valid_points(points), as_of, options.reset_freshness)
-    bad = rejected_points(points)
-    if quarantine is not None:
-        quarantine.create_if_absent(_quarantined(bad).schema)
-        quarantine.append(_quarantined(bad).unionByName(_quarantined_documents(documents)), stream)
-    if options.delete_past:
-        delete_expired(table, as_of)
-    touched = batch.select(PARTITION).distinct()
-    known = table.read().join(touched, PARTITION, "left_semi")
-    counters = upsert_counters(known, batch, FACT_KEYS).first().asDict()
-    kept = ["created_at", "data_age_minutes"] + ([] if options.reset_freshness else ["freshness_status"])
-    upsert(table, batch, FACT_KEYS, "seq", kept, stream)
-    return {**counters, "rejected": bad.count()}
+    points = parse_documents(documents, locations, options.mode, options.adm4_from_request, settings)
+    with staged(points, "points") as points:
+        batch = fact_rows(valid_points(points), as_of, options.reset_freshness)
+        bad = rejected_points(points)
+        if quarantine is not None:
+            quarantine.create_if_absent(_quarantined(bad).schema)
+            quarantine.append(_quarantined(bad).unionByName(_quarantined_documents(documents)), stream)
+        if options.delete_past:
+            delete_expired(table, as_of)
+        touched = F.col(PARTITION).isin(partition_values(batch, PARTITION))
+        counters = upsert_counters(table.read().where(touched), batch, FACT_KEYS).first().asDict()
+        kept = ["created_at", "data_age_minutes"]
+        if not options.reset_freshness:
+            kept.append("freshness_status")
+        upsert(table, batch, FACT_KEYS, "seq", kept, stream)
+        return {**counters, "rejected": bad.count()}
 
 
 def require_change(counters: dict[str, int]) -> None:

@@ -365,7 +365,7 @@ def oracle_sql() -> dict[str, str]:
                 array_to_string(list_slice(list_sort(list(target)), 1, 10), ',') first_tables from c
             union all select 'failed', 1, 0, 'rating'""",
         "sync_alerts": f"""with m as (select 100.0::double * count(*) / (count(*) + 1) p, count(*) n
-                from ({counts}))
+                from ({counts}) where table_name in ('customer', 'supplier', 'part'))
             select 'success_lt_95' rule_name, p metric, p < 95 fired,
                 case when p < 95 then 'Low success rate' end alert_text from m
             union all select 'tables_lt_85', n::double, n < 85, case when n < 85 then 'Tables are missing' end

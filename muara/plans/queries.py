@@ -789,8 +789,9 @@ def sync_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def sync_alerts(spark: SparkSession, folder: str) -> DataFrame:
-    """Alert rules over the metrics of that run."""
-    _, results = _copy_all(spark, folder, [SyncTask("rating", "rating")])
+    """Alert rules over the metrics of a run of three tables and one that does not exist."""
+    tasks = [SyncTask(name, name) for name in ("customer", "supplier", "part", "rating")]
+    results = run_sync(new_warehouse(spark), lambda name: read_table(spark, folder, name), tasks)
     return quality.evaluate_alerts(sync_metrics(results), quality.sync_rules())
 
 
@@ -879,13 +880,12 @@ def stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
     early = F.col("event_type").isin(*FIRST_TYPES)
     table = fact_table(new_warehouse(spark))
     landing, checkpoint = scratch_path(spark, "landing"), scratch_path(spark, "stream")
-    clocks = (AS_OF, NEXT_RUN)
-    for lot in (points.where(early), points.where(~early)):
+    for lot, now in ((points.where(early), AS_OF), (points.where(~early), NEXT_RUN)):
         documents = render_documents(lot, ["user_id"], "event_id", feed_header())
         land_in_order(documents, landing)
         jobs.finish(
             jobs.ingest_stream(
-                spark, landing, table, checkpoint, clocks.__getitem__, options=IngestOptions(mode="wallclock")
+                spark, landing, table, checkpoint, lambda _: now, options=IngestOptions(mode="wallclock")
             )
         )
     return table.read().select(

@@ -80,7 +80,12 @@ class SnapshotTable:
         return written
 
     def append(self, rows: DataFrame, stream: tuple[str, int] | None = None) -> int:
+        """More rows of the table's columns, matched by name; a ``stream`` mark makes a repeat a no-op."""
         base = self.state()
+        if stream and base["streams"].get(stream[0], -1) >= stream[1]:
+            return 0
+        if base["version"]:
+            rows = self._fitting(rows, T.StructType.fromJson(base["schema"]))
         folders, written = self._write(rows, base["version"] + 1)
         self._commit(base, rows.schema, base["folders"] + folders, written, stream)
         return written
@@ -113,6 +118,13 @@ class SnapshotTable:
             self._fs().delete(self._path(f"{self.data}/{folder}"), True)
         return len(stale)
 
+    def _fitting(self, rows: DataFrame, schema: T.StructType) -> DataFrame:
+        have = {f.name: f.dataType for f in rows.schema.fields}
+        want = {f.name: f.dataType for f in schema.fields}
+        if have != want:
+            raise ValueError(f"{self.root} has columns {schema.simpleString()}, not {rows.schema.simpleString()}")
+        return rows.select(*schema.names)
+
     def _write(self, rows: DataFrame, version: int) -> tuple[list[str], int]:
         load_id = f"v{version:08d}-{uuid.uuid4().hex}"
         count = Observation()

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,14 +88,29 @@ def incremental_scan(source: DataFrame, target: DataFrame, column: str) -> DataF
     return source.where(F.col(column) > F.lit(mark).cast(source.schema[column].dataType))
 
 
-def stage(rows: DataFrame, label: str) -> DataFrame:
-    """Write rows to the shared folder and read them back: computed once, and safe when executors are lost."""
+def stage(rows: DataFrame, label: str, path: str | None = None) -> DataFrame:
+    """Write rows to the shared folder and read them back: computed once, and safe when executors are lost.
+
+    The files stay until the shared folder is cleaned; use ``staged`` where they are needed only for a while.
+    """
     spark = rows.sparkSession
-    path = scratch_path(spark, label)
+    path = path or scratch_path(spark, label)
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
 
+@contextmanager
+def staged(rows: DataFrame, label: str) -> Iterator[DataFrame]:
+    """``stage`` for the length of a block; nothing lazy may leave the block."""
+    spark = rows.sparkSession
+    path = scratch_path(spark, label)
+    try:
+        yield stage(rows, label, path)
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def table_row_counts(tables: Iterable[tuple[str, DataFrame]]) -> DataFrame:
     """One row per table; each count reads no column and all counts run as one job."""
     counted = [

@@ -187,3 +187,22 @@ def test_dedup_keep_first_with_copies(spark):
     data = [(1, 2, "x"), (1, 1, "y"), (1, 1, "y"), (2, 5, None)]
     kept = loads.dedup_keep_first(spark.createDataFrame(data, "k int, o int, p string"), ["k"], ["o"])
     assert sorted(map(tuple, kept.collect())) == [(1, 1, "y"), (2, 5, None)]
+
+
+def test_append_checks_columns_and_marks(spark, warehouse):
+    table = filled(warehouse, spark)
+    with pytest.raises(ValueError):
+        table.append(spark.range(1))
+    more = table.read().select("v", "d", "k")
+    assert table.append(more, ("s", 5)) == 3
+    assert table.append(more, ("s", 5)) == 0
+    assert len(content(table)) == 6
+
+
+def test_staged_rows_are_gone_after_the_block(spark):
+    from muara.sources.tables import staged
+
+    with staged(spark.range(4), "t") as rows:
+        assert rows.count() == 4
+        path = rows.inputFiles()[0]
+    assert not __import__("os").path.exists(path.removeprefix("file:"))
