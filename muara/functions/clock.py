@@ -28,13 +28,25 @@ def hour_floor(stamp: Column) -> Column:
     return F.timestamp_add("HOUR", F.hour(stamp), stamp.cast("date").cast("timestamp_ntz"))
 
 
+def micros_between(older: Column, newer: Column) -> Column:
+    """By subtraction: ``timestamp_diff`` goes through the session zone and errs in hours it skips."""
+    seconds = (newer - older).cast("interval second").cast("decimal(18,6)")
+    return (seconds * F.lit(1_000_000)).cast("bigint")
+
+
 def minutes_between(older: Column, newer: Column) -> Column:
-    return F.timestamp_diff("MICROSECOND", older, newer) / F.lit(60_000_000.0)
+    return micros_between(older, newer) / F.lit(60_000_000.0)
+
+
+def full_hours_between(older: Column, newer: Column) -> Column:
+    """Complete hours, rounded toward zero."""
+    micros, hour = micros_between(older, newer), F.lit(3_600_000_000)
+    return ((micros - micros % hour) / hour).cast("bigint")
 
 
 def to_instant(wall: Column) -> Column:
     """Read a wall clock as UTC and return the instant (watermarks need TIMESTAMP)."""
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch(), wall))
+    return F.timestamp_micros(micros_between(epoch(), wall))
 
 
 def from_instant(instant: Column) -> Column:
@@ -57,9 +69,8 @@ def local_time(text: Column, zone: str) -> Column:
     utc = F.timestamp_add("SECOND", F.unix_seconds(instant), epoch())
     moved = F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
     local = wall_clock(text)
-    whole = F.timestamp_add(
-        "SECOND", F.floor(F.timestamp_diff("MICROSECOND", epoch(), local) / F.lit(1_000_000)), epoch()
-    )
+    fraction = F.pmod(micros_between(epoch(), local), F.lit(1_000_000))
+    whole = F.timestamp_add("MICROSECOND", -fraction, local)
     return F.when(
         text.rlike(ISO_STAMP), F.when(text.rlike(OFFSET_AFTER_TIME), moved).otherwise(whole)
     )

@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from muara.functions.clock import at, hour_floor, minutes_between
+from muara.functions.clock import at, full_hours_between, hour_floor, minutes_between
 from muara.functions.labels import percent
 from muara.settings import DEFAULTS, Settings
 
@@ -60,8 +60,9 @@ def deliveries(lines: DataFrame, orders: DataFrame, settings: Settings = DEFAULT
     Only the order's date crosses the shuffle. Spark broadcasts the orders while they are small and splits
     a skewed order at run time otherwise.
     """
-    hours = F.timestamp_diff("HOUR", F.col("o_orderdate"), F.col("l_shipdate"))
-    return lines.join(orders.select("o_orderkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey")).select(
+    hours = full_hours_between(F.col("o_orderdate"), F.col("l_shipdate"))
+    dated = orders.select("o_orderkey", "o_orderdate")
+    return lines.join(dated, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("l_suppkey").alias("driver_id"),
         F.col("l_partkey").alias("vehicle_id"),
         F.col("l_shipdate").cast("date").alias("delivery_date"),
