@@ -16,6 +16,7 @@ def asof_join(
     right_at: str,
     right_columns: list[str],
     tie: str,
+    slices: int | None = None,
 ) -> DataFrame:
     """Left rows plus ``right_columns`` of the match, null where there is none.
 
@@ -25,7 +26,7 @@ def asof_join(
     spreads over many slices. Inside a slice a running ``last`` finds the match. A slice that starts in the
     middle of a key takes the match from the slices before it: that carry has at most one row per slice, so
     it is safe to broadcast. The slices are written down, which keeps slice numbers the same when a task
-    runs again.
+    runs again. There are as many as shuffle partitions unless ``slices`` says otherwise.
     """
     match = F.struct(*right_columns)
     lefts = left.select(
@@ -46,7 +47,7 @@ def asof_join(
     # Hash and row number only spread rows of one moment, and copies of one row, over slices.
     spread = both.withColumns({"hash": F.xxhash64("l", "r"), "copy": F.monotonically_increasing_id()})
     sliced = stage(
-        spread.repartitionByRange("k", "at", "side", "tie", "hash", "copy")
+        spread.repartitionByRange(*([slices] if slices else []), "k", "at", "side", "tie", "hash", "copy")
         .withColumn("slice", F.spark_partition_id())
         .drop("hash", "copy"),
         "asof",

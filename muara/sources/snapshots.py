@@ -35,13 +35,11 @@ class SnapshotTable:
 
     def state(self) -> dict:
         """The newest commit: version, schema, folders, rows of the last load, stream marks."""
-        folder = self._path(f"{self.root}/commits")
         fs = self._fs()
-        if not fs.exists(folder):
+        commits = fs.globStatus(self._path(f"{self.root}/commits/[0-9]*.json")) or []
+        if not commits:
             return {"version": 0, "schema": None, "folders": [], "rows_written": 0, "streams": {}}
-        names = [s.getPath().getName() for s in fs.listStatus(folder)]
-        newest = max(n for n in names if n.endswith(".json") and not n.startswith("."))
-        stream = fs.open(self._path(f"{self.root}/commits/{newest}"))
+        stream = fs.open(max((s.getPath() for s in commits), key=lambda path: path.getName()))
         try:
             text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:

@@ -1,4 +1,8 @@
-"""The hourly feed as Structured Streaming: upsert ingest, dedup, daily counts, staleness."""
+"""The hourly feed as Structured Streaming: upsert ingest, dedup, daily counts, staleness.
+
+``max_files`` bounds a micro-batch; without it one run takes all that has landed. For state that outgrows
+executor memory set ``spark.sql.streaming.stateStore.providerClass`` to the RocksDB provider.
+"""
 
 from __future__ import annotations
 

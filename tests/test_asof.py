@@ -22,7 +22,7 @@ def test_hot_key_over_many_slices(spark):
             rights.append((i, key, at, None if i % 5 == 0 else i / 2))
     left = spark.createDataFrame(lefts, "id int, k string, at timestamp_ntz")
     right = spark.createDataFrame(rights, "id int, k string, at timestamp_ntz, v double")
-    got = asof_join(left, right, "k", "at", "at", ["id", "v"], "id").collect()
+    got = asof_join(left, right, "k", "at", "at", ["id", "v"], "id", slices=20).collect()
     want = []
     for i, key, at in lefts:
         found = [r for r in rights if key is not None and r[1] == key and r[2] <= at]
