@@ -1,7 +1,7 @@
 """Parquet tables that are replaced as a whole: every load writes new folders, then one small commit file.
 
 Plain Parquet has no transactions, and a plan cannot overwrite the files it reads. So a load writes
-``data/[<date>=../]load_id=<id>/`` and becomes visible by the commit file that lists the folders of the new
+``data/load_id=<id>/[<date>=..]`` and becomes visible by the commit file that lists the folders of the new
 version. A failed load leaves no commit file, so readers keep the old rows. Partitions a load does not touch
 are listed again, not copied. The list holds one entry per date partition and load, never one per row.
 """
@@ -105,13 +105,13 @@ class SnapshotTable:
         self._commit(base, T.StructType.fromJson(base["schema"]), self._untouched(base, touched), 0)
 
     def _untouched(self, base: dict, touched: Iterable[object]) -> list[str]:
-        gone = tuple(f"{self.partition_by}={_folder_value(value)}/" for value in touched)
-        return [f for f in base["folders"] if not f.startswith(gone)]
+        gone = tuple(f"/{self.partition_by}={_folder_value(value)}" for value in touched)
+        return [f for f in base["folders"] if not f.endswith(gone)]
 
     def remove_unlisted(self) -> int:
         """Delete load folders that the newest version does not list; returns how many."""
         listed = set(self.state()["folders"])
-        stale = [f for f in self._load_folders("*") if f not in listed]
+        stale = [f for f in self._load_folders(f"{LOAD_ID}=*") if f not in listed]
         for folder in stale:
             self._fs().delete(self._path(f"{self.data}/{folder}"), True)
         return len(stale)
@@ -124,26 +124,20 @@ class SnapshotTable:
         return rows.select(*schema.names)
 
     def _write(self, rows: DataFrame, version: int) -> tuple[list[str], int]:
-        load_id = f"v{version:08d}-{uuid.uuid4().hex}"
+        load = f"{LOAD_ID}=v{version:08d}-{uuid.uuid4().hex}"
         count = Observation()
-        layout = [LOAD_ID]
         if self.partition_by:
-            layout.insert(0, self.partition_by)
             rows = rows.hint("rebalance", self.partition_by)
-        (
-            rows.observe(count, F.count(F.lit(1)).alias("rows"))
-            .withColumn(LOAD_ID, F.lit(load_id))
-            .write.mode("append")
-            .partitionBy(*layout)
-            .parquet(self.data)
-        )
-        return self._load_folders(load_id), count.get["rows"]
-
-    def _load_folders(self, load_id: str) -> list[str]:
-        middle = f"{self.partition_by}=*/" if self.partition_by else ""
-        found = self._fs().globStatus(self._path(f"{self.data}/{middle}{LOAD_ID}={load_id}")) or []
-        depth = 2 if self.partition_by else 1
-        return sorted("/".join(s.getPath().toUri().getPath().split("/")[-depth:]) for s in found)
+        writer = rows.observe(count, F.count(F.lit(1)).alias("rows")).write
+        if self.partition_by:
+            writer = writer.partitionBy(self.partition_by)
+        writer.parquet(f"{self.data}/{load}")
+        return self._load_folders(load), count.get["rows"]
+
+    def _load_folders(self, load: str) -> list[str]:
+        levels = [load, f"{self.partition_by}=*"] if self.partition_by else [load]
+        found = self._fs().globStatus(self._path("/".join([self.data, *levels]))) or []
+        return sorted("/".join(s.getPath().toUri().getPath().split("/")[-len(levels) :]) for s in found)
 
     def _commit(
         self,

@@ -85,9 +85,9 @@ def test_created_at_of_the_source_is_kept(spark):
 
 def test_upsert_rewrites_only_touched_partitions(spark, warehouse):
     table = filled(warehouse, spark, "d")
-    before = {f.split("/")[0]: f for f in table.state()["folders"]}
+    before = {f.split("/")[1]: f for f in table.state()["folders"]}
     loads.upsert(table, rows(spark, (2, "B", 2), (4, "x", 2), (4, "y", 2)), ["k"], "seq")
-    after = {f.split("/")[0]: f for f in table.state()["folders"]}
+    after = {f.split("/")[1]: f for f in table.state()["folders"]}
     assert content(table) == [(1, "a", 1), (2, "B", 2), (3, "c", 3), (4, "y", 2)]
     assert before["d=2024-01-01"] == after["d=2024-01-01"]
     assert before["d=2024-01-02"] != after["d=2024-01-02"]
