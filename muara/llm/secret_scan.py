@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from muara.llm.common import documents, write_table
-from muara.llm.spans import matches_of, placed
+from muara.llm.spans import characters, matches_of, placed
 
 # The contract's patterns. A hex run or an access key below its least length is dropped whole either
 # way, so the length stands in the pattern; an assignment is matched first and judged after.
@@ -65,10 +65,10 @@ def randomness(tokens: DataFrame, column: str = "found") -> DataFrame:
         name, alphabet = F.when(fits, F.lit(key)).otherwise(name), F.when(fits, F.lit(letters)).otherwise(alphabet)
     rows = tokens.withColumn("encoding", name).withColumn("alphabet_", alphabet).withColumn("body_", body)
     n, k = F.length("body_").cast("double"), F.length("alphabet_").cast("double")
-    rows = rows.withColumn("codes_", F.transform(F.split("body_", "(?!^)"), lambda c: F.position(c, F.col("alphabet_")) - 1))
+    rows = rows.withColumn("codes_", F.transform(characters(F.col("body_")), lambda c: F.position(c, F.col("alphabet_")) - 1))
     share = n / k
     squares = F.aggregate(
-        F.split("alphabet_", "(?!^)"),
+        characters(F.col("alphabet_")),
         F.lit(0.0),
         lambda acc, c: acc + F.pow(n - F.length(F.replace(F.col("body_"), c, F.lit(""))) - share, F.lit(2.0)) / share,
     )

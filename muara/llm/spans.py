@@ -6,6 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def characters(text: Column) -> Column:
+    """The code points of a text as an array."""
+    return F.split(text, r"(?!^)(?!\z)")
+
+
 def matches_of(text: Column, kind: str, pattern: str, guard: str | None = None) -> Column:
     """The leftmost non-overlapping matches as ``array<struct<kind, nr, gap, size, found>>``; none: empty.
 
