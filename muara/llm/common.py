@@ -32,9 +32,9 @@ def write_table(rows: DataFrame, label: str) -> DataFrame:
 _shipped: set[str] = set()
 
 
-def map_arrow(rows: DataFrame, emit, schema) -> DataFrame:
-    """``mapInArrow`` with this package sent to the executors first, once per application."""
-    context = rows.sparkSession.sparkContext
+def send_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application."""
+    context = spark.sparkContext
     if context.applicationId not in _shipped:
         package = Path(__file__).resolve().parents[1]
         archive = Path(tempfile.mkdtemp(prefix="muara-code-")) / "muara.zip"
@@ -43,6 +43,11 @@ def map_arrow(rows: DataFrame, emit, schema) -> DataFrame:
                 out.write(source, source.relative_to(package.parent))
         context.addPyFile(str(archive))
         _shipped.add(context.applicationId)
+
+
+def map_arrow(rows: DataFrame, emit, schema) -> DataFrame:
+    """``mapInArrow`` with this package on the executors."""
+    send_package(rows.sparkSession)
     return rows.mapInArrow(emit, schema)
 
 
