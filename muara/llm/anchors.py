@@ -7,7 +7,7 @@ from collections.abc import Callable
 import numpy as np
 from pyspark.sql import DataFrame
 
-from muara.llm.common import map_arrow, utf8
+from muara.llm.common import equal_runs, map_arrow, utf8
 
 #: Bytes of text whose anchors one block counts before they are dealt out.
 BLOCK = 16 << 20
@@ -65,8 +65,7 @@ def repeated_anchors(docs: DataFrame, buckets: int, runs_of: Callable) -> DataFr
                 target = (anchor[rows] % np.uint64(buckets)).astype(np.int64)
                 by = np.argsort(target, kind="stable")
                 rows, where, target = rows[by], where[by], target[by]
-                cuts = np.flatnonzero(np.concatenate(([True], target[1:] != target[:-1]))) if len(target) else []
-                for low, high in zip(cuts, [*cuts[1:], len(target)], strict=True):
+                for low, high in equal_runs(target):
                     keys = pack48(key48(anchor[rows[low:high]]))
                     out.append((int(target[low]), known, *keys, where[low:high].astype("<u4").tobytes()))
             columns = list(zip(*out, strict=True)) or [()] * 5
@@ -90,8 +89,7 @@ def repeated_anchors(docs: DataFrame, buckets: int, runs_of: Callable) -> DataFr
         home = np.concatenate([home[repeated], *told_homes])
         pairs = np.unique(np.rec.fromarrays([home, key]))
         home, key = pairs["f0"], pairs["f1"]
-        cuts = np.flatnonzero(np.concatenate(([True], home[1:] != home[:-1]))) if len(home) else []
-        rows = [(int(home[a]), *pack48(key[a:b])) for a, b in zip(cuts, [*cuts[1:], len(home)], strict=True)]
+        rows = [(int(home[a]), *pack48(key[a:b])) for a, b in equal_runs(home)]
         columns = list(zip(*rows, strict=True)) or [()] * 3
         kinds = [pa.int64(), pa.binary(), pa.binary()]
         return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["home", "low", "high"])

@@ -165,8 +165,8 @@ def quality(docs: DataFrame, counts: bool = True) -> DataFrame:
 
 def kept_documents(docs: DataFrame) -> DataFrame:
     """The rows that no rule rejects, with their columns as they are."""
-    return quality(docs.withColumnRenamed("kept", "kept_"), counts=False).where("kept").select(
-        *[F.col(f"`{c if c != 'kept' else 'kept_'}`").alias(c) for c in docs.columns]
+    return quality(docs.withColumnRenamed("kept", "muara_kept"), counts=False).where("kept").select(
+        *[F.col(f"`{c if c != 'kept' else 'muara_kept'}`").alias(c) for c in docs.columns]
     )
 
 

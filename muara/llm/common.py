@@ -116,6 +116,14 @@ def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
     return mixed((sums[size:] - sums[:-size]) * powers(len(words), _INVERSE)[: len(words) - size + 1])
 
 
+def equal_runs(values: np.ndarray) -> list[tuple[int, int]]:
+    """Bounds of the runs of equal neighbours."""
+    if not len(values):
+        return []
+    cuts = [0, *(np.flatnonzero(values[1:] != values[:-1]) + 1).tolist(), len(values)]
+    return list(zip(cuts, cuts[1:], strict=False))
+
+
 def sliding_min(values: np.ndarray, size: int) -> np.ndarray:
     """The smallest of every run of ``size`` values."""
     width = 1

@@ -229,7 +229,7 @@ def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows that hold no benchmark item, with their columns as they are."""
     bad = contaminated(docs, items).select("key").distinct()
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    return docs.select(*columns, _key().alias("key_")).join(bad, F.col("key_") == bad.key, "left_anti").select(*columns)
+    return docs.select(*columns, _key().alias("muara_key")).join(bad, F.col("muara_key") == bad.key, "left_anti").select(*columns)
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

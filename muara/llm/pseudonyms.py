@@ -193,16 +193,16 @@ def pseudonymised(docs: DataFrame, key: str) -> DataFrame:
     columns = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("text", "n_found", "n_replaced")]
     has = F.coalesce(text.rlike(PATTERN), F.lit(False))
     found = F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
-    values = docs.select(*columns, "text", F.when(has, found).alias("found_"))
-    new = F.when(F.col("found_").isNotNull(), F.transform("found_", lambda v: pseudonym(v, key)))
-    values = values.withColumn("new_", new)
-    joined = F.array_join(F.zip_with(F.split(text, PATTERN, -1), F.col("new_"), lambda gap, v: F.concat(gap, F.coalesce(v, F.lit("")))), "")
-    changed = F.size(F.filter(F.zip_with("found_", "new_", lambda a, b: a != b), lambda x: x))
+    values = docs.select(*columns, "text", F.when(has, found).alias("muara_found"))
+    new = F.when(F.col("muara_found").isNotNull(), F.transform("muara_found", lambda v: pseudonym(v, key)))
+    values = values.withColumn("muara_new", new)
+    joined = F.array_join(F.zip_with(F.split(text, PATTERN, -1), F.col("muara_new"), lambda gap, v: F.concat(gap, F.coalesce(v, F.lit("")))), "")
+    changed = F.size(F.filter(F.zip_with("muara_found", "muara_new", lambda a, b: a != b), lambda x: x))
     return values.select(
         *columns,
-        F.when(F.col("found_").isNotNull(), joined).otherwise(text).alias("text"),
-        F.coalesce(F.when(F.col("found_").isNotNull(), F.size("found_")), F.lit(0)).try_cast("long").alias("n_found"),
-        F.coalesce(F.when(F.col("found_").isNotNull(), changed), F.lit(0)).try_cast("long").alias("n_replaced"),
+        F.when(F.col("muara_found").isNotNull(), joined).otherwise(text).alias("text"),
+        F.coalesce(F.when(F.col("muara_found").isNotNull(), F.size("muara_found")), F.lit(0)).try_cast("long").alias("n_found"),
+        F.coalesce(F.when(F.col("muara_found").isNotNull(), changed), F.lit(0)).try_cast("long").alias("n_replaced"),
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from muara.llm.cascade import op5_quality_rules
 from muara.llm.debruijn import op6_substring_dedup
 from muara.llm.decontaminate import op9_decontaminate
@@ -24,4 +25,5 @@ REGISTRY = {
     "op8_token_counts": op8_token_counts,
     "op9_decontaminate": op9_decontaminate,
     "op10_secret_scan": op10_secret_scan,
+    "pipeline": corpus_pipeline.run,
 }

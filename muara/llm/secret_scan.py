@@ -10,6 +10,8 @@ their own class. What is left and long enough for its encoding is reported.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -113,14 +115,14 @@ def not_rejected(tested: DataFrame) -> DataFrame:
     return kept.drop("class_", "step_", "cut_")
 
 
-def scanned(docs: DataFrame) -> DataFrame:
-    """One row per document and none of its text: ``rid, doc_id, matches``, written to the shared folder."""
+def scanned(docs: DataFrame, also: Sequence[Column] = ()) -> DataFrame:
+    """One row per document and none of its text: ``rid, doc_id, matches`` and ``also``, written to the shared folder."""
     text = F.coalesce("text", F.lit(""))
     guard = _KEYWORD + "[\"']?\\x20*[:=]"
     found = F.concat(
         matches_of(text, "assign", ASSIGN, guard), matches_of(text, "access", ACCESS), matches_of(text, "hex", HEX), matches_of(text, "random", TOKEN)
     )
-    return write_table(docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long"), found.alias("matches")), "secrets")
+    return write_table(docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long"), found.alias("matches"), *also), "secrets")
 
 
 def secret_spans(docs_scanned: DataFrame) -> DataFrame:
@@ -165,5 +167,36 @@ def secrets(docs: DataFrame) -> DataFrame:
     )
 
 
+def redacted(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
+    """``docs`` with each run of overlapping spans in ``text`` replaced by ``mark``; ``n_chars``, if there, follows.
+
+    Null text stays null. Spans follow from the text alone, so texts are met by their hashes and equal rows are
+    rewritten alike.
+    """
+    keys = [F.xxhash64("text").alias("muara_k1"), F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(-1)).alias("muara_k2")]
+    rows = scanned(docs, keys)
+    before = Window.partitionBy("rid").orderBy("start", "stop")
+    reach = F.max("stop").over(before.rowsBetween(Window.unboundedPreceding, -1))
+    spans = secret_spans(rows).withColumn("new", F.when(F.col("start") < reach, 0).otherwise(1))
+    runs = spans.withColumn("run", F.sum("new").over(before.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = runs.groupBy("rid", "run").agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
+    listed = runs.groupBy("rid").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("muara_runs"))
+    known = listed.join(rows.select("rid", "muara_k1", "muara_k2"), "rid").drop("rid").dropDuplicates(["muara_k1", "muara_k2"])
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    text, found = F.col("text"), F.col("muara_runs")
+
+    def piece(i: Column) -> Column:
+        begin = F.coalesce(F.get(found, i - 1)["stop"], F.lit(0))
+        stop = F.coalesce(F.get(found, i)["start"], F.length(text).cast("long"))
+        return F.substring(text, (begin + 1).cast("int"), (stop - begin).cast("int"))
+
+    clean = F.array_join(F.transform(F.sequence(F.lit(0), F.size(found)), piece), mark)
+    all_rows = docs.select(*columns, *keys).join(known, ["muara_k1", "muara_k2"], "left")
+    new_text = F.when(found.isNull(), text).otherwise(clean)
+    out = {"text": new_text, "n_chars": F.when(found.isNull(), F.col("n_chars")).otherwise(F.length(clean)) if "n_chars" in docs.columns else None}
+    kinds = dict(docs.dtypes)
+    return all_rows.select(*[out[c].cast(kinds[c]).alias(c) if out.get(c) is not None else F.col(f"`{c}`") for c in docs.columns])
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets(documents(spark, sf_dir))

@@ -189,15 +189,15 @@ def one_per_group(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataF
 
     A null id comes last; of rows with one id the text with the smallest hash stays, and of repeated rows one.
     """
-    own = [F.xxhash64("doc_id", "text").alias("k1_"), F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(-1)).alias("k2_")]
+    own = [F.xxhash64("doc_id", "text").alias("muara_k1"), F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(-1)).alias("muara_k2")]
     marked = write_table(fingerprints(docs, shingle, own), "simhash")
     label = groups(marked, distance)
-    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "k1_", "k2_")
-    stays = marked.join(label, "fp").groupBy("component").agg(F.min(order).alias("stays")).select("stays.k1_", "stays.k2_")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "muara_k1", "muara_k2")
+    stays = marked.join(label, "fp").groupBy("component").agg(F.min(order).alias("stays")).select("stays.muara_k1", "stays.muara_k2")
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    copies = Window.partitionBy("k1_", "k2_").orderBy("k1_")  # the join's own partitions and order
-    kept = docs.select(*columns, *own).join(stays, ["k1_", "k2_"])
-    return kept.withColumn("copy_", F.row_number().over(copies)).where("copy_ = 1").select(*columns)
+    copies = Window.partitionBy("muara_k1", "muara_k2").orderBy("muara_k1")  # the join's own partitions and order
+    kept = docs.select(*columns, *own).join(stays, ["muara_k1", "muara_k2"])
+    return kept.withColumn("muara_copy", F.row_number().over(copies)).where("muara_copy = 1").select(*columns)
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
