@@ -24,8 +24,9 @@ def asof_join(
 
     Both sides are cut into slices of about equal size by (key, time), so a key that holds much of the data
     spreads over many slices. Inside a slice a running ``last`` finds the match. A slice that starts in the
-    middle of a key takes the match from the slices before it: that carry has at most one row per slice, so
-    it is safe to broadcast. The slices are written down, which keeps slice numbers the same when a task
+    middle of a key takes the match from the slices before it: that carry has at most one row per slice, and the
+    filled rows are dealt out by slice and key already, so the join moves none of them. Rows without a time match
+    nothing. The slices are written down, which keeps slice numbers the same when a task
     runs again. There are as many as shuffle partitions unless ``slices`` says otherwise.
     """
     match = F.struct(*right_columns)
@@ -43,7 +44,7 @@ def asof_join(
         F.col(tie).alias("tie"),
         match.alias("r"),
     )
-    both = lefts.unionByName(rights.where("k is not null"), allowMissingColumns=True)
+    both = lefts.unionByName(rights.where("k is not null and at is not null"), allowMissingColumns=True)
     # Hash and row number only spread rows of one moment, and copies of one row, over slices.
     spread = both.withColumns({"hash": F.xxhash64("l", "r"), "copy": F.monotonically_increasing_id()})
     sliced = stage(
@@ -57,7 +58,7 @@ def asof_join(
         "m",
         F.last("r", ignorenulls=True).over(here.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
     ).where("side = 1")
-    found = filled.join(F.broadcast(_carry(sliced)), ["slice", "k"], "left").withColumn(
+    found = filled.join(_carry(sliced), ["slice", "k"], "left").withColumn(
         "m", F.coalesce("m", "carried")
     )
     return found.select("l.*", *[F.col(f"m.{c}").alias(f"right_{c}") for c in right_columns])

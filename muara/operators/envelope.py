@@ -7,47 +7,32 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from muara.settings import DEFAULTS, Settings
-
-
-def json_envelopes(
-    records: DataFrame,
-    key: str,
-    row_id: str,
-    as_of: datetime,
-    source: str,
-    settings: Settings = DEFAULTS,
-) -> DataFrame:
-    """One envelope per location, or several numbered parts where a location has more records than fit one.
-
-    A part holds about ``envelope_records`` rows, so no group grows with the data. The column ``row_id``
-    differs between any two rows, copies included; its hash picks the part. ``records_count`` is the count
-    of the whole location in every part. The shuffle by part lies between join and grouping, so Spark may
-    split a hot location in the join.
+
+def json_envelopes(records: DataFrame, key: str, as_of: datetime, source: str) -> DataFrame:
+    """``(key, part, body)``: one ``header`` row per location and one ``record`` row per record, at every size.
+
+    The header holds status, time, source and the count of the location's records; a record is one JSON line, so no
+    group is gathered. Records without a location keep a header of their own under the null key.
     """
-    columns = [c for c in records.columns if c != row_id]
-    counts = records.groupBy(key).agg(F.count(F.lit(1)).alias("total"))
-    sized = counts.withColumn("parts", F.ceil(F.col("total") / F.lit(settings.envelope_records)))
-    rows = records.withColumn("row_hash", F.xxhash64(row_id)).join(sized, key)
-    rows = rows.withColumn("part", F.pmod(F.col("row_hash"), F.col("parts")).cast("int"))
-    grouped = (
-        rows.repartition(key, "part")
-        .groupBy(key, "part", "total", "parts")
-        .agg(F.collect_list(F.struct(*columns)).alias("records"))
-    )
-    envelope = F.struct(
+    header = F.struct(
         F.lit("success").alias("status"),
         F.lit(as_of.isoformat()).alias("timestamp_fetched"),
         F.lit(source).alias("source"),
-        F.col("total").alias("records_count"),
-        F.col("part"),
-        F.col("parts"),
-        F.sort_array("records").alias("records"),
+        F.col("records_count"),
     )
-    return grouped.select(key, "part", "parts", F.to_json(envelope).alias("envelope"))
+    counts = records.groupBy(key).agg(F.count(F.lit(1)).alias("records_count"))
+    headers = counts.select(key, F.lit("header").alias("part"), F.to_json(header).alias("body"))
+    lines = F.to_json(F.struct(*records.columns))
+    return headers.unionByName(records.select(key, F.lit("record").alias("part"), lines.alias("body")))
 
 
 def envelope_records(envelopes: DataFrame, record_schema: str) -> DataFrame:
     """The records back out of envelopes."""
-    body = F.from_json("envelope", f"records array<struct<{record_schema}>>")
-    return envelopes.select(F.explode(body["records"]).alias("record")).select("record.*")
+    body = F.from_json("body", record_schema)
+    return envelopes.where("part = 'record'").select(body.alias("record")).select("record.*")
+
+
+def envelope_headers(envelopes: DataFrame, key: str) -> DataFrame:
+    """``key, status, timestamp_fetched, source, records_count`` of every location."""
+    body = F.from_json("body", "status string, timestamp_fetched string, source string, records_count bigint")
+    return envelopes.where("part = 'header'").select(key, body.alias("header")).select(key, "header.*")

@@ -9,6 +9,8 @@ from muara.functions.clock import local_time, wall_clock
 from muara.settings import DEFAULTS, Settings
 
 ARRAY = "array<variant>"
+#: One read per item: text as written, the humidity with its kind. An item that is no object has none of them.
+ITEM = "struct<datetime:string,weather_desc:string,t:string,hu:variant,wd:string,ws:string>"
 
 
 def parse_documents(
@@ -37,10 +39,11 @@ def parse_documents(
         .drop("v")
         .select("*", F.posexplode(_array("entry", "$.cuaca")).alias("group_at", "points"))
         .drop("entry")
-        .select("*", F.posexplode(_array("points", "$")).alias("item_at", "item"))
-        .drop("points")
+        .select("*", F.posexplode(_array("points", "$")).alias("item_at", "v"))
+        .select("*", F.try_variant_get("v", "$", ITEM).alias("item"))
+        .drop("points", "v")
     )
-    stamp = _text("datetime")
+    stamp = F.col("item.datetime")
     waktu = local_time(stamp, settings.zone) if mode == "convert" else wall_clock(stamp)
     typed = items.select(
         F.struct("doc_seq", "data_at", "group_at", "item_at").alias("seq"),
@@ -51,15 +54,15 @@ def parse_documents(
         "kabupaten",
         "provinsi",
         waktu.alias("waktu"),
-        _text("weather_desc").alias("cuaca"),
-        _double("t").alias("suhu_celsius"),
-        _integer("hu").alias("kelembapan"),
-        _text("wd").alias("arah_angin"),
-        _double("ws").alias("kecepatan_angin"),
+        F.col("item.weather_desc").alias("cuaca"),
+        F.col("item.t").try_cast("double").alias("suhu_celsius"),
+        _integer(F.col("item.hu")).alias("kelembapan"),
+        F.col("item.wd").alias("arah_angin"),
+        F.col("item.ws").try_cast("double").alias("kecepatan_angin"),
         stamp.alias("datetime_text"),
-        _present("t").alias("has_t"),
-        _present("hu").alias("has_hu"),
-        _present("ws").alias("has_ws"),
+        F.col("item.t").isNotNull().alias("has_t"),
+        (F.col("item.hu").isNotNull() & ~F.is_variant_null("item.hu")).alias("has_hu"),
+        F.col("item.ws").isNotNull().alias("has_ws"),
     )
     blank_stamp = F.coalesce(F.col("datetime_text"), F.lit("")) == ""
     reasons = F.array_compact(
@@ -84,7 +87,12 @@ def rejected_points(points: DataFrame) -> DataFrame:
 
 
 def rejected_documents(documents: DataFrame) -> DataFrame:
-    """Documents that give no rows because they are malformed, as opposed to empty."""
+    """``doc_seq, doc, reason``: documents and parts of documents that give no rows because they are malformed.
+
+    A document that is broken as a whole has one row. In the others each ``data``, ``cuaca`` or group that is there
+    and no list has one; null counts as empty. Items that are no objects are points without a stamp, see
+    ``rejected_points``.
+    """
     v = F.try_parse_json("doc")
     kind = F.schema_of_variant(F.col("v"))
     reason = (
@@ -95,11 +103,29 @@ def rejected_documents(documents: DataFrame) -> DataFrame:
             "header_not_an_object",
         )
     )
-    return (
-        documents.select("doc_seq", "doc", v.alias("v"))
-        .select("doc_seq", "doc", reason.alias("reason"))
-        .where(F.col("reason").isNotNull())
+    judged = documents.select("doc_seq", "doc", v.alias("v")).withColumn("whole", reason)
+    entries = _others(_array("v", "$.data"), lambda e: F.try_variant_get(e, "$.cuaca", "variant"))
+    groups = F.flatten(F.transform(F.coalesce(_array("v", "$.data"), _no_variants()), lambda e: F.coalesce(F.try_variant_get(e, "$.cuaca", ARRAY), _no_variants())))
+    bad_data = F.filter(F.array(F.try_variant_get("v", "$.data", "variant")), _no_list)
+    parts = F.concat(
+        F.transform(bad_data, lambda _: F.lit("data_not_a_list")),
+        F.transform(F.filter(entries, _no_list), lambda _: F.lit("cuaca_not_a_list")),
+        F.transform(F.filter(groups, _no_list), lambda _: F.lit("group_not_a_list")),
     )
+    reasons = F.when(F.col("whole").isNotNull(), F.array("whole")).otherwise(parts)
+    return judged.select("doc_seq", "doc", F.explode(reasons).alias("reason"))
+
+
+def _no_variants() -> Column:
+    return F.array().cast(ARRAY)
+
+
+def _others(entries: Column, field) -> Column:
+    return F.transform(F.coalesce(entries, _no_variants()), field)
+
+
+def _no_list(value: Column) -> Column:
+    return value.isNotNull() & ~F.is_variant_null(value) & ~F.schema_of_variant(value).startswith("ARRAY")
 
 
 def _with_header(parsed: DataFrame, locations: DataFrame | None, adm4_from_request: bool) -> DataFrame:
@@ -142,24 +168,8 @@ def _exists(column: str, path: str) -> Column:
     return F.try_variant_get(column, path, "variant").isNotNull()
 
 
-def _value(key: str) -> Column:
-    return F.try_variant_get("item", f"$.{key}", "variant")
-
-
-def _text(key: str) -> Column:
-    return F.try_variant_get("item", f"$.{key}", "string")
-
-
-def _present(key: str) -> Column:
-    return _value(key).isNotNull() & ~F.is_variant_null(_value(key))
-
-
-def _double(key: str) -> Column:
-    return _text(key).try_cast("double")
-
-
-def _integer(key: str) -> Column:
+def _integer(value: Column) -> Column:
     """Text must be a whole number; a JSON number is rounded, as an assignment to INT does."""
-    written_as_text = F.schema_of_variant(_value(key)) == "STRING"
-    number = F.round(F.try_variant_get("item", f"$.{key}", "decimal(20,6)")).try_cast("int")
-    return F.when(written_as_text, _text(key).try_cast("int")).otherwise(number)
+    written_as_text = F.schema_of_variant(value) == "STRING"
+    number = F.round(F.try_variant_get(value, "$", "decimal(20,6)")).try_cast("int")
+    return F.when(written_as_text, F.try_variant_get(value, "$", "string").try_cast("int")).otherwise(number)

@@ -6,8 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from muara.sources.snapshots import SnapshotTable
+from muara.sources.snapshots import SnapshotTable, in_partitions
 
 
 def full_refresh(table: SnapshotTable, source: DataFrame) -> int:
@@ -89,28 +90,32 @@ def upsert(
     base = table.state()
     if stream and base["streams"].get(stream[0], -1) >= stream[1]:
         return
-    existing = table.read()
+    existing = table.read(base)
     if table.partition_by is None:
         merged = latest_per_key(existing, batch, keys, seq, first_kept)
         table.replace(merged, base, stream)
         return
     touched = partition_values(batch, table.partition_by)
-    existing = existing.where(F.col(table.partition_by).isin(touched))
-    # The partition column follows from the key, so adding it to the key changes nothing.
-    merged = latest_per_key(existing, batch, [*keys, table.partition_by], seq, first_kept)
+    existing = existing.where(in_partitions(table.partition_by, touched))
+    # The partition follows from the key, so it comes with the last row; a null one is no join key.
+    merged = latest_per_key(existing, batch, keys, seq, first_kept)
     table.replace_partitions(merged, touched, base, stream)
 
 
 def insert_ignore(table: SnapshotTable, batch: DataFrame, keys: Sequence[str], seq: str) -> int:
-    """Add keys the table does not have; the first row of a key wins. Returns the rows added."""
-    known = table.read()
+    """Add keys the table does not have; the first row of a key wins. Returns the rows added.
+
+    A load by another writer in between is a conflict, so no key comes twice.
+    """
+    base = table.state()
+    known = table.read(base)
     columns = [c for c in known.columns if c not in keys]
     first = batch.groupBy(*keys).agg(F.min_by(F.struct(*columns), seq).alias("first"))
     new = first.select(*keys, *[F.col(f"first.{c}").alias(c) for c in columns])
     if table.partition_by:
-        known = known.where(F.col(table.partition_by).isin(partition_values(batch, table.partition_by)))
+        known = known.where(in_partitions(table.partition_by, partition_values(batch, table.partition_by)))
     fresh = new.join(known.select(*keys), list(keys), "left_anti")
-    return table.append(fresh.select(*known.columns))
+    return table.append(fresh.select(*known.columns), base=base)
 
 
 def upsert_counters(existing: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -139,70 +144,80 @@ def dedup_exact(rows: DataFrame) -> DataFrame:
     return rows.distinct()
 
 
-def delete_where(table: SnapshotTable, doomed: Column) -> int:
+def delete_where(
+    table: SnapshotTable, doomed: Column, base: dict | None = None, stream: tuple[str, int] | None = None
+) -> int:
     """Delete rows for which ``doomed`` is true; null keeps the row. Returns the rows deleted.
 
-    Partitions with no such row are listed again, partitions with nothing else are dropped, the rest are
-    rewritten.
+    Only the rows to go are looked for, so the condition reaches the scan; how many a partition holds stands in the
+    commit. Partitions with no such row are listed again, partitions with nothing else are dropped, the rest are
+    rewritten, and the rewrite must write exactly what is left.
     """
-    base = table.state()
-    rows = table.read()
-    gone = F.coalesce(doomed, F.lit(False))
+    base = base or table.state()
+    rows = table.read(base)
+    total = table.partition_rows(base)
+    left = rows.where(~F.coalesce(doomed, F.lit(False)))
     date = table.partition_by
     if date is None:
-        deleted = rows.agg(F.count_if(gone)).first()[0]
+        deleted = rows.where(doomed).count()
         if deleted:
-            table.replace(rows.where(~gone), base)
+            table.replace(left, base, stream, sum(total.values()) - deleted)
         return deleted
-    tally = rows.groupBy(date).agg(F.count_if(gone).alias("gone"), F.count(F.lit(1)).alias("rows"))
-    touched = tally.where("gone > 0").collect()
-    partial = [r[date] for r in touched if r["gone"] < r["rows"]]
-    values = [r[date] for r in touched]
+    gone = {r[date]: r["count"] for r in rows.where(doomed).groupBy(date).count().collect()}
+    partial = [v for v, n in gone.items() if n < total[v]]
     if partial:
-        table.replace_partitions(rows.where(F.col(date).isin(partial) & ~gone), values, base)
-    elif touched:
-        table.drop_partitions(values, base)
-    return sum(r["gone"] for r in touched)
+        expected = sum(total[v] - gone[v] for v in partial)
+        table.replace_partitions(left.where(in_partitions(date, partial)), gone, base, stream, expected)
+    elif gone:
+        table.drop_partitions(gone, base, stream)
+    return sum(gone.values())
 
 
 def update_where(table: SnapshotTable, hit: Column, changes: dict[str, Column]) -> int:
     """Set columns on the rows for which ``hit`` is true, from their old values; returns the rows set.
 
-    Only partitions with such a row are rewritten.
+    Only partitions with such a row are rewritten, with as many rows as they had.
     """
     base = table.state()
-    rows = table.read()
-    hit = F.coalesce(hit, F.lit(False))
+    rows = table.read(base)
+    total = table.partition_rows(base)
+    is_hit = F.coalesce(hit, F.lit(False))
 
     def changed(scope: DataFrame) -> DataFrame:
         return scope.select(
             *[
-                F.when(hit, changes[c]).otherwise(F.col(c)).alias(c) if c in changes else F.col(c)
+                F.when(is_hit, changes[c]).otherwise(F.col(c)).alias(c) if c in changes else F.col(c)
                 for c in rows.columns
             ]
         )
 
     date = table.partition_by
     if date is None:
-        updated = rows.agg(F.count_if(hit)).first()[0]
+        updated = rows.where(hit).count()
         if updated:
-            table.replace(changed(rows), base)
+            table.replace(changed(rows), base, expected=sum(total.values()))
         return updated
-    touched = rows.where(hit).groupBy(date).count().collect()
-    values = [r[date] for r in touched]
+    touched = {r[date]: r["count"] for r in rows.where(hit).groupBy(date).count().collect()}
     if touched:
-        table.replace_partitions(changed(rows.where(F.col(date).isin(values))), values, base)
-    return sum(r["count"] for r in touched)
+        expected = sum(total[v] for v in touched)
+        table.replace_partitions(changed(rows.where(in_partitions(date, touched))), touched, base, expected=expected)
+    return sum(touched.values())
 
 
 def archive_by_year(table: SnapshotTable, archive: SnapshotTable, column: str, before_year: int) -> None:
-    """Move rows of earlier years to the archive table.
+    """Move rows of earlier years to the archive table, which several tables of one schema may share.
 
-    The archive remembers the table version it copied from, so a move repeated after a failure between the
-    copy and the delete does not copy twice.
+    One state of the table is copied and then deleted from. The archive remembers the table's id and the version it
+    copied, the table the version it deleted. A copy whose delete never came is used when the table still is as it
+    was, and else withdrawn in the commit of the new copy, so no row is lost or doubled.
     """
     old = F.year(F.col(column)) < before_year
-    rows = table.read()
-    archive.create_if_absent(rows.schema)
-    archive.append(rows.where(old), ("archive", table.state()["version"]))
-    delete_where(table, old)
+    base = table.state()
+    archive.create_if_absent(T.StructType.fromJson(base["schema"]))
+    held = archive.state()
+    name, version = f"archive:{base['table_id']}", base["version"]
+    copied, deleted = held["streams"].get(name, -1), base["streams"].get(f"archived:{held['table_id']}", -1)
+    if copied != version:
+        pending = held["copies"].get(name, ()) if copied > deleted else ()
+        archive.append(table.read(base).where(old), (name, version), held, pending)
+    delete_where(table, old, base, (f"archived:{held['table_id']}", version))

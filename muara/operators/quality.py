@@ -139,22 +139,22 @@ class AlertRule:
 def standard_rules(settings: Settings = DEFAULTS) -> tuple[AlertRule, ...]:
     return (
         AlertRule(
-            "stale_gt_50", "stale_pct", settings.stale_alert_percent, "Weather data not being updated"
+            "stale_gt_50", "stale_pct", settings.stale_alert_percent, "more than half of the locations are stale"
         ),
         AlertRule(
             "dup_gt_20",
             "dup_pct",
             settings.duplicate_alert_percent,
-            "High duplicate rate, check for clock skew",
+            "too many repeated location hours",
         ),
     )
 
 
 def sync_rules(settings: Settings = DEFAULTS) -> tuple[AlertRule, ...]:
     return (
-        AlertRule("success_lt_95", "success_pct", settings.success_alert_percent, "Low success rate", True),
-        AlertRule("tables_lt_85", "table_count", settings.table_count_alert, "Tables are missing", True),
-        AlertRule("failures_gt_3", "failures", settings.failure_alert, "Frequent sync failures"),
+        AlertRule("success_lt_95", "success_pct", settings.success_alert_percent, "too few tables were loaded", True),
+        AlertRule("tables_lt_85", "table_count", settings.table_count_alert, "fewer tables than expected", True),
+        AlertRule("failures_gt_3", "failures", settings.failure_alert, "several tables failed"),
     )
 
 

@@ -36,6 +36,6 @@ def console_records(
     ).drop("reject_reasons")
 
 
-def console_envelopes(records: DataFrame, as_of: datetime, settings: Settings = DEFAULTS) -> DataFrame:
-    """Envelopes per location; the place of a point in the feed tells rows apart."""
-    return json_envelopes(records, "adm4", "seq", as_of, "console", settings)
+def console_envelopes(records: DataFrame, as_of: datetime) -> DataFrame:
+    """Envelopes per location, those of points without a location code included."""
+    return json_envelopes(records, "adm4", as_of, "console")

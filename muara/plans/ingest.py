@@ -15,7 +15,7 @@ from muara.operators.loads import partition_values, upsert, upsert_counters
 from muara.operators.quality import CheckFailed, require_rows
 from muara.schemas import FORECAST_FACT
 from muara.settings import DEFAULTS, Settings
-from muara.sources.snapshots import SnapshotTable, Warehouse
+from muara.sources.snapshots import SnapshotTable, Warehouse, in_partitions
 from muara.sources.tables import staged
 
 FACT_KEYS = ("adm4", "waktu")
@@ -68,7 +68,8 @@ def ingest_documents(
     """Parse, split off rejects, upsert. Returns inserted, updated, total and rejected counts.
 
     Good rows are always kept; rejects go to ``quarantine`` when one is given. With a ``stream`` mark a
-    repeated micro-batch changes nothing.
+    repeated micro-batch changes nothing. Quarantine, expiry (``delete_past``) and upsert are commits of their own,
+    in this order: without a mark, a run that failed between them and is repeated quarantines its rejects again.
     """
     if stream and table.state()["streams"].get(stream[0], -1) >= stream[1]:
         return {"inserted": 0, "updated": 0, "total": 0, "rejected": 0}
@@ -81,7 +82,7 @@ def ingest_documents(
             quarantine.append(_quarantined(bad).unionByName(_quarantined_documents(documents)), stream)
         if options.delete_past:
             delete_expired(table, as_of)
-        touched = F.col(PARTITION).isin(partition_values(batch, PARTITION))
+        touched = in_partitions(PARTITION, partition_values(batch, PARTITION))
         counters = upsert_counters(table.read().where(touched), batch, FACT_KEYS).first().asDict()
         kept = ["created_at", "data_age_minutes"]
         if not options.reset_freshness:

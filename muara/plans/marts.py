@@ -8,13 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from muara.functions.clock import at, full_hours_between, hour_floor, minutes_between
-from muara.functions.labels import percent
+from muara.functions.labels import percent, pretty_size
 from muara.settings import DEFAULTS, Settings
 
 
-def exact_avg(value: Column) -> Column:
-    """Average over a decimal sum, so the result does not depend on how rows were split over tasks."""
-    return F.sum(value.cast("decimal(20,4)")).cast("double") / F.count(value)
+#: Relative standard error of the sketches for approximate distinct counts.
+SKETCH_ERROR = 0.05
 
 
 def daily_summary(fact: DataFrame) -> DataFrame:
@@ -24,18 +23,15 @@ def daily_summary(fact: DataFrame) -> DataFrame:
     in alphabetical order. The feed has no precipitation, so that column is null.
     """
     day = F.col("waktu").cast("date").alias("summary_date")
-    suhu, lembap, angin = (
-        F.col(c).cast("decimal(20,4)") for c in ("suhu_celsius", "kelembapan", "kecepatan_angin")
-    )
     per_text = fact.groupBy("adm4", day, "cuaca").agg(
         F.count(F.lit(1)).alias("n"),
         F.min("suhu_celsius").alias("lo"),
         F.max("suhu_celsius").alias("hi"),
-        F.sum(suhu).alias("suhu"),
+        F.sum("suhu_celsius").alias("suhu"),
         F.count("suhu_celsius").alias("suhu_n"),
-        F.sum(lembap).alias("lembap"),
+        F.sum("kelembapan").alias("lembap"),
         F.count("kelembapan").alias("lembap_n"),
-        F.sum(angin).alias("angin"),
+        F.sum("kecepatan_angin").alias("angin"),
         F.count("kecepatan_angin").alias("angin_n"),
     )
 
@@ -55,22 +51,23 @@ def daily_summary(fact: DataFrame) -> DataFrame:
 
 
 def deliveries(lines: DataFrame, orders: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """Delivery lines joined to their orders: driver, vehicle, day, distance, hours, on-time and incident.
+    """Delivery lines joined to their orders: driver, vehicle, day, distance, hours, on-time, incident and rating.
 
     Only the order's date crosses the shuffle. Spark broadcasts the orders while they are small and splits
     a skewed order at run time otherwise.
     """
     hours = full_hours_between(F.col("o_orderdate"), F.col("l_shipdate"))
     dated = orders.select("o_orderkey", "o_orderdate")
-    return lines.join(dated, F.col("l_orderkey") == F.col("o_orderkey")).select(
+    trips = lines.join(dated, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("l_suppkey").alias("driver_id"),
         F.col("l_partkey").alias("vehicle_id"),
         F.col("l_shipdate").cast("date").alias("delivery_date"),
         F.col("l_quantity").alias("distance_km"),
         hours.alias("hours"),
-        (hours <= settings.on_time_hours).alias("on_time"),
         (F.col("l_returnflag") == "R").alias("incident"),
+        F.col("l_discount").alias("rating"),
     )
+    return trips.withColumn("on_time", F.col("hours") <= settings.on_time_hours)
 
 
 def orders_per_day(orders: DataFrame, stamp: str) -> DataFrame:
@@ -86,36 +83,41 @@ def kpi_daily(orders: DataFrame, trips: DataFrame, approximate: bool = False) ->
 
 
 def _deliveries_per_day(trips: DataFrame) -> DataFrame:
-    """Exact distinct counts by grouping per (day, id) and then per day, so a hot day is reduced by many
-    tasks. The other measures ride along with the drivers; two distinct counts in one aggregation would
-    send every row three times."""
-    day = F.col("delivery_date").alias("kpi_date")
-    per_driver = trips.groupBy(day, "driver_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.col("distance_km").cast("decimal(20,4)")).alias("km"),
+    """Exact distinct counts in one pass over the trips: each trip is two rows, one for its driver with the
+    measures and one for its vehicle. They are added up per (day, kind, id) and then per day, so a hot day is
+    reduced by many tasks."""
+
+    def tagged(kind: str, key: str, measured: bool) -> Column:
+        measures = {"n": F.lit(1), "km": F.col("distance_km"), "hours": F.col("hours"), "on_time": F.col("on_time")}
+        kinds = {"n": "int", "km": "double", "hours": "bigint", "on_time": "boolean"}
+        shown = [(v if measured else F.lit(None)).cast(kinds[k]).alias(k) for k, v in measures.items()]
+        return F.struct(F.lit(kind).alias("kind"), F.col(key).cast("bigint").alias("id"), *shown)
+
+    both = F.inline(F.array(tagged("driver", "driver_id", True), tagged("vehicle", "vehicle_id", False)))
+    per_id = trips.select(F.col("delivery_date").alias("kpi_date"), both).groupBy("kpi_date", "kind", "id").agg(
+        F.count("n").alias("n"),
+        F.sum("km").alias("km"),
         F.sum("hours").alias("hours"),
         F.count("hours").alias("timed"),
         F.count_if("on_time").alias("on_time"),
     )
-    by_driver = per_driver.groupBy("kpi_date").agg(
+    known = F.col("id").isNotNull()
+    return per_id.groupBy("kpi_date").agg(
         F.sum("n").alias("total_deliveries"),
-        F.sum("km").cast("double").alias("total_distance_km"),
-        F.count("driver_id").alias("active_drivers"),
+        F.sum("km").alias("total_distance_km"),
+        F.count_if((F.col("kind") == "driver") & known).alias("active_drivers"),
+        F.count_if((F.col("kind") == "vehicle") & known).alias("active_vehicles"),
         F.try_divide(F.sum("hours").cast("double"), F.sum("timed")).alias("avg_delivery_time_hours"),
         percent(F.sum("on_time"), F.sum("n")).alias("on_time_delivery_rate"),
     )
-    per_vehicle = trips.select(F.col("delivery_date").alias("vehicle_day"), "vehicle_id").distinct()
-    by_vehicle = per_vehicle.groupBy("vehicle_day").agg(F.count("vehicle_id").alias("active_vehicles"))
-    same_day = F.col("kpi_date").eqNullSafe(F.col("vehicle_day"))
-    return by_driver.join(by_vehicle, same_day).drop("vehicle_day")
 
 
 def _deliveries_per_day_approx(trips: DataFrame) -> DataFrame:
     return trips.groupBy(F.col("delivery_date").alias("kpi_date")).agg(
         F.count(F.lit(1)).alias("total_deliveries"),
-        F.sum(F.col("distance_km").cast("decimal(20,4)")).cast("double").alias("total_distance_km"),
-        F.approx_count_distinct("driver_id").alias("active_drivers"),
-        F.approx_count_distinct("vehicle_id").alias("active_vehicles"),
+        F.sum("distance_km").alias("total_distance_km"),
+        F.approx_count_distinct("driver_id", SKETCH_ERROR).alias("active_drivers"),
+        F.approx_count_distinct("vehicle_id", SKETCH_ERROR).alias("active_vehicles"),
         F.avg("hours").alias("avg_delivery_time_hours"),
         _percent(F.col("on_time")).alias("on_time_delivery_rate"),
     )
@@ -126,19 +128,20 @@ def driver_monthly(trips: DataFrame) -> DataFrame:
     month = F.trunc("delivery_date", "month").alias("metric_month")
     return trips.groupBy("driver_id", month).agg(
         F.count(F.lit(1)).alias("total_trips"),
-        F.sum(F.col("distance_km").cast("decimal(20,4)")).cast("double").alias("total_distance_km"),
+        F.sum("distance_km").alias("total_distance_km"),
         _percent(F.col("on_time")).alias("on_time_rate"),
         _percent(~F.col("incident")).alias("safety_score"),
     )
 
 
 def driver_performance(trips: DataFrame) -> DataFrame:
-    """Per driver over all time: trips, distance, rates, first and last trip."""
+    """Per driver over all time: trips, distance, rates, rating, first and last trip."""
     return trips.groupBy("driver_id").agg(
         F.count(F.lit(1)).alias("total_trips"),
-        F.sum(F.col("distance_km").cast("decimal(20,4)")).cast("double").alias("total_distance_km"),
+        F.sum("distance_km").alias("total_distance_km"),
         _percent(F.col("on_time")).alias("on_time_rate"),
         _percent(~F.col("incident")).alias("safety_score"),
+        F.avg("rating").alias("avg_rating"),
         F.min("delivery_date").alias("first_trip"),
         F.max("delivery_date").alias("last_trip"),
     )
@@ -195,14 +198,15 @@ def hourly_correlation(counted: Column, measured: Column, value: str, stamp: str
 
 def orders_by_region(orders: DataFrame, customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
     """Orders and their value per region. Orders are added up per customer before any join."""
-    total = F.sum(F.col("o_totalprice").cast("decimal(18,2)"))
-    per_customer = orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"), total.alias("total"))
+    per_customer = orders.groupBy("o_custkey").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("o_totalprice").alias("total")
+    )
     return (
         per_customer.join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
         .groupBy("r_name")
-        .agg(F.sum("n").alias("n"), F.sum("total").cast("double").alias("total"))
+        .agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
     )
 
 
@@ -244,9 +248,8 @@ def location_dimension(customer: DataFrame, nation: DataFrame, region: DataFrame
 
 def records_by_province(fact: DataFrame, locations: DataFrame) -> DataFrame:
     """Fact joined to the location dimension, reduced per location before the join."""
-    suhu = F.col("suhu_celsius").cast("decimal(20,4)")
     per_location = fact.groupBy("adm4").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(suhu).alias("suhu"), F.count("suhu_celsius").alias("suhu_n")
+        F.count(F.lit(1)).alias("n"), F.sum("suhu_celsius").alias("suhu"), F.count("suhu_celsius").alias("suhu_n")
     )
     return (
         per_location.join(locations, "adm4", "left")
@@ -259,6 +262,17 @@ def records_by_province(fact: DataFrame, locations: DataFrame) -> DataFrame:
     )
 
 
+def namespace_sizes(sizes: DataFrame, namespaces: DataFrame) -> DataFrame:
+    """Tables, bytes and readable size per namespace, largest first."""
+    return (
+        sizes.join(namespaces, "table_name")
+        .groupBy("namespace")
+        .agg(F.count(F.lit(1)).alias("tables"), F.sum("bytes").alias("bytes"))
+        .withColumn("size", pretty_size(F.col("bytes")))
+        .orderBy(F.desc("bytes"), "namespace")
+    )
+
+
 def namespace_totals(counts: DataFrame, namespaces: DataFrame) -> DataFrame:
     """Tables and rows per namespace."""
     return (

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from muara.functions.labels import WEATHER_CODES
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark"
     " labels conversations"
@@ -139,23 +141,15 @@ def _label(age: str) -> str:
 
 LATEST = "(select user_id, max(ts) l from events group by 1)"
 TRIPS = (
-    "(select l_suppkey, l_partkey, l_quantity, l_returnflag, cast(l_shipdate as date) d,"
+    "(select l_suppkey, l_partkey, l_quantity, l_returnflag, l_discount, cast(l_shipdate as date) d,"
     " date_diff('hour', o_orderdate, l_shipdate) hrs from lineitem join orders on l_orderkey = o_orderkey)"
 )
 ON_TIME = "100.0::double * sum(case when hrs <= 72 then 1 else 0 end) / count(*)"
 SAFE = "100.0::double * sum(case when l_returnflag = 'R' then 0 else 1 end) / count(*)"
-DISTANCE = "cast(sum(cast(l_quantity as decimal(20,4))) as double)"
+DISTANCE = "round(sum(l_quantity), 4)"
 FIRST = "event_type in ('click', 'view')"
 
-# Weather codes as in muara.functions.labels, for the join below.
-CODES = """(0,'Cerah'),(1,'Cerah Berawan'),(2,'Berawan'),(3,'Berawan Tebal'),(4,'Berkabut'),
-(5,'Hujan Ringan'),(10,'Hujan Sedang'),(11,'Hujan Lebat'),(12,'Hujan Lebat Berlanjut'),
-(13,'Hujan Sangat Lebat'),(20,'Hujan Ringan Berawan'),(25,'Hujan Petir'),(26,'Hujan Petir Berlanjut'),
-(30,'Cerah Dingin'),(31,'Cerah Berawan Dingin'),(32,'Berawan Dingin'),(33,'Berawan Tebal Dingin'),
-(40,'Kabut Tipis'),(41,'Kabut'),(45,'Kabut Tebal'),(50,'Drizzle'),(55,'Hujan Gerimis'),
-(60,'Hujan Ringan Terputus'),(61,'Hujan Ringan Terputus Berawan'),(63,'Hujan Sedang Terputus'),
-(65,'Hujan Lebat Terputus'),(80,'Hujan Ringan Menyeluruh'),(81,'Hujan Sedang Menyeluruh'),
-(82,'Hujan Lebat Menyeluruh'),(85,'Hujan Petir Menyeluruh'),(90,'Tornado'),(91,'Puting Beliung')"""
+CODES = ",".join(f"({code},'{text}')" for code, text in WEATHER_CODES)
 
 HUMIDITY = "cast(props->>'$.k' as int)"
 HOURLY = f"(select *, date_trunc('hour', ts) wh, case when {FIRST} then 0 else 1 end lot from events)"
@@ -198,6 +192,32 @@ def oracle_sql() -> dict[str, str]:
         " where ts < timestamp '2024-01-10 00:00:00'",
         "expired_delete": "select event_id, ts waktu from events"
         " where ts >= timestamp '2024-01-10 00:00:00'",
+        "update_null_partition": """select event_id, event_type, case when event_id % 11 = 0 then -1.0::double
+                when event_id % 5 = 0 then 0.0::double else value end as value,
+            case when event_type <> 'signup' then cast(ts as date) end as day
+            from events where event_id % 7 <> 0 or event_id % 11 = 0""",
+        "archive_two_tables": """select o_orderkey, case when year(o_orderdate) < 1997 then 'archive'
+                when o_orderstatus = 'F' then 'final' when o_orderstatus = 'O' then 'open' else 'rest' end place
+            from orders""",
+        "incremental_equal_mark": """with e as (select event_id, ts, value from events union all
+                select event_id + 1000000000, ts, value from events where ts =
+                (select max(ts) from events where ts < timestamp '2024-01-20 00:00:00'))
+            select *, 'plain' target from e union all select *, 'keyed' from e""",
+        "partitioned_sync": f"""with m as (select max(ts) t from events where ts < {AS_OF})
+            select event_id, ts, case when ts >= m.t then value + 1 else value end as value, cast(ts as date) as day
+            from events, m""",
+        "asof_null_times": """select e.event_id, p.event_id prev_id
+            from (select event_id, user_id, case when event_id % 7 <> 0 then ts end ts from events
+                where event_type = 'error') e
+            asof left join (select * from events where event_type = 'purchase' and event_id % 5 <> 0) p
+            on e.user_id = p.user_id and e.ts >= p.ts""",
+        "on_demand_missing_source": """select 'supplier' target, 'success' status, count(*) row_count from supplier
+            union all select 'rating', 'failed', 0""",
+        "landing_order": f"""select cast(user_id as varchar) adm4, wh waktu, event_type cuaca, value suhu_celsius
+            from (select *, row_number() over (partition by user_id, wh order by lot desc, event_id desc) rn
+                from {HOURLY}) where rn = 1""",
+        "freshness_reset": f"""select cast(user_id as varchar) adm4, wh waktu,
+            case when max(lot) = 1 then 'FRESH' end freshness_status from {HOURLY} group by user_id, wh""",
         "archive_by_year": "select o_orderkey, cast(year(o_orderdate) as int) y,"
         " case when year(o_orderdate) < 1997 then 'archive' else 'kept' end place from orders",
         "incremental_scan": "select event_id, ts, value from events where ts >"
@@ -207,8 +227,8 @@ def oracle_sql() -> dict[str, str]:
             'Desa ' || user_id desa, 'Kec ' || user_id kecamatan, 'Kota ' || user_id kabupaten,
             'Prov' provinsi, ts waktu, event_type cuaca, value suhu_celsius, {HUMIDITY} kelembapan,
             'E' arah_angin, {HUMIDITY} / 10.0::double kecepatan_angin from events""",
-        "parse_forecast_dirty": "select cast(user_id as varchar) adm4, count(*) n from events"
-        " where event_type <> 'error' group by 1",
+        "parse_forecast_dirty": "select cast(user_id as varchar) adm4, count(*) filter (where event_type <> 'error') n,"
+        " count(*) filter (where event_type = 'error') rejected from events group by 1",
         "location_defaults": "select cast(user_id as varchar) adm4,"
         " case when event_type = 'view' then 'Lokasi ' else 'Kota ' end || user_id lokasi,"
         " case when event_type = 'view' then '' else 'Desa ' || user_id end desa,"
@@ -222,20 +242,20 @@ def oracle_sql() -> dict[str, str]:
         "decode_codes": f"""select coalesce(m.d, 'Unknown (' || k || ')') cuaca, count(*) n
             from (select {HUMIDITY} k from events) e left join (values {CODES}) m(c, d) on m.c = e.k
             group by 1""",
-        "json_envelope": "select user_id adm4, count(*) records_count, max(event_id) last_event"
-        " from events group by 1",
+        "json_envelope": "select case when event_type <> 'signup' then user_id end adm4, count(*) records_count,"
+        " max(event_id) last_event, 'success' status from events group by 1",
         "validate_records": f"""select 'temp_range' rule_name, count(*) n from events
             where value not between 0.5 and 200
             union all select 'hum_range', count(*) from events where {HUMIDITY} not between 0 and 90""",
         "recent_window": f"select event_id, ts from events where ts >= {AS_OF} - interval 7 day",
-        "location_select": """select r.a adm4, count(e.user_id) > 0 known, count(e.user_id) records
+        "location_select": """select r.a::varchar adm4, count(e.user_id) > 0 known, count(e.user_id) records
             from (values (1::bigint), (5), (9999)) r(a) left join events e on e.user_id = r.a group by 1""",
         "classify_tables": f"""select table_name, case when table_name like '%item%'
                 or table_name like 'order%' or table_name in ('customer', 'supplier', 'part', 'nation',
                 'region') then 'Business Data' else 'Other Data' end data_type, row_count
             from ({counts})""",
         "orders_by_region": """select r_name, count(*) n,
-            cast(sum(cast(o_totalprice as decimal(18,2))) as double) total
+            round(sum(o_totalprice), 4) total
             from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey
             join region on n_regionkey = r_regionkey group by 1""",
         "left_join_recent_orders": """select c_custkey, count(o_orderkey) n from customer left join orders
@@ -303,9 +323,8 @@ def oracle_sql() -> dict[str, str]:
         "daily_summary": f"""with b as (select user_id, cast(ts as date) d, event_type, value,
                 {HUMIDITY} k from events),
             g as (select user_id, d, min(value) temp_min, max(value) temp_max,
-                cast(sum(cast(value as decimal(18,2))) as double) / count(*) temp_avg,
-                cast(sum(k) as double) / count(*) humidity_avg,
-                cast(sum(cast(k / 10.0 as decimal(18,1))) as double) / count(*) wind_speed_avg
+                round(avg(value), 10) temp_avg,
+                round(avg(k), 10) humidity_avg, round(avg(k / 10.0::double), 10) wind_speed_avg
                 from b group by 1, 2),
             m as (select user_id, d, event_type from (select user_id, d, event_type, row_number() over
                 (partition by user_id, d order by count(*) desc, event_type) rn
@@ -326,16 +345,16 @@ def oracle_sql() -> dict[str, str]:
                 {SAFE} safety_score from {TRIPS} group by 1, 2""",
         "driver_performance": f"""select l_suppkey driver_id, count(*) total_trips,
                 {DISTANCE} total_distance_km, {ON_TIME} on_time_rate, {SAFE} safety_score,
-                min(d) first_trip, max(d) last_trip from {TRIPS} group by 1""",
+                round(avg(l_discount), 10) avg_rating, min(d) first_trip, max(d) last_trip from {TRIPS} group by 1""",
         "alert_rules": f"""with p as (select 100.0::double
                 * sum(case when {AGE.format('l')} > 10800000000 then 1 else 0 end) / count(*) m
                 from {LATEST}),
             u as (select 100.0::double * (count(*) - count(distinct (user_id, date_trunc('hour', ts))))
                 / count(*) m from events)
             select 'stale_gt_50' rule_name, m metric, m > 50 fired,
-                case when m > 50 then 'Weather data not being updated' end alert_text from p
+                case when m > 50 then 'more than half of the locations are stale' end alert_text from p
             union all select 'dup_gt_20', m, m > 20,
-                case when m > 20 then 'High duplicate rate, check for clock skew' end from u""",
+                case when m > 20 then 'too many repeated location hours' end from u""",
         "current_per_location": """select user_id adm4, ts waktu, event_type cuaca, value suhu_celsius
             from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) rn
                 from events where ts <= timestamp '2024-01-20 00:00:00') where rn = 1""",
@@ -367,8 +386,8 @@ def oracle_sql() -> dict[str, str]:
         "sync_alerts": f"""with m as (select 100.0::double * count(*) / (count(*) + 1) p, count(*) n
                 from ({counts}) where table_name in ('customer', 'supplier', 'part'))
             select 'success_lt_95' rule_name, p metric, p < 95 fired,
-                case when p < 95 then 'Low success rate' end alert_text from m
-            union all select 'tables_lt_85', n::double, n < 85, case when n < 85 then 'Tables are missing' end
+                case when p < 95 then 'too few tables were loaded' end alert_text from m
+            union all select 'tables_lt_85', n::double, n < 85, case when n < 85 then 'fewer tables than expected' end
                 from m
             union all select 'failures_gt_3', 1, false, null""",
         "clone_structure": f"select table_name, case when table_name = 'nation' then 'skipped'"
@@ -381,7 +400,7 @@ def oracle_sql() -> dict[str, str]:
                 count(*) tables, cast(sum(row_count) as bigint) total_rows from ({counts}) group by 1""",
         "records_by_province": """select r_name province, count(distinct user_id) locations,
                 count(*) records,
-                cast(sum(cast(value as decimal(18,2))) as double) / count(*) temp_avg
+                round(avg(value), 10) temp_avg
             from events left join customer on c_custkey = user_id
             left join nation on n_nationkey = c_nationkey left join region on r_regionkey = n_regionkey
             group by 1""",
@@ -396,7 +415,20 @@ def oracle_sql() -> dict[str, str]:
                 value suhu_celsius, k kelembapan, {AS_OF} + interval 1 hour * first_lot created_at,
                 {AS_OF} + interval 1 hour * lot last_updated
             from r where rn = 1""",
-        "stream_dedup": "select distinct event_id, user_id, ts from events",
+        "stream_dedup": "select distinct user_id adm4, date_trunc('hour', ts) waktu from events",
+        "stream_late_rows": """with m as (select epoch_ms(max(ts)) - 7 * 86400000 w from events),
+            l as (select count(*) late from events, m where ts < timestamp '2024-01-20 00:00:00' and ts <= make_timestamp(w * 1000))
+            select late, (select count(*) from events) - late kept from l""",
+        "size_text": """with s as (select o_orderkey, o_orderkey * cast(pow(10, o_orderkey % 10) as bigint) bytes from orders)
+            select o_orderkey, bytes, case when bytes < 10240 then bytes || ' bytes'
+                when round(bytes / 1024.0::double) < 10240 then cast(round(bytes / 1024.0::double) as bigint) || ' kB'
+                when round(bytes / 1048576.0::double) < 10240 then cast(round(bytes / 1048576.0::double) as bigint) || ' MB'
+                when round(bytes / 1073741824.0::double) < 10240 then cast(round(bytes / 1073741824.0::double) as bigint) || ' GB'
+                else cast(round(bytes / 1099511627776.0::double) as bigint) || ' TB' end size from s""",
+        "kpi_daily_approx": f"""with o as (select distinct cast(o_orderdate as date) d from orders),
+            s as (select d, count(*) n from {TRIPS} group by 1)
+            select coalesce(o.d, s.d) kpi_date, n total_deliveries, true drivers_near, true vehicles_near
+            from o full join s on o.d = s.d""",
         "stream_daily_counts": "select cast(ts as date) d, event_type, count(*) n from events group by 1, 2",
         "stream_staleness": freshness_location,
     }

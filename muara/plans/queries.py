@@ -13,14 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from muara.functions.clock import at, hour_floor, iso_text, local_time, minutes_between, wall_clock
-from muara.functions.labels import decode_weather_code, table_class
+from muara.functions.labels import decode_weather_code, pretty_size, table_class
 from muara.operators import freshness, loads, quality
 from muara.operators.asof import asof_join
-from muara.operators.envelope import envelope_records, json_envelopes
-from muara.operators.forecast import parse_documents, valid_points
+from muara.operators.envelope import envelope_headers, envelope_records, json_envelopes
+from muara.operators.forecast import parse_documents, rejected_documents, valid_points
 from muara.plans import marts
-from muara.plans.console import console_envelopes, console_records
-from muara.plans.ingest import FACT_KEYS, PARTITION, IngestOptions, fact_table
+from muara.plans.console import console_envelopes, console_records, select_locations
+from muara.plans.ingest import FACT_KEYS, PARTITION, IngestOptions, fact_table, ingest_documents
 from muara.plans.sync import (
     clone_structures,
     on_demand_sync,
@@ -83,6 +83,11 @@ def query(function: Query) -> Query:
     return function
 
 
+def rounded(rows: DataFrame, **places: int) -> DataFrame:
+    """Results whose last digits depend on the order of a floating-point sum, rounded for comparison only."""
+    return rows.withColumns({c: F.round(c, n) for c, n in places.items()})
+
+
 # ---------------------------------------------------------------- stand-ins
 
 
@@ -149,7 +154,8 @@ def feed_points(spark: SparkSession, folder: str) -> DataFrame:
         "event_id",
         "user_id",
         "event_type",
-        F.col("ts").cast("date").alias("day"),
+        F.col("ts").alias("wall"),
+        F.trunc("ts", "week").alias("run"),
         iso_text(F.col("ts"), "+07:00").alias("datetime"),
         F.col("value").alias("t"),
         humidity().cast("string").alias("hu"),
@@ -280,6 +286,35 @@ def expired_delete(spark: SparkSession, folder: str) -> DataFrame:
     return table.read().select("event_id", "waktu")
 
 
+@query
+def update_null_partition(spark: SparkSession, folder: str) -> DataFrame:
+    """Update, delete and upsert over a table in which signups have no date, so lie in the null partition."""
+    rows = read_table(spark, folder, "events").select(
+        "event_id", "event_type", "value", F.when(F.col("event_type") != "signup", F.col("ts").cast("date")).alias("day")
+    )
+    table = new_table(spark, "events", "day")
+    table.replace(rows)
+    loads.update_where(table, F.col("event_id") % 5 == 0, {"value": F.lit(0.0)})
+    loads.delete_where(table, F.col("event_id") % 7 == 0)
+    again = rows.where(F.col("event_id") % 11 == 0).withColumn("value", F.lit(-1.0))
+    loads.upsert(table, again.withColumn("seq", F.col("event_id")), ["event_id"], "seq")
+    return table.read()
+
+
+@query
+def archive_two_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """Two tables share an archive; the first is then made anew and archived once more."""
+    orders = read_table(spark, folder, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus")
+    warehouse = new_warehouse(spark)
+    archive = warehouse.table("archive")
+    for name, status in (("final", "F"), ("open", "O"), ("rest", "P")):
+        table = warehouse.table(name)
+        table.replace(orders.where(F.col("o_orderstatus") == status))
+        loads.archive_by_year(table, archive, "o_orderdate", 1997)
+    left = [warehouse.table(n).read().withColumn("place", F.lit(n)) for n in ("final", "open", "rest")]
+    return union_all([archive.read().withColumn("place", F.lit("archive")), *left]).select("o_orderkey", "place")
+
+
 @query
 def archive_by_year(spark: SparkSession, folder: str) -> DataFrame:
     orders = read_table(spark, folder, "orders").select("o_orderkey", "o_orderdate")
@@ -313,31 +348,73 @@ def incremental_sync(spark: SparkSession, folder: str) -> DataFrame:
     return warehouse.table("events").read()
 
 
+@query
+def incremental_equal_mark(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows that share the high-water mark arrive after it was reached, with and without a key."""
+    events = read_table(spark, folder, "events").select("event_id", "ts", "value")
+    early = events.where(F.col("ts") < at(MID_MONTH))
+    latest = F.col("ts") == F.lit(early.agg(F.max("ts")).first()[0])
+    late = early.where(latest).withColumn("event_id", F.col("event_id") + 1_000_000_000)
+    warehouse = new_warehouse(spark)
+    tasks = [
+        SyncTask("events", "plain", "incremental", "ts"),
+        SyncTask("events", "keyed", "incremental", "ts", ("event_id",)),
+    ]
+    run_sync(warehouse, lambda name: early, tasks)
+    run_sync(warehouse, lambda name: events.unionByName(late), tasks)
+    return union_all(warehouse.table(n).read().withColumn("target", F.lit(n)) for n in ("plain", "keyed"))
+
+
+@query
+def partitioned_sync(spark: SparkSession, folder: str) -> DataFrame:
+    """A keyed incremental sync of a table partitioned by date: the second run changes the last days only."""
+    events = read_table(spark, folder, "events").select("event_id", "ts", "value", F.col("ts").cast("date").alias("day"))
+    warehouse = new_warehouse(spark)
+    task = SyncTask("events", "events", "incremental", "ts", ("event_id",), partition_by="day")
+    run_sync(warehouse, lambda name: events.where(F.col("ts") < at(AS_OF)), [task])
+    run_sync(warehouse, lambda name: events.withColumn("value", F.col("value") + 1), [task])
+    return warehouse.table("events", "day").read()
+
+
 # ---------------------------------------------------------------- parsing
 
 
 @query
 def parse_forecast(spark: SparkSession, folder: str) -> DataFrame:
-    documents = render_documents(feed_points(spark, folder), ["user_id", "day"], "event_id", feed_header())
+    documents = render_documents(feed_points(spark, folder), ["user_id", "run"], "event_id", feed_header())
     return valid_points(parse_documents(landed(documents), mode="wallclock")).drop("seq")
 
 
 @query
 def parse_forecast_dirty(spark: SparkSession, folder: str) -> DataFrame:
-    """Groups of one type are no lists, one document is malformed, one has no data."""
-    documents = render_documents(
-        feed_points(spark, folder), ["user_id", "event_type"], "event_id", feed_header()
-    )
-    no_list = F.to_json(
-        F.struct(
-            F.struct(F.col("user_id").cast("string").alias("adm4")).alias("lokasi"),
-            F.array(F.struct(F.array(F.lit("notalist")).alias("cuaca"))).alias("data"),
+    """Errors come as groups that are no lists, beside the good groups of their days; one document is malformed, one
+    has no data. Good points and rejected parts are counted per location."""
+    points = feed_points(spark, folder)
+    good = points.where("event_type <> 'error'")
+    documents = render_documents(good, ["user_id", "run"], "event_id", feed_header())
+    bad = points.where("event_type = 'error'").groupBy("user_id", "run").agg(F.count(F.lit(1)).alias("bad"))
+    groups = F.concat(F.lit('"cuaca":['), F.repeat(F.lit('"notalist",'), F.col("bad")))
+    header = F.to_json(F.struct(feed_header().alias("lokasi")))
+    alone = F.concat(F.expr("substring(header, 1, length(header) - 1)"), F.lit(',"data":[{'), groups, F.lit("[]]}]}"))
+    dirty = (
+        documents.join(bad, ["user_id", "run"], "full_outer")
+        .withColumn("header", header)
+        .select(
+            F.when(F.col("doc").isNull(), alone)
+            .when(F.col("bad").isNull(), F.col("doc"))
+            .otherwise(F.regexp_replace("doc", F.lit('^(.*?)"cuaca":\\['), F.concat(F.lit("$1"), groups)))
+            .alias("doc")
         )
     )
-    dirty = documents.select(F.when(F.col("event_type") == "error", no_list).otherwise(F.col("doc")).alias("doc"))
     odd = spark.createDataFrame([('{"lokasi": {"adm4": "1"}',), ('{"lokasi": {"adm4": "1"}}',)], "doc string")
-    points = valid_points(parse_documents(landed(dirty.union(odd)), mode="wallclock"))
-    return points.groupBy("adm4").agg(F.count(F.lit(1)).alias("n"))
+    lines = landed(dirty.union(odd))
+    kept = valid_points(parse_documents(lines, mode="wallclock")).groupBy("adm4").agg(F.count(F.lit(1)).alias("n"))
+    rejects = rejected_documents(lines).where("reason = 'group_not_a_list'")
+    code = F.get_json_object("doc", "$.lokasi.adm4").alias("adm4")
+    rejected = rejects.groupBy(code).agg(F.count(F.lit(1)).alias("rejected"))
+    return kept.join(rejected, "adm4", "full_outer").select(
+        "adm4", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("rejected", F.lit(0)).alias("rejected")
+    )
 
 
 @query
@@ -345,7 +422,7 @@ def location_defaults(spark: SparkSession, folder: str) -> DataFrame:
     """Documents without a header take the configured names of the location they were asked for."""
     header = F.when(F.col("event_type") != "view", feed_header())
     documents = render_documents(
-        feed_points(spark, folder), ["user_id", "event_type"], "event_id", header
+        feed_points(spark, folder), ["user_id", "run", "event_type"], "event_id", header
     ).select(
         "doc",
         F.col("user_id").cast("string").alias("requested_adm4"),
@@ -390,7 +467,7 @@ def reject_rows(spark: SparkSession, folder: str) -> DataFrame:
             "datetime": F.when(F.col("event_type") == "signup", "").otherwise(F.col("datetime")),
         }
     )
-    documents = render_documents(points, ["user_id", "day"], "event_id", feed_header())
+    documents = render_documents(points, ["user_id", "run"], "event_id", feed_header())
     parsed = parse_documents(landed(documents), mode="wallclock")
     reasons = F.array_join("reject_reasons", "+")
     status = F.when(reasons == "", "valid").otherwise(reasons)
@@ -405,15 +482,15 @@ def decode_codes(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def json_envelope(spark: SparkSession, folder: str) -> DataFrame:
-    """Envelopes per location, read back and counted."""
-    row = F.struct("_metadata.file_path", "_metadata.row_index").alias("row")
-    events = read_table(spark, folder, "events").select(
-        "event_id", "user_id", "ts", "event_type", "value", row
-    )
-    envelopes = json_envelopes(events, "user_id", "row", AS_OF, "spark")
+    """Envelopes per location, read back and counted; signups come without a location."""
+    events = read_table(spark, folder, "events").select("event_id", "user_id", "ts", "event_type", "value")
+    events = events.withColumn("user_id", F.when(F.col("event_type") != "signup", F.col("user_id")))
+    envelopes = json_envelopes(events, "user_id", AS_OF, "spark")
     records = envelope_records(envelopes, "event_id bigint, user_id bigint, value double")
-    return records.groupBy(F.col("user_id").alias("adm4")).agg(
-        F.count(F.lit(1)).alias("records_count"), F.max("event_id").alias("last_event")
+    counted = records.groupBy(F.col("user_id").alias("key")).agg(F.max("event_id").alias("last_event"))
+    headers = envelope_headers(envelopes, "user_id")
+    return headers.join(counted, F.col("user_id").eqNullSafe(F.col("key"))).select(
+        F.col("user_id").alias("adm4"), "records_count", "last_event", "status"
     )
 
 
@@ -434,13 +511,13 @@ def recent_window(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def location_select(spark: SparkSession, folder: str) -> DataFrame:
-    """Requested locations, and whether the data knows them."""
-    wanted = [1, 5, 9999]
-    requested = spark.createDataFrame([(code,) for code in wanted], "adm4 bigint")
-    events = read_table(spark, folder, "events").where(F.col("user_id").isin(wanted))
-    per_location = events.groupBy(F.col("user_id").alias("adm4")).agg(F.count(F.lit(1)).alias("records"))
-    return requested.join(per_location, "adm4", "left").select(
-        "adm4", F.col("records").isNotNull().alias("known"), F.coalesce("records", F.lit(0)).alias("records")
+    """Locations asked for with their records, and the codes that nobody configured."""
+    code = F.col("user_id").cast("string").alias("adm4")
+    events = read_table(spark, folder, "events").select(code)
+    chosen, unknown = select_locations(events.distinct(), ["1", "5", "9999"])
+    counted = events.join(chosen, "adm4", "left_semi").groupBy("adm4").agg(F.count(F.lit(1)).alias("records"))
+    return counted.select("adm4", F.lit(True).alias("known"), "records").unionByName(
+        unknown.select("adm4", F.lit(False).alias("known"), F.lit(0).cast("bigint").alias("records"))
     )
 
 
@@ -457,7 +534,7 @@ def orders_by_region(spark: SparkSession, folder: str) -> DataFrame:
     orders, customer, nation, region = (
         read_table(spark, folder, name) for name in ("orders", "customer", "nation", "region")
     )
-    return marts.orders_by_region(orders, customer, nation, region)
+    return rounded(marts.orders_by_region(orders, customer, nation, region), total=4)
 
 
 @query
@@ -583,6 +660,18 @@ def asof_trip_weather(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def asof_null_times(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows without a time on either side match nothing."""
+    events = read_table(spark, folder, "events").select("event_id", "user_id", "ts", "event_type", "value")
+    errors = events.where("event_type = 'error'").select(
+        "event_id", "user_id", F.when(F.col("event_id") % 7 != 0, F.col("ts")).alias("ts")
+    )
+    purchases = events.where("event_type = 'purchase'").withColumn("ts", F.when(F.col("event_id") % 5 != 0, F.col("ts")))
+    matched = asof_join(errors, purchases, "user_id", "ts", "ts", ["event_id"], "event_id")
+    return matched.select("event_id", F.col("right_event_id").alias("prev_id"))
+
+
 @query
 def hourly_correlation(spark: SparkSession, folder: str) -> DataFrame:
     kind = F.col("event_type")
@@ -632,7 +721,7 @@ def daily_records_30d(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def daily_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return marts.daily_summary(forecast_fact(spark, folder))
+    return rounded(marts.daily_summary(forecast_fact(spark, folder)), temp_avg=10, humidity_avg=10, wind_speed_avg=10)
 
 
 def _trips(spark: SparkSession, folder: str) -> DataFrame:
@@ -642,23 +731,35 @@ def _trips(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def kpi_daily(spark: SparkSession, folder: str) -> DataFrame:
     orders = marts.orders_per_day(read_table(spark, folder, "orders"), "o_orderdate")
-    return marts.kpi_daily(orders, _trips(spark, folder))
+    return rounded(marts.kpi_daily(orders, _trips(spark, folder)), total_distance_km=4)
 
 
 @query
 def kpi_daily_approx(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether each day's sketches lie within three times their stated error of the exact counts."""
     orders = marts.orders_per_day(read_table(spark, folder, "orders"), "o_orderdate")
-    return marts.kpi_daily(orders, _trips(spark, folder), approximate=True)
+    trips = _trips(spark, folder)
+    exact = marts.kpi_daily(orders, trips).select("kpi_date", "active_drivers", "active_vehicles")
+    sketched = marts.kpi_daily(orders, trips, approximate=True)
+
+    def near(column: str) -> F.Column:
+        off = F.abs(F.col(f"a.{column}") - F.col(f"e.{column}"))
+        return F.coalesce(off <= F.ceil(3 * marts.SKETCH_ERROR * F.col(f"e.{column}")), F.col(f"a.{column}").isNull())
+
+    same_day = F.col("a.kpi_date").eqNullSafe(F.col("e.kpi_date"))
+    return sketched.alias("a").join(exact.alias("e"), same_day).select(
+        "a.kpi_date", "total_deliveries", near("active_drivers").alias("drivers_near"), near("active_vehicles").alias("vehicles_near")
+    )
 
 
 @query
 def driver_monthly(spark: SparkSession, folder: str) -> DataFrame:
-    return marts.driver_monthly(_trips(spark, folder))
+    return rounded(marts.driver_monthly(_trips(spark, folder)), total_distance_km=4)
 
 
 @query
 def driver_performance(spark: SparkSession, folder: str) -> DataFrame:
-    return marts.driver_performance(_trips(spark, folder))
+    return rounded(marts.driver_performance(_trips(spark, folder)), total_distance_km=4, avg_rating=10)
 
 
 @query
@@ -698,7 +799,7 @@ def date_parts(spark: SparkSession, folder: str) -> DataFrame:
         F.hour(ts).alias("h"),
         F.year(ts).alias("y"),
         ts.cast("date").alias("d"),
-        F.left(ts.cast("string"), F.lit(19)).alias("s"),
+        F.date_format(ts, "yyyy-MM-dd HH:mm:ss").alias("s"),
     )
 
 
@@ -760,9 +861,22 @@ def clone_ddl(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def table_sizes(spark: SparkSession, folder: str) -> DataFrame:
-    """File bytes per table, the first ten by name."""
+    """File bytes, readable size and rows of every table, largest first."""
     sizes = catalog.table_sizes(spark, {name: f"{folder}/{name}.parquet" for name in TABLES})
-    return sizes.join(table_row_counts(spark, folder), "table_name").orderBy("table_name").limit(10)
+    return sizes.join(table_row_counts(spark, folder), "table_name").orderBy(F.desc("bytes"), "table_name")
+
+
+@query
+def namespace_sizes(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes per namespace, largest first."""
+    return marts.namespace_sizes(table_sizes(spark, folder), _namespaces(spark))
+
+
+@query
+def size_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Readable sizes of whole numbers over many powers, made from order keys."""
+    size = F.col("o_orderkey") * F.pow(F.lit(10), F.col("o_orderkey") % 10).cast("bigint")
+    return read_table(spark, folder, "orders").select("o_orderkey", size.alias("bytes"), pretty_size(size).alias("size"))
 
 
 def _copy_all(spark: SparkSession, folder: str, extra: list[SyncTask]) -> tuple[Warehouse, DataFrame]:
@@ -833,30 +947,41 @@ def on_demand_copy(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def on_demand_missing_source(spark: SparkSession, folder: str) -> DataFrame:
+    """One source does not exist; the other table is still copied."""
+    tasks = [SyncTask("rating", "rating", "keep_if_empty"), SyncTask("supplier", "supplier", "keep_if_empty")]
+    results = on_demand_sync(new_warehouse(spark), lambda name: read_table(spark, folder, name), tasks, AS_OF)
+    return results.select("target", "status", "row_count")
+
+
 @query
 def namespace_totals(spark: SparkSession, folder: str) -> DataFrame:
+    return marts.namespace_totals(table_row_counts(spark, folder), _namespaces(spark))
+
+
+def _namespaces(spark: SparkSession) -> DataFrame:
     homes = {"events": "weather", "documents": "analytics", "pages": "analytics"}
     rows = [(name, homes.get(name, "public")) for name in TABLES]
-    namespaces = spark.createDataFrame(rows, "table_name string, namespace string")
-    return marts.namespace_totals(table_row_counts(spark, folder), namespaces)
+    return spark.createDataFrame(rows, "table_name string, namespace string")
 
 
 @query
 def records_by_province(spark: SparkSession, folder: str) -> DataFrame:
     customer, nation, region = (read_table(spark, folder, n) for n in ("customer", "nation", "region"))
     dimension = marts.location_dimension(customer, nation, region)
-    return marts.records_by_province(forecast_fact(spark, folder), dimension)
+    return rounded(marts.records_by_province(forecast_fact(spark, folder), dimension), temp_avg=10)
 
 
 @query
 def console_feed(spark: SparkSession, folder: str) -> DataFrame:
     """Every location's documents through the console form, counted from its envelopes."""
     documents = render_documents(
-        feed_points(spark, folder), ["user_id", "day"], "event_id", feed_header()
+        feed_points(spark, folder), ["user_id", "run"], "event_id", feed_header()
     ).select(
         "doc",
         F.col("user_id").cast("string").alias("requested_adm4"),
-        F.struct("run", "user_id", "day").alias("doc_seq"),
+        F.struct("run", "user_id").alias("doc_seq"),
     )
     code = F.col("user_id").cast("string").alias("adm4")
     blank = [F.lit("").alias(c) for c in ("location_name", "desa", "kecamatan", "kabupaten", "provinsi")]
@@ -876,12 +1001,12 @@ def stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
     """Documents land in two lots; the second run starts from the first one's checkpoint."""
     points = feed_points(spark, folder)
     hour = hour_floor(wall_clock(F.col("datetime")))
-    points = points.withColumn("datetime", iso_text(hour, "+07:00"))
+    points = points.withColumns({"datetime": iso_text(hour, "+07:00"), "wall": hour})
     early = F.col("event_type").isin(*FIRST_TYPES)
     table = fact_table(new_warehouse(spark))
     landing, checkpoint = scratch_path(spark, "landing"), scratch_path(spark, "stream")
     for lot, now in ((points.where(early), AS_OF), (points.where(~early), NEXT_RUN)):
-        documents = render_documents(lot, ["user_id"], "event_id", feed_header())
+        documents = render_documents(lot, ["user_id", "run"], "event_id", feed_header())
         land_in_order(documents, landing)
         jobs.finish(
             jobs.ingest_stream(
@@ -893,6 +1018,35 @@ def stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _hourly_lots(spark: SparkSession, folder: str) -> list[DataFrame]:
+    """Documents of the first event types and of the others, their stamps cut to the hour."""
+    points = feed_points(spark, folder)
+    hour = hour_floor(F.col("wall"))
+    points = points.withColumns({"datetime": iso_text(hour, "+07:00"), "wall": hour})
+    early = F.col("event_type").isin(*FIRST_TYPES)
+    return [render_documents(lot, ["user_id", "run"], "event_id", feed_header()) for lot in (points.where(early), points.where(~early))]
+
+
+@query
+def landing_order(spark: SparkSession, folder: str) -> DataFrame:
+    """Two lots wait for one run; the one that landed last wins, though its files come first by name."""
+    table, landing = fact_table(new_warehouse(spark)), scratch_path(spark, "landing")
+    for lot, documents in zip((9, 1), _hourly_lots(spark, folder), strict=True):
+        documents.select("doc").write.text(f"{landing}/lot={lot}")
+    ingest_documents(table, read_documents(spark, landing), AS_OF, options=IngestOptions(mode="wallclock"))
+    return table.read().select("adm4", "waktu", "cuaca", "suhu_celsius")
+
+
+@query
+def freshness_reset(spark: SparkSession, folder: str) -> DataFrame:
+    """The first load leaves the labels empty, the second resets those of the points it brings."""
+    table = fact_table(new_warehouse(spark))
+    for reset, documents in zip((False, True), _hourly_lots(spark, folder), strict=True):
+        options = IngestOptions(mode="wallclock", reset_freshness=reset)
+        ingest_documents(table, landed(documents), AS_OF, options=options)
+    return table.read().select("adm4", "waktu", "freshness_status")
+
+
 def _landed_events(spark: SparkSession, folder: str) -> tuple[str, DataFrame]:
     """A folder that events are appended to, lot by lot."""
     events = read_table(spark, folder, "events").select("event_id", "user_id", "ts", "event_type", "value")
@@ -901,20 +1055,38 @@ def _landed_events(spark: SparkSession, folder: str) -> tuple[str, DataFrame]:
 
 @query
 def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    """The whole table lands twice; the second copy is dropped by the state of the first run."""
+    """Locations and hours land twice; repeats within a lot and across lots are dropped by key."""
     path, events = _landed_events(spark, folder)
+    points = events.select(F.col("user_id").alias("adm4"), hour_floor(F.col("ts")).alias("waktu"))
     out, checkpoint = scratch_path(spark, "unique"), scratch_path(spark, "stream")
     for _ in range(2):
-        events.select("event_id", "user_id", "ts").write.mode("append").parquet(path)
-        source = jobs.table_stream(spark, path, "event_id bigint, user_id bigint, ts timestamp_ntz")
-        jobs.finish(jobs.dedup_stream(source, ["event_id", "user_id", "ts"], "ts", out, checkpoint))
+        points.write.mode("append").parquet(path)
+        source = jobs.table_stream(spark, path, points.schema)
+        jobs.finish(jobs.dedup_stream(source, list(FACT_KEYS), "waktu", out, checkpoint))
     return spark.read.parquet(out)
 
 
+@query
+def stream_late_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The days up to mid-month land after the later ones; with a week's watermark some of their rows are late."""
+    path, events = _landed_events(spark, folder)
+    out, checkpoint = scratch_path(spark, "unique"), scratch_path(spark, "stream")
+    week = Settings(retention_days=7)
+    late = []
+    for lot in (events.where(F.col("ts") >= at(MID_MONTH)), events.where(F.col("ts") < at(MID_MONTH))):
+        lot.write.mode("append").parquet(path)
+        run = jobs.dedup_stream(jobs.table_stream(spark, path, events.schema), ["event_id"], "ts", out, checkpoint, week)
+        jobs.finish(run)
+        late.append((jobs.late_rows(run),))
+    kept = spark.read.schema(events.schema).parquet(out).agg(F.count(F.lit(1)).alias("kept"))
+    dropped = spark.createDataFrame(late, "late bigint").agg(F.sum("late").alias("late"))
+    return dropped.select("late", F.lit(kept.first()["kept"]).alias("kept"))
+
+
 @query
 def stream_daily_counts(spark: SparkSession, folder: str) -> DataFrame:
     path, events = _landed_events(spark, folder)
-    table, checkpoint = new_table(spark, "daily"), scratch_path(spark, "stream")
+    table, checkpoint = new_table(spark, "daily", "d"), scratch_path(spark, "stream")
     early = F.col("event_type").isin(*FIRST_TYPES) | (F.col("ts") < at(MID_MONTH))
     for lot in (events.where(early), events.where(~early)):
         lot.write.mode("append").parquet(path)

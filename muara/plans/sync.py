@@ -30,9 +30,14 @@ class SyncFailed(RuntimeError):
     """At least one table of a sync run failed."""
 
 
+def message_of(error: Exception) -> str:
+    """The whole message; the kind of error where it has none."""
+    return str(error) or type(error).__name__
+
+
 def sync_table(warehouse: Warehouse, source: DataFrame, task: SyncTask) -> int:
     """Load one table in its mode; returns the rows written."""
-    table = warehouse.table(task.target)
+    table = warehouse.table(task.target, task.partition_by)
     if task.mode == "full":
         return full_refresh(table, source)
     table.create_if_absent(source.schema)
@@ -41,9 +46,11 @@ def sync_table(warehouse: Warehouse, source: DataFrame, task: SyncTask) -> int:
     if task.mode == "append":
         return append_load(table, source)
     if task.mode == "incremental":
-        fresh = incremental_scan(source, table.read(), task.column)
+        base = table.state()
         if not task.keys:
-            return append_load(table, fresh)
+            fresh = incremental_scan(source, table.read(base), task.column, "missing")
+            return table.append(fresh, base=base)
+        fresh = incremental_scan(source, table.read(base), task.column, "again")
         upsert(table, fresh.withColumn("seq", F.col(task.column)), task.keys, "seq")
         return table.state()["rows_written"]
     raise ValueError(f"unknown mode {task.mode!r}")
@@ -63,7 +70,7 @@ def run_sync(
             rows = sync_table(warehouse, read_source(task.source), task)
             return (task.source, task.target, task.mode, "success", rows, None)
         except Exception as error:  # the failed table is reported, the others go on
-            return (task.source, task.target, task.mode, "failed", 0, str(error).splitlines()[0])
+            return (task.source, task.target, task.mode, "failed", 0, message_of(error))
 
     with ThreadPoolExecutor(parallel_tables) as pool:
         results = list(pool.map(run, tasks))
@@ -78,7 +85,7 @@ def clone_structures(warehouse: Warehouse, schemas: dict[str, T.StructType]) ->
         try:
             return name, "created" if warehouse.table(name).create_if_absent(schema) else "skipped"
         except Exception as error:  # the failed table is reported, the others go on
-            return name, f"error: {str(error).splitlines()[0]}"
+            return name, f"error: {message_of(error)}"
 
     results = [create(item) for item in schemas.items()]
     return warehouse.spark.createDataFrame(results, "table_name string, status string")
@@ -107,15 +114,21 @@ def on_demand_sync(
     def stamped(name: str) -> DataFrame:
         return with_created_at(read_source(name), at(as_of))
 
-    for task in tasks:
-        warehouse.table(task.target).create_if_absent(stamped(task.source).schema)
-    targets = {task.source: warehouse.table(task.target).read() for task in tasks}
-    return run_sync(warehouse, lambda name: aligned(stamped(name), targets[name]), tasks)
+    targets = {task.source: task for task in tasks}
+
+    def prepared(name: str) -> DataFrame:
+        """Inside the guarded loop, so a source that is missing fails its own table only."""
+        rows, task = stamped(name), targets[name]
+        table = warehouse.table(task.target, task.partition_by)
+        table.create_if_absent(rows.schema)
+        return aligned(rows, table.read())
 
+    return run_sync(warehouse, prepared, tasks)
 
-def sync_summary(results: DataFrame) -> DataFrame:
-    """Tables, rows and the first ten table names per status."""
-    names = F.slice(F.array_sort(F.collect_list("target")), 1, 10)
+
+def sync_summary(results: DataFrame, names_shown: int = 10) -> DataFrame:
+    """Tables, rows and the first table names per status; ``results`` itself is the complete list."""
+    names = F.slice(F.array_sort(F.collect_list("target")), 1, names_shown)
     return results.groupBy("status").agg(
         F.count(F.lit(1)).alias("tables"),
         F.sum("row_count").alias("total_rows"),
@@ -138,8 +151,3 @@ def require_success(results: DataFrame) -> None:
     failed = [r["target"] for r in results.where("status = 'failed'").select("target").collect()]
     if failed:
         raise SyncFailed(f"failed tables: {', '.join(sorted(failed))}")
-
-
-def manifest_from_names(names: Iterable[str]) -> list[SyncTask]:
-    """A full-refresh task per table name found in the source."""
-    return [SyncTask(name, name) for name in sorted(names)]

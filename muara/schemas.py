@@ -33,18 +33,6 @@ FORECAST_FACT = struct(
     waktu_date=DATE,
 )
 
-LOCATION_DIM = struct(
-    adm4=STRING,
-    location_name=STRING,
-    province=STRING,
-    city_regency=STRING,
-    latitude=T.DecimalType(10, 8),
-    longitude=T.DecimalType(11, 8),
-    elevation_m=INT,
-    timezone=STRING,
-    active=BOOLEAN,
-    created_at=WALL_CLOCK,
-)
 
 DAILY_SUMMARY = struct(
     adm4=STRING,
@@ -58,25 +46,6 @@ DAILY_SUMMARY = struct(
     weather_description=STRING,
 )
 
-KPI_DAILY = struct(
-    kpi_date=DATE,
-    total_deliveries=INT,
-    total_distance_km=T.DecimalType(10, 2),
-    total_orders=INT,
-    avg_delivery_time_hours=T.DecimalType(5, 2),
-    active_drivers=INT,
-    active_vehicles=INT,
-    on_time_delivery_rate=T.DecimalType(5, 2),
-)
-
-DRIVER_MONTHLY = struct(
-    driver_id=INT,
-    metric_month=DATE,
-    total_trips=INT,
-    total_distance_km=T.DecimalType(10, 2),
-    on_time_rate=T.DecimalType(5, 2),
-    safety_score=T.DecimalType(5, 2),
-)
 
 SYNC_RESULT = struct(
     source=STRING, target=STRING, mode=STRING, status=STRING, row_count=LONG, message=STRING

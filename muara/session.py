@@ -14,13 +14,13 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "muara
     return (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
-        .config("spark.ui.showConsoleProgress","false").config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.scheduler.mode", "FAIR")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )

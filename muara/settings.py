@@ -21,7 +21,6 @@ class Settings:
     table_count_tolerance: int = 2
     temperature_range: tuple[float, float] = (-30.0, 55.0)
     humidity_range: tuple[float, float] = (0.0, 100.0)
-    envelope_records: int = 10_000
     jdbc_batch_rows: int = 5_000
 
 

@@ -5,13 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
-
 
 @dataclass(frozen=True)
 class SyncTask:
     """``mode`` is full, keep_if_empty, append or incremental (by ``column``; with ``keys`` rows are
-    upserted, without they are appended)."""
+    upserted, without they are appended). ``partition_by`` is a date column of the source that follows from the
+    keys; a keyed load then rewrites only the dates it touches."""
 
     source: str
     target: str
@@ -19,6 +18,7 @@ class SyncTask:
     column: str | None = None
     keys: tuple[str, ...] = ()
     group: str = "daily"
+    partition_by: str | None = None
 
 
 # The tables of the daily sync, in sync order.
@@ -89,9 +89,3 @@ def one_namespace(tasks: Iterable[SyncTask]) -> list[SyncTask]:
     if clashes:
         raise ValueError(f"several sources for {', '.join(clashes)}")
     return tasks
-
-
-def manifest_frame(spark: SparkSession, tasks: Iterable[SyncTask]) -> DataFrame:
-    rows = [(t.source, t.target, t.mode, t.column, t.group) for t in tasks]
-    schema = "source string, target string, mode string, column_name string, table_group string"
-    return spark.createDataFrame(rows, schema)

@@ -10,35 +10,59 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
+from datetime import date
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 LOAD_ID = "load_id"
+#: Commit files kept for readers that hold an older version.
+COMMITS_KEPT = 50
 
 
 class CommitConflict(RuntimeError):
     """Another load committed first; read again and retry."""
 
 
+class RowsLost(RuntimeError):
+    """A rewrite did not write the rows it had to; nothing was committed."""
+
+
+def in_partitions(column: str, values: Iterable[date | None]) -> Column:
+    """True for rows of these partitions, the null one included where it is among them."""
+    values = list(values)
+    known = F.col(column).isin([v for v in values if v is not None])
+    return known | F.col(column).isNull() if None in values else known
+
+
 class SnapshotTable:
-    def __init__(self, spark: SparkSession, root: str, partition_by: str | None = None):
+    """``partition_by`` names a date column. ``rows_per_file`` bounds the rows of a written file."""
+
+    def __init__(self, spark: SparkSession, root: str, partition_by: str | None = None, rows_per_file: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.data = f"{self.root}/data"
         self.partition_by = partition_by
+        self.rows_per_file = rows_per_file
 
     def exists(self) -> bool:
         return self.state()["version"] > 0
 
     def state(self) -> dict:
-        """The newest commit: version, schema, folders, rows of the last load, stream marks."""
+        """The newest commit: version, table id, schema, folders with their rows, rows of the last load, marks.
+
+        A folder entry is ``{"path", "value", "rows"}``; value is the partition's date as text, or null.
+        """
         fs = self._fs()
         commits = fs.globStatus(self._path(f"{self.root}/commits/[0-9]*.json")) or []
         if not commits:
-            return {"version": 0, "schema": None, "folders": [], "rows_written": 0, "streams": {}}
+            return {
+                "version": 0, "table_id": uuid.uuid4().hex, "schema": None, "folders": [], "rows_written": 0,
+                "streams": {}, "copies": {},
+            }
         stream = fs.open(max((s.getPath() for s in commits), key=lambda path: path.getName()))
         try:
             text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
@@ -46,15 +70,16 @@ class SnapshotTable:
             stream.close()
         return json.loads(text)
 
-    def read(self) -> DataFrame:
-        state = self.state()
+    def read(self, state: dict | None = None) -> DataFrame:
+        """The rows of a state, the newest by default."""
+        state = state or self.state()
         if state["version"] == 0:
             raise FileNotFoundError(f"no committed version under {self.root}")
         schema = T.StructType.fromJson(state["schema"])
         if not state["folders"]:
             return self.spark.createDataFrame([], schema)
         with_id = T.StructType([*schema.fields, T.StructField(LOAD_ID, T.StringType())])
-        paths = [f"{self.data}/{folder}" for folder in state["folders"]]
+        paths = [f"{self.data}/{folder['path']}" for folder in state["folders"]]
         return (
             self.spark.read.schema(with_id)
             .option("basePath", self.data)
@@ -63,59 +88,106 @@ class SnapshotTable:
         )
 
     def create_if_absent(self, schema: T.StructType) -> bool:
-        if self.exists():
+        base = self.state()
+        if base["version"]:
             return False
-        self._commit(self.state(), schema, [], 0)
+        self._check(schema)
+        self._commit(base, schema, [], 0)
         return True
 
     def replace(
-        self, rows: DataFrame, base: dict | None = None, stream: tuple[str, int] | None = None
+        self,
+        rows: DataFrame,
+        base: dict | None = None,
+        stream: tuple[str, int] | None = None,
+        expected: int | None = None,
     ) -> int:
         """New content for the whole table; returns the rows written."""
         base = base or self.state()
-        folders, written = self._write(rows, base["version"] + 1)
+        folders, written = self._write(rows, base["version"] + 1, expected)
         self._commit(base, rows.schema, folders, written, stream)
         return written
 
-    def append(self, rows: DataFrame, stream: tuple[str, int] | None = None) -> int:
-        """More rows of the table's columns, matched by name; a ``stream`` mark makes a repeat a no-op."""
-        base = self.state()
+    def append(
+        self,
+        rows: DataFrame,
+        stream: tuple[str, int] | None = None,
+        base: dict | None = None,
+        withdrawn: Sequence[str] = (),
+    ) -> int:
+        """More rows of the table's columns, matched by name; a ``stream`` mark makes a repeat a no-op.
+
+        Rows that were chosen by reading ``base`` must come with it: a load in between is then a conflict. The paths
+        ``withdrawn`` leave the table in the same commit.
+        """
+        base = base or self.state()
         if stream and base["streams"].get(stream[0], -1) >= stream[1]:
             return 0
         if base["version"]:
             rows = self._fitting(rows, T.StructType.fromJson(base["schema"]))
         folders, written = self._write(rows, base["version"] + 1)
-        self._commit(base, rows.schema, base["folders"] + folders, written, stream)
+        kept = [f for f in base["folders"] if f["path"] not in set(withdrawn)]
+        self._commit(base, rows.schema, kept + folders, written, stream, [f["path"] for f in folders])
         return written
 
     def replace_partitions(
         self,
         rows: DataFrame,
-        touched: Iterable[object],
+        touched: Iterable[date | None],
         base: dict,
         stream: tuple[str, int] | None = None,
+        expected: int | None = None,
     ) -> int:
         """New content for the touched partitions; the other folders of ``base`` stay as they are."""
-        folders, written = self._write(rows, base["version"] + 1)
+        folders, written = self._write(rows, base["version"] + 1, expected)
         self._commit(base, rows.schema, self._untouched(base, touched) + folders, written, stream)
         return written
 
-    def drop_partitions(self, touched: Iterable[object], base: dict) -> None:
+    def drop_partitions(self, touched: Iterable[date | None], base: dict, stream: tuple[str, int] | None = None) -> None:
         """A version without the touched partitions, nothing rewritten."""
-        self._commit(base, T.StructType.fromJson(base["schema"]), self._untouched(base, touched), 0)
-
-    def _untouched(self, base: dict, touched: Iterable[object]) -> list[str]:
-        gone = tuple(f"/{self.partition_by}={_folder_value(value)}" for value in touched)
-        return [f for f in base["folders"] if not f.endswith(gone)]
+        self._commit(base, T.StructType.fromJson(base["schema"]), self._untouched(base, touched), 0, stream)
+
+    def partition_rows(self, base: dict) -> dict[date | None, int]:
+        """Rows of each partition as the commit counts them."""
+        counts: dict[date | None, int] = {}
+        for folder in base["folders"]:
+            value = folder["value"] and date.fromisoformat(folder["value"])
+            counts[value] = counts.get(value, 0) + folder["rows"]
+        return counts
+
+    def compact(self, most_folders: int = 8) -> int:
+        """Rewrite the partitions that loads have spread over more folders than this; returns how many."""
+        base = self.state()
+        spread: dict[str | None, int] = {}
+        for folder in base["folders"]:
+            spread[folder["value"]] = spread.get(folder["value"], 0) + 1
+        values = [v and date.fromisoformat(v) for v, n in spread.items() if n > most_folders]
+        if not values:
+            return 0
+        counts = self.partition_rows(base)
+        rows, expected = self.read(base), sum(counts[v] for v in values)
+        if self.partition_by is None:
+            self.replace(rows, base, expected=expected)
+        else:
+            self.replace_partitions(rows.where(in_partitions(self.partition_by, values)), values, base, expected=expected)
+        return len(values)
+
+    def _untouched(self, base: dict, touched: Iterable[date | None]) -> list[dict]:
+        gone = {value and value.isoformat() for value in touched}
+        return [f for f in base["folders"] if f["value"] not in gone]
 
     def remove_unlisted(self) -> int:
         """Delete load folders that the newest version does not list; returns how many."""
-        listed = set(self.state()["folders"])
+        listed = {f["path"] for f in self.state()["folders"]}
         stale = [f for f in self._load_folders(f"{LOAD_ID}=*") if f not in listed]
         for folder in stale:
             self._fs().delete(self._path(f"{self.data}/{folder}"), True)
         return len(stale)
 
+    def _check(self, schema: T.StructType) -> None:
+        if self.partition_by and schema[self.partition_by].dataType != T.DateType():
+            raise ValueError(f"{self.root} can be partitioned by a date only, not by {self.partition_by}")
+
     def _fitting(self, rows: DataFrame, schema: T.StructType) -> DataFrame:
         have = {f.name: f.dataType for f in rows.schema.fields}
         want = {f.name: f.dataType for f in schema.fields}
@@ -123,7 +195,8 @@ class SnapshotTable:
             raise ValueError(f"{self.root} has columns {schema.simpleString()}, not {rows.schema.simpleString()}")
         return rows.select(*schema.names)
 
-    def _write(self, rows: DataFrame, version: int) -> tuple[list[str], int]:
+    def _write(self, rows: DataFrame, version: int, expected: int | None = None) -> tuple[list[dict], int]:
+        self._check(rows.schema)
         load = f"{LOAD_ID}=v{version:08d}-{uuid.uuid4().hex}"
         count = Observation()
         if self.partition_by:
@@ -131,8 +204,26 @@ class SnapshotTable:
         writer = rows.observe(count, F.count(F.lit(1)).alias("rows")).write
         if self.partition_by:
             writer = writer.partitionBy(self.partition_by)
+        if self.rows_per_file:
+            writer = writer.option("maxRecordsPerFile", self.rows_per_file)
         writer.parquet(f"{self.data}/{load}")
-        return self._load_folders(load), count.get["rows"]
+        written = count.get["rows"]
+        if expected is not None and written != expected:
+            raise RowsLost(f"{written} rows written for {expected} under {self.root}")
+        return self._entries(load, rows.schema, written), written
+
+    def _entries(self, load: str, schema: T.StructType, written: int) -> list[dict]:
+        paths = self._load_folders(load)
+        if not self.partition_by:
+            return [{"path": p, "value": None, "rows": written} for p in paths]
+        if not paths:
+            return []
+        # The counts come from the files' footers; no column is read.
+        again = self.spark.read.schema(schema).parquet(f"{self.data}/{load}").groupBy(self.partition_by).count()
+        counts = {r[0] and r[0].isoformat(): r[1] for r in again.collect()}
+        by_value = {p: p.rsplit("=", 1)[1] for p in paths}
+        values = {p: None if v == "__HIVE_DEFAULT_PARTITION__" else v for p, v in by_value.items()}
+        return [{"path": p, "value": values[p], "rows": counts[values[p]]} for p in paths]
 
     def _load_folders(self, load: str) -> list[str]:
         levels = [load, f"{self.partition_by}=*"] if self.partition_by else [load]
@@ -143,20 +234,24 @@ class SnapshotTable:
         self,
         base: dict,
         schema: T.StructType,
-        folders: list[str],
+        folders: list[dict],
         written: int,
         stream: tuple[str, int] | None = None,
+        new: Sequence[str] = (),
     ) -> None:
         version = base["version"] + 1
-        streams = dict(base["streams"])
+        streams, copies = dict(base["streams"]), dict(base["copies"])
         if stream:
             streams[stream[0]] = stream[1]
+            copies[stream[0]] = list(new)
         state = {
             "version": version,
+            "table_id": base["table_id"],
             "schema": schema.jsonValue(),
             "folders": folders,
             "rows_written": written,
             "streams": streams,
+            "copies": copies,
         }
         fs = self._fs()
         draft = self._path(f"{self.root}/commits/.draft-{uuid.uuid4().hex}")
@@ -166,8 +261,21 @@ class SnapshotTable:
             out.write(bytearray(json.dumps(state).encode()))
         finally:
             out.close()
-        if fs.exists(final) or not fs.rename(draft, final):
-            raise CommitConflict(f"version {version} of {self.root} exists")
+        try:
+            self._rename_new(draft, final)
+        except Py4JJavaError as error:
+            fs.delete(draft, False)
+            if "FileAlreadyExists" in str(error.java_exception):
+                raise CommitConflict(f"version {version} of {self.root} exists") from None
+            raise
+        if version > COMMITS_KEPT:
+            fs.delete(self._path(f"{self.root}/commits/{version - COMMITS_KEPT:012d}.json"), False)
+
+    def _rename_new(self, draft, final) -> None:
+        """Rename that fails where the target exists; as atomic as the store's own rename."""
+        jvm, gateway = self.spark._jvm, self.spark.sparkContext._gateway
+        files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(draft.toUri(), self.spark._jsc.hadoopConfiguration())
+        files.rename(draft, final, gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0))
 
     def _path(self, text: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path(text)
@@ -176,10 +284,6 @@ class SnapshotTable:
         return self._path(self.root).getFileSystem(self.spark._jsc.hadoopConfiguration())
 
 
-def _folder_value(value: object) -> str:
-    return "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
-
-
 class Warehouse:
     """One namespace of snapshot tables under a folder."""
 
@@ -191,8 +295,7 @@ class Warehouse:
         return SnapshotTable(self.spark, f"{self.root}/{name}", partition_by)
 
     def table_names(self) -> list[str]:
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
-        fs = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(folder):
-            return []
-        return sorted(s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory())
+        """Tables with a committed version."""
+        pattern = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/*/commits/[0-9]*.json")
+        found = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+        return sorted({s.getPath().getParent().getParent().getName() for s in found})

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -76,16 +76,31 @@ def write_jdbc(
     )
 
 
-def incremental_scan(source: DataFrame, target: DataFrame, column: str) -> DataFrame:
+def high_water_mark(source: DataFrame, target: DataFrame, column: str) -> Column | None:
+    """The target's largest value as a literal of the source's type; none while the target is empty."""
+    mark = target.agg(F.max(column).cast("string")).first()[0]
+    return None if mark is None else F.lit(mark).cast(source.schema[column].dataType)
+
+
+def incremental_scan(source: DataFrame, target: DataFrame, column: str, at_mark: str = "skip") -> DataFrame:
     """Source rows past the target's high-water mark; all of them while the target is empty.
 
     The mark is one value, fetched as text and used as a literal, so the filter reaches Parquet and JDBC
-    scans.
+    scans. Rows that share the mark may have come after it was reached: ``at_mark`` 'again' returns them all, for
+    loads by key; 'missing' returns those that the target does not have, copies counted; 'skip' none.
     """
-    mark = target.agg(F.max(column).cast("string")).first()[0]
+    mark = high_water_mark(source, target, column)
     if mark is None:
         return source
-    return source.where(F.col(column) > F.lit(mark).cast(source.schema[column].dataType))
+    if at_mark == "again":
+        return source.where(F.col(column) >= mark)
+    past = source.where(F.col(column) > mark)
+    if at_mark == "skip":
+        return past
+    here = source.where(F.col(column) == mark).exceptAll(
+        target.select(*source.columns).where(F.col(column) == mark)
+    )
+    return past.unionByName(here)
 
 
 def stage(rows: DataFrame, label: str, path: str | None = None) -> DataFrame:

@@ -172,7 +172,9 @@ def test_console_form(spark):
     assert [r["adm4"] for r in chosen.collect()] == ["35.1"]
     assert [r["adm4"] for r in unknown.collect()] == ["99"]
     records = console_records(frame(spark, document(POINT, {**POINT, "datetime": "soon"})), locations(spark))
-    envelope = console_envelopes(records, datetime(2026, 1, 30)).select(F.col("envelope")).first()[0]
-    body = json.loads(envelope)
-    assert (body["status"], body["records_count"], len(body["records"])) == ("success", 2, 2)
-    assert body["timestamp_fetched"] == "2026-01-30T00:00:00"
+    rows = console_envelopes(records, datetime(2026, 1, 30)).collect()
+    headers = [json.loads(r["body"]) for r in rows if r["part"] == "header"]
+    assert [(h["status"], h["records_count"], h["timestamp_fetched"]) for h in headers] == [
+        ("success", 2, "2026-01-30T00:00:00")
+    ]
+    assert len([r for r in rows if r["part"] == "record"]) == 2
