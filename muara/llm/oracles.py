@@ -1,5 +1,100 @@
-"""SQL equivalents for DuckDB, over whole tables."""
+"""SQL equivalents for DuckDB, over whole tables.
+
+Operators 3, 4, 8, 9 and 10 and the pipeline need hashes, vocabularies, alignments or distributions that SQL lacks;
+``tests/llm`` holds them against plain versions. The pseudonyms of operator 2 have no SQL either.
+"""
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+from muara.llm.licenses import PHRASES, TEMPLATES, THRESHOLD, needed
+
+WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+
+def _windows(units: str, window: str, joined: str, sha: str) -> str:
+    """Removal of what a 50-unit window of a smaller document covers; ``units`` gives (doc_id, i, u) from 1."""
+    return f"""u as ({units}),
+        win as (select doc_id, i, {window} k from u qualify count(*) over
+            (partition by doc_id order by i rows between current row and 49 following) = 50),
+        own as (select *, min(doc_id) over (partition by k) least from win),
+        lost as (select distinct doc_id, i + s.generate_series i from own, generate_series(0, 49) s where least < doc_id),
+        kept as (select u.doc_id, count(*) filter (where l.i is null) n, {joined} j
+            from u left join lost l on l.doc_id = u.doc_id and l.i = u.i group by 1),
+        runs as (select doc_id, count(*) n from (select doc_id, i, lag(i) over (partition by doc_id order by i) p from lost)
+            where p is null or i > p + 1 group by 1),
+        size as (select doc_id, count(*) n from u group by 1)
+        select d.doc_id, coalesce(size.n, 0) total, coalesce(size.n, 0) - coalesce(kept.n, 0) removed,
+            coalesce(runs.n, 0) runs, {sha} kept_sha256
+        from documents d left join size using (doc_id) left join kept using (doc_id) left join runs using (doc_id)"""
+
+
+def _suffix_dedup() -> str:
+    units = """select doc_id, unnest(range(1, n + 1)) i, substr(h, 2 * unnest(range(1, n + 1)) - 1, 2) u
+        from (select doc_id, hex(encode(coalesce(text, ''))) h, octet_length(encode(coalesce(text, ''))) n from documents)"""
+    window = "string_agg(u, '') over (partition by doc_id order by i rows between current row and 49 following)"
+    joined = "string_agg(u.u, '' order by u.i) filter (where l.i is null)"
+    text = _windows(units, window, joined, "sha256(unhex(coalesce(kept.j, '')))")
+    return f"with {text}".replace("total,", "n_bytes,").replace(" removed,", " n_removed,").replace(" runs, sha", " n_spans, sha")
+
+
+def _substring_dedup() -> str:
+    units = f"select doc_id, unnest(range(1, len(w) + 1)) i, unnest(w) u from (select doc_id, {WORDS} w from documents)"
+    window = "string_agg(u, ' ') over (partition by doc_id order by i rows between current row and 49 following)"
+    joined = "string_agg(u.u, ' ' order by u.i) filter (where l.i is null)"
+    text = _windows(units, window, joined, "sha256(coalesce(kept.j, ''))")
+    return f"select doc_id, total n_words, removed n_removed, kept_sha256 from (with {text})"
+
+
+def _quality() -> str:
+    return rf"""with w as (select doc_id, coalesce(text, '') t, {WORDS} ws from documents),
+        m as (select doc_id, t, ws, len(ws) n, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) c,
+            length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) s,
+            list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) lines,
+            len(list_filter(ws, lambda x: regexp_matches(x, '[A-Za-z]|[^\x00-\x7F]'))) letters from w),
+        tri as (select doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] k
+            from (select doc_id, ws, unnest(range(1, len(ws) - 1)) i from w)),
+        again as (select doc_id, i from tri qualify count(*) over (partition by doc_id, k) > 1),
+        rep as (select doc_id, count(distinct i + s.generate_series) r from again, generate_series(0, 2) s group by 1),
+        b as (select m.doc_id, n, c, s, len(lines) - len(list_distinct(lines)) dup, len(lines) nl, letters, coalesce(r, 0) r
+            from m left join rep using (doc_id)),
+        f as (select *, n < 50 or 100 * r > 50 * n bad from b)
+        select doc_id, n n_words, cast(c as bigint) word_chars, s n_symbols, dup n_dup_lines, r n_repeat_words, bad base_failed,
+            not bad and not (10 * s > n or 2 * dup > nl or c < 3 * n or c > 12 * n or 5 * letters < 4 * n) kept from f"""
+
+
+def _licenses() -> str:
+    starts = " union all ".join(
+        f"select doc_id, i, '{label}' label from p where "
+        + " and ".join(f"ws[i + {k}] = '{word}'" for k, word in enumerate(phrase.split()))
+        for phrase, label in PHRASES.items()
+    )
+    words = {t: sorted(set(t.split())) for _, t in TEMPLATES}
+    shown = {t: "[" + ", ".join(f"'{w}'" for w in words[t]) + "]" for t in words}
+    templates = ", ".join(f"('{label}', {shown[t]}, {len(words[t])}, {needed(len(words[t]), THRESHOLD)})" for label, t in TEMPLATES)
+    separators = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return rf"""with w as (select doc_id, translate(coalesce(text, ''), '{upper}', '{lower}') t,
+            regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '{separators.replace("[", "[^", 1)}+') ws from documents),
+        p as (select doc_id, ws, unnest(range(1, len(ws) + 1)) i from w),
+        base as ({starts}),
+        lines as (select doc_id, list_distinct(regexp_extract_all(unnest(string_split(t, chr(10))), '{separators.replace("[", "[^", 1)}+')) b from w),
+        templates(label, words, n, need) as (values {templates}),
+        met as (select doc_id, label, len(list_intersect(b, words)) / n::double share from lines, templates
+            where len(list_intersect(b, words)) >= need),
+        l as (select doc_id, label from met union select doc_id, label from base),
+        names as (select doc_id, string_agg(distinct label, ',' order by label) labels from l group by 1),
+        bases as (select doc_id, count(*) n, min(i) - 1 a, max(i) - 1 z, string_agg(distinct label, ',' order by label) labels
+            from base group by 1),
+        best as (select doc_id, max(share) share from met group by 1)
+        select w.doc_id, len(ws) n_words, coalesce(bases.n, 0) n_base, a first_word, z last_word,
+            coalesce(bases.labels, '') base_labels, coalesce(names.labels, '') labels,
+            case when bases.n > 0 then 1.0::double else coalesce(share, 0.0::double) end score
+        from w left join bases using (doc_id) left join names using (doc_id) left join best using (doc_id)"""
+
+
+ORACLES: dict[str, str] = {
+    "op1_suffix_dedup": _suffix_dedup(),
+    "op5_quality_rules": _quality(),
+    "op6_substring_dedup": _substring_dedup(),
+    "op7_license_scan": _licenses(),
+}

@@ -192,10 +192,12 @@ def redacted(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
 
     clean = F.array_join(F.transform(F.sequence(F.lit(0), F.size(found)), piece), mark)
     all_rows = docs.select(*columns, *keys).join(known, ["muara_k1", "muara_k2"], "left")
-    new_text = F.when(found.isNull(), text).otherwise(clean)
-    out = {"text": new_text, "n_chars": F.when(found.isNull(), F.col("n_chars")).otherwise(F.length(clean)) if "n_chars" in docs.columns else None}
     kinds = dict(docs.dtypes)
-    return all_rows.select(*[out[c].cast(kinds[c]).alias(c) if out.get(c) is not None else F.col(f"`{c}`") for c in docs.columns])
+    new = all_rows.withColumn("text", F.when(found.isNull(), text).otherwise(clean))
+    if "n_chars" in docs.columns:
+        length = F.when(found.isNull(), F.col("n_chars")).otherwise(F.length("text"))
+        new = new.withColumn("n_chars", length.cast(kinds["n_chars"]))
+    return new.select(*columns)
 
 
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
