@@ -17,7 +17,7 @@ from muara.sources.documents import read_documents
 from muara.session import scratch_path
 
 HEADER = {"adm4": "35.1", "kotkab": "Kota A", "kecamatan": "Kec A", "desa": "Desa A", "provinsi": "Prov A"}
-POINT = {"datetime": "2026-01-30T04:00:00Z", "t": 28, "hu": 72, "weather_desc": "Berawan", "ws": 4.2, "wd": "E"}
+POINT = {"datetime": "2025-11-08T04:00:00Z", "t": 28, "hu": 61, "weather_desc": "Berawan", "ws": 3.7, "wd": "E"}
 
 
 def document(*points, header=HEADER, groups=None):
@@ -44,28 +44,28 @@ def parse(spark, *docs, **options):
 
 def test_point_with_utc_stamp_moves_to_local_time(spark):
     row = valid_points(parse(spark, document(POINT))).first()
-    assert row["waktu"] == datetime(2026, 1, 30, 11)
+    assert row["waktu"] == datetime(2025, 11, 8, 11)
     assert (row["adm4"], row["lokasi"], row["kabupaten"]) == ("35.1", "Kota A", "Kota A")
-    assert (row["suhu_celsius"], row["kelembapan"], row["kecepatan_angin"]) == (28.0, 72, 4.2)
+    assert (row["suhu_celsius"], row["kelembapan"], row["kecepatan_angin"]) == (28.0, 61, 3.7)
     assert (row["cuaca"], row["arah_angin"]) == ("Berawan", "E")
 
 
 def test_wallclock_mode_drops_the_offset(spark):
-    doc = document({**POINT, "datetime": "2026-04-13T10:00:00+07:00"})
-    assert valid_points(parse(spark, doc, mode="wallclock")).first()["waktu"] == datetime(2026, 4, 13, 10)
-    assert valid_points(parse(spark, doc)).first()["waktu"] == datetime(2026, 4, 13, 10)
+    doc = document({**POINT, "datetime": "2025-05-17T10:00:00+07:00"})
+    assert valid_points(parse(spark, doc, mode="wallclock")).first()["waktu"] == datetime(2025, 5, 17, 10)
+    assert valid_points(parse(spark, doc)).first()["waktu"] == datetime(2025, 5, 17, 10)
 
 
 @pytest.mark.parametrize(
     "text, expected",
     [
-        ("2026-01-30T23:30:00Z", datetime(2026, 1, 31, 6, 30)),
-        ("2026-01-30T23:30:00.987654Z", datetime(2026, 1, 31, 6, 30)),
-        ("2026-01-30T20:00:00-05:30", datetime(2026, 1, 31, 8, 30)),
-        ("2026-01-30 04:00:00+00:00", datetime(2026, 1, 30, 11)),
-        ("2026-01-30T04:00:00", datetime(2026, 1, 30, 4)),
-        ("2026-01-30T04:00", datetime(2026, 1, 30, 4)),
-        ("2026-01-30", datetime(2026, 1, 30)),
+        ("2025-11-08T23:30:00Z", datetime(2025, 11, 9, 6, 30)),
+        ("2025-11-08T23:30:00.987654Z", datetime(2025, 11, 9, 6, 30)),
+        ("2025-11-08T20:00:00-05:30", datetime(2025, 11, 9, 8, 30)),
+        ("2025-11-08 04:00:00+00:00", datetime(2025, 11, 8, 11)),
+        ("2025-11-08T04:00:00", datetime(2025, 11, 8, 4)),
+        ("2025-11-08T04:00", datetime(2025, 11, 8, 4)),
+        ("2025-11-08", datetime(2025, 11, 8)),
         ("1969-12-31T20:00:00Z", datetime(1970, 1, 1, 3)),
     ],
 )
@@ -88,7 +88,7 @@ def test_stamps_do_not_depend_on_the_session_zone(spark, zone, text, expected):
         ({"datetime": "2026-02-30T00:00:00Z"}, "datetime_invalid"),
         ({"t": "x"}, "t_invalid"),
         ({"t": {"value": 1}}, "t_invalid"),
-        ({"hu": "72.5"}, "hu_invalid"),
+        ({"hu": "61.5"}, "hu_invalid"),
         ({"ws": "fast"}, "ws_invalid"),
     ],
 )
@@ -99,9 +99,9 @@ def test_bad_points_are_rejected_with_a_reason(spark, change, reason):
 
 
 def test_numbers_as_text_and_rounded_numbers_are_cast(spark):
-    doc = document({**POINT, "t": "28.5", "hu": " 72 "}, {**POINT, "hu": 72.5}, {**POINT, "t": None, "hu": None})
+    doc = document({**POINT, "t": "28.5", "hu": " 61 "}, {**POINT, "hu": 61.5}, {**POINT, "t": None, "hu": None})
     rows = valid_points(parse(spark, doc)).orderBy("seq").collect()
-    assert [(r["suhu_celsius"], r["kelembapan"]) for r in rows] == [(28.5, 72), (28.0, 73), (None, None)]
+    assert [(r["suhu_celsius"], r["kelembapan"]) for r in rows] == [(28.5, 61), (28.0, 62), (None, None)]
 
 
 def test_missing_header_uses_the_configured_names(spark):
@@ -172,9 +172,9 @@ def test_console_form(spark):
     assert [r["adm4"] for r in chosen.collect()] == ["35.1"]
     assert [r["adm4"] for r in unknown.collect()] == ["99"]
     records = console_records(frame(spark, document(POINT, {**POINT, "datetime": "soon"})), locations(spark))
-    rows = console_envelopes(records, datetime(2026, 1, 30)).collect()
+    rows = console_envelopes(records, datetime(2025, 11, 8)).collect()
     headers = [json.loads(r["body"]) for r in rows if r["part"] == "header"]
     assert [(h["status"], h["records_count"], h["timestamp_fetched"]) for h in headers] == [
-        ("success", 2, "2026-01-30T00:00:00")
+        ("success", 2, "2025-11-08T00:00:00")
     ]
     assert len([r for r in rows if r["part"] == "record"]) == 2
