@@ -28,8 +28,10 @@ def unpack48(low: bytes, high: bytes) -> np.ndarray:
 def repeated_anchors(docs: DataFrame, buckets: int, runs_of: Callable) -> DataFrame:
     """``home, low, high``: for each document bucket, packed anchors of its texts that another text has as well.
 
-    ``docs`` has ``doc_id, text, home``; rows with a null id have no anchors. ``runs_of`` gives ``row, anchor, bytes``
-    arrays for lists of texts. Anchors that texts of one block share are settled there and go on as one entry.
+    ``docs`` has ``doc_id, text, home``; rows with a null id have no anchors. ``runs_of`` gives ``row, anchor, shape,
+    bytes`` for lists of texts; ``shape`` is a 32-bit hash of what stands around the anchor, or all zero. ``mixed``
+    has a byte for each anchor: whether it was met in several shapes. Anchors that texts of one block share are
+    settled there and go on as one entry.
     """
     nobody = 0xFFFFFFFF  # an entry that stands for texts which know already
 
@@ -39,9 +41,12 @@ def repeated_anchors(docs: DataFrame, buckets: int, runs_of: Callable) -> DataFr
         for batch in batches:
             homes = batch.column(0).to_numpy(zero_copy_only=False)
             texts = utf8(batch.column(1))
-            for row, anchor, read in runs_of(texts):
-                text_anchor = np.unique(np.rec.fromarrays([row, anchor]))
-                home.append((homes[text_anchor["f0"]].astype(np.uint32), text_anchor["f1"].astype(np.uint64)))
+            for row, anchor, shape, read in runs_of(texts):
+                order = np.lexsort((shape, anchor))
+                row, anchor, shape = row[order], anchor[order], shape[order]
+                new = (anchor[1:] != anchor[:-1]) | (row[1:] != row[:-1]) | (shape[1:] != shape[:-1])
+                once = np.concatenate(([True], new))[: len(row)]
+                home.append((homes[row[once]].astype(np.uint32), anchor[once], shape[once]))
                 size += read
                 if size >= BLOCK:
                     yield [np.concatenate(x) for x in zip(*home, strict=True)]
@@ -52,11 +57,11 @@ def repeated_anchors(docs: DataFrame, buckets: int, runs_of: Callable) -> DataFr
     def emit(batches):
         import pyarrow as pa
 
-        names = ["bucket", "known", "low", "high", "home"]
-        kinds = [pa.int64(), pa.bool_(), pa.binary(), pa.binary(), pa.binary()]
-        for home, anchor in blocks(batches):
+        names = ["bucket", "known", "low", "high", "home", "shape"]
+        kinds = [pa.int64(), pa.bool_(), *[pa.binary()] * 4]
+        for home, anchor, shape in blocks(batches):
             order = np.argsort(anchor, kind="stable")
-            home, anchor = home[order], anchor[order]
+            home, anchor, shape = home[order], anchor[order], shape[order]
             first = np.concatenate(([True], anchor[1:] != anchor[:-1]))
             single = first & np.append(first[1:], True)
             out = []
@@ -67,32 +72,60 @@ def repeated_anchors(docs: DataFrame, buckets: int, runs_of: Callable) -> DataFr
                 rows, where, target = rows[by], where[by], target[by]
                 for low, high in equal_runs(target):
                     keys = pack48(key48(anchor[rows[low:high]]))
-                    out.append((int(target[low]), known, *keys, where[low:high].astype("<u4").tobytes()))
-            columns = list(zip(*out, strict=True)) or [()] * 5
+                    shapes = shape[rows[low:high]].astype("<u4").tobytes()
+                    out.append((int(target[low]), known, *keys, where[low:high].astype("<u4").tobytes(), shapes))
+            columns = list(zip(*out, strict=True)) or [()] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
     def meet(table):
         import pyarrow as pa
 
-        keys, homes = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint32)]
-        told_keys, told_homes = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint32)]
-        for known, low, high, home in zip(*(table.column(c).to_pylist() for c in ("known", "low", "high", "home")), strict=True):
-            (told_keys if known else keys).append(unpack48(low, high))
-            (told_homes if known else homes).append(np.frombuffer(home, "<u4"))
-        key, home = np.concatenate(keys), np.concatenate(homes)
-        order = np.argsort(key, kind="stable")
-        key, home = key[order], home[order]
-        same = key[1:] == key[:-1]
-        repeated = np.concatenate(([False], same)) | np.append(same, False) if len(key) else np.zeros(0, bool)
-        repeated &= home != nobody
-        key = np.concatenate([key[repeated], *told_keys])
-        home = np.concatenate([home[repeated], *told_homes])
-        pairs = np.unique(np.rec.fromarrays([home, key]))
-        home, key = pairs["f0"], pairs["f1"]
-        rows = [(int(home[a]), *pack48(key[a:b])) for a, b in equal_runs(home)]
-        columns = list(zip(*rows, strict=True)) or [()] * 3
-        kinds = [pa.int64(), pa.binary(), pa.binary()]
-        return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["home", "low", "high"])
-
-    packed = map_arrow(docs.where("doc_id is not null").select("home", "text"), emit, "bucket long, known boolean, low binary, high binary, home binary")
-    return packed.groupBy("bucket").applyInArrow(meet, "home long, low binary, high binary")
+        parts = [[np.zeros(0, np.uint64)], [np.zeros(0, np.uint32)], [np.zeros(0, np.uint32)], [np.zeros(0, bool)]]
+        for known, low, high, home, shape in zip(*(table.column(c).to_pylist() for c in ("known", "low", "high", "home", "shape")), strict=True):
+            key = unpack48(low, high)
+            for part, values in zip(parts, (key, np.frombuffer(home, "<u4"), np.frombuffer(shape, "<u4"), np.full(len(key), known)), strict=True):
+                part.append(values)
+        key, home, shape, known = (np.concatenate(p) for p in parts)
+        order = np.lexsort((shape, key))
+        key, home, shape, known = key[order], home[order], shape[order], known[order]
+        edges = np.array([bounds[0] for bounds in equal_runs(key)], np.int64)
+        which = np.cumsum(np.concatenate(([0], key[1:] != key[:-1])))[: len(key)]
+        if len(key):
+            # A text that knows, or a second entry beside this one, makes an anchor repeated; known rows stand for both.
+            repeated = (np.add.reduceat(~known, edges) > 1)[which]
+            several = (np.minimum.reduceat(shape, edges) < np.maximum.reduceat(shape, edges))[which]
+            told = (repeated | known) & (home != nobody)
+            key, home, several = key[told], home[told], several[told]
+        else:
+            several = np.zeros(0, bool)
+        order = np.lexsort((key, home))
+        home, key, several = home[order], key[order], several[order]
+        once = np.concatenate(([True], (home[1:] != home[:-1]) | (key[1:] != key[:-1])))[: len(home)]
+        home, key, several = home[once], key[once], several[once]
+        rows = [(int(home[a]), *pack48(key[a:b]), several[a:b].astype(np.uint8).tobytes()) for a, b in equal_runs(home)]
+        columns = list(zip(*rows, strict=True)) or [()] * 4
+        kinds = [pa.int64(), *[pa.binary()] * 3]
+        return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["home", "low", "high", "mixed"])
+
+    entry = "bucket long, known boolean, low binary, high binary, home binary, shape binary"
+    packed = map_arrow(docs.where("doc_id is not null").select("home", "text"), emit, entry)
+    return packed.groupBy("bucket").applyInArrow(meet, "home long, low binary, high binary, mixed binary")
+
+
+def answered(answers) -> tuple[np.ndarray, np.ndarray]:
+    """A bucket's anchors in order, and which of them were met in several shapes."""
+    keys, several = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint8)]
+    for low, high, flags in zip(*(answers[c].to_pylist() for c in ("low", "high", "mixed")), strict=True):
+        keys.append(unpack48(low, high))
+        several.append(np.frombuffer(flags, np.uint8))
+    key, flag = np.concatenate(keys), np.concatenate(several)
+    order = np.argsort(key, kind="stable")
+    return key[order], flag[order].astype(bool)
+
+
+def looked_up(wanted: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """The place of each key among the wanted ones; -1: not there."""
+    if not len(wanted):
+        return np.full(len(keys), -1)
+    place = np.minimum(np.searchsorted(wanted, keys), len(wanted) - 1)
+    return np.where(wanted[place] == keys, place, -1)

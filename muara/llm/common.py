@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import io
 import uuid
 import zipfile
 from pathlib import Path
@@ -33,15 +33,21 @@ _shipped: set[str] = set()
 
 
 def send_package(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application."""
+    """Send this package to the executors through the shared folder, once per application."""
     context = spark.sparkContext
     if context.applicationId not in _shipped:
-        package = Path(__file__).resolve().parents[1]
-        archive = Path(tempfile.mkdtemp(prefix="muara-code-")) / "muara.zip"
+        package, archive = Path(__file__).resolve().parents[1], io.BytesIO()
         with zipfile.ZipFile(archive, "w") as out:
             for source in sorted(package.rglob("*.py")):
                 out.write(source, source.relative_to(package.parent))
-        context.addPyFile(str(archive))
+        path = f"{shared_root(spark)}/code-{uuid.uuid4().hex}/muara.zip"
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, False)
+        try:
+            stream.write(bytearray(archive.getvalue()))
+        finally:
+            stream.close()
+        context.addPyFile(path)
         _shipped.add(context.applicationId)
 
 

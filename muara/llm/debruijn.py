@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from muara.llm.anchors import key48, repeated_anchors, unpack48
+from muara.llm.anchors import answered, key48, looked_up, repeated_anchors
 from muara.llm.common import BLANKS, buckets_for, documents, mixed, powers, send_package, sliding_min, utf8, window_hashes, word_bounds, word_hashes, write_table
 
 WINDOW, ANCHOR = 50, 15
@@ -96,7 +96,7 @@ class Runs:
 def _anchors_of(texts: list[bytes]):
     for rows, chunk in chunks(texts):
         runs = Runs(rows, chunk)
-        yield runs.row, runs.anchor, sum(map(len, chunk))
+        yield runs.row, runs.anchor, (runs.paths()[:, 0] >> np.uint64(32)).astype(np.uint32), sum(map(len, chunk))
 
 
 PATHS = (
@@ -106,15 +106,16 @@ PATHS = (
 
 
 def path_rows(docs: DataFrame, repeated: DataFrame) -> DataFrame:
-    """Paths of each document bucket, one for its smallest document; ``edges`` are the packed k-mer hashes.
+    """Paths of each document bucket, one for its smallest document.
 
+    ``edges`` are the packed k-mer hashes, where the anchor has several paths; null where all its paths are equal.
     The other places of a path in the bucket come as claims: their source is known, and ``anchor`` is null.
     """
 
     def cut(texts, answers):
         import pyarrow as pa
 
-        wanted = np.unique(np.concatenate([np.zeros(0, np.uint64), *(unpack48(a, b) for a, b in zip(answers["low"].to_pylist(), answers["high"].to_pylist(), strict=True))]))
+        wanted, several = answered(answers)
         keep = texts.filter(texts["doc_id"].is_valid()) if len(wanted) else texts.slice(0, 0)
         docs_, keys = keep["doc_id"].to_pylist(), keep["row"].to_pylist()
         home = keep["home"][0].as_py() if keep.num_rows else 0
@@ -122,16 +123,17 @@ def path_rows(docs: DataFrame, repeated: DataFrame) -> DataFrame:
         edges: dict[tuple, bytes] = {}
         for rows, chunk in chunks(utf8(keep["text"].combine_chunks())):
             runs = Runs(rows, chunk)
-            own = np.flatnonzero(np.isin(key48(runs.anchor), wanted))
+            found = looked_up(wanted, key48(runs.anchor))
+            own = np.flatnonzero(found >= 0)
             if not len(own):
                 continue
             paths, kmers = runs.paths().view(np.int64), runs.kmers()
             names = zip(runs.anchor[own].view(np.int64).tolist(), *paths[own].T.tolist(), runs.size[own].tolist(), strict=True)
-            places = zip(runs.row[own].tolist(), runs.at[own].tolist(), runs.first_word[own].tolist(), strict=True)
-            for name, (row, at, word) in zip(names, places, strict=True):
+            places = zip(runs.row[own].tolist(), runs.at[own].tolist(), runs.first_word[own].tolist(), several[found[own]].tolist(), strict=True)
+            for name, (row, at, word, branches) in zip(names, places, strict=True):
                 if name not in met:
                     met[name] = []
-                    edges[name] = kmers[word : word + name[3]].tobytes()
+                    edges[name] = kmers[word : word + name[3]].tobytes() if branches else None
                 met[name].append((docs_[row], keys[row], at))
         out = []
         for name, places in met.items():
@@ -155,16 +157,15 @@ def _place(at: str = "at"):
 def compacted(paths: DataFrame) -> DataFrame:
     """``anchor, p1, p2, size, offset, n, source``: runs of each distinct path's k-mers with one source each.
 
-    A path that is its anchor's only one is a single run. The others are edges of a branching part of the graph: each
-    is joined with its source, and edges that follow their source step by step become runs again.
+    A path that is its anchor's only one has no branch and is a single run. The others are edges of a branching part
+    of the graph: each is joined with its source, and edges that follow their source step by step become runs again.
     """
     name = ["anchor", "p1", "p2", "size"]
-    distinct = paths.groupBy(*name).agg(F.min(_place()).alias("source"), F.first("edges").alias("edges"))
-    kinds = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"))
-    known = distinct.join(kinds, "anchor")
-    whole = known.where("kinds = 1").select(*name, F.lit(0).cast("long").alias("offset"), F.col("size").cast("long").alias("n"), "source")
+    one = paths.where("edges is null").groupBy(*name).agg(F.min(_place()).alias("source"))
+    whole = one.select(*name, F.lit(0).cast("long").alias("offset"), F.col("size").cast("long").alias("n"), "source")
+    branching = paths.where("edges is not null").groupBy(*name).agg(F.min(F.struct(_place().alias("source"), "edges")).alias("m"))
     number = F.posexplode(F.transform(F.sequence(F.lit(0), F.col("size") - 1), lambda i: F.substring(F.col("edges"), i * 16 + 1, F.lit(16))))
-    apart = known.where("kinds > 1").select(*name, "source", number.alias("offset", "edge"))
+    apart = branching.select(*name, "m.source", "m.edges").select(*name, "source", number.alias("offset", "edge"))
     here = F.struct("source.doc", "source.row", "source.home", (F.col("source.at") + F.col("offset")).alias("at"))
     apart = apart.select(*name, F.col("offset").cast("long").alias("offset"), "edge", here.alias("place"))
     sources = apart.groupBy("edge").agg(F.min("place").alias("source"))
