@@ -8,7 +8,9 @@ of their bins that have room left to an exchange: these are dealt out anew, over
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -17,9 +19,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from muara.llm.common import documents, map_arrow, write_table
+from muara.llm.token_counts import LETTERS, NUMBERS, SPACES
 
-#: Words whose ids a Python worker remembers; older ones go when twice as many have been met.
-REMEMBERED_WORDS = 200_000
+# The vocabulary's pre-token pattern for lower-case text below U+0250.
+_latin = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^{SPACES}{LETTERS}{NUMBERS}]+")
+_beyond = re.compile("[^\x00-ɏ]")
+# The printable bytes of byte-level vocabularies, which stand for themselves; the others follow from 256 on.
+_printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_shown = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _printable)}
+
+#: Pre-tokens whose ids a Python worker remembers; older ones go when twice as many have been met.
+REMEMBERED = 500_000
 #: Pieces that one task packs.
 PIECES_PER_PARTITION = 50_000
 
@@ -32,42 +42,64 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-class WordIds:
-    """Ids of white-space separated words as little-endian 32-bit bytes.
+class PieceIds:
+    """Ids of whole texts as little-endian 32-bit bytes, from the remembered ids of their lower-case pre-tokens.
 
-    The vocabulary drops white space and none of its rules reaches over it, so a text's ids are those of its words
-    in turn. Only blanks that the vocabulary's pattern takes for white space cut.
+    The vocabulary's rules never reach over a pre-token, so a text's ids are those of its pre-tokens in turn. Latin
+    text is split by the pattern below; a text with code points from U+0250 on, or with a special string, goes
+    through the vocabulary whole.
     """
 
     def __init__(self, path: str):
-        self.path, self.new, self.old = path, {"": b""}, {}
-
-    def of_text(self, text: str) -> bytes:
-        words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        try:
-            return b"".join([self.new[w] for w in words])
-        except KeyError:
-            pass
+        from tokenizers import Tokenizer
+
+        self.whole = _tokenizer(path)
+        self.model = Tokenizer(self.whole.model)  # the merges alone, for what is normal and split already
+        self.new, self.old = {}, {}
+        self.specials = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+
+    def of_texts(self, texts: list[str]) -> list[bytes]:
+        small = [t.lower() for t in texts]
+        plain = [not _beyond.search(t) and not any(s in t for s in self.specials) for t in small]
+        tokens = [_latin.findall(t) if p else None for t, p in zip(small, plain, strict=True)]
+        unknown = set().union(*(t for t in tokens if t)).difference(self.new)
         missing = []
-        for word in set(words):
-            if word not in self.new:
-                known = self.old.get(word)
-                if known is None:
-                    missing.append(word)
-                else:
-                    self.new[word] = known
-        if missing:
-            for word, found in zip(missing, _tokenizer(self.path).encode_batch_fast(missing, add_special_tokens=False), strict=True):
-                self.new[word] = np.array(found.ids, "<u4").tobytes()
-        ids = b"".join([self.new[w] for w in words])
-        if len(self.new) > REMEMBERED_WORDS:
-            self.new, self.old = {"": b""}, self.new
-        return ids
+        for token in unknown:
+            known = self.old.get(token)
+            if known is None:
+                missing.append(token)
+            else:
+                self.new[token] = known
+        shown = [t if t.isascii() and t.isprintable() else t.encode().decode("latin-1").translate(_shown) for t in missing]
+        for token, found in zip(missing, self.model.encode_batch_fast(shown, add_special_tokens=False), strict=True):
+            self.new[token] = array("I", found.ids).tobytes()
+        ids = self.new.__getitem__
+        out = [b"".join(map(ids, t)) if p else self._whole(x) for x, p, t in zip(texts, plain, tokens, strict=True)]
+        if len(self.new) > REMEMBERED:
+            self.new, self.old = {}, self.new
+        return out
+
+    def _whole(self, text: str) -> bytes:
+        return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
+
+
+def _groups(batch, size: int = 1 << 20):
+    """Ids and texts of a batch, about ``size`` characters at a time."""
+    ids, texts, held = [], [], 0
+    for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        ids.append(doc)
+        texts.append(text or "")
+        held += len(texts[-1])
+        if held >= size:
+            yield ids, texts
+            ids, texts, held = [], [], 0
+    if ids:
+        yield ids, texts
 
 
 @lru_cache(maxsize=2)
-def _word_ids(path: str) -> WordIds:
-    return WordIds(path)
+def _piece_ids(path: str) -> PieceIds:
+    return PieceIds(path)
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
@@ -76,14 +108,15 @@ def pieces(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 0) ->
     def emit(batches):
         import pyarrow as pa
 
-        words, end = _word_ids(path), np.array([end_id], "<u4").tobytes()
+        known, end = _piece_ids(path), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             out: list[tuple] = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = words.of_text(text or "") + end
-                for piece, start in enumerate(range(0, len(ids) // 4, capacity)):
-                    part = ids[4 * start : 4 * (start + capacity)]
-                    out.append((doc, piece, start, len(part) // 4, zlib.crc32(part)))
+            for docs_, texts in _groups(batch):
+                for doc, ids in zip(docs_, known.of_texts(texts), strict=True):
+                    ids += end
+                    for piece, start in enumerate(range(0, len(ids) // 4, capacity)):
+                        part = ids[4 * start : 4 * (start + capacity)]
+                        out.append((doc, piece, start, len(part) // 4, zlib.crc32(part)))
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             columns = list(zip(*out, strict=True)) or [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=list(NAMES))
