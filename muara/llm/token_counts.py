@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import re
-from collections import Counter
+from collections import defaultdict
 from functools import lru_cache
+from itertools import count
 
 import numpy as np
 from pyspark import TaskContext
@@ -26,9 +27,9 @@ LATIN = (
 _latin = re.compile(LATIN)
 _beyond = re.compile("[^\x00-ɏ]")
 
-#: Text bytes of one block of documents; a block shares one list of pre-tokens.
-BLOCK_BYTES = 24_000_000
-#: Partial sums held by a task before it passes them on.
+#: Characters of text of one block of documents, and documents; a block shares one list of pre-tokens.
+BLOCK_CHARS, BLOCK_DOCUMENTS = 32_000_000, 1 << 16
+#: Partial sums that a task holds before it adds them up, and passes them on where that leaves more than half.
 HELD_SUMS = 2_000_000
 
 
@@ -79,12 +80,12 @@ def _specials(path: str) -> list[str]:
 
 
 def _blocks(batches):
-    """Lists of (id, text) of about BLOCK_BYTES; a longer text is a block of its own."""
+    """Lists of (id, text) of about BLOCK_CHARS; a longer text is a block of its own."""
     block, size = [], 0
     for batch in batches:
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             text = text or ""
-            if block and size + len(text) > BLOCK_BYTES:
+            if block and (size + len(text) > BLOCK_CHARS or len(block) == BLOCK_DOCUMENTS):
                 yield block
                 block, size = [], 0
             block.append((doc, text))
@@ -135,7 +136,7 @@ def numbered_documents(docs: DataFrame, path: str) -> DataFrame:
             texts = [text for _, text in block]
             yield pa.RecordBatch.from_pydict(
                 {
-                    "block": pa.array(np.full(len(block), (part << 32) | number, np.int64)),
+                    "block": pa.array(np.full(len(block), (part << 16) | number, np.int64)),
                     "at": pa.array(np.arange(len(block), dtype=np.int64)),
                     "doc_id": pa.array([doc for doc, _ in block], pa.int64()),
                     "n_bytes": pa.array([len(t.encode()) for t in texts], pa.int64()),
@@ -147,11 +148,28 @@ def numbered_documents(docs: DataFrame, path: str) -> DataFrame:
     return map_arrow(docs.select(F.col("doc_id").cast("long"), "text"), emit, columns)
 
 
+def _binary(lengths: np.ndarray, data: np.ndarray):
+    """An Arrow binary column from all its bytes in a row."""
+    import pyarrow as pa
+
+    offsets = np.zeros(len(lengths) + 1, np.int32)
+    np.cumsum(lengths, out=offsets[1:])
+    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def _bytes_of(column) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths and all bytes of an Arrow binary column."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    return np.diff(offsets), data
+
+
 def frequencies(docs: DataFrame, path: str) -> DataFrame:
     """Per-document pre-token frequencies, one row per block and pre-token.
 
-    ``at`` are places of documents in their block, ``times`` how often each has the pre-token. Copies of a
-    pre-token collapse before the shuffle, so a very common one has one row per block.
+    ``places`` holds three bytes for each document that has the pre-token: two for its place in the block, one for
+    how often, more than 255 times in several entries. Copies of a pre-token collapse before the shuffle, so a very
+    common one has one row per block.
     """
 
     def emit(batches):
@@ -159,66 +177,91 @@ def frequencies(docs: DataFrame, path: str) -> DataFrame:
 
         specials, part = _specials(path), TaskContext.get().partitionId()
         for number, block in enumerate(_blocks(batches)):
-            places: dict[str, list[int]] = {}
-            for at, (_, text) in enumerate(block):
-                for token, n in Counter(pre_tokens(text, path, specials)).items():
-                    places.setdefault(token, []).append((at << 32) | n)
-            names = sorted(places)
-            for low in range(0, len(names), 50_000):
-                chunk = names[low : low + 50_000]
-                packed = [np.array(places.pop(t), np.uint64) for t in chunk]
+            ids: defaultdict[str, int] = defaultdict(count().__next__)
+            met, sizes = [], []
+            for _, text in block:
+                tokens = pre_tokens(text, path, specials)
+                met += map(ids.__getitem__, tokens)
+                sizes.append(len(tokens))
+            at = np.repeat(np.arange(len(block), dtype=np.int64), sizes)
+            key, times = np.unique((np.array(met, np.int64) << 16) | at, return_counts=True)
+            del met
+            entries = -(-times // 255)
+            key, times = np.repeat(key, entries), np.repeat(times, entries)
+            last = np.cumsum(entries) - 1
+            left = times[last] - 255 * (entries - 1)
+            times = np.full(len(key), 255, np.int64)
+            times[last] = left
+            records = np.column_stack((key & 0xFF, (key >> 8) & 0xFF, times)).astype(np.uint8)
+            ends = np.searchsorted(key >> 16, np.arange(len(ids)), "right")
+            names, rows = list(ids), np.diff(ends, prepend=0)
+            for low in range(0, len(names), 100_000):
+                high = min(len(names), low + 100_000)
+                first, stop = ends[low] - rows[low], ends[high - 1]
                 yield pa.RecordBatch.from_pydict(
                     {
-                        "block": pa.array(np.full(len(chunk), (part << 32) | number, np.int64)),
-                        "token": pa.array(chunk, pa.string()),
-                        "at": pa.array([_small(p >> np.uint64(32)) for p in packed], pa.binary()),
-                        "times": pa.array([_small(p & np.uint64(0xFFFFFFFF)) for p in packed], pa.binary()),
+                        "block": pa.array(np.full(high - low, (part << 16) | number, np.int64)),
+                        "token": pa.array(names[low:high], pa.string()),
+                        "places": _binary(rows[low:high] * 3, records[first:stop]),
                     }
                 )
 
-    return map_arrow(docs.select("doc_id", "text"), emit, "block long, token string, at binary, times binary")
-
-
-def _small(values: np.ndarray) -> bytes:
-    """Whole numbers in the narrowest type, named by the first byte."""
-    kind = next(k for k in (1, 2, 4) if k == 4 or values.max(initial=0) < 1 << (8 * k))
-    return bytes([kind]) + values.astype(f"<u{kind}").tobytes()
-
-
-def _wide(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
+    return map_arrow(docs.select("doc_id", "text"), emit, "block long, token string, places binary")
 
 
 def _block_sums(rows: DataFrame) -> DataFrame:
-    """``(block, at, tokens)`` partial sums of frequency times pieces, added up inside a task first."""
+    """``block, sums``: packed (place, tokens) of frequency times pieces, added up inside a task first."""
 
-    def flush(sums):
+    def merged(keys, weights):
+        keys, back = np.unique(np.concatenate(keys), return_inverse=True)
+        total = np.zeros(len(keys), np.int64)
+        np.add.at(total, back, np.concatenate(weights))
+        return [keys], [total]
+
+    def flush(keys, weights):
         import pyarrow as pa
 
-        for block, total in sums.items():
-            at = np.flatnonzero(total)
-            yield pa.RecordBatch.from_pydict(
-                {"block": pa.array(np.full(len(at), block, np.int64)), "at": pa.array(at.astype(np.int64)), "tokens": pa.array(total[at])}
-            )
+        (key,), (weight,) = merged(keys, weights)
+        block, at = key >> 16, (key & 0xFFFF).astype("<u2")
+        cuts = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1]))).tolist()
+        packed = [at[a:b].tobytes() + weight[a:b].astype("<i8").tobytes() for a, b in zip(cuts, [*cuts[1:], len(key)], strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array(block[cuts]), pa.array(packed, pa.binary())], names=["block", "sums"])
 
     def emit(batches):
-        sums: dict[int, np.ndarray] = {}
+        keys, weights = [], []
         for batch in batches:
-            for block, at, times, pieces in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                at, n = _wide(at), _wide(times) * pieces
-                total = sums.get(block)
-                if total is None or len(total) <= at[-1]:
-                    grown = np.zeros(int(at[-1]) * 5 // 4 + 64, np.int64)
-                    if total is not None:
-                        grown[: len(total)] = total
-                    total = sums[block] = grown
-                total[at] += n
-            if sum(map(len, sums.values())) > HELD_SUMS:
-                yield from flush(sums)
-                sums = {}
-        yield from flush(sums)
-
-    return map_arrow(rows.select("block", "at", "times", "pieces"), emit, "block long, at long, tokens long")
+            if not batch.num_rows:
+                continue
+            lengths, data = _bytes_of(batch.column(1))
+            records = data.reshape(-1, 3).astype(np.int64)
+            row = np.repeat(np.arange(batch.num_rows), lengths // 3)
+            keys.append((batch.column(0).to_numpy()[row] << 16) | records[:, 0] | (records[:, 1] << 8))
+            weights.append(records[:, 2] * batch.column(2).to_numpy()[row])
+            if sum(map(len, keys)) > HELD_SUMS:
+                keys, weights = merged(keys, weights)
+                if 2 * len(keys[0]) > HELD_SUMS:
+                    yield from flush(keys, weights)
+                    keys, weights = [], []
+        if keys:
+            yield from flush(keys, weights)
+
+    return map_arrow(rows.select("block", "places", "pieces"), emit, "block long, sums binary")
+
+
+def _document_sums(own: DataFrame, sums: DataFrame) -> DataFrame:
+    """``doc_id, n_bytes, n_tokens`` of each block's documents."""
+
+    def add(documents_, parts):
+        import pyarrow as pa
+
+        total = np.zeros(1 << 16, np.int64)
+        for packed in parts["sums"].to_pylist():
+            n = len(packed) // 10
+            total[np.frombuffer(packed, "<u2", n)] += np.frombuffer(packed, "<i8", n, 2 * n)
+        tokens = total[documents_["at"].to_numpy()] + documents_["n_special"].to_numpy()
+        return pa.Table.from_arrays([documents_["doc_id"], documents_["n_bytes"], pa.array(tokens)], names=["doc_id", "n_bytes", "n_tokens"])
+
+    return own.groupBy("block").cogroup(sums.groupBy("block")).applyInArrow(add, "doc_id long, n_bytes long, n_tokens long")
 
 
 def token_counts(docs: DataFrame, path: str, limit: int = 512) -> DataFrame:
@@ -228,13 +271,8 @@ def token_counts(docs: DataFrame, path: str, limit: int = 512) -> DataFrame:
     columns are ignored.
     """
     pieces = piece_counts(distinct_pre_tokens(docs, path), path)
-    joined = frequencies(docs, path).join(pieces, "token")
-    own = numbered_documents(docs, path).withColumnRenamed("n_special", "tokens")
-    none = F.lit(None).cast("long")
-    parts = _block_sums(joined).select("block", "at", "tokens", none.alias("doc_id"), none.alias("n_bytes"))
-    total = own.unionByName(parts).groupBy("block", "at").agg(
-        F.max("doc_id").alias("doc_id"), F.max("n_bytes").alias("n_bytes"), F.sum("tokens").alias("n_tokens")
-    )
+    sums = _block_sums(frequencies(docs, path).join(pieces, "token"))
+    total = _document_sums(numbered_documents(docs, path), sums)
     return total.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
 
