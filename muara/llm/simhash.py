@@ -18,7 +18,7 @@ from muara.llm.common import documents, map_arrow, shuffle_partitions, write_tab
 from muara.llm.components import components
 
 BITS = 64
-#: Members of a variant's list that meet in one task; a longer list is cut into blocks, and every two blocks meet.
+#: Members of a variant's list that are compared in one task; a longer list is cut into blocks, and every two meet.
 BLOCK = 4096
 
 
@@ -75,59 +75,83 @@ def variants(fps: DataFrame, distance: int) -> DataFrame:
 def links(fps: DataFrame, distance: int) -> DataFrame:
     """``a, b``: links between different fingerprints, enough of them to connect all that any link connects.
 
-    Each variant's list is compared within a task, at most BLOCK by BLOCK members at a time, and gives a spanning
-    forest of its links, so that a large group of near copies gives a row for each member and list at most.
+    The rows of a variant meet in one task and give a spanning forest of their links, so that a large group of near
+    copies gives a row for each member and variant at most. A list of over BLOCK members is passed on instead, dealt
+    into blocks, and every two of its blocks meet in a task of their own.
     """
-    listed = variants(fps, distance)
-    sizes = listed.groupBy("variant").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    member = listed.join(sizes, "variant").select("variant", "fp", blocks.alias("blocks"))
+    n = shuffle_partitions(fps.sparkSession)
+    listed = variants(fps, distance).repartition(n, "variant").sortWithinPartitions("variant")
+
+    def small(batches):
+        held, long_list = [], None
+        for variant, fp, last in _lists(batches):
+            if variant == long_list:
+                yield _batch(fp, None, variant)
+                continue
+            held.append(fp)
+            if sum(map(len, held)) > BLOCK:
+                yield _batch(np.concatenate(held), None, variant)
+                held, long_list = [], variant
+            elif last:
+                members, held = np.concatenate(held), []
+                if len(members) > 1:
+                    yield _batch(*_forest(members, members[:0], distance), None)
+
+    met = write_table(map_arrow(listed, small, "a long, b long, variant long"), "simhash-lists")
+    found = met.where("variant is null").select("a", "b")
+    waiting = met.where("variant is not null").select("variant", F.col("a").alias("fp"))
+    sizes = waiting.groupBy("variant").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     home = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
-    member = member.select("variant", "fp", "blocks", home.alias("home"))
-    # A member goes to the meeting of its block with every block; one block alone is one meeting.
-    meeting = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    met = member.select("variant", "fp", "home", meeting).select(
+    member = waiting.join(sizes, "variant").select("variant", "fp", "blocks", home.alias("home"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    pairs = member.select("variant", "fp", "home", other).select(
         "variant", F.least("home", "other").alias("first"), F.greatest("home", "other").alias("second"), "home", "fp"
     )
 
-    def emit(batches):
-        import pyarrow as pa
+    def blocks(key, table):
+        first, second = key[1].as_py(), key[2].as_py()
+        fp, home = table["fp"].to_numpy().view(np.uint64), table["home"].to_numpy()
+        left, right = (fp, fp[:0]) if first == second else (fp[home == first], fp[home == second])
+        return _table(*_forest(left, right, distance))
 
-        for key, home, fp in _groups(batches):
-            first, second = key[1], key[2]
-            if first == second:
-                a, b = _forest(fp, np.zeros(0, np.uint64), distance)
-            else:
-                a, b = _forest(fp[home == first], fp[home == second], distance)
-            if len(a):
-                yield pa.RecordBatch.from_pydict({"a": a.view(np.int64), "b": b.view(np.int64)})
+    large = pairs.groupBy("variant", "first", "second").applyInArrow(blocks, "a long, b long")
+    return found.unionByName(large).distinct()
 
-    n = shuffle_partitions(fps.sparkSession)
-    keys = ["variant", "first", "second"]
-    return map_arrow(met.repartition(n, *keys).sortWithinPartitions(*keys), emit, "a long, b long").distinct()
+
+def _batch(a: np.ndarray, b: np.ndarray | None, variant: int | None):
+    import pyarrow as pa
+
+    columns = [a.view(np.int64), pa.nulls(len(a), pa.int64()) if b is None else b.view(np.int64)]
+    named = pa.nulls(len(a), pa.int64()) if variant is None else np.full(len(a), variant, np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(c) if isinstance(c, np.ndarray) else c for c in (*columns, named)], names=["a", "b", "variant"])
+
+
+def _table(a: np.ndarray, b: np.ndarray):
+    import pyarrow as pa
+
+    return pa.table({"a": a.view(np.int64), "b": b.view(np.int64)})
 
 
-def _groups(batches):
-    """Runs of rows with equal (variant, first, second) in sorted batches; a run may span batches."""
-    held: tuple | None = None
+def _lists(batches):
+    """``variant, members, last`` of sorted batches, lists of one member left out; a list may come in parts."""
+    held_variant, held = None, None
     for batch in batches:
         if not batch.num_rows:
             continue
-        columns = [batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in ("variant", "first", "second", "home", "fp")]
-        cut = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns[:3]], axis=0)) + 1
-        bounds = [0, *cut.tolist(), batch.num_rows]
-        for low, high in zip(bounds, bounds[1:], strict=False):
-            key = tuple(int(c[low]) for c in columns[:3])
-            home, fp = columns[3][low:high], columns[4][low:high].astype(np.int64).view(np.uint64)
-            if held and held[0] == key:
-                held[1].append(home)
-                held[2].append(fp)
-            else:
-                if held:
-                    yield held[0], np.concatenate(held[1]), np.concatenate(held[2])
-                held = (key, [home], [fp])
-    if held:
-        yield held[0], np.concatenate(held[1]), np.concatenate(held[2])
+        fp = batch.column(batch.schema.get_field_index("fp")).to_numpy().view(np.uint64)
+        variant = batch.column(batch.schema.get_field_index("variant")).to_numpy()
+        cuts = np.concatenate(([0], np.flatnonzero(variant[1:] != variant[:-1]) + 1, [len(variant)]))
+        sizes = np.diff(cuts)
+        # The first list may go on from the batch before, the last one into the next.
+        wanted = np.flatnonzero(sizes > 1)
+        wanted = np.unique(np.concatenate((wanted, [0, len(sizes) - 1])))
+        for k in wanted.tolist():
+            name, members = int(variant[cuts[k]]), fp[cuts[k] : cuts[k + 1]]
+            if held is not None:
+                yield held_variant, held, name != held_variant
+            held_variant, held = name, members
+    if held is not None:
+        yield held_variant, held, True
 
 
 def _forest(left: np.ndarray, right: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
