@@ -13,6 +13,51 @@ from muara.llm.common import equal_runs, map_arrow, utf8
 BLOCK = 16 << 20
 
 
+def packed_texts(docs: DataFrame) -> DataFrame:
+    """``home, packed``: the texts of each document bucket, those of one batch compressed together.
+
+    ``docs`` has ``doc_id, text, row, home``. Read by ``unpacked_texts``; a null text comes back empty.
+    """
+
+    def emit(batches):
+        import pyarrow as pa
+        import zstandard
+
+        squeeze = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            doc, text, row, home = batch.columns
+            texts = utf8(text)
+            homes = home.to_numpy()
+            order = np.argsort(homes, kind="stable")
+            known, ids = np.array([d.is_valid for d in doc]), np.array([d or 0 for d in doc.to_pylist()], "<i8")
+            rows, out = row.to_numpy(), ([], [])
+            for low, high in equal_runs(homes[order]):
+                part = order[low:high]
+                own = [texts[k] for k in part.tolist()]
+                numbers = np.column_stack((known[part], ids[part], rows[part], [len(t) for t in own])).astype("<i8")
+                out[0].append(int(homes[part[0]]))
+                out[1].append(squeeze(np.array([len(own)], "<i8").tobytes() + numbers.tobytes() + b"".join(own)))
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary())], names=["home", "packed"])
+
+    return map_arrow(docs.select("doc_id", "text", "row", "home"), emit, "home long, packed binary")
+
+
+def unpacked_texts(table) -> tuple[list[int | None], list[int], list[bytes]]:
+    """Ids, row keys and texts of a document bucket, in the order of row keys."""
+    import zstandard
+
+    found = []
+    for packed in table["packed"].to_pylist():
+        raw = zstandard.ZstdDecompressor().decompress(packed)
+        n = int(np.frombuffer(raw, "<i8", 1)[0])
+        numbers, at = np.frombuffer(raw, "<i8", 4 * n, 8).reshape(n, 4).tolist(), 8 + 32 * n
+        for known, doc, row, size in numbers:
+            found.append((row, doc if known else None, raw[at : at + size]))
+            at += size
+    found.sort(key=lambda x: x[0])
+    return [d for _, d, _ in found], [r for r, _, _ in found], [t for _, _, t in found]
+
+
 def key48(anchor: np.ndarray) -> np.ndarray:
     return anchor >> np.uint64(16)
 
@@ -25,6 +70,10 @@ def unpack48(low: bytes, high: bytes) -> np.ndarray:
     return np.frombuffer(low, "<u4").astype(np.uint64) | (np.frombuffer(high, "<u2").astype(np.uint64) << np.uint64(32))
 
 
+def _by_key(key: np.ndarray, shape: np.ndarray) -> np.ndarray:
+    return np.lexsort((shape, key)) if shape.any() else np.argsort(key, kind="stable")
+
+
 def repeated_anchors(docs: DataFrame, buckets: int, runs_of: Callable) -> DataFrame:
     """``home, low, high``: for each document bucket, packed anchors of its texts that another text has as well.
 
@@ -42,7 +91,7 @@ def repeated_anchors(docs: DataFrame, buckets: int, runs_of: Callable) -> DataFr
             homes = batch.column(0).to_numpy(zero_copy_only=False)
             texts = utf8(batch.column(1))
             for row, anchor, shape, read in runs_of(texts):
-                order = np.lexsort((shape, anchor))
+                order = _by_key(anchor, shape)
                 row, anchor, shape = row[order], anchor[order], shape[order]
                 new = (anchor[1:] != anchor[:-1]) | (row[1:] != row[:-1]) | (shape[1:] != shape[:-1])
                 once = np.concatenate(([True], new))[: len(row)]
@@ -86,7 +135,7 @@ def repeated_anchors(docs: DataFrame, buckets: int, runs_of: Callable) -> DataFr
             for part, values in zip(parts, (key, np.frombuffer(home, "<u4"), np.frombuffer(shape, "<u4"), np.full(len(key), known)), strict=True):
                 part.append(values)
         key, home, shape, known = (np.concatenate(p) for p in parts)
-        order = np.lexsort((shape, key))
+        order = _by_key(key, shape)
         key, home, shape, known = key[order], home[order], shape[order], known[order]
         edges = np.array([bounds[0] for bounds in equal_runs(key)], np.int64)
         which = np.cumsum(np.concatenate(([0], key[1:] != key[:-1])))[: len(key)]

@@ -20,8 +20,8 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from muara.llm.anchors import answered, key48, looked_up, repeated_anchors
-from muara.llm.common import BLANKS, buckets_for, documents, mixed, powers, send_package, sliding_min, utf8, window_hashes, word_bounds, word_hashes, write_table
+from muara.llm.anchors import answered, key48, looked_up, packed_texts, repeated_anchors, unpacked_texts
+from muara.llm.common import BLANKS, buckets_for, documents, mixed, powers, send_package, sliding_min, window_hashes, word_bounds, word_hashes, write_table
 
 WINDOW, ANCHOR = 50, 15
 #: k-mers of one path at most.
@@ -116,12 +116,17 @@ def path_rows(docs: DataFrame, repeated: DataFrame) -> DataFrame:
         import pyarrow as pa
 
         wanted, several = answered(answers)
-        keep = texts.filter(texts["doc_id"].is_valid()) if len(wanted) else texts.slice(0, 0)
-        docs_, keys = keep["doc_id"].to_pylist(), keep["row"].to_pylist()
-        home = keep["home"][0].as_py() if keep.num_rows else 0
+        docs_, keys, data, home = [], [], [], 0
+        if len(wanted) and texts.num_rows:
+            home = texts["home"][0].as_py()
+            for doc, key, text in zip(*unpacked_texts(texts), strict=True):
+                if doc is not None:
+                    docs_.append(doc)
+                    keys.append(key)
+                    data.append(text)
         met: dict[tuple, list] = {}
         edges: dict[tuple, bytes] = {}
-        for rows, chunk in chunks(utf8(keep["text"].combine_chunks())):
+        for rows, chunk in chunks(data):
             runs = Runs(rows, chunk)
             found = looked_up(wanted, key48(runs.anchor))
             own = np.flatnonzero(found >= 0)
@@ -157,25 +162,41 @@ def _place(at: str = "at"):
 def compacted(paths: DataFrame) -> DataFrame:
     """``anchor, p1, p2, size, offset, n, source``: runs of each distinct path's k-mers with one source each.
 
-    A path that is its anchor's only one has no branch and is a single run. The others are edges of a branching part
-    of the graph: each is joined with its source, and edges that follow their source step by step become runs again.
+    Every path is a run with the smallest document that has all of it. Where an anchor has several paths, the graph
+    branches: their edges are joined with their sources, the smallest documents that have these edges, and edges that
+    follow a smaller source step by step become runs too. A path's smallest place names it; edges that one path alone
+    has are their own source and end there.
     """
     name = ["anchor", "p1", "p2", "size"]
-    one = paths.where("edges is null").groupBy(*name).agg(F.min(_place()).alias("source"))
-    whole = one.select(*name, F.lit(0).cast("long").alias("offset"), F.col("size").cast("long").alias("n"), "source")
+    one = paths.groupBy(*name).agg(F.min(_place()).alias("source"))
+    whole = one.select(*name, F.lit(0).alias("offset"), F.col("size").alias("n"), "source")
     branching = paths.where("edges is not null").groupBy(*name).agg(F.min(F.struct(_place().alias("source"), "edges")).alias("m"))
+    branching = write_table(branching.select(*name, "m.source", "m.edges"), "branching-paths")
     number = F.posexplode(F.transform(F.sequence(F.lit(0), F.col("size") - 1), lambda i: F.substring(F.col("edges"), i * 16 + 1, F.lit(16))))
-    apart = branching.select(*name, "m.source", "m.edges").select(*name, "source", number.alias("offset", "edge"))
-    here = F.struct("source.doc", "source.row", "source.home", (F.col("source.at") + F.col("offset")).alias("at"))
-    apart = apart.select(*name, F.col("offset").cast("long").alias("offset"), "edge", here.alias("place"))
-    sources = apart.groupBy("edge").agg(F.min("place").alias("source"))
-    followed = apart.join(sources, "edge").select(*name, "offset", "source", (F.col("source.at") - F.col("offset")).alias("diagonal"))
-    line = [*name, "source.doc", "source.row", "diagonal"]
+    apart = branching.select("source", number.alias("offset", "edge")).select(
+        F.conv(F.hex(F.substring("edge", 1, 8)), 16, -10).cast("long").alias("e1"),
+        F.conv(F.hex(F.substring("edge", 9, 8)), 16, -10).cast("long").alias("e2"),
+        F.struct("source.doc", "source.row", "source.home", (F.col("source.at") + F.col("offset")).alias("at")).alias("place"),
+        "offset",
+    )
+    sources = apart.groupBy("e1", "e2").agg(F.min("place").alias("source"), F.count(F.lit(1)).alias("times")).where("times > 1")
+    followed = apart.join(sources, ["e1", "e2"]).where("source.doc < place.doc").select(
+        F.col("place.row").alias("row"),
+        (F.col("place.at") - F.col("offset")).alias("at"),
+        "offset",
+        F.col("source.doc").alias("doc"),
+        F.col("source.row").alias("source_row"),
+        F.col("source.home").alias("home"),
+        (F.col("source.at") - F.col("offset")).alias("diagonal"),
+    )
+    line = ["row", "at", "doc", "source_row", "home", "diagonal"]
     rank = F.row_number().over(Window.partitionBy(*line).orderBy("offset"))
-    runs = followed.withColumn("island", F.col("offset") - rank).groupBy(*name, "source.doc", "source.row", "source.home", "diagonal", "island")
-    runs = runs.agg(F.min("offset").alias("offset"), F.count(F.lit(1)).alias("n"))
-    source = F.struct("doc", "row", "home", (F.col("diagonal") + F.col("offset")).alias("at"))
-    return whole.unionByName(runs.select(*name, "offset", "n", source.alias("source")))
+    runs = followed.withColumn("island", F.col("offset") - rank).groupBy(*line, "island")
+    runs = runs.agg(F.min("offset").alias("offset"), F.count(F.lit(1)).cast("int").alias("n"))
+    source = F.struct("doc", F.col("source_row").alias("row"), "home", (F.col("diagonal") + F.col("offset")).alias("at"))
+    own = branching.select(*name, F.col("source.row").alias("row"), F.col("source.at").alias("at"))
+    found = runs.withColumn("origin", source).join(own, ["row", "at"]).select(*name, "offset", "n", F.col("origin").alias("source"))
+    return whole.unionByName(found)
 
 
 def long_spans(paths: DataFrame) -> DataFrame:
@@ -213,7 +234,7 @@ def source_digests(docs: DataFrame, spans: DataFrame) -> DataFrame:
         import pyarrow as pa
 
         by_row: dict[int, list] = {}
-        for row, text in zip(texts["row"].to_pylist(), utf8(texts["text"].combine_chunks()), strict=True):
+        for _, row, text in zip(*unpacked_texts(texts), strict=True):
             by_row.setdefault(row, text)
         wanted: dict[int, list] = {}
         for ask in asked.to_pylist():
@@ -241,8 +262,9 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     buckets = buckets_for(docs, BUCKET_MB)
     row = F.xxhash64("doc_id", "text")
     rows = docs.select(F.col("doc_id").cast("long"), "text").withColumn("row", row).withColumn("home", F.pmod("row", F.lit(buckets)))
-    paths = write_table(path_rows(rows, repeated_anchors(rows, buckets, _anchors_of)), "paths")
-    verified = source_digests(rows, long_spans(paths))
+    texts = packed_texts(rows)
+    paths = write_table(path_rows(texts, repeated_anchors(rows, buckets, _anchors_of)), "paths")
+    verified = source_digests(texts, long_spans(paths))
 
     def cut(texts, spans):
         import pyarrow as pa
@@ -251,7 +273,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
         for span in spans.to_pylist():
             by_row.setdefault(span["row"], []).append((span["at"], span["n"], span["digest"]))
         out: dict[str, list] = {"n_words": [], "n_removed": [], "kept_sha256": [], "kept": []}
-        for key, text in zip(texts["row"].to_pylist(), utf8(texts["text"].combine_chunks()), strict=True):
+        ids, row_keys, data = unpacked_texts(texts)
+        for key, text in zip(row_keys, data, strict=True):
             words = text.split()
             kept, at = [], 0
             found = sorted(by_row.get(key, ()))
@@ -266,10 +289,10 @@ def without_repeats(docs: DataFrame) -> DataFrame:
                 out[name].append(value)
         kinds = [pa.int64(), pa.int64(), pa.string(), pa.binary()]
         columns = [pa.array(v, k) for v, k in zip(out.values(), kinds, strict=True)]
-        return pa.Table.from_arrays([texts["doc_id"].combine_chunks().cast(pa.int64()), *columns], names=["doc_id", *out])
+        return pa.Table.from_arrays([pa.array(ids, pa.int64()), *columns], names=["doc_id", *out])
 
     columns = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept binary"
-    return rows.groupBy("home").cogroup(verified.groupBy("home")).applyInArrow(cut, columns)
+    return texts.groupBy("home").cogroup(verified.groupBy("home")).applyInArrow(cut, columns)
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
