@@ -76,9 +76,11 @@ class Runs:
         self.anchor = mixed(least[begin])
 
     def kmers(self) -> np.ndarray:
-        """Two hashes of every k-mer of the chunk, from differently salted word hashes."""
+        """Twelve bytes for every k-mer of the chunk: hashes of 64 and 32 bits from differently salted word hashes."""
         other = word_hashes(self.data, self.starts, self.ends, 1)
-        return np.column_stack((window_hashes(self.hashes, WINDOW), window_hashes(other, WINDOW)))
+        out = np.empty(max(0, len(self.hashes) - WINDOW + 1), [("a", "<u8"), ("b", "<u4")])
+        out["a"], out["b"] = window_hashes(self.hashes, WINDOW), window_hashes(other, WINDOW) >> np.uint64(32)
+        return out
 
     def paths(self) -> np.ndarray:
         """Two hashes of each run's words."""
@@ -172,10 +174,10 @@ def compacted(paths: DataFrame) -> DataFrame:
     whole = one.select(*name, F.lit(0).alias("offset"), F.col("size").alias("n"), "source")
     branching = paths.where("edges is not null").groupBy(*name).agg(F.min(F.struct(_place().alias("source"), "edges")).alias("m"))
     branching = write_table(branching.select(*name, "m.source", "m.edges"), "branching-paths")
-    number = F.posexplode(F.transform(F.sequence(F.lit(0), F.col("size") - 1), lambda i: F.substring(F.col("edges"), i * 16 + 1, F.lit(16))))
+    number = F.posexplode(F.transform(F.sequence(F.lit(0), F.col("size") - 1), lambda i: F.substring(F.col("edges"), i * 12 + 1, F.lit(12))))
     apart = branching.select("source", number.alias("offset", "edge")).select(
         F.conv(F.hex(F.substring("edge", 1, 8)), 16, -10).cast("long").alias("e1"),
-        F.conv(F.hex(F.substring("edge", 9, 8)), 16, -10).cast("long").alias("e2"),
+        F.conv(F.hex(F.substring("edge", 9, 4)), 16, 10).cast("long").alias("e2"),
         F.struct("source.doc", "source.row", "source.home", (F.col("source.at") + F.col("offset")).alias("at")).alias("place"),
         "offset",
     )
