@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import os
 import re
-from collections import defaultdict
+from array import array
+from collections import defaultdict, deque
 from functools import lru_cache
 from itertools import count
 
@@ -80,14 +81,14 @@ def _specials(path: str) -> list[str]:
 
 
 def _blocks(batches):
-    """Lists of (id, text) of about BLOCK_CHARS; a longer text is a block of its own."""
-    block, size = [], 0
+    """Queues of (id, text) of about BLOCK_CHARS; a longer text is a block of its own."""
+    block, size = deque(), 0
     for batch in batches:
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             text = text or ""
             if block and (size + len(text) > BLOCK_CHARS or len(block) == BLOCK_DOCUMENTS):
                 yield block
-                block, size = [], 0
+                block, size = deque(), 0
             block.append((doc, text))
             size += len(text)
     if block:
@@ -178,14 +179,15 @@ def frequencies(docs: DataFrame, path: str) -> DataFrame:
         specials, part = _specials(path), TaskContext.get().partitionId()
         for number, block in enumerate(_blocks(batches)):
             ids: defaultdict[str, int] = defaultdict(count().__next__)
-            met, sizes = [], []
-            for _, text in block:
-                tokens = pre_tokens(text, path, specials)
-                met += map(ids.__getitem__, tokens)
+            met, sizes = array("i"), []
+            while block:  # a text goes once it is split
+                tokens = pre_tokens(block.popleft()[1], path, specials)
+                met.extend(map(ids.__getitem__, tokens))
                 sizes.append(len(tokens))
-            at = np.repeat(np.arange(len(block), dtype=np.int64), sizes)
-            key, times = np.unique((np.array(met, np.int64) << 16) | at, return_counts=True)
+            key = np.frombuffer(met, np.int32).astype(np.int64) << 16
+            key |= np.repeat(np.arange(len(sizes), dtype=np.int64), sizes)
             del met
+            key, times = np.unique(key, return_counts=True)
             entries = -(-times // 255)
             key, times = np.repeat(key, entries), np.repeat(times, entries)
             last = np.cumsum(entries) - 1
