@@ -1,29 +1,36 @@
-"""Benchmark decontamination: rare n-gram seeds find candidate passages, Smith-Waterman alignment scores them.
-
-Of every two neighbouring n-grams of a benchmark item the one that fewer documents hold becomes a seed, so seeds are
-rare and yet cover the item: an item keeps its seeds however often its text was copied. Seeds meet the documents'
-n-grams in a join; the passage around each meeting is aligned with the item word by word, which scores copies with
-words exchanged, left out or put in.
+"""Benchmark decontamination: rare word-pair seeds find candidate passages, Smith-Waterman alignment scores them.
+
+A seed is a pair of words that stand next to each other or one word apart, on either side, so a pair outlives an edit
+within it or next to it. A copy that the threshold accepts cannot lack many pairs: with m of an item's n words matched
+and e edits the alignment scores 2m - e, at least 2tn at threshold t; two edits or more part at most e / 2 <= m - tn of
+the m - 1 neighbouring matches, so tn - 1 places of the item at least have a pair in the copy. Leaving out fewer of
+the item's most frequent places than that leaves every such copy a seed. Seeds meet the documents' pairs in a join,
+diagonal bands with enough places of an item are aligned with it word by word.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from muara.llm.common import documents, map_arrow, mixed, utf8, window_hashes, word_bounds, word_hashes, write_table
+from muara.llm.common import documents, map_arrow, mixed, utf8, word_bounds, word_hashes, write_table
 
-#: Words of a seed; a shorter item is one seed as a whole.
-SEED_WORDS = 4
-#: Neighbouring n-grams of which one becomes a seed.
-CHOICE = 2
+#: Distances of the two words of a seed; an item of fewer than PAIRED words has its single words as seeds (distance 0).
+STEPS = (1, 2)
+PAIRED = 3
+#: Places of an item that must meet a band of a document before the two are aligned, where the item's bound allows it.
+MET = 3
 #: Alignment: points for equal words, for different ones and for a word without partner.
 EQUAL, DIFFERENT, GAP = 2, -1, -1
 #: Least share of an item's full score that counts as contamination.
 THRESHOLD = 0.5
 #: Bits of the first sieve, a fixed size; what passes it wrongly is dropped by the join.
 SIEVE_BITS = 1 << 23
+#: An odd factor that tells the first word of a pair from the second.
+PAIR_FACTOR = 0xD6E8FEB86659FD93
 
 _lower = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _blank = np.array([b < 48 or 58 <= b <= 64 or 91 <= b <= 96 or 123 <= b <= 127 for b in range(256)])
@@ -38,8 +45,11 @@ class Words:
         self.starts, self.ends = word_bounds(data, _blank)
         self.hashes = word_hashes(data, self.starts, self.ends)
 
-    def grams(self, size: int) -> np.ndarray:
-        return window_hashes(self.hashes, size) ^ mixed(np.array([size], np.uint64)) if len(self.hashes) >= size else np.zeros(0, np.uint64)
+    def grams(self, step: int) -> np.ndarray:
+        """Hashes of the pairs of words ``step`` apart, the same for equal words at any step; of single words for 0."""
+        if not step:
+            return mixed(self.hashes)
+        return mixed(self.hashes[:-step] * np.uint64(PAIR_FACTOR) + self.hashes[step:])
 
     def joined(self, low: int, high: int) -> str:
         spans = zip(self.starts[low:high].tolist(), self.ends[low:high].tolist(), strict=True)
@@ -68,8 +78,12 @@ def item_table(items: DataFrame) -> DataFrame:
     return write_table(map_arrow(rows, emit, "item long, item_id long, words string, n_words long"), "items").where("n_words > 0")
 
 
-def item_grams(items: DataFrame, size: int) -> DataFrame:
-    """``item, at, gram``: every n-gram of every item."""
+def steps_of(n_words: int) -> tuple[int, ...]:
+    return STEPS if n_words >= PAIRED else (0,)
+
+
+def item_grams(items: DataFrame) -> DataFrame:
+    """``item, at, gram``: every seed candidate of every item, by the place of its first word."""
 
     def emit(batches):
         import pyarrow as pa
@@ -77,10 +91,9 @@ def item_grams(items: DataFrame, size: int) -> DataFrame:
         for batch in batches:
             for item, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), strict=True):
                 words = Words(text)
-                grams = words.grams(min(size, len(words.hashes)))
-                yield pa.RecordBatch.from_pydict(
-                    {"item": np.full(len(grams), item, np.int64), "at": np.arange(len(grams), dtype=np.int64), "gram": grams.view(np.int64)}
-                )
+                grams = [words.grams(step) for step in steps_of(len(words.hashes))]
+                at = np.concatenate([np.arange(len(g), dtype=np.int64) for g in grams])
+                yield pa.RecordBatch.from_pydict({"item": np.full(len(at), item, np.int64), "at": at, "gram": np.concatenate(grams).view(np.int64)})
 
     return map_arrow(items.select("item", "words"), emit, "item long, at long, gram long")
 
@@ -107,7 +120,7 @@ def _passing(bits: np.ndarray, grams: np.ndarray) -> np.ndarray:
     return np.flatnonzero((bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1)
 
 
-def document_frequency(docs: DataFrame, bits: np.ndarray, sizes: list[int]) -> DataFrame:
+def document_frequency(docs: DataFrame, bits: np.ndarray, steps: list[int]) -> DataFrame:
     """``gram, n``: how many documents hold each n-gram that passes the sieve; all documents are counted."""
 
     def emit(batches):
@@ -117,8 +130,8 @@ def document_frequency(docs: DataFrame, bits: np.ndarray, sizes: list[int]) -> D
             found = [np.zeros(0, np.uint64)]
             for text in utf8(batch.column(0)):
                 words = Words(text)
-                for size in sizes:
-                    grams = words.grams(size)
+                for step in steps:
+                    grams = words.grams(step)
                     found.append(np.unique(grams[_passing(bits, grams)]))
             grams, n = np.unique(np.concatenate(found), return_counts=True)
             yield pa.RecordBatch.from_pydict({"gram": grams.view(np.int64), "n": n.astype(np.int64)})
@@ -126,8 +139,8 @@ def document_frequency(docs: DataFrame, bits: np.ndarray, sizes: list[int]) -> D
     return map_arrow(docs.select("text"), emit, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
-def passages(docs: DataFrame, bits: np.ndarray, sizes: list[int], reach: int) -> DataFrame:
-    """``key, doc_id, first, words, hits``: runs of words within ``reach`` of n-grams that pass the sieve."""
+def passages(docs: DataFrame, bits: np.ndarray, steps: list[int], reach: int, least: int) -> DataFrame:
+    """``key, doc_id, first, words, hits``: words within ``reach`` of a run of ``least`` places that pass the sieve."""
 
     def emit(batches):
         import pyarrow as pa
@@ -137,8 +150,8 @@ def passages(docs: DataFrame, bits: np.ndarray, sizes: list[int], reach: int) ->
             for key, doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), utf8(batch.column(2)), strict=True):
                 words = Words(text)
                 at, grams = [], []
-                for size in sizes:
-                    own = words.grams(size)
+                for step in steps:
+                    own = words.grams(step)
                     hit = _passing(bits, own)
                     at.append(hit)
                     grams.append(own[hit])
@@ -147,8 +160,10 @@ def passages(docs: DataFrame, bits: np.ndarray, sizes: list[int], reach: int) ->
                     continue
                 order = np.argsort(at, kind="stable")
                 at, grams = at[order], grams[order].view(np.int64)
-                cuts = [0, *(np.flatnonzero(np.diff(at) > 2 * reach) + 1).tolist(), len(at)]
+                cuts = [0, *(np.flatnonzero(np.diff(at) > reach) + 1).tolist(), len(at)]
                 for low, high in zip(cuts, cuts[1:], strict=False):
+                    if 1 + np.count_nonzero(np.diff(at[low:high])) < least:
+                        continue
                     first = max(0, int(at[low]) - reach)
                     rows["key"].append(key)
                     rows["doc_id"].append(doc)
@@ -178,8 +193,9 @@ def alignment_score(item: np.ndarray, passage: np.ndarray) -> int:
     return best
 
 
-def aligned(candidates: DataFrame) -> DataFrame:
+def aligned(candidates: DataFrame, threshold: float) -> DataFrame:
     """``key, doc_id, item_id, score`` from rows of passage and item words, the passage cut around the seeds."""
+    drift = 2 * (1 - threshold)  # words put in or left out, a word of the item, that the threshold allows
 
     def emit(batches):
         import pyarrow as pa
@@ -189,7 +205,7 @@ def aligned(candidates: DataFrame) -> DataFrame:
             for row in batch.to_pylist():
                 numbers: dict[str, int] = {}
                 item = np.array([numbers.setdefault(w, len(numbers)) for w in row["item_words"].split(" ")])
-                slack = len(item) // 4 + 1
+                slack = math.ceil(drift * len(item)) + 1
                 low, high = max(0, row["low"] - slack), row["high"] + len(item) + slack
                 passage = np.array([numbers.get(w, -1) for w in row["words"].split(" ")[low:high]])
                 scores.append(alignment_score(item, passage) / (EQUAL * len(item)))
@@ -199,29 +215,45 @@ def aligned(candidates: DataFrame) -> DataFrame:
     return map_arrow(candidates, emit, "key long, doc_id long, item_id long, score double")
 
 
-def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, size: int = SEED_WORDS) -> DataFrame:
+def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``key, doc_id, item_id, score``: every document and item whose best alignment reaches the threshold.
 
     ``key`` is ``xxhash64(doc_id, text)``; repeated rows give one result, and equal ids with different texts one for
     each text. Null and empty texts meet nothing. Extra columns are ignored. No items or documents: no rows.
     """
     known = item_table(items)
-    longest = known.agg(F.max("n_words")).first()[0]
+    longest, shortest = known.agg(F.max("n_words"), F.min("n_words")).first()
     if longest is None:
         return docs.sparkSession.createDataFrame([], "key long, doc_id long, item_id long, score double")
-    sizes = sorted(r[0] for r in known.select(F.least("n_words", F.lit(size))).distinct().collect())  # at most SEED_WORDS rows
-    grams = write_table(item_grams(known, size), "item-grams")
-    counted = document_frequency(docs, sieve(grams), sizes)
-    ranked = grams.join(counted, "gram", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    rarest = F.min(F.struct("n", "at", "gram")).alias("seed")
-    seeds = ranked.groupBy("item", F.floor(F.col("at") / CHOICE).alias("pair")).agg(rarest).select("item", "seed.at", "seed.gram")
-    seeds = write_table(seeds, "seeds")
-    found = write_table(passages(docs, sieve(seeds), sizes, longest + longest // 4 + size), "passages")
+    steps = sorted({*steps_of(shortest), *steps_of(longest)})
+    grams = write_table(item_grams(known), "item-grams")
+    counted = document_frequency(docs, sieve(grams), steps)
+    ranked = grams.join(counted, "gram", "left").groupBy("item", "at").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+    # Of an item's places at least ``held`` stand in each copy; all but held - need of them, the rarest, are seeds.
+    held = F.when(F.col("n_words") < PAIRED, 1).otherwise(F.ceil(F.lit(threshold) * F.col("n_words") - 1e-9) - 1)
+    need = F.greatest(F.lit(1), F.least("held", F.lit(MET)))
+    bound = known.select("item", "n_words", held.alias("held")).withColumn("need", need)
+    places = F.when(F.col("n_words") < PAIRED, F.col("n_words")).otherwise(F.col("n_words") - 1)
+    bound = bound.withColumn("taken", places - F.greatest("held", F.lit(1)) + F.col("need"))
+    order = Window.partitionBy("item").orderBy("n", "at")  # an item's words, not the documents'
+    chosen = ranked.withColumn("rank", F.row_number().over(order)).join(bound, "item").where("rank <= taken")
+    seeds = write_table(chosen.select("item", "at", "need", "n_words").join(grams, ["item", "at"]), "seeds")
+    least = seeds.agg(F.min("need")).first()[0]
+    reach = math.ceil((3 - 2 * threshold) * longest) + max(STEPS)
+    found = write_table(passages(docs, sieve(seeds), steps, reach, least), "passages")
     met = found.select("key", "first", F.inline("hits")).join(seeds, "gram")
-    pairs = met.groupBy("key", "first", "item").agg(F.min(F.col("place") - F.col("at")).alias("low"), F.max(F.col("place") - F.col("at")).alias("high"))
-    whole = found.select("key", "doc_id", "first", "words").dropDuplicates(["key", "first"])
+    # The diagonals of a copy differ by the words put in or left out: two neighbouring bands of that width hold them.
+    width = F.ceil(F.lit(2 * (1 - threshold)) * F.col("n_words")) + 1
+    diagonal = F.col("place") - F.col("at")
+    band = F.floor(diagonal / width)
+    met = met.select("key", "first", "item", "at", "need", diagonal.alias("diagonal"), F.explode(F.array(band, band - 1)).alias("band"))
+    bands = met.groupBy("key", "first", "item", "band", "need").agg(
+        F.min("diagonal").alias("low"), F.max("diagonal").alias("high"), F.size(F.collect_set("at")).alias("n")
+    )
+    pairs = write_table(bands.where("n >= need").select("key", "first", "item", "low", "high").distinct(), "pairs")
+    whole = found.select("key", "doc_id", "first", "words").join(pairs.select("key", "first").distinct(), ["key", "first"], "left_semi")
     texts = known.select("item", "item_id", F.col("words").alias("item_words"))
-    scored = aligned(pairs.join(whole, ["key", "first"]).join(texts, "item"))
+    scored = aligned(pairs.join(whole.dropDuplicates(["key", "first"]), ["key", "first"]).join(texts, "item"), threshold)
     return scored.groupBy("key", "doc_id", "item_id").agg(F.max("score").alias("score")).where(F.col("score") >= threshold)
 
 

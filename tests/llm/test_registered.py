@@ -222,6 +222,25 @@ def test_edited_copies_are_found_and_other_texts_left(spark, folder):
     assert all(r["score"] == 1.0 for r in found if r["doc_id"] == r["item_id"])
 
 
+@pytest.mark.parametrize("every", [3, 4, 5, 6])
+def test_copies_edited_at_every_phase_are_found_whatever_else_holds_their_words(spark, folder, every):
+    items = spark.read.parquet(f"{folder}/benchmark.parquet")
+    given = {r["item_id"]: r["text"].split() for r in items.collect()}
+    docs, wanted = [(-1 - i, " ".join(ws)) for i, ws in given.items()], set()
+    for i, words in given.items():
+        for phase in range(every):
+            replaced = ["new" if k % every == phase else w for k, w in enumerate(words)]
+            added = [x for k, w in enumerate(words) for x in ([w, "new"] if k % every == phase else [w])]
+            left_out = [w for k, w in enumerate(words) if k % every != phase]
+            for edited in (replaced, added, left_out):
+                a, b = (decontaminate.Words(" ".join(ws).encode()).hashes for ws in (words, edited))
+                if decontaminate.alignment_score(a, b) >= len(a):
+                    wanted.add((len(docs), i))
+                docs.append((len(docs), f"Before this. {' '.join(edited)} After that."))
+    found = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()
+    assert wanted and wanted <= {(r["doc_id"], r["item_id"]) for r in found}
+
+
 def test_alignment_equals_the_textbook_table():
     import random
 
