@@ -1,10 +1,11 @@
 """License scans: named phrases, and an exact set-similarity join of text blocks with license templates.
 
-A block is a line of a text, as its set of words; a template meets a block that holds at least the threshold's share
-of the template's words. Words are put in the order of their frequency over the blocks of all documents, rarest
-first. A block that meets a template of t words, k of them needed, must hold one of the template's first t - k + 1
+A template meets a text where a window of consecutive words, wherever the lines break, holds at least the threshold's
+share of the template's words; the window is as long as the template and the words put in that the threshold allows.
+A block is a run of words twice as long as the longest window, and starts that far behind the one before, so each
+window lies whole in a block. Words are put in the order of their frequency over all documents, rarest first. A block that meets a template of t words, k of them needed, must hold one of the template's first t - k + 1
 words (prefix), have k words at all (length), and have enough words left behind the first one both share (position).
-Blocks that pass are compared word by word.
+Windows of blocks that pass are compared word by word.
 """
 
 from __future__ import annotations
@@ -48,8 +49,14 @@ def _words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), SEPARATORS + "+"), lambda w: w != "")
 
 
-def _blocks(text: Column) -> Column:
-    return F.transform(F.split(text, "\n"), lambda line: F.array_distinct(_words(line)))
+def span(template: str, threshold: float = THRESHOLD) -> int:
+    """Words of the windows that are compared with a template."""
+    return math.ceil(len(template.split()) / threshold - 1e-9)
+
+
+def _blocks(words: Column, longest: int) -> Column:
+    starts = F.sequence(F.lit(1), F.greatest(F.size(words), F.lit(1)), F.lit(longest))
+    return F.transform(starts, lambda i: F.slice(words, i, F.lit(2 * longest)))
 
 
 def _array(values: list[str]) -> Column:
@@ -57,29 +64,29 @@ def _array(values: list[str]) -> Column:
 
 
 def word_ranks(docs: DataFrame, templates=TEMPLATES) -> dict[str, int]:
-    """Rank of each template word by the number of blocks of all documents that hold it, rarest first.
+    """Rank of each template word by the number of documents that hold it, rarest first.
 
     One row per template word comes to the driver.
     """
     vocabulary = sorted({w for _, t in templates for w in t.split()})
-    held = F.explode(F.flatten(F.transform(_blocks(F.coalesce("text", F.lit(""))), lambda b: F.array_intersect(b, _array(vocabulary)))))
+    held = F.explode(F.array_intersect(_words(F.coalesce("text", F.lit(""))), _array(vocabulary)))
     counts = {r["word"]: r["count"] for r in docs.select(held.alias("word")).groupBy("word").count().collect()}
     return {w: i for i, w in enumerate(sorted(vocabulary, key=lambda w: (counts.get(w, 0), w)))}
 
 
 def template_table(spark: SparkSession, ranks: dict[str, int], templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """One row per template and prefix word: ``word, at, template, label, words, need``."""
+    """One row per template and prefix word: ``word, at, template, label, words, need, span``."""
     rows = []
     for number, (label, text) in enumerate(templates):
         words = sorted(set(text.split()), key=ranks.__getitem__)
         need = needed(len(words), threshold)
-        rows += [(w, at, number, label, words, need) for at, w in enumerate(words[: len(words) - need + 1])]
-    kinds = (StringType(), IntegerType(), IntegerType(), StringType(), ArrayType(StringType()), IntegerType())
-    names = ("word", "at", "template", "label", "words", "need")
+        rows += [(w, at, number, label, words, need, span(text, threshold)) for at, w in enumerate(words[: len(words) - need + 1])]
+    kinds = (StringType(), IntegerType(), IntegerType(), StringType(), ArrayType(StringType()), IntegerType(), IntegerType())
+    names = ("word", "at", "template", "label", "words", "need", "span")
     return spark.createDataFrame(rows, StructType([StructField(n, k) for n, k in zip(names, kinds, strict=True)]))
 
 
-def scanned(docs: DataFrame, prefix: list[str]) -> DataFrame:
+def scanned(docs: DataFrame, prefix: list[str], longest: int) -> DataFrame:
     """One row per document and none of its text, written to the shared folder.
 
     ``rid, doc_id, n_words, n_base, first_word, last_word, base`` (labels), and ``blocks`` that hold a prefix word.
@@ -93,6 +100,8 @@ def scanned(docs: DataFrame, prefix: list[str]) -> DataFrame:
     rest = F.split(text, pattern, -1)
     has = text.rlike(pattern)
     phrases = F.transform(found, lambda m: F.regexp_replace(F.lower(m), gap, " "))
+    words = _words(text)
+    blocks = F.filter(_blocks(words, longest), lambda b: F.arrays_overlap(b, _array(prefix)))
     rows = docs.select(
         F.monotonically_increasing_id().alias("rid"),
         F.col("doc_id").cast("long"),
@@ -100,7 +109,7 @@ def scanned(docs: DataFrame, prefix: list[str]) -> DataFrame:
         F.when(has, phrases).otherwise(F.array().cast("array<string>")).alias("phrases"),
         F.when(has, number(F.get(rest, F.lit(0)))).alias("first_word"),
         F.when(has, number(F.element_at(rest, -1))).alias("behind"),
-        F.filter(_blocks(text), lambda b: F.arrays_overlap(b, _array(prefix))).alias("blocks"),
+        F.when(F.arrays_overlap(words, _array(prefix)), blocks).alias("blocks"),
     )
     length = F.size(F.split(F.element_at("phrases", -1), " "))
     return write_table(
@@ -115,21 +124,22 @@ def similar(blocks: DataFrame, prefixes: DataFrame, ranks: dict[str, int]) -> Da
     """``rid, label, score`` for every block and template that meet, from rows of ``rid, block``."""
     order = F.create_map(*[F.lit(x) for pair in ranks.items() for x in pair])
     known = F.array_sort(F.transform(F.array_intersect("block", _array(list(ranks))), lambda w: F.struct(F.element_at(order, w).alias("rank"), w.alias("word"))))
-    sets = blocks.select("rid", F.monotonically_increasing_id().alias("nr"), known.alias("known")).where(F.size("known") > 0)
+    sets = blocks.select("rid", F.monotonically_increasing_id().alias("nr"), "block", known.alias("known")).where(F.size("known") > 0)
     each = sets.select("*", F.posexplode("known").alias("place", "entry")).withColumn("word", F.col("entry.word"))
     met = each.join(prefixes, "word")  # the templates are a fixed short list; Spark checks its size
     met = met.where(F.size("known") >= F.col("need"))  # length
     left = F.least(F.size("words") - F.col("at"), F.size("known") - F.col("place"))
-    first = met.groupBy("rid", "nr", "template").agg(F.min_by(F.struct("label", "words", "need", "known", left.alias("left")), "at").alias("m"))
+    first = met.groupBy("rid", "nr", "template").agg(F.min_by(F.struct("label", "words", "need", "span", "block", left.alias("left")), "at").alias("m"))
     first = first.select("rid", "nr", "m.*").where(F.col("left") >= F.col("need"))  # position
-    common = F.size(F.array_intersect(F.col("known.word"), F.col("words")))
+    windows = F.sequence(F.lit(1), F.greatest(F.size("block") - F.col("span") + 1, F.lit(1)))
+    common = F.array_max(F.transform(windows, lambda i: F.size(F.array_intersect(F.slice("block", i, F.col("span")), F.col("words")))))
     return first.withColumn("common", common).where("common >= need").select("rid", "label", (F.col("common") / F.size("words")).alias("score"))
 
 
 def licenses(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score`` for every row of ``docs``.
 
-    ``score`` is the largest share of a template that a block holds, one where a phrase stands, and zero where
+    ``score`` is the largest share of a template that a window of words holds, one where a phrase stands, and zero where
     neither is found. Null text counts as empty. Repeated rows and equal or null ids each keep their row. Extra
     columns are ignored.
     """
@@ -137,7 +147,7 @@ def licenses(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD)
     ranks = word_ranks(docs, templates)
     prefixes = template_table(spark, ranks, templates, threshold)
     prefix = sorted({w for _, t in templates for w in (lambda s: s[: len(s) - needed(len(s), threshold) + 1])(sorted(set(t.split()), key=ranks.__getitem__))})
-    rows = scanned(docs, prefix)
+    rows = scanned(docs, prefix, max(span(t, threshold) for _, t in templates))
     blocks = rows.select("rid", F.explode("blocks").alias("block"))
     found = similar(blocks, prefixes, ranks).groupBy("rid").agg(F.collect_set("label").alias("met"), F.max("score").alias("share"))
     named = F.create_map(*[F.lit(x) for pair in PHRASES.items() for x in pair])

@@ -184,6 +184,24 @@ def test_blocks_that_hold_enough_of_a_template_are_found(spark):
     assert rows[0]["score"] == 1.0 and 0.8 <= rows[1]["score"] < 1 and rows[2]["score"] == 0
 
 
+def test_templates_are_found_across_line_breaks_and_not_in_scattered_words(spark):
+    import random
+
+    texts = []
+    for _, template in licenses.TEMPLATES:
+        words = template.split()
+        texts += ["/*\n" + "\n".join(" * " + " ".join(words[k : k + width]) for k in range(0, len(words), width)) + "\n */" for width in (3, 5)]
+        texts += ["x " * lead + "\n".join(words) + " y" * 40 for lead in (25, 53, 54)]
+    rng = random.Random(1)
+    scattered = sorted({w for _, t in licenses.TEMPLATES for w in t.split()} - {"mit", "apache", "gnu"})
+    loose = [" ".join(f"{w} " + " ".join("x" * rng.randrange(1, 9) for _ in range(20)) for w in scattered)]
+    docs = spark.createDataFrame(list(enumerate(texts + loose)), "doc_id long, text string")
+    rows = licenses.licenses(docs).orderBy("doc_id").collect()
+    labels = [label for label, _ in licenses.TEMPLATES for _ in range(5)]
+    assert all(label in r["labels"].split(",") and r["score"] == 1.0 for label, r in zip(labels, rows, strict=False))
+    assert (rows[-1]["labels"], rows[-1]["score"]) == ("", 0.0)
+
+
 def test_random_tokens_are_reported_and_words_are_not(spark):
     import random
     import string
