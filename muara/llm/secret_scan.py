@@ -1,6 +1,7 @@
 """Secret scans: fixed patterns, and a randomness battery over tokens that no pattern names.
 
-A token is put into the narrowest encoding its characters allow. Three tests ask whether it could be a random string
+A token is put into the narrowest encoding its characters allow; one that allows none, such as a key behind the
+slashes of a path, is cut into its runs of base64, of base64url and of letters and digits, and these are tested. Three tests ask whether it could be a random string
 of that encoding: chi-squared for even use of the alphabet, runs above and below the alphabet's middle, and serial
 correlation of neighbours. Their smallest p-value, times three, is the token's. Over all tokens of the corpus, the
 Benjamini-Hochberg rule then rejects randomness within each class of encoding and length, so that of the tokens set
@@ -32,8 +33,12 @@ TOKEN = "(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}"
 
 _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Encodings, narrowest first: pattern of the whole token, alphabet in code order, least length for a report.
-#: All mix letters and digits; a run of letters alone or digits alone is a word or a number.
+#: Those beyond the first two need a digit and a letter, or letters of both cases; a run of digits is a number. Words
+#: of one case differ little from random letters, so the tests tell them apart from some 64 letters on only.
 ENCODINGS = {
+    "lower26": ("[a-z]+", _LOWER, 64),
+    "upper26": ("[A-Z]+", _UPPER, 64),
+    "letters52": ("[A-Za-z]+", _UPPER + _LOWER, 22),
     "hex": ("[0-9a-f]+", _DIGITS + "abcdef", 24),
     "upper_hex": ("[0-9A-F]+", _DIGITS + "ABCDEF", 24),
     "base32": ("[A-Z2-7]+=*", _UPPER + "234567", 24),
@@ -43,6 +48,9 @@ ENCODINGS = {
     "base64": ("[0-9A-Za-z+/]+=*", _UPPER + _LOWER + _DIGITS + "+/", 22),
     "base64url": ("[0-9A-Za-z_-]+=*", _UPPER + _LOWER + _DIGITS + "-_", 22),
 }
+ONE_CASE = ("lower26", "upper26")
+#: Runs of a token that fits no encoding.
+PARTS = {"base64": "[A-Za-z0-9+/]{20,}={0,2}", "base64url": "[A-Za-z0-9_-]{20,}={0,2}", "base62": "[A-Za-z0-9]{20,}"}
 #: Expected share of random tokens among those set aside as ordinary.
 FALSE_SHARE = 0.01
 #: p-values are rounded up to this many steps on a log scale down to FLOOR before they are ranked.
@@ -58,13 +66,40 @@ def _two_sided(z: Column) -> Column:
     return F.least(F.lit(1.0), F.lit(2.0) * _upper_tail(F.abs(z)))
 
 
-def randomness(tokens: DataFrame, column: str = "found") -> DataFrame:
-    """``tokens`` with ``encoding`` (null: none) and ``p``, the battery's p-value that the token is random."""
-    body = F.rtrim(F.col(column), F.lit("="))
+def _encoding(found: Column) -> tuple[Column, Column]:
+    """Name and alphabet of the narrowest encoding; null: none."""
     name, alphabet = F.lit(None).cast("string"), F.lit(None).cast("string")
+    mixed = found.rlike("[A-Za-z]") & (found.rlike("[0-9]") | (found.rlike("[a-z]") & found.rlike("[A-Z]")))
     for key, (pattern, letters, _) in reversed(ENCODINGS.items()):
-        fits = F.col(column).rlike(f"^{pattern}$") & F.col(column).rlike("[0-9]") & F.col(column).rlike("[A-Za-z]")
+        fits = found.rlike(f"^{pattern}$") & (F.lit(True) if key in ONE_CASE else mixed)
         name, alphabet = F.when(fits, F.lit(key)).otherwise(name), F.when(fits, F.lit(letters)).otherwise(alphabet)
+    return name, alphabet
+
+
+def in_parts(tokens: DataFrame) -> DataFrame:
+    """``rid, kind, start, stop, size, found``: tokens that fit an encoding, and the runs of the others."""
+    columns = ["rid", "kind", "start", "stop", "size", "found"]
+    fits = _encoding(F.col("found"))[0].isNotNull()
+    runs = F.concat(*[matches_of(F.col("found"), kind, pattern) for kind, pattern in PARTS.items()])
+    cut = placed(tokens.where(~fits).select(F.struct("rid", F.col("start").alias("from")).alias("token"), runs.alias("runs")), "token", "runs")
+    start, stop = (F.col("token.from") + F.col(c) for c in ("start", "stop"))
+    parts = cut.select(F.col("token.rid").alias("rid"), F.lit("random").alias("kind"), start.alias("start"), stop.alias("stop"), "size", "found")
+    return tokens.where(fits).select(*columns).unionByName(parts.distinct())
+
+
+def joined_spans(spans: DataFrame) -> DataFrame:
+    """``rid, start, stop`` of each run of overlapping spans."""
+    before = Window.partitionBy("rid").orderBy("start", "stop")
+    reach = F.max("stop").over(before.rowsBetween(Window.unboundedPreceding, -1))
+    marked = spans.withColumn("new", F.when(F.col("start") < reach, 0).otherwise(1))
+    runs = marked.withColumn("run", F.sum("new").over(before.rowsBetween(Window.unboundedPreceding, 0)))
+    return runs.groupBy("rid", "run").agg(F.min("start").alias("start"), F.max("stop").alias("stop")).drop("run")
+
+
+def randomness(tokens: DataFrame, column: str = "found") -> DataFrame:
+    """``tokens`` with ``encoding`` (null: none) and ``p``, the battery's p-value that the token is random."""
+    body = F.rtrim(F.col(column), F.lit("="))
+    name, alphabet = _encoding(F.col(column))
     rows = tokens.withColumn("encoding", name).withColumn("alphabet_", alphabet).withColumn("body_", body)
     n, k = F.length("body_").cast("double"), F.length("alphabet_").cast("double")
     rows = rows.withColumn("codes_", F.transform(characters(F.col("body_")), lambda c: F.position(c, F.col("alphabet_")) - 1))
@@ -126,18 +161,22 @@ def scanned(docs: DataFrame, also: Sequence[Column] = ()) -> DataFrame:
 
 
 def secret_spans(docs_scanned: DataFrame) -> DataFrame:
-    """``rid, kind, start, stop`` of all spans; a random token inside a pattern's span is that span's."""
+    """``rid, kind, start, stop`` of all spans; a random token inside a pattern's span is that span's.
+
+    Random parts of a token that overlap are one span.
+    """
     each = write_table(placed(docs_scanned.select("rid", "matches"), "rid", "matches"), "secret-spans")
     value = F.regexp_extract("found", ASSIGN, 2)
     fixed = each.where((F.col("kind").isin("access", "hex")) | ((F.col("kind") == "assign") & (F.length(value) >= 6)))
     least = F.lit(None).cast("int")
     for key, (_, _, size) in ENCODINGS.items():
         least = F.when(F.col("encoding") == key, F.lit(size)).otherwise(least)
-    drawn = not_rejected(randomness(each.where("kind = 'random'"))).where(F.col("size") >= least)
+    drawn = not_rejected(randomness(in_parts(each.where("kind = 'random'")))).where(F.col("size") >= least)
     f, r = fixed.alias("f"), drawn.alias("r")
     inside = (F.col("f.rid") == F.col("r.rid")) & (F.col("f.start") < F.col("r.stop")) & (F.col("r.start") < F.col("f.stop"))
     columns = ["rid", "kind", "start", "stop"]
-    return fixed.select(*columns).unionByName(r.join(f, inside, "left_anti").select(*columns))
+    own = joined_spans(r.join(f, inside, "left_anti").select("rid", "start", "stop")).withColumn("kind", F.lit("random"))
+    return fixed.select(*columns).unionByName(own.select(*columns))
 
 
 def secrets(docs: DataFrame) -> DataFrame:
@@ -175,11 +214,7 @@ def redacted(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     """
     keys = [F.xxhash64("text").alias("muara_k1"), F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(-1)).alias("muara_k2")]
     rows = scanned(docs, keys)
-    before = Window.partitionBy("rid").orderBy("start", "stop")
-    reach = F.max("stop").over(before.rowsBetween(Window.unboundedPreceding, -1))
-    spans = secret_spans(rows).withColumn("new", F.when(F.col("start") < reach, 0).otherwise(1))
-    runs = spans.withColumn("run", F.sum("new").over(before.rowsBetween(Window.unboundedPreceding, 0)))
-    runs = runs.groupBy("rid", "run").agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
+    runs = joined_spans(secret_spans(rows))
     listed = runs.groupBy("rid").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("muara_runs"))
     known = listed.join(rows.select("rid", "muara_k1", "muara_k2"), "rid").drop("rid").dropDuplicates(["muara_k1", "muara_k2"])
     columns = [F.col(f"`{c}`") for c in docs.columns]
