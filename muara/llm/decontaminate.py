@@ -6,6 +6,10 @@ and e edits the alignment scores 2m - e, at least 2tn at threshold t; two edits
 the m - 1 neighbouring matches, so tn - 1 places of the item at least have a pair in the copy. Leaving out fewer of
 the item's most frequent places than that leaves every such copy a seed. Seeds meet the documents' pairs in a join,
 diagonal bands with enough places of an item are aligned with it word by word.
+
+A share alone says little about short items, so an alignment must also be worth ENOUGH equal words, or the whole item
+if that is shorter. Items of fewer than TELLING words stand in any text: ``contaminated`` reports them, but they take
+no document away; give such a question together with its answer as one item.
 """
 
 from __future__ import annotations
@@ -27,6 +31,10 @@ MET = 3
 EQUAL, DIFFERENT, GAP = 2, -1, -1
 #: Least share of an item's full score that counts as contamination.
 THRESHOLD = 0.5
+#: Least points of an alignment, in equal words; a shorter item must stand in a document as a whole.
+ENOUGH = 8
+#: Words of the shortest item that takes a document away.
+TELLING = 5
 #: Bits of the first sieve, a fixed size; what passes it wrongly is dropped by the join.
 SIEVE_BITS = 1 << 23
 #: An odd factor that tells the first word of a pair from the second.
@@ -194,7 +202,7 @@ def alignment_score(item: np.ndarray, passage: np.ndarray) -> int:
 
 
 def aligned(candidates: DataFrame, threshold: float) -> DataFrame:
-    """``key, doc_id, item_id, score`` from rows of passage and item words, the passage cut around the seeds."""
+    """``key, doc_id, item_id, score`` of enough equal words, from rows of passage and item words, cut around the seeds."""
     drift = 2 * (1 - threshold)  # words put in or left out, a word of the item, that the threshold allows
 
     def emit(batches):
@@ -208,20 +216,23 @@ def aligned(candidates: DataFrame, threshold: float) -> DataFrame:
                 slack = math.ceil(drift * len(item)) + 1
                 low, high = max(0, row["low"] - slack), row["high"] + len(item) + slack
                 passage = np.array([numbers.get(w, -1) for w in row["words"].split(" ")[low:high]])
-                scores.append(alignment_score(item, passage) / (EQUAL * len(item)))
+                score = alignment_score(item, passage)
+                scores.append(score / (EQUAL * len(item)) if score >= EQUAL * min(len(item), ENOUGH) else 0.0)
             ids = [batch.column(batch.schema.get_field_index(c)) for c in ("key", "doc_id", "item_id")]
             yield pa.RecordBatch.from_arrays([*ids, pa.array(scores, pa.float64())], names=["key", "doc_id", "item_id", "score"])
 
     return map_arrow(candidates, emit, "key long, doc_id long, item_id long, score double")
 
 
-def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, least_words: int = 1) -> DataFrame:
     """``key, doc_id, item_id, score``: every document and item whose best alignment reaches the threshold.
 
+    It must also be worth ENOUGH equal words, or the whole item; items of fewer than ``least_words`` are not looked for.
+
     ``key`` is ``xxhash64(doc_id, text)``; repeated rows give one result, and equal ids with different texts one for
     each text. Null and empty texts meet nothing. Extra columns are ignored. No items or documents: no rows.
     """
-    known = item_table(items)
+    known = item_table(items).where(F.col("n_words") >= least_words)
     longest, shortest = known.agg(F.max("n_words"), F.min("n_words")).first()
     if longest is None:
         return docs.sparkSession.createDataFrame([], "key long, doc_id long, item_id long, score double")
@@ -258,12 +269,12 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
 
 
 def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows that hold no benchmark item, with their columns as they are."""
-    bad = contaminated(docs, items).select("key").distinct()
+    """The rows that hold no benchmark item of TELLING words or more, with their columns as they are."""
+    bad = contaminated(docs, items, least_words=TELLING).select("key").distinct()
     columns = [F.col(f"`{c}`") for c in docs.columns]
     return docs.select(*columns, _key().alias("muara_key")).join(bad, F.col("muara_key") == bad.key, "left_anti").select(*columns)
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    found = contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), least_words=TELLING)
     return found.groupBy("doc_id", "item_id").agg(F.max("score").alias("score"))

@@ -311,6 +311,16 @@ def test_no_items_short_items_and_edge_rows(spark, edge, none, folder):
     assert decontaminate.clean_documents(none, items).columns == none.columns
 
 
+def test_short_items_take_no_clean_documents_away(spark):
+    given = ["yes", "what is the name", "what is the name of this river", "where does the old stone bridge cross the river today"]
+    items = spark.createDataFrame(list(enumerate(given)), "item_id long, text string")
+    clean = ["yes it is", "so what is the name then", "the name of this river is long", "the old stone bridge is closed", "what is the name of a tree"]
+    leaked = ["say: What is the name of this river?", "so where does the old stone bridge cross our river today, they ask"]
+    docs = spark.createDataFrame(list(enumerate(clean + leaked)), "doc_id long, text string")
+    kept = decontaminate.clean_documents(docs, items).collect()
+    assert sorted(r["text"] for r in kept) == sorted(clean)
+
+
 def test_anchor_lookup():
     import numpy as np
 
