@@ -1,7 +1,7 @@
 """SQL equivalents for DuckDB, over whole tables.
 
-Operators 3, 4, 8, 9 and 10 and the pipeline need hashes, vocabularies, alignments or distributions that SQL lacks;
-``tests/llm`` holds them against plain versions. The pseudonyms of operator 2 have no SQL either.
+Operators 3, 4, 8, 9, 10 and 13 and the pipeline need hashes, vocabularies, alignments, distributions or a fitted
+model that SQL lacks; ``tests/llm`` holds them against plain versions. The pseudonyms of operator 2 have no SQL either.
 """
 
 from __future__ import annotations
@@ -92,9 +92,79 @@ def _licenses() -> str:
         from w left join bases using (doc_id) left join names using (doc_id) left join best using (doc_id)"""
 
 
+def _vector_codes(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
+    def nearest(name: str, book: str) -> str:
+        return f"""{name} as (select vec_id, part, any_value(v) v, min(list_sum(list_transform(list_zip(v, c),
+            lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint * {entries} + entry) m from p join {book} using (part) group by 1, 2)"""
+
+    steps = []
+    for k in range(rounds):
+        steps.append(nearest(f"a{k}", f"c{k}"))
+        steps.append(f"""m{k} as (select part, entry, list((s - ((s % n) + n) % n) // n order by i) c from
+            (select part, m % {entries} entry, i, sum(v[i])::bigint s, count(*) n from a{k}, lateral unnest(range(1, len(v) + 1)) u(i)
+                group by 1, 2, 3) group by 1, 2),
+            c{k + 1} as (select part, entry, coalesce(m{k}.c, c{k}.c) c from c{k} left join m{k} using (part, entry))""")
+    return f"""with kept as (select vec_id, label, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) e
+            from embeddings where embedding is not null
+                and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding)),
+        p as (select vec_id, part, e[part * (len(e) // {parts}) + 1:(part + 1) * (len(e) // {parts})] v
+            from kept, range({parts}) r(part)),
+        c0 as (select part, row_number() over (partition by part order by vec_id) - 1 entry, v c from p
+            where vec_id in (select vec_id from kept order by vec_id limit {entries})),
+        {", ".join(steps)},
+        {nearest("z", f"c{rounds}")},
+        coded as (select vec_id, string_agg(format('{{:02x}}', m % {entries}), '' order by part) code, sum(m // {entries})::bigint error
+            from z group by 1),
+        books as (select sha256(string_agg(x, ',' order by part, entry)) h from
+            (select part, entry, array_to_string(c, ',') x from c{rounds})),
+        sums as (select label, sum(error)::bigint label_error from coded join kept using (vec_id) group by 1)
+        select vec_id, code, error, label_error, h codebooks_sha256 from coded join kept using (vec_id)
+            join sums on sums.label is not distinct from kept.label, books"""
+
+
+def _crc_rows() -> list[int]:
+    """The byte table of CRC-32, from its polynomial."""
+    rows = []
+    for x in range(256):
+        for _ in range(8):
+            x = x >> 1 ^ (0xEDB88320 if x & 1 else 0)
+        rows.append(x)
+    return rows
+
+
+def _resampling(buckets: int = 10_000, percent: int = 10, least: int = 20, seed: int = 2024) -> str:
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    words = rf"regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    digit = "strpos('123456789ABCDEF', substr(h, {}, 1))"
+    return f"""with d as (select doc_id, {words} ws from documents),
+        b as (select {words} ws from benchmark),
+        v as (select distinct w from (select unnest(ws) w from d union all select unnest(ws) from b)),
+        bytes as (select w, list_transform(range(1, length(h), 2),
+            lambda i: {digit.format("i")} * 16 + {digit.format("i + 1")}) l from (select w, hex(encode(w)) h from v)),
+        t as (select {_crc_rows()}::bigint[] t),
+        crc as (select w, xor(list_reduce(list_prepend(4294967295::bigint, l::bigint[]),
+            lambda s, x: xor(t[(xor(s, x) & 255) + 1], s >> 8)), 4294967295::bigint) % {buckets} bucket from bytes, t),
+        f as (select doc_id, bucket from (select doc_id, unnest(ws) w from d) join crc using (w)),
+        s as (select bucket, count(*) s from f group by 1),
+        g as (select bucket, count(*) t from (select unnest(ws) w from b) join crc using (w) group by 1),
+        total as (select coalesce((select sum(s) from s), 0)::bigint a, coalesce((select sum(t) from g), 0)::bigint z),
+        gain as (select bucket, floor(1000 * ln((coalesce(t, 0) + 1)::double * (a + {buckets})
+            / ((s + 1)::double * (z + {buckets}))))::bigint gain from s left join g using (bucket), total),
+        weight as (select doc_id, sum(gain)::bigint weight from f join gain using (bucket) group by 1),
+        h as (select d.doc_id, len(ws)::bigint n, coalesce(weight, 0) weight,
+            ('0x' || substr(sha256('{seed}:' || d.doc_id), 1, 8))::bigint h from d left join weight using (doc_id)),
+        scored as (select doc_id, n, weight, weight + floor(-1000 * ln(-ln((h + 0.5::double) / 4294967296::double)))::bigint score from h),
+        placed as (select doc_id, row_number() over (order by score desc, doc_id) place, count(*) over () total
+            from scored where n >= {least})
+        select doc_id, n n_features, weight, score, case when place <= total * {percent} // 100 then place end "rank"
+            from scored left join placed using (doc_id)"""
+
+
 ORACLES: dict[str, str] = {
     "op1_suffix_dedup": _suffix_dedup(),
     "op5_quality_rules": _quality(),
     "op6_substring_dedup": _substring_dedup(),
     "op7_license_scan": _licenses(),
+    "op11_vector_codes": _vector_codes(),
+    "op12_resampling": _resampling(),
 }

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import xxhash
 
@@ -150,3 +152,102 @@ def secret_base(text: str | None) -> tuple:
     shown = ",".join(s for _, _, s in spans)
     count = Counter(k for _, k, _ in spans)
     return count[0], count[1], count[2], hashlib.sha256(shown.encode()).hexdigest(), shown
+
+
+def vector_rows() -> list[tuple]:
+    """(vec_id, embedding, label) with dropped, empty, short, tied, repeated, huge and extreme vectors."""
+    rng = random.Random(11)
+    vector = lambda n=32, spread=0.3: [rng.gauss(0, spread) for _ in range(n)]
+    rows = [(i, vector(), i % 3 if i % 5 else None) for i in range(90)]
+    rows += [(100, None, 1), (101, [None] * 32, 1), (102, [float("nan"), *vector(31)], 1), (103, [float("inf"), *vector(31)], 2)]
+    rows += [(104, [], 1), (105, vector(7), None), (106, vector(33), 2), (None, vector(), 1), (None, rows[3][1], None)]
+    rows += [(2, vector(), 0), (rows[4][0], rows[4][1], rows[4][2]), (107, rows[7][1], 5)]
+    rows += [(108, [3.0e6, -2.5e7, *vector(30)], 1), (-5, [-1e5 - 0.3, *vector(31)], 1)]
+    return rows
+
+
+def vector_codes(rows, parts: int = 16, entries: int = 64, rounds: int = 2):
+    """Rows (vec_id, code, error, label_error, sha256) in Python integers, one part and entry after the other."""
+    kept = [r for r in rows if r[1] is not None and all(x is not None and math.isfinite(x) for x in r[1])]
+    if not kept:
+        return []
+    step = max(1, -(-max(len(r[1]) for r in kept) // parts))
+    whole = [[math.floor(Fraction(x) * 256) for x in r[1]] + [0] * (step * parts - len(r[1])) for r in kept]
+    order = sorted(range(len(kept)), key=lambda k: (kept[k][0] is None, kept[k][0] or 0, kept[k][1]))[:entries]
+    books = [[whole[k][p * step : (p + 1) * step] for k in order] for p in range(parts)]
+
+    def nearest(v, book):
+        return min((sum((a - b) ** 2 for a, b in zip(v, c, strict=True)), e) for e, c in enumerate(book))
+
+    for _ in range(rounds):
+        for p in range(parts):
+            members = defaultdict(list)
+            for v in whole:
+                members[nearest(v[p * step : (p + 1) * step], books[p])[1]].append(v[p * step : (p + 1) * step])
+            for e, vs in members.items():
+                books[p][e] = [sum(c) // len(vs) for c in zip(*vs, strict=True)]
+    found = [[nearest(v[p * step : (p + 1) * step], books[p]) for p in range(parts)] for v in whole]
+    errors = [min(sum(d for d, _ in f), 2**63 - 1) for f in found]
+    by_label = Counter()
+    for r, e in zip(kept, errors, strict=True):
+        by_label[r[2]] += e
+    sha = hashlib.sha256(",".join(str(x) for b in books for c in b for x in c).encode()).hexdigest()
+    return [
+        (r[0], "".join(f"{e:02x}" for _, e in f), error, min(by_label[r[2]], 2**63 - 1), sha)
+        for r, f, error in zip(kept, found, errors, strict=True)
+    ]
+
+
+LOWER_WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def lower_words(text: str | None) -> list[bytes]:
+    return LOWER_WORD.findall(bytes(b + 32 if 65 <= b <= 90 else b for b in (text or "").encode()))
+
+
+def resampled(rows, target, max_words: int = 1, buckets: int = 10_000, percent: int = 10, least: int = 20, seed: int = 2024):
+    """(doc_id, n_features, weight, score, rank) with one CRC-32 for each feature."""
+
+    def hashed(text):
+        w = lower_words(text)
+        return [zlib.crc32(b" ".join(w[i : i + n])) % buckets for n in range(1, max_words + 1) for i in range(len(w) - n + 1)]
+
+    given, wanted = Counter(), Counter()
+    for _, text in rows:
+        given.update(hashed(text))
+    for text in target:
+        wanted.update(hashed(text))
+    s, t = given.total(), wanted.total()
+    gain = {b: math.floor(1000 * math.log((wanted[b] + 1) * (s + buckets) / ((given[b] + 1) * (t + buckets)))) for b in given}
+    scored = []
+    for i, text in rows:
+        h = int(hashlib.sha256(f"{seed}:{'' if i is None else i}".encode()).hexdigest()[:8], 16)
+        f = hashed(text)
+        weight = sum(gain[b] for b in f)
+        noise = math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        scored.append((i, len(f), weight, weight + noise, len(lower_words(text)) >= least))
+    able = sorted((x for x in scored if x[4]), key=lambda x: (-x[3], x[0] is None, x[0] or 0, x[2], x[1]))
+    drawn = able[: len(able) * percent // 100]
+    out = Counter((*x[:4], k + 1) for k, x in enumerate(drawn))
+    return out + Counter((*x[:4], None) for x in (Counter(scored) - Counter(drawn)).elements())
+
+
+def toxicity(text: str | None, values, bias: float, window: int, bits: int = 20, steps: int = 1 << 20) -> float:
+    """The score of one text, n-gram by n-gram."""
+    mask = 2**64 - 1
+
+    def mixed(h):
+        h = ((h ^ h >> 31) * 0xBF58476D1CE4E5B9) & mask
+        h = ((h ^ h >> 29) * 0x94D049BB133111EB) & mask
+        return h ^ h >> 32
+
+    def logit(word):
+        marked = b"<" + word + b">"
+        grams = [marked[i : i + n] for n in range(3, 7) for i in range(len(marked) - n + 1)]
+        sums = [sum(mixed(b + 77_001) * pow(0x9E3779B97F4A7C15, j, 2**64) for j, b in enumerate(g)) & mask for g in grams]
+        found = [int(values[mixed((h + len(g)) & mask) >> 64 - bits]) for h, g in zip(sums, grams, strict=True)]
+        return round(sum(found) / len(found))
+
+    x = [logit(w) for w in lower_words(text)]
+    means = [sum(x[i : i + window]) / len(x[i : i + window]) for i in range(max(1, len(x) - window + 1))] if x else [0.0]
+    return 1 / (1 + math.exp(-(max(means) / steps + bias)))
