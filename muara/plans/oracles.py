@@ -431,4 +431,19 @@ def oracle_sql() -> dict[str, str]:
             from o full join s on o.d = s.d""",
         "stream_daily_counts": "select cast(ts as date) d, event_type, count(*) n from events group by 1, 2",
         "stream_staleness": freshness_location,
+        "stream_silence": """with ticks(k, now) as (values (1, timestamp '2024-01-20 00:00:00'), (2, timestamp '2024-01-20 03:01:00'),
+                (3, timestamp '2024-01-31 00:00:00'), (4, timestamp '2024-01-31 03:01:00')),
+            seen as (select k, now, user_id, max(ts) latest from ticks
+                join events on k >= 3 or ts < timestamp '2024-01-20 00:00:00' group by all),
+            silent as (select *, date_diff('microsecond', latest, now) / 60000000.0::double age from seen)
+            select user_id, latest, min(age) age_minutes, min(now) alerted_at from silent where age > 180 group by 1, 2""",
+        "stream_rollups": """select 'hour' grain, date_trunc('hour', ts) starts, event_type, count(*) records,
+                round(avg(value), 8) as mean, min(value) low, max(value) high from events group by 1, 2, 3
+            union all select 'day', date_trunc('day', ts)::timestamp, event_type, count(*), round(avg(value), 8),
+                min(value), max(value) from events group by 1, 2, 3""",
+        "stream_late_side": """with e as (select event_id, ts >= timestamp '2024-01-20 00:00:00' early,
+                ts < max(ts) over () - interval 7 day behind from events),
+            r as (select event_id, early or not behind kept, case when behind then 2 else 0 end times_late,
+                case when early then case when behind then 0 else 2 end when behind then 0 else 1 end again from e)
+            select event_id, kept, times_late, sum(again) over ()::bigint repeats from r""",
     }

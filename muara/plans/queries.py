@@ -7,7 +7,7 @@ temperature, props.k the humidity), orders and lineitem play orders and deliveri
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,7 +43,7 @@ from muara.sources.tables import (
     table_row_counts as count_rows,
     union_all,
 )
-from muara.streaming import jobs
+from muara.streaming import jobs, late, rollups, silence
 
 AS_OF = datetime(2024, 1, 31)
 NEXT_RUN = datetime(2024, 1, 31, 1)
@@ -1072,14 +1072,14 @@ def stream_late_rows(spark: SparkSession, folder: str) -> DataFrame:
     path, events = _landed_events(spark, folder)
     out, checkpoint = scratch_path(spark, "unique"), scratch_path(spark, "stream")
     week = Settings(retention_days=7)
-    late = []
+    dropped_rows = []
     for lot in (events.where(F.col("ts") >= at(MID_MONTH)), events.where(F.col("ts") < at(MID_MONTH))):
         lot.write.mode("append").parquet(path)
         run = jobs.dedup_stream(jobs.table_stream(spark, path, events.schema), ["event_id"], "ts", out, checkpoint, week)
         jobs.finish(run)
-        late.append((jobs.late_rows(run),))
+        dropped_rows.append((jobs.late_rows(spark, run),))
     kept = spark.read.schema(events.schema).parquet(out).agg(F.count(F.lit(1)).alias("kept"))
-    dropped = spark.createDataFrame(late, "late bigint").agg(F.sum("late").alias("late"))
+    dropped = spark.createDataFrame(dropped_rows, "late bigint").agg(F.sum("late").alias("late"))
     return dropped.select("late", F.lit(kept.first()["kept"]).alias("kept"))
 
 
@@ -1104,3 +1104,68 @@ def stream_staleness(spark: SparkSession, folder: str) -> DataFrame:
         source = jobs.table_stream(spark, path, events.schema).withColumnRenamed("user_id", "adm4")
         jobs.finish(jobs.staleness_stream(source, "adm4", "ts", table, checkpoint, lambda batch_id: AS_OF))
     return table.read()
+
+
+@query
+def stream_silence(spark: SparkSession, folder: str) -> DataFrame:
+    """Alerts of four heartbeats: with the first days, 181 minutes later without any row, with the rest, and once more.
+
+    Every run is a new query on the same checkpoint."""
+    path, events = _landed_events(spark, folder)
+    ticks, checkpoint = scratch_path(spark, "ticks"), scratch_path(spark, "stream")
+    labels, alerts = new_table(spark, "labels"), new_table(spark, "alerts", silence.SILENT_SINCE)
+    nothing = events.limit(0)
+    lots = [
+        (events.where(F.col("ts") < at(MID_MONTH)), MID_MONTH),
+        (nothing, MID_MONTH + timedelta(minutes=181)),
+        (events.where(F.col("ts") >= at(MID_MONTH)), AS_OF),
+        (nothing, AS_OF + timedelta(minutes=181)),
+    ]
+    for lot, now in lots:
+        if lot is not nothing:
+            lot.write.mode("append").parquet(path)
+        silence.beat(spark, ticks, now)
+        source = jobs.table_stream(spark, path, events.schema)
+        run = silence.silence_stream(source, silence.heartbeats(spark, ticks), "user_id", "ts", labels, alerts, checkpoint)
+        jobs.finish(run)
+    return alerts.read().select("user_id", "latest", "age_minutes", "alerted_at")
+
+
+@query
+def stream_rollups(spark: SparkSession, folder: str) -> DataFrame:
+    """Hours and days per event type from one stream; a late heartbeat ends the last windows."""
+    path, events = _landed_events(spark, folder)
+    ticks, checkpoint = scratch_path(spark, "ticks"), scratch_path(spark, "stream")
+    tables = {grain: new_table(spark, grain, rollups.DAY) for grain in ("hour", "day")}
+    silence.beat(spark, ticks, datetime(2023, 1, 1))
+    for lot in (events.where(F.col("ts") < at(MID_MONTH)), events.where(F.col("ts") >= at(MID_MONTH)), None):
+        if lot is None:
+            silence.beat(spark, ticks, datetime(2025, 1, 1))
+        else:
+            lot.write.mode("append").parquet(path)
+        source = jobs.table_stream(spark, path, events.schema)
+        run = rollups.rollup_stream(
+            source, silence.heartbeats(spark, ticks), "event_type", "ts", "value", tables["hour"], tables["day"], checkpoint
+        )
+        jobs.finish(run)
+    both = union_all(table.read().withColumn("grain", F.lit(grain)) for grain, table in tables.items())
+    return rounded(both.select("grain", "starts", "event_type", "records", "mean", "low", "high"), mean=8)
+
+
+@query
+def stream_late_side(spark: SparkSession, folder: str) -> DataFrame:
+    """The last days land first, then all days twice, day by day in falling order: what is kept and what is late."""
+    path, events = _landed_events(spark, folder)
+    table, side = new_table(spark, "kept", late.DAY), new_table(spark, "late")
+    checkpoint, week = scratch_path(spark, "stream"), Settings(retention_days=7)
+    for lot in (events.where(F.col("ts") >= at(MID_MONTH)), events, events):
+        lot.write.mode("append").parquet(path)
+        source = jobs.table_stream(spark, path, events.schema)
+        jobs.finish(late.kept_and_late_stream(source, ["event_id"], "ts", table, side, checkpoint, settings=week))
+    told = late.balance(table, side)
+    counted = side.read().groupBy("event_id").agg(F.count(F.lit(1)).alias("times_late"))
+    rows = table.read().select("event_id", F.lit(True).alias("kept")).join(counted, "event_id", "full_outer")
+    return rows.select(
+        "event_id", F.coalesce("kept", F.lit(False)).alias("kept"), F.coalesce("times_late", F.lit(0)).alias("times_late"),
+        F.lit(told["repeats"]).cast("bigint").alias("repeats"),
+    )

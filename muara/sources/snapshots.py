@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from datetime import date
 
 from py4j.protocol import Py4JJavaError
@@ -23,6 +23,10 @@ LOAD_ID = "load_id"
 COMMITS_KEPT = 50
 
 
+#: Texts of a commit by name; a function gets the number of rows written and gives the text.
+Marks = dict[str, str | None | Callable[[int], str | None]]
+
+
 class CommitConflict(RuntimeError):
     """Another load committed first; read again and retry."""
 
@@ -51,17 +55,21 @@ class SnapshotTable:
     def exists(self) -> bool:
         return self.state()["version"] > 0
 
-    def state(self) -> dict:
+    def state(self, version: int | None = None) -> dict:
         """The newest commit: version, table id, schema, folders with their rows, rows of the last load, marks.
 
-        A folder entry is ``{"path", "value", "rows"}``; value is the partition's date as text, or null.
+        A folder entry is ``{"path", "value", "rows"}``; value is the partition's date as text, or null. An older
+        ``version`` is there as long as its commit file is kept.
         """
         fs = self._fs()
-        commits = fs.globStatus(self._path(f"{self.root}/commits/[0-9]*.json")) or []
+        name = "[0-9]*" if version is None else f"{version:012d}"
+        commits = fs.globStatus(self._path(f"{self.root}/commits/{name}.json")) or []
+        if not commits and version:
+            raise FileNotFoundError(f"version {version} of {self.root} is not kept")
         if not commits:
             return {
                 "version": 0, "table_id": uuid.uuid4().hex, "schema": None, "folders": [], "rows_written": 0,
-                "streams": {}, "copies": {},
+                "streams": {}, "copies": {}, "marks": {},
             }
         stream = fs.open(max((s.getPath() for s in commits), key=lambda path: path.getName()))
         try:
@@ -70,16 +78,18 @@ class SnapshotTable:
             stream.close()
         return json.loads(text)
 
-    def read(self, state: dict | None = None) -> DataFrame:
-        """The rows of a state, the newest by default."""
+    def read(self, state: dict | None = None, values: Iterable[date | None] | None = None) -> DataFrame:
+        """The rows of a state, the newest by default; with ``values`` only the folders of these partitions are listed."""
         state = state or self.state()
         if state["version"] == 0:
             raise FileNotFoundError(f"no committed version under {self.root}")
         schema = T.StructType.fromJson(state["schema"])
-        if not state["folders"]:
+        wanted = None if values is None else {value and value.isoformat() for value in values}
+        folders = [f for f in state["folders"] if wanted is None or f["value"] in wanted]
+        if not folders:
             return self.spark.createDataFrame([], schema)
         with_id = T.StructType([*schema.fields, T.StructField(LOAD_ID, T.StringType())])
-        paths = [f"{self.data}/{folder['path']}" for folder in state["folders"]]
+        paths = [f"{self.data}/{folder['path']}" for folder in folders]
         return (
             self.spark.read.schema(with_id)
             .option("basePath", self.data)
@@ -101,11 +111,16 @@ class SnapshotTable:
         base: dict | None = None,
         stream: tuple[str, int] | None = None,
         expected: int | None = None,
+        marks: Marks | None = None,
     ) -> int:
-        """New content for the whole table; returns the rows written."""
+        """New content for the whole table; returns the rows written.
+
+        ``marks`` are texts that the commit holds beside the rows (here and in the other writes): a commit without
+        them has none, so a mark never outlives a load that does not know it.
+        """
         base = base or self.state()
         folders, written = self._write(rows, base["version"] + 1, expected)
-        self._commit(base, rows.schema, folders, written, stream)
+        self._commit(base, rows.schema, folders, written, stream, marks=marks)
         return written
 
     def append(
@@ -114,6 +129,7 @@ class SnapshotTable:
         stream: tuple[str, int] | None = None,
         base: dict | None = None,
         withdrawn: Sequence[str] = (),
+        marks: Marks | None = None,
     ) -> int:
         """More rows of the table's columns, matched by name; a ``stream`` mark makes a repeat a no-op.
 
@@ -127,7 +143,7 @@ class SnapshotTable:
             rows = self._fitting(rows, T.StructType.fromJson(base["schema"]))
         folders, written = self._write(rows, base["version"] + 1)
         kept = [f for f in base["folders"] if f["path"] not in set(withdrawn)]
-        self._commit(base, rows.schema, kept + folders, written, stream, [f["path"] for f in folders])
+        self._commit(base, rows.schema, kept + folders, written, stream, [f["path"] for f in folders], marks)
         return written
 
     def replace_partitions(
@@ -137,10 +153,14 @@ class SnapshotTable:
         base: dict,
         stream: tuple[str, int] | None = None,
         expected: int | None = None,
+        marks: Marks | None = None,
     ) -> int:
-        """New content for the touched partitions; the other folders of ``base`` stay as they are."""
+        """New content for the touched partitions; the other folders of ``base`` stay as they are.
+
+        Rows of other partitions come to what these hold already.
+        """
         folders, written = self._write(rows, base["version"] + 1, expected)
-        self._commit(base, rows.schema, self._untouched(base, touched) + folders, written, stream)
+        self._commit(base, rows.schema, self._untouched(base, touched) + folders, written, stream, marks=marks)
         return written
 
     def drop_partitions(self, touched: Iterable[date | None], base: dict, stream: tuple[str, int] | None = None) -> None:
@@ -155,6 +175,12 @@ class SnapshotTable:
             counts[value] = counts.get(value, 0) + folder["rows"]
         return counts
 
+    def changed_partitions(self, old: dict, new: dict) -> list[date | None]:
+        """Partitions whose folders differ between two states of this table; no row is read."""
+        sides = [{(f["value"], f["path"]) for f in state["folders"]} for state in (old, new)]
+        values = {value for value, _ in sides[0] ^ sides[1]}
+        return [value and date.fromisoformat(value) for value in sorted(values, key=lambda v: v or "")]
+
     def compact(self, most_folders: int = 8) -> int:
         """Rewrite the partitions that loads have spread over more folders than this; returns how many."""
         base = self.state()
@@ -238,6 +264,7 @@ class SnapshotTable:
         written: int,
         stream: tuple[str, int] | None = None,
         new: Sequence[str] = (),
+        marks: Marks | None = None,
     ) -> None:
         version = base["version"] + 1
         streams, copies = dict(base["streams"]), dict(base["copies"])
@@ -252,6 +279,7 @@ class SnapshotTable:
             "rows_written": written,
             "streams": streams,
             "copies": copies,
+            "marks": {name: mark(written) if callable(mark) else mark for name, mark in (marks or {}).items()},
         }
         fs = self._fs()
         draft = self._path(f"{self.root}/commits/.draft-{uuid.uuid4().hex}")
@@ -299,3 +327,39 @@ class Warehouse:
         pattern = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/*/commits/[0-9]*.json")
         found = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
         return sorted({s.getPath().getParent().getParent().getName() for s in found})
+
+    def pinned(self, names: Iterable[str] | None = None, tries: int = 20) -> Pinned:
+        """The versions of these tables at one moment, all tables by default.
+
+        Each table has commits of its own. So the newest versions are read until two readings agree: all of them
+        were current together between the two.
+        """
+        names = list(self.table_names() if names is None else names)
+        before = {name: self.table(name).state() for name in names}
+        for _ in range(tries):
+            after = {name: self.table(name).state() for name in names}
+            if all(after[name]["version"] == before[name]["version"] for name in names):
+                return Pinned(self, after)
+            before = after
+        raise CommitConflict(f"tables under {self.root} changed at each of {tries} readings")
+
+
+class Pinned:
+    """Tables of a warehouse as they were at one moment, whatever is loaded later.
+
+    Files of a version stay until ``remove_unlisted`` takes those that newer versions do not list.
+    """
+
+    def __init__(self, warehouse: Warehouse, states: dict[str, dict]):
+        self.warehouse = warehouse
+        self.states = states
+
+    def table_names(self) -> list[str]:
+        return sorted(name for name, state in self.states.items() if state["version"])
+
+    def read(self, name: str) -> DataFrame:
+        return self.warehouse.table(name).read(self.states[name])
+
+    def row_counts(self) -> dict[str, int]:
+        """Rows of each table as its commit counts them; nothing is read."""
+        return {name: sum(f["rows"] for f in self.states[name]["folders"]) for name in self.table_names()}

@@ -6,12 +6,14 @@ executor memory set ``spark.sql.streaming.stateStore.providerClass`` to the Rock
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable
 from datetime import datetime
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from muara.functions.clock import from_instant, to_instant
 from muara.operators.freshness import with_age
@@ -52,7 +54,7 @@ def ingest_stream(
             stream=(name, batch_id),
         )
 
-    return _start(document_columns(source.load(landing)).writeStream.foreachBatch(apply), checkpoint)
+    return start(document_columns(source.load(landing)).writeStream.foreachBatch(apply), checkpoint)
 
 
 def table_stream(spark: SparkSession, folder: str, schema, max_files: int | None = None) -> DataFrame:
@@ -74,13 +76,14 @@ def dedup_stream(
 
     One stateful step holds each key once. ``late_rows`` tells how many rows came too late.
     """
+    counted(rows.sparkSession)
     unique = (
         rows.withColumn(EVENT_TIME, to_instant(F.col(stamp)))
         .withWatermark(EVENT_TIME, f"{settings.retention_days} days")
         .dropDuplicatesWithinWatermark(keys)
         .drop(EVENT_TIME)
     )
-    return _start(unique.writeStream.format("parquet").option("path", out), checkpoint)
+    return start(unique.writeStream.format("parquet").option("path", out), checkpoint)
 
 
 def daily_counts_stream(
@@ -108,7 +111,7 @@ def daily_counts_stream(
         table.create_if_absent(batch.schema)
         upsert(table, batch.withColumn("seq", F.lit(batch_id)), ["d", key], "seq", stream=(name, batch_id))
 
-    return _start(counts.writeStream.outputMode("update").foreachBatch(apply), checkpoint)
+    return start(counts.writeStream.outputMode("update").foreachBatch(apply), checkpoint)
 
 
 def staleness_stream(
@@ -127,23 +130,58 @@ def staleness_stream(
         wall = batch.withColumn("latest", from_instant(F.col("latest")))
         table.replace(with_age(wall, clock(batch_id), settings))
 
-    return _start(latest.writeStream.outputMode("complete").foreachBatch(apply), checkpoint)
+    return start(latest.writeStream.outputMode("complete").foreachBatch(apply), checkpoint)
 
 
-def _start(writer, checkpoint: str) -> StreamingQuery:
+class LateCounter(StreamingQueryListener):
+    """Adds up, per run, the rows that stateful operators dropped behind the watermark, batch by batch."""
+
+    def __init__(self) -> None:
+        self.late: Counter[str] = Counter()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        dropped = sum(op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
+        self.late[str(event.progress.runId)] += dropped
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+_counters: WeakKeyDictionary[SparkSession, LateCounter] = WeakKeyDictionary()
+
+
+def counted(spark: SparkSession) -> LateCounter:
+    """The session's counter, listening from the first call on."""
+    if spark not in _counters:
+        _counters[spark] = LateCounter()
+        spark.streams.addListener(_counters[spark])
+    return _counters[spark]
+
+
+def start(writer, checkpoint: str) -> StreamingQuery:
     return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def late_rows(query: StreamingQuery) -> int:
+def late_rows(spark: SparkSession, query: StreamingQuery) -> int:
     """Rows that a finished run dropped because they were older than the watermark, over all its micro-batches.
 
-    An aggregation counts them after its first, partial step.
+    An aggregation counts them after its first, partial step. The run must have been started after ``counted``, as
+    ``dedup_stream`` does; ``late.kept_and_late_stream`` keeps the rows themselves.
     """
-    return sum(op["numRowsDroppedByWatermark"] for batch in query.recentProgress for op in batch["stateOperators"])
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+    return counted(spark).late[str(query.runId)]
 
 
-def finish(query: StreamingQuery, timeout_seconds: int = 600) -> None:
-    """Wait until all available input is processed; errors of the query are raised here."""
-    if not query.awaitTermination(timeout_seconds):
+def finish(query: StreamingQuery, timeout_seconds: float | None = None) -> None:
+    """Wait until all available input is processed, or at most so long; errors of the query are raised here."""
+    if timeout_seconds is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_seconds):
         query.stop()
         raise TimeoutError(f"stream still running after {timeout_seconds} s")
