@@ -73,5 +73,8 @@ def expired_preview(fact: DataFrame, as_of: datetime, stamp: str = "waktu") -> D
     )
 
 
-def delete_expired(table: SnapshotTable, as_of: datetime, stamp: str = "waktu") -> int:
-    return delete_where(table, F.col(stamp) < at(as_of))
+def delete_expired(table: SnapshotTable, as_of: datetime, stamp: str = "waktu", day: str | None = None) -> int:
+    """Delete points of the past. ``day`` names a column that holds the date of ``stamp``, as the fact's partition
+    does; later days are then not opened."""
+    past = F.col(stamp) < at(as_of)
+    return delete_where(table, past & (F.col(day) <= F.lit(as_of.date())) if day else past)

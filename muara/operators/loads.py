@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from muara.sources.snapshots import SnapshotTable, in_partitions
+from muara.sources.snapshots import Marks, SnapshotTable, in_partitions
+
+
+class NullKeys(ValueError):
+    """A batch for a load by key has rows without a key; nothing was loaded."""
 
 
 def full_refresh(table: SnapshotTable, source: DataFrame) -> int:
@@ -74,6 +79,30 @@ def partition_values(rows: DataFrame, column: str) -> list[object]:
     return [r[0] for r in rows.select(column).distinct().collect()]
 
 
+def batch_facts(batch: DataFrame, keys: Sequence[str], partition_by: str | None) -> list[object]:
+    """The partitions a batch touches, from one scan that also refuses rows without a key."""
+    missing = F.lit(False)
+    for key in keys:
+        missing = missing | F.col(key).isNull()
+    by = [partition_by] if partition_by else []
+    found = batch.groupBy(*by).agg(F.count_if(missing).alias("missing_")).collect()
+    without = sum(r["missing_"] for r in found)
+    if without:
+        raise NullKeys(f"{without} rows have no {' or no '.join(keys)}")
+    return [r[0] for r in found] if by else []
+
+
+def holding(existing: DataFrame, batch: DataFrame, keys: Sequence[str], partition_by: str) -> list[object]:
+    """Partitions that hold a row of one of the batch's keys, wherever the batch would put it.
+
+    Only the keys and the partition are read. The batch's keys are the build side: Spark broadcasts them or their
+    Bloom filter while they are small, so the target's keys are not shuffled.
+    """
+    wanted = batch.select(*keys).distinct()
+    met = existing.select(*keys, partition_by).join(wanted, list(keys), "left_semi")
+    return [r[0] for r in met.select(partition_by).distinct().collect()]
+
+
 def upsert(
     table: SnapshotTable,
     batch: DataFrame,
@@ -81,38 +110,50 @@ def upsert(
     seq: str,
     first_kept: Sequence[str] = (),
     stream: tuple[str, int] | None = None,
+    partition_follows: bool = False,
+    marks: Marks | None = None,
 ) -> None:
-    """Insert or update by key; only the date partitions the batch touches are read and written again.
+    """Insert or update by key; a key may move to another partition, and is gone from the one it was in.
 
-    The batch is scanned twice (touched dates, then merge), so stage one that is costly to compute. A
+    Partitions that hold a key of the batch are rewritten, rows of new keys come to the others as they are. With
+    ``partition_follows`` the partition is known to be the same for every row of a key, and the partitions of the
+    batch are all there is to look at; this spares a scan of the target's keys. A batch with a null key is refused.
+
+    The batch is scanned more than once (keys and dates, then merge), so stage one that is costly to compute. A
     ``stream`` mark (name, batch id) makes a repeated micro-batch a no-op.
     """
     base = table.state()
     if stream and base["streams"].get(stream[0], -1) >= stream[1]:
         return
     existing = table.read(base)
+    touched = batch_facts(batch, keys, table.partition_by)
     if table.partition_by is None:
         merged = latest_per_key(existing, batch, keys, seq, first_kept)
-        table.replace(merged, base, stream)
+        table.replace(merged, base, stream, marks=marks)
         return
-    touched = partition_values(batch, table.partition_by)
+    if not partition_follows:
+        touched = holding(existing, batch, keys, table.partition_by)
     existing = existing.where(in_partitions(table.partition_by, touched))
-    # The partition follows from the key, so it comes with the last row; a null one is no join key.
+    # The partition is no join key: it comes with the last row, and a null one would not match itself.
     merged = latest_per_key(existing, batch, keys, seq, first_kept)
-    table.replace_partitions(merged, touched, base, stream)
+    table.replace_partitions(merged, touched, base, stream, marks=marks)
 
 
-def insert_ignore(table: SnapshotTable, batch: DataFrame, keys: Sequence[str], seq: str) -> int:
+def insert_ignore(
+    table: SnapshotTable, batch: DataFrame, keys: Sequence[str], seq: str, partition_follows: bool = False
+) -> int:
     """Add keys the table does not have; the first row of a key wins. Returns the rows added.
 
-    A load by another writer in between is a conflict, so no key comes twice.
+    A load by another writer in between is a conflict, so no key comes twice. As in a database, a null key conflicts
+    with nothing and is added each time. With ``partition_follows`` (see ``upsert``) only the batch's partitions are
+    looked through.
     """
     base = table.state()
     known = table.read(base)
     columns = [c for c in known.columns if c not in keys]
     first = batch.groupBy(*keys).agg(F.min_by(F.struct(*columns), seq).alias("first"))
     new = first.select(*keys, *[F.col(f"first.{c}").alias(c) for c in columns])
-    if table.partition_by:
+    if table.partition_by and partition_follows:
         known = known.where(in_partitions(table.partition_by, partition_values(batch, table.partition_by)))
     fresh = new.join(known.select(*keys), list(keys), "left_anti")
     return table.append(fresh.select(*known.columns), base=base)
@@ -211,7 +252,7 @@ def archive_by_year(table: SnapshotTable, archive: SnapshotTable, column: str, b
     copied, the table the version it deleted. A copy whose delete never came is used when the table still is as it
     was, and else withdrawn in the commit of the new copy, so no row is lost or doubled.
     """
-    old = F.year(F.col(column)) < before_year
+    old = F.col(column) < F.lit(date(before_year, 1, 1))  # a bare comparison, which reaches the scan
     base = table.state()
     archive.create_if_absent(T.StructType.fromJson(base["schema"]))
     held = archive.state()

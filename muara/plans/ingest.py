@@ -81,13 +81,13 @@ def ingest_documents(
             quarantine.create_if_absent(_quarantined(bad).schema)
             quarantine.append(_quarantined(bad).unionByName(_quarantined_documents(documents)), stream)
         if options.delete_past:
-            delete_expired(table, as_of)
+            delete_expired(table, as_of, day=PARTITION)
         touched = in_partitions(PARTITION, partition_values(batch, PARTITION))
         counters = upsert_counters(table.read().where(touched), batch, FACT_KEYS).first().asDict()
         kept = ["created_at", "data_age_minutes"]
         if not options.reset_freshness:
             kept.append("freshness_status")
-        upsert(table, batch, FACT_KEYS, "seq", kept, stream)
+        upsert(table, batch, FACT_KEYS, "seq", kept, stream, partition_follows=True)
         return {**counters, "rejected": bad.count()}
 
 

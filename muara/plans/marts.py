@@ -14,6 +14,8 @@ from muara.settings import DEFAULTS, Settings
 
 #: Relative standard error of the sketches for approximate distinct counts.
 SKETCH_ERROR = 0.05
+#: Stored sketches have 2 ** SKETCH_BITS registers; their relative standard error is below STORED_ERROR.
+SKETCH_BITS, STORED_ERROR = 12, 0.0164
 
 
 def daily_summary(fact: DataFrame) -> DataFrame:
@@ -123,14 +125,48 @@ def _deliveries_per_day_approx(trips: DataFrame) -> DataFrame:
     )
 
 
-def driver_monthly(trips: DataFrame) -> DataFrame:
-    """Per driver and month. The safety score is the percentage of trips without an incident."""
+def kpi_sketches(trips: DataFrame) -> DataFrame:
+    """What each day adds to any longer time: sums, counts, and sketches of its drivers and vehicles.
+
+    Sketches unite without the trips, where distinct counts of days cannot be added. They are a few KB per day.
+    """
+    return trips.groupBy(F.col("delivery_date").alias("kpi_date")).agg(
+        F.count(F.lit(1)).alias("total_deliveries"),
+        F.sum("distance_km").alias("total_distance_km"),
+        F.sum("hours").alias("hours"),
+        F.count("hours").alias("timed"),
+        F.count_if("on_time").alias("on_time"),
+        F.hll_sketch_agg(F.col("driver_id").cast("bigint"), SKETCH_BITS).alias("drivers"),
+        F.hll_sketch_agg(F.col("vehicle_id").cast("bigint"), SKETCH_BITS).alias("vehicles"),
+    )
+
+
+def kpi_from_sketches(days: DataFrame, period: str) -> DataFrame:
+    """KPIs per week, month, quarter or year from ``kpi_sketches``, distinct counts within ``STORED_ERROR``."""
+    start = F.trunc("kpi_date", period).alias("period_start")
+    return days.groupBy(start).agg(
+        F.sum("total_deliveries").alias("total_deliveries"),
+        F.sum("total_distance_km").alias("total_distance_km"),
+        F.hll_sketch_estimate(F.hll_union_agg("drivers")).alias("active_drivers"),
+        F.hll_sketch_estimate(F.hll_union_agg("vehicles")).alias("active_vehicles"),
+        F.try_divide(F.sum("hours").cast("double"), F.sum("timed")).alias("avg_delivery_time_hours"),
+        percent(F.sum("on_time"), F.sum("total_deliveries")).alias("on_time_delivery_rate"),
+    )
+
+
+def driver_monthly(trips: DataFrame, best_rating: float | None = None) -> DataFrame:
+    """Per driver and month. The safety score is the percentage of trips without an incident; with ``best_rating`` it
+    is the mean of this and the average rating in percent of the best, where there are ratings."""
     month = F.trunc("delivery_date", "month").alias("metric_month")
+    safety = _percent(~F.col("incident"))
+    if best_rating is not None:
+        rated = F.avg("rating") * F.lit(100.0 / best_rating)
+        safety = F.coalesce((safety + rated) / 2, safety)
     return trips.groupBy("driver_id", month).agg(
         F.count(F.lit(1)).alias("total_trips"),
         F.sum("distance_km").alias("total_distance_km"),
         _percent(F.col("on_time")).alias("on_time_rate"),
-        _percent(~F.col("incident")).alias("safety_score"),
+        safety.alias("safety_score"),
     )
 
 

@@ -161,7 +161,7 @@ def oracle_sql() -> dict[str, str]:
         f"select user_id adm4, l latest, {AGE.format('l')} / 60000000.0::double age_minutes,"
         f" {_label(AGE.format('l'))} freshness_status from {LATEST}"
     )
-    return {
+    queries = {
         "full_refresh": "select * from supplier",
         "refresh_keep_if_empty": "select * from orders",
         "append_load": "select * from customer union all select * from customer",
@@ -206,6 +206,11 @@ def oracle_sql() -> dict[str, str]:
         "partitioned_sync": f"""with m as (select max(ts) t from events where ts < {AS_OF})
             select event_id, ts, case when ts >= m.t then value + 1 else value end as value, cast(ts as date) as day
             from events, m""",
+        "moved_partition": """with e as (select event_id, value, ts, event_id % 3 = 0 changed,
+                timestamp '2024-02-15 00:00:00' + interval 1 day * (event_id % 5) later from events)
+            select event_id, case when changed then value + 1 else value end as value,
+                case when changed then later else ts end updated_at,
+                case when not changed then ts::date when event_id % 10 <> 0 then later::date end as day from e""",
         "asof_null_times": """select e.event_id, p.event_id prev_id
             from (select event_id, user_id, case when event_id % 7 <> 0 then ts end ts from events
                 where event_type = 'error') e
@@ -447,3 +452,20 @@ def oracle_sql() -> dict[str, str]:
                 case when early then case when behind then 0 else 2 end when behind then 0 else 1 end again from e)
             select event_id, kept, times_late, sum(again) over ()::bigint repeats from r""",
     }
+    periods = {
+        period: f"""select cast(date_trunc('{period}', d) as date) period_start, count(*) total_deliveries,
+            {DISTANCE} total_distance_km, avg(hrs) avg_delivery_time_hours, {ON_TIME} on_time_delivery_rate,
+            true drivers_near, true vehicles_near from {TRIPS} group by 1"""
+        for period in ("month", "year")
+    }
+    left = "from events where not (hour(ts) < 6 and ts < timestamp '2024-01-10 00:00:00')"
+    return queries | {
+        "daily_summary_followed": queries["daily_summary"].replace("from events", left),
+        "kpi_daily_followed": queries["kpi_daily"],
+        "driver_monthly_followed": queries["driver_monthly"],
+        "driver_monthly_rated": queries["driver_monthly"].replace(
+            f"{SAFE} safety_score", f"round(({SAFE} + 1000 * avg(l_discount)) / 2, 8) safety_score"
+        ),
+        "kpi_months_sketched": periods["month"],
+        "kpi_years_sketched": periods["year"],
+    }

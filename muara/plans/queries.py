@@ -18,7 +18,7 @@ from muara.operators import freshness, loads, quality
 from muara.operators.asof import asof_join
 from muara.operators.envelope import envelope_headers, envelope_records, json_envelopes
 from muara.operators.forecast import parse_documents, rejected_documents, valid_points
-from muara.plans import marts
+from muara.plans import follow, marts
 from muara.plans.console import console_envelopes, console_records, select_locations
 from muara.plans.ingest import FACT_KEYS, PARTITION, IngestOptions, fact_table, ingest_documents
 from muara.plans.sync import (
@@ -236,7 +236,7 @@ def upsert_forecast(spark: SparkSession, folder: str) -> DataFrame:
     table = new_table(spark, "fact", PARTITION)
     table.create_if_absent(rows.drop("seq").schema)
     for batch in (rows.where(first_load()), rows.where(~first_load())):
-        loads.upsert(table, batch, FACT_KEYS, "seq", first_kept=["created_at"])
+        loads.upsert(table, batch, FACT_KEYS, "seq", first_kept=["created_at"], partition_follows=True)
     return table.read().drop(PARTITION)
 
 
@@ -246,7 +246,7 @@ def insert_ignore(spark: SparkSession, folder: str) -> DataFrame:
     table = new_table(spark, "fact", PARTITION)
     table.create_if_absent(rows.drop("seq").schema)
     for batch in (rows.where(first_load()), rows.where(~first_load())):
-        loads.insert_ignore(table, batch, FACT_KEYS, "seq")
+        loads.insert_ignore(table, batch, FACT_KEYS, "seq", partition_follows=True)
     return table.read().drop(PARTITION)
 
 
@@ -282,7 +282,7 @@ def expired_preview(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def expired_delete(spark: SparkSession, folder: str) -> DataFrame:
     table = stored_fact(spark, folder)
-    freshness.delete_expired(table, EXPIRY_AS_OF)
+    freshness.delete_expired(table, EXPIRY_AS_OF, day=PARTITION)
     return table.read().select("event_id", "waktu")
 
 
@@ -376,6 +376,27 @@ def partitioned_sync(spark: SparkSession, folder: str) -> DataFrame:
     return warehouse.table("events", "day").read()
 
 
+@query
+def moved_partition(spark: SparkSession, folder: str) -> DataFrame:
+    """A keyed incremental sync by the day of a row's last change: every third row is changed after the first run, so
+    it leaves the day it was in; every tenth of these has no day any more."""
+    events = read_table(spark, folder, "events").select("event_id", "value", F.col("ts").alias("updated_at"))
+    first = events.withColumn("day", F.col("updated_at").cast("date"))
+    changed = F.col("event_id") % 3 == 0
+    later = F.when(changed, at(RETENTION_AS_OF) + F.expr("make_dt_interval(event_id % 5, 0, 0, 0)")).otherwise(F.col("updated_at"))
+    second = events.withColumn("updated_at", later).withColumns(
+        {
+            "day": F.when(~(changed & (F.col("event_id") % 10 == 0)), F.col("updated_at").cast("date")),
+            "value": F.when(changed, F.col("value") + 1).otherwise(F.col("value")),
+        }
+    )
+    warehouse = new_warehouse(spark)
+    task = SyncTask("events", "events", "incremental", "updated_at", ("event_id",), partition_by="day")
+    for source in (first, second):
+        run_sync(warehouse, lambda name: source, [task])
+    return warehouse.table("events", "day").read()
+
+
 # ---------------------------------------------------------------- parsing
 
 
@@ -762,6 +783,94 @@ def driver_performance(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(marts.driver_performance(_trips(spark, folder)), total_distance_km=4, avg_rating=10)
 
 
+@query
+def driver_monthly_rated(spark: SparkSession, folder: str) -> DataFrame:
+    """The safety score from incidents and ratings; discounts, of at most a tenth, play the ratings."""
+    return rounded(marts.driver_monthly(_trips(spark, folder), best_rating=0.1), total_distance_km=4, safety_score=8)
+
+
+# ---------------------------------------------------------------- marts that follow their sources
+
+
+@query
+def daily_summary_followed(spark: SparkSession, folder: str) -> DataFrame:
+    """The fact grows and loses rows in three loads; after each, the mart computes the changed dates again."""
+    rows = forecast_fact(spark, folder).withColumn(PARTITION, F.col("waktu").cast("date"))
+    warehouse = new_warehouse(spark)
+    fact, mart = warehouse.table("fact", PARTITION), warehouse.table("summary", "summary_date")
+    fact.replace(rows.where(F.col("waktu") < at(MID_MONTH)))
+    follow.follow_daily_summary(mart, fact)
+    fact.append(rows.where(F.col("waktu") >= at(MID_MONTH)))
+    follow.follow_daily_summary(mart, fact)
+    loads.delete_where(fact, (F.hour("waktu") < 6) & (F.col("waktu") < at(EXPIRY_AS_OF)))
+    follow.follow_daily_summary(mart, fact)
+    return rounded(mart.read(), temp_avg=10, humidity_avg=10, wind_speed_avg=10)
+
+
+def _followed_trips(spark: SparkSession, folder: str, name: str, partition: str, bring) -> DataFrame:
+    """A mart of trips that are stored by month in two lots and brought up to date after each."""
+    warehouse, trips = new_warehouse(spark), _trips(spark, folder)
+    stored, mart = warehouse.table("trips", "delivery_month"), warehouse.table(name, partition)
+    for lot in (trips.where(~F.col("incident")), trips.where("incident")):
+        follow.store_trips(stored, lot)
+        bring(warehouse, mart, stored)
+    return mart.read()
+
+
+@query
+def kpi_daily_followed(spark: SparkSession, folder: str) -> DataFrame:
+    orders = read_table(spark, folder, "orders").withColumn("order_month", F.trunc("o_orderdate", "month"))
+
+    def bring(warehouse: Warehouse, mart: SnapshotTable, stored: SnapshotTable) -> None:
+        table = warehouse.table("orders", "order_month")
+        if not table.exists():
+            table.replace(orders)
+        follow.follow_kpi_daily(mart, table, stored, "o_orderdate")
+
+    return rounded(_followed_trips(spark, folder, "kpi", "kpi_month", bring).drop("kpi_month"), total_distance_km=4)
+
+
+@query
+def driver_monthly_followed(spark: SparkSession, folder: str) -> DataFrame:
+    bring = lambda _, mart, stored: follow.follow_driver_monthly(mart, stored)
+    return rounded(_followed_trips(spark, folder, "drivers", "metric_month", bring), total_distance_km=4)
+
+
+def _near_exact(spark: SparkSession, folder: str, period: str) -> DataFrame:
+    """KPIs of a period from stored sketches: exact sums, and whether distinct counts are within three errors."""
+
+    def bring(warehouse: Warehouse, mart: SnapshotTable, stored: SnapshotTable) -> None:
+        days = warehouse.table("days", "kpi_month")
+        follow.follow_kpi_sketches(days, stored)
+        follow.follow_kpi_periods(mart, days, period)
+
+    found = _followed_trips(spark, folder, period, "period_start", bring)
+    start = F.trunc("delivery_date", period).alias("period_start")
+    exact = _trips(spark, folder).groupBy(start).agg(
+        F.count_distinct("driver_id").alias("drivers"), F.count_distinct("vehicle_id").alias("vehicles")
+    )
+
+    def near(estimate: str, truth: str) -> F.Column:
+        return F.abs(F.col(estimate) - F.col(truth)) <= F.ceil(3 * marts.STORED_ERROR * F.col(truth))
+
+    both = found.withColumnRenamed("period_start", "p").join(exact, F.col("p").eqNullSafe(F.col("period_start")))
+    shown = both.select(
+        "period_start", "total_deliveries", "total_distance_km", "avg_delivery_time_hours", "on_time_delivery_rate",
+        near("active_drivers", "drivers").alias("drivers_near"), near("active_vehicles", "vehicles").alias("vehicles_near"),
+    )
+    return rounded(shown, total_distance_km=4)
+
+
+@query
+def kpi_months_sketched(spark: SparkSession, folder: str) -> DataFrame:
+    return _near_exact(spark, folder, "month")
+
+
+@query
+def kpi_years_sketched(spark: SparkSession, folder: str) -> DataFrame:
+    return _near_exact(spark, folder, "year")
+
+
 @query
 def alert_rules(spark: SparkSession, folder: str) -> DataFrame:
     fact = forecast_fact(spark, folder)

@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,11 +47,16 @@ def sync_table(warehouse: Warehouse, source: DataFrame, task: SyncTask) -> int:
         return append_load(table, source)
     if task.mode == "incremental":
         base = table.state()
+        known = base["marks"].get(task.column)
+        fresh = incremental_scan(source, table.read(base), task.column, "again" if task.keys else "missing", known)
+        # The load itself tells the next mark, so that no run scans the target for it.
+        seen = Observation()
+        fresh = fresh.observe(seen, F.max(task.column).cast("string").alias("newest"))
+        marks = {task.column: lambda written: seen.get["newest"] or known}
         if not task.keys:
-            fresh = incremental_scan(source, table.read(base), task.column, "missing")
-            return table.append(fresh, base=base)
-        fresh = incremental_scan(source, table.read(base), task.column, "again")
-        upsert(table, fresh.withColumn("seq", F.col(task.column)), task.keys, "seq")
+            return table.append(fresh, base=base, marks=marks)
+        rows = fresh.withColumn("seq", F.col(task.column))
+        upsert(table, rows, task.keys, "seq", partition_follows=task.partition_follows, marks=marks)
         return table.state()["rows_written"]
     raise ValueError(f"unknown mode {task.mode!r}")
 

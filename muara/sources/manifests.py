@@ -9,8 +9,10 @@ from dataclasses import dataclass
 @dataclass(frozen=True)
 class SyncTask:
     """``mode`` is full, keep_if_empty, append or incremental (by ``column``; with ``keys`` rows are
-    upserted, without they are appended). ``partition_by`` is a date column of the source that follows from the
-    keys; a keyed load then rewrites only the dates it touches."""
+    upserted, without they are appended). ``partition_by`` is a date column of the source; a keyed load rewrites only
+    the dates that hold one of its keys, and a row whose date has changed moves. ``partition_follows`` says that a
+    key's date never changes, which spares looking the keys up. Rows whose ``column`` is null come with the first run
+    only: nothing tells that they are new."""
 
     source: str
     target: str
@@ -19,6 +21,7 @@ class SyncTask:
     keys: tuple[str, ...] = ()
     group: str = "daily"
     partition_by: str | None = None
+    partition_follows: bool = False
 
 
 # The tables of the daily sync, in sync order.

@@ -76,20 +76,26 @@ def write_jdbc(
     )
 
 
-def high_water_mark(source: DataFrame, target: DataFrame, column: str) -> Column | None:
-    """The target's largest value as a literal of the source's type; none while the target is empty."""
-    mark = target.agg(F.max(column).cast("string")).first()[0]
+def high_water_mark(source: DataFrame, target: DataFrame, column: str, known: str | None = None) -> Column | None:
+    """The target's largest value as a literal of the source's type; none while the target is empty.
+
+    A mark that is ``known``, from the target's commit, spares the scan.
+    """
+    mark = known or target.agg(F.max(column).cast("string")).first()[0]
     return None if mark is None else F.lit(mark).cast(source.schema[column].dataType)
 
 
-def incremental_scan(source: DataFrame, target: DataFrame, column: str, at_mark: str = "skip") -> DataFrame:
+def incremental_scan(
+    source: DataFrame, target: DataFrame, column: str, at_mark: str = "skip", known: str | None = None
+) -> DataFrame:
     """Source rows past the target's high-water mark; all of them while the target is empty.
 
     The mark is one value, fetched as text and used as a literal, so the filter reaches Parquet and JDBC
     scans. Rows that share the mark may have come after it was reached: ``at_mark`` 'again' returns them all, for
-    loads by key; 'missing' returns those that the target does not have, copies counted; 'skip' none.
+    loads by key; 'missing' returns those that the target does not have, copies counted; 'skip' none. Rows without
+    a value in ``column`` are never past a mark.
     """
-    mark = high_water_mark(source, target, column)
+    mark = high_water_mark(source, target, column, known)
     if mark is None:
         return source
     if at_mark == "again":

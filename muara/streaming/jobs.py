@@ -109,7 +109,7 @@ def daily_counts_stream(
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         table.create_if_absent(batch.schema)
-        upsert(table, batch.withColumn("seq", F.lit(batch_id)), ["d", key], "seq", stream=(name, batch_id))
+        upsert(table, batch.withColumn("seq", F.lit(batch_id)), ["d", key], "seq", stream=(name, batch_id), partition_follows=True)
 
     return start(counts.writeStream.outputMode("update").foreachBatch(apply), checkpoint)
 

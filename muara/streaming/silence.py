@@ -74,7 +74,7 @@ def silence_stream(
                 F.lit(batch_id).alias("seq"),
             )
             alerts.create_if_absent(silent.drop("seq").schema)
-            insert_ignore(alerts, silent, [key, "latest"], "seq")
+            insert_ignore(alerts, silent, [key, "latest"], "seq", partition_follows=True)
             labels.replace(labelled)
 
     return start(latest.writeStream.outputMode("complete").foreachBatch(apply), checkpoint)
