@@ -15,6 +15,8 @@ from muara.operators.loads import partition_values, upsert, upsert_counters
 from muara.operators.quality import CheckFailed, require_rows
 from muara.schemas import FORECAST_FACT
 from muara.settings import DEFAULTS, Settings
+from muara.sources.documents import read_documents
+from muara.sources.ledger import FileLedger
 from muara.sources.snapshots import SnapshotTable, Warehouse, in_partitions
 from muara.sources.tables import staged
 
@@ -117,6 +119,53 @@ def hourly_run(
     return counters
 
 
+def ingest_landed(
+    table: SnapshotTable,
+    landing: str,
+    ledger: FileLedger,
+    as_of: datetime,
+    locations: DataFrame | None = None,
+    options: IngestOptions = IngestOptions(),
+    quarantine: SnapshotTable | None = None,
+    name: str = "landing",
+    settings: Settings = DEFAULTS,
+) -> dict[str, int]:
+    """Ingest the landed files that no run has read; a repeated run reads nothing and changes nothing.
+
+    Claims whose load failed come first, each with its own files. Returns the counts, and how many files were read.
+    """
+    total = {"inserted": 0, "updated": 0, "total": 0, "rejected": 0, "files": 0}
+    pending = ledger.claims_after(table.state()["streams"].get(name, 0))
+    new = ledger.claim_new(landing)
+    for claim in [*pending, *([new] if new else [])]:
+        paths = ledger.paths(claim)
+        documents = read_documents(table.spark, paths)
+        counts = ingest_documents(table, documents, as_of, locations, options, quarantine, (name, claim), settings)
+        total = {k: n + counts.get(k, len(paths)) for k, n in total.items()}
+    return total
+
+
+def landed_run(
+    table: SnapshotTable,
+    landing: str,
+    ledger: FileLedger,
+    as_of: datetime,
+    locations: DataFrame | None = None,
+    options: IngestOptions = IngestOptions(mode="wallclock", adm4_from_request=False),
+    quarantine: SnapshotTable | None = None,
+    settings: Settings = DEFAULTS,
+) -> dict[str, int]:
+    """``hourly_run`` over a landing folder. A run that finds new files but changes no row fails; one that finds none
+    only labels and cleans up."""
+    counters = ingest_landed(table, landing, ledger, as_of, locations, options, quarantine, settings=settings)
+    if counters["files"]:
+        require_change(counters)
+    require_rows(table.read(), "fact_weather_hourly")
+    counters["labelled"] = refresh_row_labels(table, as_of, settings)
+    counters["deleted"] = apply_retention(table, as_of, settings)
+    return counters
+
+
 def _quarantined(bad: DataFrame) -> DataFrame:
     return bad.select(
         "adm4",

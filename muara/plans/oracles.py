@@ -155,6 +155,42 @@ HUMIDITY = "cast(props->>'$.k' as int)"
 HOURLY = f"(select *, date_trunc('hour', ts) wh, case when {FIRST} then 0 else 1 end lot from events)"
 
 
+PLAIN = "region nation customer supplier part orders lineitem events".split()
+WHOLE, TEXT = ("INTEGER", "BIGINT"), ("VARCHAR",)
+
+
+def _discovered(most: int = 2) -> str:
+    """Unique column sets without a smaller one inside, each counted on its own."""
+    parts = []
+    for table in PLAIN:
+        names = [c for c, _ in columns_of(table)]
+        flags = [f"count(*) > 0 and count({c}) = count(*) and count(distinct {c}) = count(*) k{i}" for i, c in enumerate(names)]
+        flags += [
+            f"count(*) > 0 and count({a}) = count(*) and count({b}) = count(*) and count(distinct ({a}, {b})) = count(*) k{i}_{j}"
+            for i, a in enumerate(names) for j, b in enumerate(names) if i < j and most > 1
+        ]
+        rows = [f"select '{table}' table_name, '{c}' key_columns, k{i} ok from f" for i, c in enumerate(names)]
+        rows += [
+            f"select '{table}', '{a},{b}', k{i}_{j} and not k{i} and not k{j} from f"
+            for i, a in enumerate(names) for j, b in enumerate(names) if i < j and most > 1
+        ]
+        parts.append(f"(with f as (select {', '.join(flags)} from {table}) {' union all '.join(rows)})")
+    return f"select table_name, key_columns from ({' union all '.join(parts)}) where ok"
+
+
+def _foreign_candidates() -> str:
+    places = [(t, c, k) for t in PLAIN for c, k in columns_of(t) if k in WHOLE + TEXT]
+    pairs = [
+        f"select '{t}' child_table, '{c}' child_column, '{p}' parent_table, '{d}' parent_column,"
+        f" (select count({c}) > 0 from {t}) and not exists (select 1 from {t} where {c} is not null and {c} not in"
+        f" (select {d} from {p} where {d} is not null)) ok"
+        for t, c, k in places for p, d, m in places if t != p and (k in TEXT) == (m in TEXT)
+    ]
+    keys = _discovered(1)
+    return f"""select child_table, child_column, parent_table, parent_column from ({" union all ".join(pairs)})
+        where ok and (parent_table, parent_column) in ({keys})"""
+
+
 def oracle_sql() -> dict[str, str]:
     counts = _counts()
     freshness_location = (
@@ -466,6 +502,29 @@ def oracle_sql() -> dict[str, str]:
         "driver_monthly_rated": queries["driver_monthly"].replace(
             f"{SAFE} safety_score", f"round(({SAFE} + 1000 * avg(l_discount)) / 2, 8) safety_score"
         ),
+        "group_validation_pinned": queries["group_validation"],
+        "discovered_keys": _discovered(),
+        "foreign_key_candidates": _foreign_candidates(),
+        "content_reconciliation": """with t as (select * replace (case when o_orderkey = 33 then o_totalprice + 1 else o_totalprice
+                end as o_totalprice, case when o_orderkey <> 100 then o_orderstatus end as o_orderstatus) from orders where o_orderkey <> 7
+                union all select * from orders where o_orderkey = 65),
+            d as (select 'source' side, * from (select * from orders except all select * from t)
+                union all select 'target', * from (select * from t except all select * from orders))
+            select o_orderkey, o_orderstatus, o_totalprice, side, count(*) copies from d group by all""",
+        "feed_drift": f"""with e as (select date_trunc('week', ts)::date run, event_type, {HUMIDITY} k from events),
+            r as (select *, run >= date '2024-01-20' later from e)
+            select run, 'wd' field, 'vanished' status, '' kinds, count(*) n from r where later group by 1
+            union all select run, 'gust', 'added', 'OBJECT', count(*) from r where later group by 1
+            union all select run, 'hu', 'retyped', 'BOOLEAN', count(*) from r where event_type = 'error' group by 1
+            union all select run, 'weather_desc', case when count(*) = count(*) filter (where event_type = 'signup')
+                then 'vanished' else 'missing' end, '', count(*) filter (where event_type = 'signup') from r
+                group by 1 having count(*) filter (where event_type = 'signup') > 0""",
+        "landed_once": f"""with r as (
+            select user_id, wh, event_type, value, lot, min(lot) over (partition by user_id, wh) first_lot,
+                row_number() over (partition by user_id, wh order by lot desc, event_id desc) rn from {HOURLY})
+            select cast(user_id as varchar) adm4, wh waktu, event_type cuaca, value suhu_celsius,
+                {AS_OF} + interval 1 hour * first_lot created_at, {AS_OF} + interval 1 hour * lot last_updated
+            from r where rn = 1""",
         "kpi_months_sketched": periods["month"],
         "kpi_years_sketched": periods["year"],
     }

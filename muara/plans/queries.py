@@ -14,13 +14,15 @@ from pyspark.sql import functions as F
 
 from muara.functions.clock import at, hour_floor, iso_text, local_time, minutes_between, wall_clock
 from muara.functions.labels import decode_weather_code, pretty_size, table_class
-from muara.operators import freshness, loads, quality
+from muara.operators import discovery, freshness, loads, quality
 from muara.operators.asof import asof_join
+from muara.operators.content import content_differences
+from muara.operators.drift import field_drift
 from muara.operators.envelope import envelope_headers, envelope_records, json_envelopes
 from muara.operators.forecast import parse_documents, rejected_documents, valid_points
 from muara.plans import follow, marts
 from muara.plans.console import console_envelopes, console_records, select_locations
-from muara.plans.ingest import FACT_KEYS, PARTITION, IngestOptions, fact_table, ingest_documents
+from muara.plans.ingest import FACT_KEYS, PARTITION, IngestOptions, fact_table, ingest_documents, ingest_landed
 from muara.plans.sync import (
     clone_structures,
     on_demand_sync,
@@ -34,6 +36,7 @@ from muara.settings import DEFAULTS, Settings
 from muara.sources import catalog
 from muara.sources.catalog import Key
 from muara.sources.documents import read_documents, render_documents
+from muara.sources.ledger import FileLedger
 from muara.sources.manifests import SyncTask
 from muara.sources.snapshots import SnapshotTable, Warehouse
 from muara.sources.tables import (
@@ -495,6 +498,29 @@ def reject_rows(spark: SparkSession, folder: str) -> DataFrame:
     return parsed.groupBy(status.alias("status")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def feed_drift(spark: SparkSession, folder: str) -> DataFrame:
+    """Landing runs from mid-month on lack the wind direction and bring gusts; humidities are numbers, errors' ones flags;
+    signups have no description."""
+    points = feed_points(spark, folder)
+    kind, later = F.col("event_type"), F.col("run") >= F.lit(MID_MONTH.date())
+    items = {
+        "datetime": F.to_json(F.struct("datetime")),
+        "t": F.to_json(F.struct("t")),
+        "hu": F.when(kind == "error", '{"hu":true}').otherwise(F.concat(F.lit('{"hu":'), F.coalesce("hu", F.lit("null")), F.lit("}"))),
+        "weather_desc": F.when(kind != "signup", F.to_json(F.struct("weather_desc"))),
+        "ws": F.to_json(F.struct("ws")),
+        "wd": F.when(~later, '{"wd":"E"}'),
+        "gust": F.when(later, '{"gust":{"max":1.5}}'),
+    }
+    inside = [F.regexp_extract(v, r"^\{(.*)\}$", 1) for v in items.values()]
+    item = F.concat(F.lit("{"), F.concat_ws(",", *inside), F.lit("}"))
+    header = F.to_json(F.struct(feed_header().alias("lokasi")))
+    body = F.concat(F.expr("substring(header, 1, length(header) - 1)"), F.lit(',"data":[{"cuaca":["odd",['), F.col("item"), F.lit("]]}]}"))
+    documents = points.withColumns({"item": item, "header": header}).select("run", body.alias("doc"))
+    return field_drift(documents, "run").select(F.col("run").cast("date").alias("run"), "field", "status", "kinds", "n")
+
+
 @query
 def decode_codes(spark: SparkSession, folder: str) -> DataFrame:
     codes = read_table(spark, folder, "events").select(humidity().alias("k"))
@@ -670,6 +696,58 @@ def group_validation(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def group_validation_pinned(spark: SparkSession, folder: str) -> DataFrame:
+    """The same counts, though every table is loaded again between two of them: all are those of one moment."""
+    tables = all_tables(spark, folder)
+    groups = {
+        "master": ("region", "nation", "customer", "supplier", "part"),
+        "operational": ("orders", "lineitem"),
+        "log": ("events",),
+    }
+    warehouse = new_warehouse(spark)
+    names = [n for members in groups.values() for n in members]
+    run_sync(warehouse, tables.__getitem__, [SyncTask(n, n) for n in names])
+    pinned = warehouse.pinned(names)
+    checks = {}
+    for group, members in groups.items():
+        checks[group] = quality.reconcile_counts([(n, tables[n]) for n in members], [(n, pinned.read(n)) for n in members])
+        run_sync(warehouse, tables.__getitem__, [SyncTask(n, n, "append") for n in names])
+    return quality.group_checks(checks)
+
+
+@query
+def content_reconciliation(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders against a copy in which one is lost, one is dearer, one is there twice and one has no status."""
+    orders = read_table(spark, folder, "orders")
+    key = F.col("o_orderkey")
+    changed = orders.where(key != 7).withColumns(
+        {
+            "o_totalprice": F.when(key == 33, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")),
+            "o_orderstatus": F.when(key != 100, F.col("o_orderstatus")),
+        }
+    )
+    found = content_differences(orders, changed.unionByName(orders.where(key == 65)), ["o_orderkey"])
+    return found.select("o_orderkey", "o_orderstatus", "o_totalprice", "side", "copies")
+
+
+PLAIN_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+
+
+def _plain_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    return {name: read_table(spark, folder, name) for name in PLAIN_TABLES}
+
+
+@query
+def discovered_keys(spark: SparkSession, folder: str) -> DataFrame:
+    return discovery.discovered_keys(spark, _plain_tables(spark, folder))
+
+
+@query
+def foreign_key_candidates(spark: SparkSession, folder: str) -> DataFrame:
+    return discovery.foreign_key_candidates(spark, _plain_tables(spark, folder))
+
+
 @query
 def asof_trip_weather(spark: SparkSession, folder: str) -> DataFrame:
     events = read_table(spark, folder, "events").select("event_id", "user_id", "ts", "event_type", "value")
@@ -1146,6 +1224,18 @@ def landing_order(spark: SparkSession, folder: str) -> DataFrame:
     return table.read().select("adm4", "waktu", "cuaca", "suhu_celsius")
 
 
+@query
+def landed_once(spark: SparkSession, folder: str) -> DataFrame:
+    """Two lots land one after the other; runs with nothing new, an hour later each, leave every stamp as it is."""
+    table, landing = fact_table(new_warehouse(spark)), scratch_path(spark, "landing")
+    ledger = FileLedger(new_table(spark, "ledger"))
+    for hour, documents in enumerate(_hourly_lots(spark, folder)):
+        documents.select("doc").write.text(f"{landing}/lot={hour}")
+        for again in (0, 5):
+            ingest_landed(table, landing, ledger, AS_OF + timedelta(hours=hour + again), options=IngestOptions(mode="wallclock"))
+    return table.read().select("adm4", "waktu", "cuaca", "suhu_celsius", "created_at", "last_updated")
+
+
 @query
 def freshness_reset(spark: SparkSession, folder: str) -> DataFrame:
     """The first load leaves the labels empty, the second resets those of the points it brings."""

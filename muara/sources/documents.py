@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def read_documents(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
-    """One document per line, or per file; ``doc_seq`` is the landing order."""
+def read_documents(spark: SparkSession, path: str | list[str], whole_files: bool = False) -> DataFrame:
+    """One document per line, or per file, of a folder or of files; ``doc_seq`` is the landing order."""
     return numbered(document_columns(spark.read.text(path, wholetext=whole_files)))
 
 
