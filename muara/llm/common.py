@@ -29,6 +29,13 @@ def write_table(rows: DataFrame, label: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def free_names(rows: DataFrame, *names: str) -> list[str]:
+    """The names with as many underscores behind them as it takes for none to be a column of ``rows``."""
+    taken = {c.lower() for c in rows.columns}
+    longest = max((len(c) for c in taken), default=0)
+    return [next(n + "_" * k for k in range(1, longest + 2) if (n + "_" * k).lower() not in taken) for n in names]
+
+
 _shipped: set[str] = set()
 
 

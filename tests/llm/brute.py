@@ -7,11 +7,15 @@ import math
 import random
 import re
 import zlib
+from datetime import date, timedelta
+from functools import lru_cache
 from collections import Counter, defaultdict
 from fractions import Fraction
 
 import xxhash
 
+from muara.llm.pseudonyms import BETWEEN_CARDS, CALLING_CODE, DIGITS, KINDS, PATTERN
+
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 VOCABULARY = ["the", "of", "and", "house", "über", "naïve", "tree", "river", "stone", "cloud", "quick", "brown", "fox", "été"]
 
@@ -251,3 +255,183 @@ def toxicity(text: str | None, values, bias: float, window: int, bits: int = 20,
     x = [logit(w) for w in lower_words(text)]
     means = [sum(x[i : i + window]) / len(x[i : i + window]) for i in range(max(1, len(x) - window + 1))] if x else [0.0]
     return 1 / (1 + math.exp(-(max(means) / steps + bias)))
+
+
+# ---------------------------------------------------------------- pseudonyms, one value after the other
+
+
+def feistel(value: int, high: int, low: int, key: str, kind: str) -> int:
+    a, b = divmod(value, low)
+    for i in range(10):
+        told = int(hashlib.sha256(f"{key}|{kind}|{i}|{a if i % 2 else b}".encode()).hexdigest()[:15], 16)
+        a, b = (a, (b + told) % low) if i % 2 else ((a + told) % high, b)
+    return a * low + b
+
+
+def feistel_digits(digits: str, key: str, kind: str) -> str:
+    half = len(digits) // 2
+    return str(feistel(int(digits), 10**half, 10 ** (len(digits) - half), key, kind)).zfill(len(digits))
+
+
+def feistel_text(text: str, key: str, kind: str) -> str:
+    half = len(text) // 2
+    a, b = text[:half], text[half:]
+
+    def move(part: str, i: int, other: str) -> str:
+        h = hashlib.sha512(f"{key}|{kind}|{i}|{len(text)}|{other}".encode()).digest()
+        out = ""
+        for k, c in enumerate(part):
+            low, size = (48, 10) if c.isdigit() else (97, 26) if c.islower() else (65, 26) if c.isupper() else (0, 0)
+            out += chr((ord(c) - low + h[k % 64]) % size + low) if size else c
+        return out
+
+    for i in range(10):
+        a, b = (a, move(b, i, a)) if i % 2 else (move(a, i, b), b)
+    return a + b
+
+
+def refilled(shape: str, fill: str) -> str:
+    left = iter(fill)
+    return "".join(next(left) if c.isdigit() or c.isupper() else c for c in shape)
+
+
+def luhn(digits: str, doubled: int = 1) -> int:
+    doubles = [int(c) * (2 if k % 2 == doubled else 1) for k, c in enumerate(reversed(digits))]
+    return sum(d - 9 if d > 9 else d for d in doubles)
+
+
+def mod97(text: str) -> int:
+    return int("".join(str(int(c, 36)) for c in text)) % 97
+
+
+@lru_cache(1)
+def late_days() -> list[date]:
+    days = (date(1800, 1, 1) + timedelta(n) for n in range(27 * 5411))
+    return [d for d in days if d.day > 12]
+
+
+def new_date(value: str, key: str) -> str | None:
+    if value[4] == "-":
+        parts, shown = (value[:4], value[5:7], value[8:]), "%Y-%m-%d"
+    else:
+        mark = value[2]
+        if value[5] != mark:
+            return None
+        parts, shown = (value[6:], value[3:5], value[:2]), f"%d{mark}%m{mark}%Y"
+    try:
+        n = (date(*map(int, parts)) - date(1800, 1, 1)).days
+        if 0 <= n < 27 * 5411:
+            return (date(1800, 1, 1) + timedelta(feistel(n, 27, 5411, key, "date"))).strftime(shown)
+        return None
+    except ValueError:
+        if value[4] == "-":
+            return None
+    try:
+        found = date(int(parts[0]), int(parts[2]), int(parts[1]))
+    except ValueError:
+        return None
+    if not 1800 <= found.year < 2200:
+        return None
+    days = late_days()
+    return days[feistel(days.index(found), 9, 9833, key, "late")].strftime(f"%m{mark}%d{mark}%Y")
+
+
+def new_phone(value: str, key: str) -> str | None:
+    spaced = re.match(r"\+[0-9]{1,3}(?=[ .(-])", value)
+    code = (spaced or re.match(CALLING_CODE, value)).group() if value[0] == "+" else ""
+    digits = re.sub("[^0-9]", "", value[len(code) :])
+    return code + refilled(value[len(code) :], feistel_digits(digits, key, "phone")) if 9 <= len(digits) + len(code) <= 16 else None
+
+
+def new_digits(value: str, key: str) -> str:
+    groups = list(re.finditer("[0-9]+", value))
+    out, gap, at, i = "", "", 0, 0
+    between = lambda text: re.sub(BETWEEN_CARDS, lambda m: one_pseudonym(m.group(), key, ("date", "phone")), text)
+    while i < len(groups):
+        gap += value[at : groups[i].start()]
+        for m in range(min(5, len(groups) - i), 0, -1):
+            text = value[groups[i].start() : groups[i + m - 1].end()]
+            digits = re.sub("[^0-9]", "", text)
+            if all(len(g.group()) >= 4 for g in groups[i : i + m - 1]) and 13 <= len(digits) <= 19 and set(digits) != {"0"} and luhn(digits) % 10 == 0:
+                body = feistel_digits(digits[:-1], key, "card")
+                out, gap = out + between(gap) + refilled(text, body + str(-luhn(body, 0) % 10)), ""
+                break
+        else:
+            m, gap = 1, gap + groups[i].group()
+        at, i = groups[i + m - 1].end(), i + m
+    return out + between(gap + value[at:])
+
+
+def one_pseudonym(value: str, key: str, kinds=tuple(KINDS)) -> str:
+    for kind in kinds:
+        if not re.fullmatch(KINDS[kind], value):
+            continue
+        new = None
+        if kind == "email":
+            local, domain = value.split("@", 1)
+            new = feistel_text(local, key, "email") + "@" + domain
+        elif kind == "iban":
+            plain = value.replace(" ", "")
+            if mod97(plain[4:] + plain[:4]) == 1 and 15 <= len(plain) <= 34:
+                body = feistel_text(plain[4:], key, "iban")
+                new = refilled(value, plain[:2] + str(98 - mod97(body + plain[:2] + "00")).zfill(2) + body)
+        elif kind == "date":
+            new = new_date(value, key)
+        elif kind == "address":
+            octets = [int(o) for o in value.split(".")]
+            if max(octets) <= 255:
+                n = feistel(int.from_bytes(octets), 65536, 65536, key, "address")
+                new = ".".join(str(b) for b in n.to_bytes(4))
+        elif kind == "digits":
+            new = new_digits(value, key)
+        else:
+            new = new_phone(value, key)
+        return value if new is None else new
+    return value
+
+
+def pseudonymised(text: str | None, key: str) -> tuple[str | None, int, int]:
+    """(new text, places met, places changed)."""
+    if text is None:
+        return None, 0, 0
+    changed = []
+
+    def new(m):
+        out = one_pseudonym(m.group(), key)
+        changed.append(out != m.group())
+        return out
+
+    out = re.sub(PATTERN, new, text)
+    return out, len(changed), sum(changed)
+
+
+def personal_texts(seed: int, n: int) -> list[str]:
+    """Valid and broken values of every format, next to each other, to words and to other numbers."""
+    rng = random.Random(seed)
+    digits = lambda k: "".join(rng.choice("0123456789") for _ in range(k))
+
+    def card():
+        body = digits(rng.randrange(12, 19))
+        number = body + (str(-luhn(body, 0) % 10) if rng.random() < 0.8 else "0")
+        cut = rng.choice(["", " ", "-"])
+        return cut.join(number[i : i + 4] for i in range(0, len(number), 4))
+
+    def iban():
+        country, size = rng.choice([("DE", 22), ("NO", 15), ("ES", 24), ("MT", 31), ("ZZ", 20), ("GB", 22)])
+        body = (rng.choice(["", "ABCD", "NWBK"]) + digits(40))[: size - 4]
+        plain = country + str(98 - mod97(body + country + "00")).zfill(2) + body
+        return rng.choice(["", " "]).join(plain[i : i + 4] for i in range(0, size, 4))
+
+    def day():
+        d, m, y = rng.randrange(1, 32), rng.randrange(1, 15), rng.choice([1799, 1800, 1999, 2024, 2199, 2200])
+        return rng.choice(["{1:04}-{2:02}-{3:02}", "{3:02}.{2:02}.{1:04}", "{2:02}/{3:02}/{1:04}", "{3:02}/{2:02}.{1:04}"]).format(0, y, m, d)
+
+    made = [
+        card, card, iban, day, day,
+        lambda: ".".join(str(rng.randrange(300)) for _ in range(4)),
+        lambda: rng.choice(["+1 (743) 555-3824", "743 555 3824", "+4915112345678", "+14155552671", "030-1234-5678", "+999123", "+1234567890123456"]),
+        lambda: rng.choice(["Ann.B9@x.example.org", "a@b.c.d.e", "x@y", "é.ab+c@sub-1.example.com.", "A@b.c@d.e"]),
+        lambda: digits(rng.randrange(1, 25)), lambda: " ".join(digits(rng.randrange(1, 6)) for _ in range(rng.randrange(1, 12))),
+        lambda: rng.choice(["EUR", "units", "BIC", "x", "ISBN 978-3-16-148410-0", "日本", "12a", "0000 0000 0000 0000"]),
+    ]
+    return ["".join(rng.choice(made)() + rng.choice([" ", " ", ", ", "\n", "-", "", "(", ": "]) for _ in range(rng.randrange(1, 9))) for _ in range(n)]

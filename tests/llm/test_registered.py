@@ -60,6 +60,37 @@ def test_valid_values_keep_their_format_and_others_stay(spark):
     assert rewritten(spark, *same) == same
 
 
+def test_pseudonyms_equal_the_plain_version(spark, folder):
+    texts = [*brute.personal_texts(2, 600), None, "", "no value"]
+    texts += [r["text"] for r in documents(spark, folder).where("length(text) < 4000").orderBy("doc_id").limit(60).collect()]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = [tuple(r)[1:] for r in pseudonyms.pseudonymised(rows, "k").orderBy("doc_id").select("doc_id", "text", "n_found", "n_replaced").collect()]
+    wanted = [brute.pseudonymised(t, "k") for t in texts]
+    assert [(t, f, w) for t, f, w in zip(texts, found, wanted, strict=True) if f != w] == []
+
+
+def test_values_beside_other_numbers_and_words_do_not_stay_in_clear(spark):
+    card, number = "4111111111111111", "4111 1111 1111 1111"
+    texts = [f"order 12 {card}", f"{card} 12 units", f"{number} 123", f"2024 {number}", f"{card} 5500005555555559", f"1 2 3 {card}-4 5"]
+    texts += ["ES9121000418450200051332 EUR", "AT611904300234573201 BIC", "+14155552671", "12/31/2024", "12.31.2024", "743 555 3824 4111111111111111"]
+    held = [card, card, number, number, "5500005555555559", card, "ES9121000418450200051332", "AT611904300234573201", "14155552671", "12/31/2024", "12.31.2024", "743 555 3824"]
+    assert [h for new, h in zip(rewritten(spark, *texts), held, strict=True) if h in new] == []
+
+
+def test_long_domains_and_many_values_in_one_text(spark):
+    many = "4111111111111111, ann@x.org; 12/31/2024 " * 20_000
+    new = rewritten(spark, "a@" + "b." * 100_000 + "c", many, "1 22 " * 30_000 + "4111111111111111")
+    assert new[0].endswith("@" + "b." * 100_000 + "c") and len(set(new[1].split("; "))) == 3 and new[2][:150_000] == "1 22 " * 30_000
+
+
+def test_month_first_dates_are_permuted_among_themselves(spark):
+    late = brute.late_days()[::29]
+    texts = [d.strftime("%m/%d/%Y") for d in late]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    new = [r["text"] for r in pseudonyms.pseudonymised(rows, "k").collect()]
+    assert len(set(new)) == len(texts) and all(int(t[3:5]) > 12 and t[2] == t[5] == "/" for t in new)
+
+
 def test_equal_values_stay_linked_and_depend_on_the_key(spark):
     a, b = rewritten(spark, "x 4111111111111111 y", "4111111111111111")
     assert a == f"x {b} y"
@@ -76,6 +107,8 @@ def test_the_permutations_are_one_to_one(spark):
 def test_pseudonyms_on_edge_cases(edge, none):
     assert pseudonyms.pseudonymised(edge, "k").count() == edge.count()
     assert pseudonyms.pseudonymised(none, "k").isEmpty()
+    taken = edge.withColumns({c: F.lit("x") for c in ("found_", "new__", "FOUND__")})
+    assert pseudonyms.pseudonymised(taken, "k").columns == [*(c for c in taken.columns if c != "text"), "text", "n_found", "n_replaced"]
     columns = pseudonyms.pseudonymised(edge.withColumn("n_found", F.lit("x")), "k").columns
     assert columns.count("n_found") == 1
 
