@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
-from muara.llm.common import BLANKS, documents, map_arrow
+from muara.llm.common import BLANKS, documents, free_names, map_arrow
 
 # The counted symbols.
 SYMBOLS = "#*$%&|<>"
@@ -165,9 +165,10 @@ def quality(docs: DataFrame, counts: bool = True) -> DataFrame:
 
 def kept_documents(docs: DataFrame) -> DataFrame:
     """The rows that no rule rejects, with their columns as they are."""
-    return quality(docs.withColumnRenamed("kept", "muara_kept"), counts=False).where("kept").select(
-        *[F.col(f"`{c if c != 'kept' else 'muara_kept'}`").alias(c) for c in docs.columns]
-    )
+    (own,) = free_names(docs, "own_kept")
+    renamed = {c: own if c.lower() == "kept" else c for c in docs.columns}
+    found = quality(docs.select(*[F.col(f"`{c}`").alias(n) for c, n in renamed.items()]), counts=False)
+    return found.where("kept").select(*[F.col(f"`{n}`").alias(c) for c, n in renamed.items()])
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from muara.llm.common import documents, map_arrow, mixed, utf8, word_bounds, word_hashes, write_table
+from muara.llm.common import documents, free_names, map_arrow, mixed, utf8, word_bounds, word_hashes, write_table
 
 #: Distances of the two words of a seed; an item of fewer than PAIRED words has its single words as seeds (distance 0).
 STEPS = (1, 2)
@@ -270,11 +270,12 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
 
 def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows that hold no benchmark item of TELLING words or more, with their columns as they are."""
-    bad = contaminated(docs, items, least_words=TELLING).select("key").distinct()
+    (own,) = free_names(docs, "own_key")
+    bad = contaminated(docs, items, least_words=TELLING).select("key").distinct().withColumnRenamed("key", own)
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    return docs.select(*columns, _key().alias("muara_key")).join(bad, F.col("muara_key") == bad.key, "left_anti").select(*columns)
+    return docs.select(*columns, _key().alias(own)).join(bad, own, "left_anti").select(*columns)
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), least_words=TELLING)
+    found = contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return found.groupBy("doc_id", "item_id").agg(F.max("score").alias("score"))

@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from muara.llm.common import documents, write_table
+from muara.llm.common import documents, free_names, write_table
 from muara.llm.spans import characters, matches_of, placed
 
 # The contract's patterns. A hex run or an access key below its least length is dropped whole either
@@ -212,13 +212,14 @@ def redacted(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     Null text stays null. Spans follow from the text alone, so texts are met by their hashes and equal rows are
     rewritten alike.
     """
-    keys = [F.xxhash64("text").alias("muara_k1"), F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(-1)).alias("muara_k2")]
+    first, second, held = free_names(docs, "key", "check", "runs")
+    keys = [F.xxhash64("text").alias(first), F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(-1)).alias(second)]
     rows = scanned(docs, keys)
     runs = joined_spans(secret_spans(rows))
-    listed = runs.groupBy("rid").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("muara_runs"))
-    known = listed.join(rows.select("rid", "muara_k1", "muara_k2"), "rid").drop("rid").dropDuplicates(["muara_k1", "muara_k2"])
+    listed = runs.groupBy("rid").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias(held))
+    known = listed.join(rows.select("rid", first, second), "rid").drop("rid").dropDuplicates([first, second])
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    text, found = F.col("text"), F.col("muara_runs")
+    text, found = F.col("text"), F.col(held)
 
     def piece(i: Column) -> Column:
         begin = F.coalesce(F.get(found, i - 1)["stop"], F.lit(0))
@@ -226,7 +227,7 @@ def redacted(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
         return F.substring(text, (begin + 1).cast("int"), (stop - begin).cast("int"))
 
     clean = F.array_join(F.transform(F.sequence(F.lit(0), F.size(found)), piece), mark)
-    all_rows = docs.select(*columns, *keys).join(known, ["muara_k1", "muara_k2"], "left")
+    all_rows = docs.select(*columns, *keys).join(known, [first, second], "left")
     kinds = dict(docs.dtypes)
     new = all_rows.withColumn("text", F.when(found.isNull(), text).otherwise(clean))
     if "n_chars" in docs.columns:

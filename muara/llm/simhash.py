@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from muara.llm.common import documents, map_arrow, shuffle_partitions, write_table
+from muara.llm.common import documents, free_names, map_arrow, shuffle_partitions, write_table
 from muara.llm.components import components
 
 BITS = 64
@@ -204,7 +204,8 @@ def groups(marked: DataFrame, distance: int) -> DataFrame:
     grouped = classes.join(found, classes.fp == found.node, "left").select(
         "fp", "least", F.coalesce("component", "fp").alias("component")
     )
-    least = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
+    # Written first, so that neither side of the join is an aggregation and Spark can split a component with many members.
+    least = write_table(grouped.groupBy("component").agg(F.min("least").alias("component_id")), "simhash-least")
     return grouped.join(least, "component").select("fp", "component", "component_id")
 
 
@@ -213,15 +214,16 @@ def one_per_group(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataF
 
     A null id comes last; of rows with one id the text with the smallest hash stays, and of repeated rows one.
     """
-    own = [F.xxhash64("doc_id", "text").alias("muara_k1"), F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(-1)).alias("muara_k2")]
+    first, second, copy = free_names(docs, "key", "check", "copy")
+    own = [F.xxhash64("doc_id", "text").alias(first), F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(-1)).alias(second)]
     marked = write_table(fingerprints(docs, shingle, own), "simhash")
     label = groups(marked, distance)
-    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "muara_k1", "muara_k2")
-    stays = marked.join(label, "fp").groupBy("component").agg(F.min(order).alias("stays")).select("stays.muara_k1", "stays.muara_k2")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", first, second)
+    stays = marked.join(label, "fp").groupBy("component").agg(F.min(order).alias("stays")).select(f"stays.{first}", f"stays.{second}")
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    copies = Window.partitionBy("muara_k1", "muara_k2").orderBy("muara_k1")  # the join's own partitions and order
-    kept = docs.select(*columns, *own).join(stays, ["muara_k1", "muara_k2"])
-    return kept.withColumn("muara_copy", F.row_number().over(copies)).where("muara_copy = 1").select(*columns)
+    copies = Window.partitionBy(first, second).orderBy(first)  # the join's own partitions and order
+    kept = docs.select(*columns, *own).join(stays, [first, second])
+    return kept.withColumn(copy, F.row_number().over(copies)).where(F.col(copy) == 1).select(*columns)
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -335,6 +335,16 @@ def test_verbatim_items_of_the_table_are_found(spark, folder):
     assert wanted and found >= wanted
 
 
+def test_the_query_looks_for_items_of_every_length(spark, folder, tmp_path, monkeypatch):
+    text = documents(spark, folder).where("n_chars > 300").orderBy("doc_id").first()
+    words = text["text"].split()
+    items = [(k, " ".join(words[20 : 20 + k])) for k in (1, 2, 3, 4, 5, 8, 30)]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    documents(spark, folder).write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r["item_id"] for r in REGISTRY["op9_decontaminate"](spark, str(tmp_path)).where(F.col("doc_id") == text["doc_id"]).collect()}
+    assert found == {k for k, _ in items}
+
+
 def test_no_items_short_items_and_edge_rows(spark, edge, none, folder):
     items = spark.createDataFrame([(1, None), (2, "..."), (3, "fox"), (3, "two words")], "item_id long, text string")
     assert decontaminate.contaminated(edge, items.limit(2)).isEmpty()
@@ -376,6 +386,17 @@ def test_stages_keep_the_columns_and_survive_odd_rows(spark, folder, which, requ
     assert packed.where("piece = 0").count() == kept.count()
 
 
+def test_stages_take_columns_named_like_inner_ones(spark, folder, edge):
+    names = "key_ check_ copy_ runs_ own_key_ own_kept_ found_ new_ KEY__ muara_k1 fp rid component gram".split()
+    given = documents(spark, folder).limit(40).select("doc_id", "text", "n_chars")
+    docs = given.withColumns({n: F.lit(n) for n in names})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        plain, odd = stage(spark, given, folder), stage(spark, docs, folder)
+        assert odd.columns == docs.columns, name
+        assert Counter(tuple(r) for r in odd.select(*given.columns).collect()) == Counter(tuple(r) for r in plain.collect())
+        assert odd.where(" or ".join(f"`{n}` <> '{n}'" for n in names)).isEmpty()
+
+
 def test_each_stage_does_its_work_on_the_table(spark, folder):
     docs = documents(spark, folder)
     given = [(r["doc_id"], r["text"]) for r in docs.collect()]
