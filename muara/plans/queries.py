@@ -158,7 +158,7 @@ def feed_points(spark: SparkSession, folder: str) -> DataFrame:
         "user_id",
         "event_type",
         F.col("ts").alias("wall"),
-        F.trunc("ts", "week").alias("run"),
+        F.col("ts").cast("date").alias("run"),
         iso_text(F.col("ts"), "+07:00").alias("datetime"),
         F.col("value").alias("t"),
         humidity().cast("string").alias("hu"),
@@ -502,7 +502,7 @@ def reject_rows(spark: SparkSession, folder: str) -> DataFrame:
 def feed_drift(spark: SparkSession, folder: str) -> DataFrame:
     """Landing runs from mid-month on lack the wind direction and bring gusts; humidities are numbers, errors' ones flags;
     signups have no description."""
-    points = feed_points(spark, folder)
+    points = feed_points(spark, folder).withColumn("run", F.trunc("run", "week"))
     kind, later = F.col("event_type"), F.col("run") >= F.lit(MID_MONTH.date())
     items = {
         "datetime": F.to_json(F.struct("datetime")),
