@@ -230,7 +230,11 @@ def _span_digests(text: bytes, places: list[tuple[int, int]]) -> list[bytes]:
 
 
 def source_digests(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """``home, row, at, n, digest``: each span with the hash of the words at its source's coordinates."""
+    """``home, row, at, n, digest``: each span with the hash of the words at its source's coordinates.
+
+    Many copies ask for the same words of one source. These are hashed once, and the copies meet the hash in a join,
+    in which Spark splits a source that a large part of all documents copies.
+    """
 
     def read(texts, asked):
         import pyarrow as pa
@@ -239,18 +243,20 @@ def source_digests(docs: DataFrame, spans: DataFrame) -> DataFrame:
         for _, row, text in zip(*unpacked_texts(texts), strict=True):
             by_row.setdefault(row, text)
         wanted: dict[int, list] = {}
-        for ask in asked.to_pylist():
-            wanted.setdefault(ask["source_row"], []).append(ask)
+        for row, at, n in zip(*(asked[c].to_pylist() for c in ("source_row", "source_at", "n")), strict=True):
+            wanted.setdefault(row, []).append((at, n))
         out: list[tuple] = []
-        for row, asks in wanted.items():
-            digests = _span_digests(by_row[row], [(a["source_at"], a["n"]) for a in asks])
-            out += [(a["home"], a["row"], a["at"], a["n"], d) for a, d in zip(asks, digests, strict=True)]
-        columns = list(zip(*out, strict=True)) or [()] * 5
-        kinds = [pa.int64()] * 4 + [pa.binary()]
-        return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["home", "row", "at", "n", "digest"])
+        for row, places in wanted.items():
+            out += [(row, at, n, d) for (at, n), d in zip(places, _span_digests(by_row[row], places), strict=True)]
+        columns = list(zip(*out, strict=True)) or [()] * 4
+        kinds = [pa.int64()] * 3 + [pa.binary()]
+        names = ["source_row", "source_at", "n", "digest"]
+        return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
-    right = spans.select(F.col("source_home").alias("at_home"), "home", "row", "at", "n", "source_row", "source_at")
-    return docs.groupBy("home").cogroup(right.groupBy("at_home")).applyInArrow(read, "home long, row long, at long, n long, digest binary")
+    asked = spans.select(F.col("source_home").alias("at_home"), "source_row", "source_at", "n").distinct()
+    columns = "source_row long, source_at long, n long, digest binary"
+    digests = docs.groupBy("home").cogroup(asked.groupBy("at_home")).applyInArrow(read, columns)
+    return spans.join(digests, ["source_row", "source_at", "n"]).select("home", "row", "at", "n", "digest")
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -266,7 +272,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long"), "text").withColumn("row", row).withColumn("home", F.pmod("row", F.lit(buckets)))
     texts = packed_texts(rows)
     paths = write_table(path_rows(texts, repeated_anchors(rows, buckets, _anchors_of)), "paths")
-    verified = source_digests(texts, long_spans(paths))
+    verified = source_digests(texts, write_table(long_spans(paths), "spans"))
 
     def cut(texts, spans):
         import pyarrow as pa
