@@ -6,7 +6,7 @@ model that SQL lacks; ``tests/llm`` holds them against plain versions. The pseud
 
 from __future__ import annotations
 
-from muara.llm.licenses import PHRASES, TEMPLATES, THRESHOLD, needed
+from muara.llm.licenses import PHRASES, TEMPLATES, needed, span
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -68,24 +68,34 @@ def _licenses() -> str:
         + " and ".join(f"ws[i + {k}] = '{word}'" for k, word in enumerate(phrase.split()))
         for phrase, label in PHRASES.items()
     )
-    words = {t: sorted(set(t.split())) for _, t in TEMPLATES}
-    shown = {t: "[" + ", ".join(f"'{w}'" for w in words[t]) + "]" for t in words}
-    templates = ", ".join(f"('{label}', {shown[t]}, {len(words[t])}, {needed(len(words[t]), THRESHOLD)})" for label, t in TEMPLATES)
-    separators = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
+    shown = lambda words: "[" + ", ".join(f"'{w}'" for w in sorted(set(words))) + "]::varchar[]"
+    templates = ", ".join(
+        f"({nr}, '{t.label}', {shown(t.text.split())}, {shown(t.must.split())}, {shown(t.without.split())},"
+        f" {len(set(t.text.split()))}, {needed(len(set(t.text.split())))}, {span(t.text)})"
+        for nr, t in enumerate(TEMPLATES)
+    )
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-    return rf"""with w as (select doc_id, translate(coalesce(text, ''), '{upper}', '{lower}') t,
-            regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '{separators.replace("[", "[^", 1)}+') ws from documents),
+    return rf"""with w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') ws from documents),
         p as (select doc_id, ws, unnest(range(1, len(ws) + 1)) i from w),
         base as ({starts}),
-        lines as (select doc_id, list_distinct(regexp_extract_all(unnest(string_split(t, chr(10))), '{separators.replace("[", "[^", 1)}+')) b from w),
-        templates(label, words, n, need) as (values {templates}),
-        met as (select doc_id, label, len(list_intersect(b, words)) / n::double share from lines, templates
-            where len(list_intersect(b, words)) >= need),
-        l as (select doc_id, label from met union select doc_id, label from base),
+        t(nr, label, words, must, without, n, need, span) as (values {templates}),
+        c as (select doc_id, nr, ws from w, t
+            where len(list_intersect(ws, words)) >= need and len(list_intersect(ws, must)) = len(must)),
+        x as (select doc_id, nr, unnest(range(1, len(ws) + 1)) i, unnest(ws) u from c),
+        s as (select doc_id, nr, i, u, label, words, must, n, need, span, min(case when list_contains(without, u) then i end)
+            over (partition by doc_id, nr order by i rows between current row and unbounded following) stop from x join t using (nr)),
+        h as (select * from s where list_contains(words, u)),
+        runs as (select a.doc_id, any_value(a.label) label, count(distinct b.u) / any_value(a.n)::double share
+            from h a join h b on a.doc_id = b.doc_id and a.nr = b.nr and b.i >= a.i and b.i < a.i + a.span and (a.stop is null or b.i < a.stop)
+            group by a.doc_id, a.nr, a.i
+            having count(distinct b.u) >= any_value(a.need)
+                and count(distinct b.u) filter (list_contains(b.must, b.u)) = any_value(len(a.must))),
+        l as (select doc_id, label from runs union select doc_id, label from base),
         names as (select doc_id, string_agg(distinct label, ',' order by label) labels from l group by 1),
         bases as (select doc_id, count(*) n, min(i) - 1 a, max(i) - 1 z, string_agg(distinct label, ',' order by label) labels
             from base group by 1),
-        best as (select doc_id, max(share) share from met group by 1)
+        best as (select doc_id, max(share) share from runs group by 1)
         select w.doc_id, len(ws) n_words, coalesce(bases.n, 0) n_base, a first_word, z last_word,
             coalesce(bases.labels, '') base_labels, coalesce(names.labels, '') labels,
             case when bases.n > 0 then 1.0::double else coalesce(share, 0.0::double) end score

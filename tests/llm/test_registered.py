@@ -221,20 +221,56 @@ def test_templates_are_found_across_line_breaks_and_not_in_scattered_words(spark
     import random
 
     texts = []
-    for _, template in licenses.TEMPLATES:
-        words = template.split()
+    for template in licenses.TEMPLATES:
+        words = template.text.split()
         texts += ["/*\n" + "\n".join(" * " + " ".join(words[k : k + width]) for k in range(0, len(words), width)) + "\n */" for width in (3, 5)]
         texts += ["x " * lead + "\n".join(words) + " y" * 40 for lead in (25, 53, 54)]
     rng = random.Random(1)
-    scattered = sorted({w for _, t in licenses.TEMPLATES for w in t.split()} - {"mit", "apache", "gnu"})
+    scattered = sorted({w for t in licenses.TEMPLATES for w in t.text.split()} - {"mit", "apache", "gnu"})
     loose = [" ".join(f"{w} " + " ".join("x" * rng.randrange(1, 9) for _ in range(20)) for w in scattered)]
     docs = spark.createDataFrame(list(enumerate(texts + loose)), "doc_id long, text string")
     rows = licenses.licenses(docs).orderBy("doc_id").collect()
-    labels = [label for label, _ in licenses.TEMPLATES for _ in range(5)]
-    assert all(label in r["labels"].split(",") and r["score"] == 1.0 for label, r in zip(labels, rows, strict=False))
+    labels = [t.label for t in licenses.TEMPLATES for _ in range(5)]
+    assert all(set(r["labels"].split(",")) == {label, *r["base_labels"].split(",")} - {""} for label, r in zip(labels, rows, strict=False))
+    assert all(r["score"] == 1.0 for r in rows[:-1])
     assert (rows[-1]["labels"], rows[-1]["score"]) == ("", 0.0)
 
 
+def test_near_relatives_keep_their_own_labels_and_the_sql_agrees(spark, tmp_path):
+    import duckdb
+
+    from muara.llm.oracles import ORACLES
+
+    given = {
+        "Licensed under CC BY 4.0": "cc-by",
+        "Licensed under CC BY-NC 4.0": "cc-by-nc",
+        "Licensed under CC\nBY-NC-SA 4.0.": "cc-by-nc-sa",
+        "Licensed under the Creative Commons Attribution-NonCommercial 4.0 International License.": "cc-by-nc",
+        "Licensed under the Creative Commons\n * Attribution 4.0 International License.": "cc-by",
+        "This work is licensed under the GNU Lesser General Public License, version 3": "gpl,lgpl",
+        "This program is free software: you can redistribute it\nand/or modify it under the terms of the GNU Affero General Public\nLicense": "agpl,gpl",
+        "released under the bsd mit": "",
+        "Released under the\nMIT License; WOR\u212a, mit \u212aicense": "mit",
+        "This wor\u212a is licensed under the GNU Lesser Public thing": "",
+        "THIS WORK IS LICENSED UNDER THE MOZILLA PUBLIC KEY": "",
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying\n"
+        "documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software,\n"
+        "and to prepare derivative works of the Software": "bsl",
+        "The contents of this file are subject to the Mozilla Public License Version 1.1 (the \"License\"); you may not use this file\n"
+        "except in compliance with the License.": "mpl",
+        "Redistribution and use in source and binary forms, with or\nwithout modification, are permitted provided that the\nfollowing conditions are met": "bsd",
+        "the mozilla apache lesser license": "",
+    }
+    texts = [(i, t) for i, t in enumerate([*given, *("pad " * 400 + t + " pad" * 30 for t in given), None, ""])]
+    folder = f"{tmp_path}/documents.parquet"
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(folder)
+    rows = [tuple(r) for r in licenses.licenses(spark.read.parquet(folder)).orderBy("doc_id").collect()]
+    assert [r[6] for r in rows] == [*given.values(), *given.values(), "", ""]
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{folder}/*.parquet'")
+    assert rows == con.execute(f"select * from ({ORACLES['op7_license_scan']}) order by doc_id").fetchall()
+
+
 def test_random_tokens_are_reported_and_words_are_not(spark):
     import random
     import string
