@@ -17,7 +17,6 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from muara.llm.common import documents, write_table
 
@@ -169,7 +168,7 @@ def _blocks(words: Column, longest: int) -> Column:
 
 
 def _array(values: list[str]) -> Column:
-    return F.array(*[F.lit(v) for v in values])
+    return F.array(*[F.lit(v) for v in values]).cast("array<string>")
 
 
 def word_order(docs: DataFrame, templates=TEMPLATES) -> list[str]:
@@ -183,20 +182,34 @@ def word_order(docs: DataFrame, templates=TEMPLATES) -> list[str]:
     return sorted(vocabulary, key=lambda w: (counts.get(w, 0), w))
 
 
+def prefixes_of(template: Template, order: list[str], threshold: float = THRESHOLD) -> tuple[list[str], int]:
+    """The template's distinct words, rarest first, and how many of them are its prefix."""
+    rank = {w: i for i, w in enumerate(order)}
+    words = sorted(set(template.text.split()), key=rank.__getitem__)
+    return words, len(words) - needed(len(words), threshold) + 1
+
+
 def template_table(spark: SparkSession, order: list[str], templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """One row per template and prefix word: ``word, at, label, words, must, cut, need, span``.
 
-    ``cut`` is a pattern of the words that no run may hold.
+    ``cut`` is a pattern of the words that no run may hold. The rows are literals, so Spark knows how few they are.
     """
-    rank, rows = {w: i for i, w in enumerate(order)}, []
+    entries = []
     for t in templates:
-        words = sorted(set(t.text.split()), key=rank.__getitem__)
-        need = needed(len(words), threshold)
+        words, prefix = prefixes_of(t, order, threshold)
         cut = f"(?<![^ ])(?:{'|'.join(t.without.split())})(?![^ ])" if t.without else "(?!)"
-        rows += [(w, at, t.label, words, t.must.split(), cut, need, span(t.text, threshold)) for at, w in enumerate(words[: len(words) - need + 1])]
-    text, number = StringType(), IntegerType()
-    kinds = {"word": text, "at": number, "label": text, "words": ArrayType(text), "must": ArrayType(text), "cut": text, "need": number, "span": number}
-    return spark.createDataFrame(rows, StructType([StructField(n, k) for n, k in kinds.items()]))
+        columns = {
+            "prefix": _array(words[:prefix]),
+            "label": F.lit(t.label),
+            "words": _array(words),
+            "must": _array(t.must.split()),
+            "cut": F.lit(cut),
+            "need": F.lit(needed(len(words), threshold)),
+            "span": F.lit(span(t.text, threshold)),
+        }
+        entries.append(F.struct(*[c.alias(n) for n, c in columns.items()]))
+    rows = spark.range(1).select(F.inline(F.array(*entries)))
+    return rows.select(F.posexplode("prefix").alias("at", "word"), "label", "words", "must", "cut", "need", "span")
 
 
 def _places(words: Column) -> Column:
@@ -255,7 +268,7 @@ def similar(blocks: DataFrame, prefixes: DataFrame, order: list[str], prefix: li
         F.transform("known", lambda w, i: F.struct(w.alias("word"), i.alias("place"))), lambda e: F.array_contains(_array(prefix), e["word"])
     )
     sets = blocks.withColumn("known", F.array_intersect(_array(order), "block"))
-    met = sets.select("*", F.inline(rare)).join(prefixes, "word")  # the templates are a fixed short list; Spark checks its size
+    met = sets.select("*", F.inline(rare)).join(prefixes, "word")  # Spark checks the size of the templates
     first = F.size(F.array_intersect(F.slice("words", F.lit(1), F.col("at")), "known")) == 0
     left = F.least(F.size("words") - F.col("at"), F.size("known") - F.col("place"))
     held = (F.size(F.array_intersect("words", "known")) >= F.col("need")) & (F.size(F.array_intersect("must", "known")) == F.size("must"))
@@ -273,7 +286,7 @@ def licenses(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD)
     """
     order = word_order(docs, templates)
     prefixes = template_table(docs.sparkSession, order, templates, threshold)
-    prefix = sorted(r["word"] for r in prefixes.select("word").distinct().collect())
+    prefix = sorted({w for t in templates for words, n in [prefixes_of(t, order, threshold)] for w in words[:n]})
     rows = scanned(docs, prefix, max(span(t.text, threshold) for t in templates))
     blocks = rows.select("rid", F.explode("blocks").alias("block"))
     found = similar(blocks, prefixes, order, prefix).groupBy("rid").agg(F.collect_set("label").alias("met"), F.max("score").alias("share"))
