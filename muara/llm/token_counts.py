@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from muara.llm.common import documents, map_arrow
+from muara.llm.common import documents, map_arrow, write_table
 
 # The byte-level pre-token pattern for code points below U+0250, with the classes for letters,
 # numbers and white space written out.
@@ -266,12 +266,18 @@ def _document_sums(own: DataFrame, sums: DataFrame) -> DataFrame:
     return own.groupBy("block").cogroup(sums.groupBy("block")).applyInArrow(add, "doc_id long, n_bytes long, n_tokens long")
 
 
-def token_counts(docs: DataFrame, path: str, limit: int = 512) -> DataFrame:
+def token_counts(docs: DataFrame, path: str, limit: int = 512, stored: bool = False) -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit`` for every row of ``docs``.
 
+    Documents are met by their place in a scan that is made twice, so its order must not change. Only a scan of stored
+    files has such an order: ``stored`` says that ``docs`` is one. Other rows, such as those of a shuffle, are written
+    to the shared folder first.
+
     Null text counts as empty: no bytes, no tokens. Repeated rows and equal or null ids each keep their row. Extra
     columns are ignored.
     """
+    if not stored:
+        docs = write_table(docs.select(F.col("doc_id").cast("long"), "text"), "texts")
     pieces = piece_counts(distinct_pre_tokens(docs, path), path)
     sums = _block_sums(frequencies(docs, path).join(pieces, "token"))
     total = _document_sums(numbered_documents(docs, path), sums)
@@ -281,4 +287,4 @@ def token_counts(docs: DataFrame, path: str, limit: int = 512) -> DataFrame:
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return token_counts(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+    return token_counts(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), stored=True)
