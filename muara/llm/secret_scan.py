@@ -3,10 +3,11 @@
 A token is put into the narrowest encoding its characters allow; one that allows none, such as a key behind the
 slashes of a path, is cut into its runs of base64, of base64url and of letters and digits, and these are tested. Three tests ask whether it could be a random string
 of that encoding: chi-squared for even use of the alphabet, runs above and below the alphabet's middle, and serial
-correlation of neighbours. Their smallest p-value, times three, is the token's. Over all tokens of the corpus, the
-Benjamini-Hochberg rule then rejects randomness within each class of encoding and length, so that of the tokens set
+correlation of neighbours. Their smallest p-value, times three, is the token's. Over all tokens of the corpus,
+the Benjamini-Hochberg rule rejects randomness within each class of encoding and length, so that of the tokens set
 aside as ordinary about one in a hundred at most is random; short tokens, where the tests see little, answer to
-their own class. What is left and long enough for its encoding is reported.
+their own class. A second cut bounds the estimated share of ordinary tokens among those reported. What is left and
+long enough for its encoding is reported.
 """
 
 from __future__ import annotations
@@ -53,6 +54,10 @@ ONE_CASE = ("lower26", "upper26")
 PARTS = {"base64": "[A-Za-z0-9+/]{20,}={0,2}", "base64url": "[A-Za-z0-9_-]{20,}={0,2}", "base62": "[A-Za-z0-9]{20,}"}
 #: Expected share of random tokens among those set aside as ordinary.
 FALSE_SHARE = 0.01
+#: Bound on the estimated share of ordinary tokens among those reported, per class.
+REPORTED_SHARE = 0.05
+#: Random tokens have a p-value above HIGH in this share; drawn keys of all encodings and 24 to 128 letters: 0.61 to 0.68.
+HIGH, HIGH_SHARE = 0.5, 0.64
 #: p-values are rounded up to this many steps on a log scale down to FLOOR before they are ranked.
 STEPS, FLOOR = 400, 1e-12
 
@@ -130,24 +135,40 @@ def randomness(tokens: DataFrame, column: str = "found") -> DataFrame:
     return rows.withColumn("p", p).drop("alphabet_", "body_", "codes_", "mean_", "total_", "cross_")
 
 
-def not_rejected(tested: DataFrame) -> DataFrame:
-    """The tokens that the Benjamini-Hochberg rule does not reject within their encoding and length class.
+def reported_tokens(tested: DataFrame) -> DataFrame:
+    """The tokens that are reported as random within their encoding and length class.
 
-    p-values are rounded up to steps, so a class has STEPS counts at most and no class is ranked row by row. The
-    thresholds are one row per class.
+    Two cuts hold. The Benjamini-Hochberg rule sets a token aside as ordinary so that at most ``FALSE_SHARE`` of those
+    set aside are random. Of what it leaves, the least likely random ones go until the estimated share of ordinary
+    tokens among the reported is at most ``REPORTED_SHARE``: a class holds about as many random tokens as those above
+    ``HIGH`` stand for, one more and a standard deviation allowed, and what is reported beyond them is taken for
+    ordinary. p-values are rounded up to steps, so a class has STEPS counts at most and no class is ranked row by row.
+    The thresholds are one row per class.
     """
     group = F.concat_ws(":", "encoding", F.floor(F.log2(F.col("size").cast("double"))).cast("string"))
     width = -F.log10(F.lit(FLOOR)) / STEPS
     step = F.floor(-F.log10(F.greatest(F.col("p"), F.lit(FLOOR))) / width).cast("int")
     rows = tested.where("encoding is not null").withColumn("class_", group).withColumn("step_", step)
-    counts = rows.groupBy("class_", "step_").agg(F.count(F.lit(1)).alias("n"))
+    high = F.sum(F.when(F.col("p") > HIGH, 1).otherwise(0))
+    counts = rows.groupBy("class_", "step_").agg(F.count(F.lit(1)).alias("n"), high.alias("high"))
     upward = Window.partitionBy("class_").orderBy(F.col("step_").desc())
+    downward = Window.partitionBy("class_").orderBy("step_")
     whole = Window.partitionBy("class_")
-    ranked = counts.withColumn("rank", F.sum("n").over(upward)).withColumn("total", F.sum("n").over(whole))
-    bound = F.pow(F.lit(10.0), -F.col("step_") * width)
-    cut = ranked.where(bound <= F.col("rank") / F.col("total") * FALSE_SHARE).groupBy("class_").agg(F.min("step_").alias("cut_"))
-    kept = rows.join(cut, "class_", "left").where("cut_ is null or step_ < cut_")
-    return kept.drop("class_", "step_", "cut_")
+    ranked = counts.select(
+        "class_",
+        "step_",
+        F.sum("n").over(upward).alias("rank"),
+        F.sum("n").over(downward).alias("reported"),
+        F.sum("n").over(whole).alias("total"),
+        F.sum("high").over(whole).alias("high"),
+    )
+    edge = lambda k: F.pow(F.lit(10.0), -(F.col("step_") + k) * width)
+    aside = edge(0) <= F.col("rank") / F.col("total") * FALSE_SHARE
+    drawn = (F.col("high") + 1 + F.sqrt("high")) / HIGH_SHARE
+    bounded = F.col("reported") - drawn * (1 - edge(1)) <= REPORTED_SHARE * F.col("reported")
+    cuts = ranked.groupBy("class_").agg(F.min(F.when(aside, F.col("step_"))).alias("cut_"), F.max(F.when(bounded, F.col("step_"))).alias("last_"))
+    kept = rows.join(cuts, "class_").where("(cut_ is null or step_ < cut_) and step_ <= last_")
+    return kept.drop("class_", "step_", "cut_", "last_")
 
 
 def scanned(docs: DataFrame, also: Sequence[Column] = ()) -> DataFrame:
@@ -171,7 +192,7 @@ def secret_spans(docs_scanned: DataFrame) -> DataFrame:
     least = F.lit(None).cast("int")
     for key, (_, _, size) in ENCODINGS.items():
         least = F.when(F.col("encoding") == key, F.lit(size)).otherwise(least)
-    drawn = not_rejected(randomness(in_parts(each.where("kind = 'random'")))).where(F.col("size") >= least)
+    drawn = reported_tokens(randomness(in_parts(each.where("kind = 'random'")))).where(F.col("size") >= least)
     f, r = fixed.alias("f"), drawn.alias("r")
     inside = (F.col("f.rid") == F.col("r.rid")) & (F.col("f.start") < F.col("r.stop")) & (F.col("r.start") < F.col("f.stop"))
     columns = ["rid", "kind", "start", "stop"]

@@ -435,3 +435,59 @@ def personal_texts(seed: int, n: int) -> list[str]:
         lambda: rng.choice(["EUR", "units", "BIC", "x", "ISBN 978-3-16-148410-0", "日本", "12a", "0000 0000 0000 0000"]),
     ]
     return ["".join(rng.choice(made)() + rng.choice([" ", " ", ", ", "\n", "-", "", "(", ": "]) for _ in range(rng.randrange(1, 9))) for _ in range(n)]
+
+
+def _normal_tail(z: float) -> float:
+    return 1 / (1 + math.exp(min(700.0, 1.5976 * z + 0.070565663 * z**3)))
+
+
+def random_encoding(token: str, encodings: dict) -> str | None:
+    both = re.search("[a-z]", token) and re.search("[A-Z]", token)
+    mixed = re.search("[A-Za-z]", token) and (re.search("[0-9]", token) or both)
+    fits = [k for k, (pattern, _, _) in encodings.items() if re.fullmatch(pattern, token) and (mixed or k in ("lower26", "upper26"))]
+    return fits[0] if fits else None
+
+
+def random_p(token: str, alphabet: str) -> float:
+    """Smallest of three p-values, times three, that the token is drawn evenly from its alphabet."""
+    codes = [alphabet.index(c) for c in token.rstrip("=")]
+    n, k = len(codes), len(alphabet)
+    squares = sum((codes.count(c) - n / k) ** 2 / (n / k) for c in range(k))
+    spread = 2 / (9 * (k - 1))
+    chi = _normal_tail(((squares / (k - 1)) ** (1 / 3) - (1 - spread)) / math.sqrt(spread))
+    side = [c >= k / 2 for c in codes]
+    high, low = sum(side), n - sum(side)
+    mean = 2 * high * low / n + 1
+    variance = (mean - 1) * (mean - 2) / (n - 1)
+    runs = 1 + sum(a != b for a, b in zip(side, side[1:], strict=False))
+    by_runs = min(1.0, 2 * _normal_tail(abs((runs - mean) / math.sqrt(variance)))) if variance > 0 else 0.0
+    middle = sum(codes) / n
+    total = sum((c - middle) ** 2 for c in codes)
+    cross = sum((a - middle) * (b - middle) for a, b in zip(codes, codes[1:], strict=False))
+    serial = min(1.0, 2 * _normal_tail(abs((cross / total + 1 / n) * math.sqrt(n)))) if total > 0 else 0.0
+    return min(1.0, 3 * min(chi, by_runs, serial))
+
+
+def random_reported(tokens: list[str], encodings: dict, aside=0.01, wrong=0.05, steps=400, floor=1e-12) -> set[str]:
+    """Tokens neither set aside as ordinary nor cut off to bound the ordinary ones among the reported."""
+    classes: dict[tuple, list] = {}
+    for token in tokens:
+        name = random_encoding(token, encodings)
+        if name:
+            p = random_p(token, encodings[name][1])
+            step = math.floor(-math.log10(max(p, floor)) / (-math.log10(floor) / steps))
+            classes.setdefault((name, math.floor(math.log2(len(token)))), []).append((step, p, token))
+    found = set()
+    for members in classes.values():
+        value = lambda step: 10 ** (step * math.log10(floor) / steps)
+        known = sorted({m[0] for m in members})
+        cut = min((s for s in known if value(s) <= sum(m[0] >= s for m in members) / len(members) * aside), default=math.inf)
+        high = sum(m[1] > 0.5 for m in members)
+        drawn = (high + 1 + math.sqrt(high)) / 0.64
+        last = -1
+        for s in known:
+            reported = sum(m[0] <= s for m in members)
+            if reported - drawn * (1 - value(s + 1)) <= wrong * reported:
+                last = s
+        found |= {t for s, _, t in members if s < cut and s <= last}
+    return found
