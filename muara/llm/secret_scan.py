@@ -56,10 +56,11 @@ PARTS = {"base64": "[A-Za-z0-9+/]{20,}={0,2}", "base64url": "[A-Za-z0-9_-]{20,}=
 FALSE_SHARE = 0.01
 #: Bound on the estimated share of ordinary tokens among those reported, per class.
 REPORTED_SHARE = 0.05
-#: Random tokens have a p-value above HIGH in this share; drawn keys of all encodings and 24 to 128 letters: 0.61 to 0.68.
-HIGH, HIGH_SHARE = 0.5, 0.64
 #: p-values are rounded up to this many steps on a log scale down to FLOOR before they are ranked.
 STEPS, FLOOR = 400, 1e-12
+#: Random tokens have a p-value in the first HIGH steps, above 0.501, in this share; drawn keys of all encodings and 24 to
+#: 128 letters: 0.61 to 0.68.
+HIGH, HIGH_SHARE = 10, 0.64
 
 
 def _upper_tail(z: Column) -> Column:
@@ -140,8 +141,8 @@ def reported_tokens(tested: DataFrame) -> DataFrame:
 
     Two cuts hold. The Benjamini-Hochberg rule sets a token aside as ordinary so that at most ``FALSE_SHARE`` of those
     set aside are random. Of what it leaves, the least likely random ones go until the estimated share of ordinary
-    tokens among the reported is at most ``REPORTED_SHARE``: a class holds about as many random tokens as those above
-    ``HIGH`` stand for, one more and a standard deviation allowed, and what is reported beyond them is taken for
+    tokens among the reported is at most ``REPORTED_SHARE``: a class holds about as many random tokens as those in
+    the first ``HIGH`` steps stand for, one more and a standard deviation allowed, and what is reported beyond them is taken for
     ordinary. p-values are rounded up to steps, so a class has STEPS counts at most and no class is ranked row by row.
     The thresholds are one row per class.
     """
@@ -149,8 +150,7 @@ def reported_tokens(tested: DataFrame) -> DataFrame:
     width = -F.log10(F.lit(FLOOR)) / STEPS
     step = F.floor(-F.log10(F.greatest(F.col("p"), F.lit(FLOOR))) / width).cast("int")
     rows = tested.where("encoding is not null").withColumn("class_", group).withColumn("step_", step)
-    high = F.sum(F.when(F.col("p") > HIGH, 1).otherwise(0))
-    counts = rows.groupBy("class_", "step_").agg(F.count(F.lit(1)).alias("n"), high.alias("high"))
+    counts = rows.groupBy("class_", "step_").agg(F.count(F.lit(1)).alias("n"))
     upward = Window.partitionBy("class_").orderBy(F.col("step_").desc())
     downward = Window.partitionBy("class_").orderBy("step_")
     whole = Window.partitionBy("class_")
@@ -160,7 +160,7 @@ def reported_tokens(tested: DataFrame) -> DataFrame:
         F.sum("n").over(upward).alias("rank"),
         F.sum("n").over(downward).alias("reported"),
         F.sum("n").over(whole).alias("total"),
-        F.sum("high").over(whole).alias("high"),
+        F.sum(F.when(F.col("step_") < HIGH, F.col("n")).otherwise(0)).over(whole).alias("high"),
     )
     edge = lambda k: F.pow(F.lit(10.0), -(F.col("step_") + k) * width)
     aside = edge(0) <= F.col("rank") / F.col("total") * FALSE_SHARE
@@ -192,7 +192,8 @@ def secret_spans(docs_scanned: DataFrame) -> DataFrame:
     least = F.lit(None).cast("int")
     for key, (_, _, size) in ENCODINGS.items():
         least = F.when(F.col("encoding") == key, F.lit(size)).otherwise(least)
-    drawn = reported_tokens(randomness(in_parts(each.where("kind = 'random'")))).where(F.col("size") >= least)
+    tested = randomness(in_parts(each.where("kind = 'random'"))).select("rid", "start", "stop", "size", "encoding", "p")
+    drawn = reported_tokens(write_table(tested, "secret-tokens")).where(F.col("size") >= least)
     f, r = fixed.alias("f"), drawn.alias("r")
     inside = (F.col("f.rid") == F.col("r.rid")) & (F.col("f.start") < F.col("r.stop")) & (F.col("r.start") < F.col("f.stop"))
     columns = ["rid", "kind", "start", "stop"]

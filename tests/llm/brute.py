@@ -482,7 +482,7 @@ def random_reported(tokens: list[str], encodings: dict, aside=0.01, wrong=0.05,
         value = lambda step: 10 ** (step * math.log10(floor) / steps)
         known = sorted({m[0] for m in members})
         cut = min((s for s in known if value(s) <= sum(m[0] >= s for m in members) / len(members) * aside), default=math.inf)
-        high = sum(m[1] > 0.5 for m in members)
+        high = sum(m[0] < 10 for m in members)
         drawn = (high + 1 + math.sqrt(high)) / 0.64
         last = -1
         for s in known:
