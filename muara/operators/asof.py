@@ -27,7 +27,8 @@ def asof_join(
     middle of a key takes the match from the slices before it: that carry has at most one row per slice, and the
     filled rows are dealt out by slice and key already, so the join moves none of them. Rows without a time match
     nothing. The slices are written down, which keeps slice numbers the same when a task
-    runs again. There are as many as shuffle partitions unless ``slices`` says otherwise.
+    runs again; a ``session.scratch`` block around the join and its use deletes them. There are as many as shuffle
+    partitions unless ``slices`` says otherwise.
     """
     match = F.struct(*right_columns)
     lefts = left.select(

@@ -14,10 +14,18 @@ from muara.settings import DEFAULTS, Settings
 from muara.sources.snapshots import SnapshotTable
 
 
-def refresh_row_labels(table: SnapshotTable, as_of: datetime, settings: Settings = DEFAULTS) -> int:
-    """Label rows created in the last days by their age; older rows keep the label they have."""
+def refresh_row_labels(
+    table: SnapshotTable, as_of: datetime, settings: Settings = DEFAULTS, day: str | None = None
+) -> int:
+    """Label rows created in the last days by their age; older rows keep the label they have.
+
+    ``day`` names a column that holds the date of ``created_at``; earlier days are then not opened.
+    """
     age = minutes_between(F.coalesce("last_updated", "created_at"), at(as_of))
-    recent = F.col("created_at") >= at(as_of - timedelta(days=settings.relabel_days))
+    since = as_of - timedelta(days=settings.relabel_days)
+    recent = F.col("created_at") >= at(since)
+    if day:
+        recent = recent & (F.col(day) >= F.lit(since.date()))
     return update_where(
         table, recent, {"data_age_minutes": age, "freshness_status": freshness_label(age, settings)}
     )
@@ -57,13 +65,21 @@ def recent(rows: DataFrame, stamp: str, as_of: datetime, days: int) -> DataFrame
     return rows.where(F.col(stamp) >= at(as_of - timedelta(days=days)))
 
 
-def past_retention(as_of: datetime, settings: Settings = DEFAULTS) -> Column:
-    """True for rows strictly older than the retention window; a row on the boundary stays."""
-    return F.col("created_at") < at(as_of - timedelta(days=settings.retention_days))
+def past_retention(as_of: datetime, settings: Settings = DEFAULTS, day: str | None = None) -> Column:
+    """True for rows strictly older than the retention window; a row on the boundary stays.
+
+    ``day`` names a column that holds the date of ``created_at``; later days are then not opened.
+    """
+    edge = as_of - timedelta(days=settings.retention_days)
+    old = F.col("created_at") < at(edge)
+    return old & (F.col(day) <= F.lit(edge.date())) if day else old
 
 
-def apply_retention(table: SnapshotTable, as_of: datetime, settings: Settings = DEFAULTS) -> int:
-    return delete_where(table, past_retention(as_of, settings))
+def apply_retention(
+    table: SnapshotTable, as_of: datetime, settings: Settings = DEFAULTS, day: str | None = None
+) -> int:
+    """Delete what is past the retention window; days that lie wholly behind it are dropped, not rewritten."""
+    return delete_where(table, past_retention(as_of, settings, day))
 
 
 def expired_preview(fact: DataFrame, as_of: datetime, stamp: str = "waktu") -> DataFrame:

@@ -245,14 +245,19 @@ def update_where(table: SnapshotTable, hit: Column, changes: dict[str, Column])
     return sum(touched.values())
 
 
-def archive_by_year(table: SnapshotTable, archive: SnapshotTable, column: str, before_year: int) -> None:
+def archive_by_year(
+    table: SnapshotTable, archive: SnapshotTable, column: str, before_year: int, day: str | None = None
+) -> None:
     """Move rows of earlier years to the archive table, which several tables of one schema may share.
 
     One state of the table is copied and then deleted from. The archive remembers the table's id and the version it
     copied, the table the version it deleted. A copy whose delete never came is used when the table still is as it
-    was, and else withdrawn in the commit of the new copy, so no row is lost or doubled.
+    was, and else withdrawn in the commit of the new copy, so no row is lost or doubled. ``day`` names a column that
+    holds the date of ``column``, as the partition may; days of later years are then not opened.
     """
     old = F.col(column) < F.lit(date(before_year, 1, 1))  # a bare comparison, which reaches the scan
+    if day:
+        old = old & (F.col(day) < F.lit(date(before_year, 1, 1)))
     base = table.state()
     archive.create_if_absent(T.StructType.fromJson(base["schema"]))
     held = archive.state()

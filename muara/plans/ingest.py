@@ -7,11 +7,12 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from muara.functions.clock import at
 from muara.operators.forecast import parse_documents, rejected_documents, rejected_points, valid_points
 from muara.operators.freshness import apply_retention, delete_expired, refresh_row_labels
-from muara.operators.loads import partition_values, upsert, upsert_counters
+from muara.operators.loads import holding, partition_values, upsert, upsert_counters
 from muara.operators.quality import CheckFailed, require_rows
 from muara.schemas import FORECAST_FACT
 from muara.settings import DEFAULTS, Settings
@@ -22,6 +23,8 @@ from muara.sources.tables import staged
 
 FACT_KEYS = ("adm4", "waktu")
 PARTITION = "waktu_date"
+#: The other layout: by the date on which a row first came, which no later load changes.
+CREATED = "created_date"
 
 
 @dataclass(frozen=True)
@@ -35,13 +38,22 @@ class IngestOptions:
     delete_past: bool = False
 
 
-def fact_table(warehouse: Warehouse, name: str = "fact_weather_hourly") -> SnapshotTable:
-    table = warehouse.table(name, PARTITION)
-    table.create_if_absent(FORECAST_FACT)
+def fact_schema(by: str = PARTITION) -> T.StructType:
+    return T.StructType([f for f in FORECAST_FACT.fields if f.name != PARTITION] + [T.StructField(by, T.DateType())])
+
+
+def fact_table(warehouse: Warehouse, name: str = "fact_weather_hourly", by: str = PARTITION) -> SnapshotTable:
+    """The fact by the date of its points, or with ``by=CREATED`` by the date on which they first came.
+
+    By points, a load and the expiry open the dates they touch, labels and retention every date. By creation, labels
+    open the last days and retention the oldest, which it drops whole; a load looks for its keys in every day.
+    """
+    table = warehouse.table(name, by)
+    table.create_if_absent(fact_schema(by))
     return table
 
 
-def fact_rows(points: DataFrame, as_of: datetime, reset_freshness: bool) -> DataFrame:
+def fact_rows(points: DataFrame, as_of: datetime, reset_freshness: bool, by: str = PARTITION) -> DataFrame:
     """Valid points as fact rows stamped with the load clock; ``seq`` rides along for the upsert."""
     age = F.lit(0.0 if reset_freshness else None).cast("double")
     label = F.lit("FRESH" if reset_freshness else None).cast("string")
@@ -52,9 +64,10 @@ def fact_rows(points: DataFrame, as_of: datetime, reset_freshness: bool) -> Data
             "data_age_minutes": age,
             "freshness_status": label,
             PARTITION: F.col("waktu").cast("date"),
+            CREATED: F.lit(as_of.date()),
         }
     )
-    return stamped.select(*FORECAST_FACT.names, "seq")
+    return stamped.select(*fact_schema(by).names, "seq")
 
 
 def ingest_documents(
@@ -76,20 +89,22 @@ def ingest_documents(
     if stream and table.state()["streams"].get(stream[0], -1) >= stream[1]:
         return {"inserted": 0, "updated": 0, "total": 0, "rejected": 0}
     points = parse_documents(documents, locations, options.mode, options.adm4_from_request, settings)
+    by, follows = table.partition_by, table.partition_by == PARTITION
     with staged(points, "points") as points:
-        batch = fact_rows(valid_points(points), as_of, options.reset_freshness)
+        batch = fact_rows(valid_points(points), as_of, options.reset_freshness, by)
         bad = rejected_points(points)
         if quarantine is not None:
             quarantine.create_if_absent(_quarantined(bad).schema)
             quarantine.append(_quarantined(bad).unionByName(_quarantined_documents(documents)), stream)
         if options.delete_past:
-            delete_expired(table, as_of, day=PARTITION)
-        touched = in_partitions(PARTITION, partition_values(batch, PARTITION))
-        counters = upsert_counters(table.read().where(touched), batch, FACT_KEYS).first().asDict()
-        kept = ["created_at", "data_age_minutes"]
+            delete_expired(table, as_of, day=PARTITION if follows else None)
+        known = table.read()
+        touched = partition_values(batch, by) if follows else holding(known, batch, FACT_KEYS, by)
+        counters = upsert_counters(known.where(in_partitions(by, touched)), batch, FACT_KEYS).first().asDict()
+        kept = ["created_at", "data_age_minutes", *([] if follows else [by])]
         if not options.reset_freshness:
             kept.append("freshness_status")
-        upsert(table, batch, FACT_KEYS, "seq", kept, stream, partition_follows=True)
+        upsert(table, batch, FACT_KEYS, "seq", kept, stream, partition_follows=follows)
         return {**counters, "rejected": bad.count()}
 
 
@@ -114,9 +129,14 @@ def hourly_run(
     )
     require_change(counters)
     require_rows(table.read(), "fact_weather_hourly")
-    counters["labelled"] = refresh_row_labels(table, as_of, settings)
-    counters["deleted"] = apply_retention(table, as_of, settings)
-    return counters
+    return {**counters, **upkeep(table, as_of, settings)}
+
+
+def upkeep(table: SnapshotTable, as_of: datetime, settings: Settings = DEFAULTS) -> dict[str, int]:
+    """Label the new rows and delete the old ones; a fact by creation date opens only the days of these."""
+    day = CREATED if table.partition_by == CREATED else None
+    labelled = refresh_row_labels(table, as_of, settings, day)
+    return {"labelled": labelled, "deleted": apply_retention(table, as_of, settings, day)}
 
 
 def ingest_landed(
@@ -161,9 +181,7 @@ def landed_run(
     if counters["files"]:
         require_change(counters)
     require_rows(table.read(), "fact_weather_hourly")
-    counters["labelled"] = refresh_row_labels(table, as_of, settings)
-    counters["deleted"] = apply_retention(table, as_of, settings)
-    return counters
+    return {**counters, **upkeep(table, as_of, settings)}
 
 
 def _quarantined(bad: DataFrame) -> DataFrame:

@@ -259,6 +259,16 @@ def oracle_sql() -> dict[str, str]:
                 from {HOURLY}) where rn = 1""",
         "freshness_reset": f"""select cast(user_id as varchar) adm4, wh waktu,
             case when max(lot) = 1 then 'FRESH' end freshness_status from {HOURLY} group by user_id, wh""",
+        "hourly_run_by_created": f"""with r as (
+            select user_id, wh, event_type, value, min(lot) over (partition by user_id, wh) first_lot,
+                max(lot) over (partition by user_id, wh) latest,
+                row_number() over (partition by user_id, wh order by lot desc, event_id desc) rn
+            from {HOURLY})
+            select cast(user_id as varchar) adm4, wh waktu, event_type cuaca, value suhu_celsius,
+                cast({AS_OF} + interval 1 day * first_lot as date) created_date,
+                case when latest = 1 then 0.0::double else 1440.0::double end data_age_minutes,
+                case when latest = 1 then 'FRESH' else 'STALE' end freshness_status
+            from r where rn = 1""",
         "archive_by_year": "select o_orderkey, cast(year(o_orderdate) as int) y,"
         " case when year(o_orderdate) < 1997 then 'archive' else 'kept' end place from orders",
         "incremental_scan": "select event_id, ts, value from events where ts >"
@@ -503,6 +513,8 @@ def oracle_sql() -> dict[str, str]:
             f"{SAFE} safety_score", f"round(({SAFE} + 1000 * avg(l_discount)) / 2, 8) safety_score"
         ),
         "group_validation_pinned": queries["group_validation"],
+        "retention_by_created": queries["retention_keep"],
+        "freshness_row_by_created": queries["freshness_row"],
         "discovered_keys": _discovered(),
         "foreign_key_candidates": _foreign_candidates(),
         "content_reconciliation": """with t as (select * replace (case when o_orderkey = 33 then o_totalprice + 1 else o_totalprice

@@ -22,7 +22,7 @@ from muara.operators.envelope import envelope_headers, envelope_records, json_en
 from muara.operators.forecast import parse_documents, rejected_documents, valid_points
 from muara.plans import follow, marts
 from muara.plans.console import console_envelopes, console_records, select_locations
-from muara.plans.ingest import FACT_KEYS, PARTITION, IngestOptions, fact_table, ingest_documents, ingest_landed
+from muara.plans.ingest import CREATED, FACT_KEYS, PARTITION, IngestOptions, fact_table, hourly_run, ingest_documents, ingest_landed
 from muara.plans.sync import (
     clone_structures,
     on_demand_sync,
@@ -139,6 +139,13 @@ def stored_fact(spark: SparkSession, folder: str) -> SnapshotTable:
     return table
 
 
+def fact_by_created(spark: SparkSession, folder: str) -> SnapshotTable:
+    """The stored fact in the other layout, a folder for each date of creation."""
+    table, rows = new_table(spark, "fact", CREATED), stored_fact(spark, folder).read().drop(PARTITION)
+    table.replace(rows.withColumn(CREATED, F.col("created_at").cast("date")))
+    return table
+
+
 def new_warehouse(spark: SparkSession) -> Warehouse:
     return Warehouse(spark, scratch_path(spark, "warehouse"))
 
@@ -271,6 +278,14 @@ def retention_keep(spark: SparkSession, folder: str) -> DataFrame:
     return table.read().select("event_id", F.col("created_at").alias("ts"))
 
 
+@query
+def retention_by_created(spark: SparkSession, folder: str) -> DataFrame:
+    """Days behind the window are dropped, one is rewritten, the others are not opened."""
+    table = fact_by_created(spark, folder)
+    freshness.apply_retention(table, RETENTION_AS_OF, day=CREATED)
+    return table.read().select("event_id", F.col("created_at").alias("ts"))
+
+
 @query
 def retention_deleted(spark: SparkSession, folder: str) -> DataFrame:
     doomed = freshness.past_retention(RETENTION_AS_OF)
@@ -793,6 +808,13 @@ def freshness_row(spark: SparkSession, folder: str) -> DataFrame:
     return table.read().select("event_id", "data_age_minutes", "freshness_status")
 
 
+@query
+def freshness_row_by_created(spark: SparkSession, folder: str) -> DataFrame:
+    table = fact_by_created(spark, folder)
+    freshness.refresh_row_labels(table, AS_OF, day=CREATED)
+    return table.read().select("event_id", "data_age_minutes", "freshness_status")
+
+
 @query
 def freshness_location(spark: SparkSession, folder: str) -> DataFrame:
     return freshness.location_freshness(forecast_fact(spark, folder), AS_OF)
@@ -1246,6 +1268,15 @@ def freshness_reset(spark: SparkSession, folder: str) -> DataFrame:
     return table.read().select("adm4", "waktu", "freshness_status")
 
 
+@query
+def hourly_run_by_created(spark: SparkSession, folder: str) -> DataFrame:
+    """Two runs a day apart; points that come again stay on the day they first came, with a new label."""
+    table = fact_table(new_warehouse(spark), by=CREATED)
+    for days, documents in enumerate(_hourly_lots(spark, folder)):
+        hourly_run(table, landed(documents), AS_OF + timedelta(days=days))
+    return table.read().select("adm4", "waktu", "cuaca", "suhu_celsius", CREATED, "data_age_minutes", "freshness_status")
+
+
 def _landed_events(spark: SparkSession, folder: str) -> tuple[str, DataFrame]:
     """A folder that events are appended to, lot by lot."""
     events = read_table(spark, folder, "events").select("event_id", "user_id", "ts", "event_type", "value")

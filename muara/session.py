@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
 _local_roots: dict[str, str] = {}
+_given: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
 
 
 def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "muara") -> SparkSession:
@@ -41,4 +45,26 @@ def shared_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path under the shared root that no earlier run has used."""
-    return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    given = _given.get()
+    if given is not None:
+        given.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end of the block what its thread wrote to scratch paths, as slices of as-of joins.
+
+    Results must be written elsewhere before: nothing lazy may leave the block. Blocks nest, each has its own paths;
+    what other threads write meanwhile stays.
+    """
+    token = _given.set([])
+    try:
+        yield
+    finally:
+        paths = _given.get()
+        _given.reset(token)
+        for path in paths:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

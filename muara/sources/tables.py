@@ -112,7 +112,8 @@ def incremental_scan(
 def stage(rows: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """Write rows to the shared folder and read them back: computed once, and safe when executors are lost.
 
-    The files stay until the shared folder is cleaned; use ``staged`` where they are needed only for a while.
+    The files stay until the shared folder is cleaned; use ``staged`` or a ``scratch`` block where they are needed only
+    for a while.
     """
     spark = rows.sparkSession
     path = path or scratch_path(spark, label)

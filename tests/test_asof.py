@@ -44,3 +44,26 @@ def test_no_right_rows(spark):
     left = spark.createDataFrame([(1, "a", START)], "id int, k string, at timestamp_ntz")
     right = left.withColumn("v", F.lit(1.0)).where(F.lit(False))
     assert [r["right_v"] for r in asof_join(left, right, "k", "at", "at", ["v"], "id").collect()] == [None]
+
+
+def test_a_scratch_block_deletes_its_slices_only(spark, tmp_path):
+    from pathlib import Path
+
+    from muara.session import scratch, scratch_path, shared_root
+    from muara.sources.tables import stage
+
+    def slices():
+        return {p.name for p in Path(shared_root(spark).removeprefix("file:")).glob("asof-*")}
+
+    before, rows = slices(), spark.range(50).select("id", F.timestamp_seconds("id").cast("timestamp_ntz").alias("at"))
+    with scratch(spark):
+        joined = asof_join(rows, rows.where("id % 10 = 0"), "id", "at", "at", ["id"], "id")
+        with scratch(spark):
+            inner = scratch_path(spark, "asof")
+            stage(rows, "asof", inner)
+        assert not Path(inner).exists() and len(slices() - before) == 1
+        joined.write.parquet(str(tmp_path / "out"))
+    assert slices() == before
+    assert spark.read.parquet(str(tmp_path / "out")).where("right_id is not null").count() == 5
+    asof_join(rows, rows, "id", "at", "at", ["id"], "id")
+    assert len(slices() - before) == 1, "outside of a block the slices stay"

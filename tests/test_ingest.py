@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from muara.operators import freshness, quality
-from muara.plans.ingest import IngestOptions, fact_table, hourly_run, ingest_documents, require_change
+from muara.plans.ingest import CREATED, IngestOptions, fact_table, hourly_run, ingest_documents, require_change
 from muara.schemas import DAILY_SUMMARY, FORECAST_FACT, shaped
 from muara.plans import marts
 
@@ -100,6 +100,34 @@ def test_hourly_run_reports_every_step(spark, warehouse):
     assert counts == {"inserted": 1, "updated": 0, "total": 1, "rejected": 0, "labelled": 1, "deleted": 1}
 
 
+def test_both_layouts_hold_the_same_rows(spark, warehouse):
+    """Points come again a day later, with another value and a new neighbour, and past the retention window."""
+    lots = [
+        (T0 - timedelta(days=31), docs(spark, point(1, 20), point(2, 21))),
+        (T0 - timedelta(days=1), docs(spark, point(3, 1), point(4, 2))),
+        (T0, docs(spark, point(2, 30), point(3, 31), point(5, 32), adm4="35.1")),
+    ]
+    tables = [fact_table(warehouse, "by_point"), fact_table(warehouse, "by_creation", CREATED)]
+    seen = []
+    for options in (HOURLY, SCRIPT):
+        for table in tables:
+            table.replace(table.read().where(F.lit(False)))
+            counts = [hourly_run(table, given, now, options=options) for now, given in lots]
+            rows = table.read().drop("waktu_date", CREATED).collect()
+            seen.append((counts, sorted(map(str, rows))))
+    assert seen[0] == seen[1] and seen[2] == seen[3]
+    assert [c["deleted"] for c in seen[0][0]] == [0, 0, 2]
+    days = {(r["created_at"].date(), r[CREATED]) for r in tables[1].read().collect()}
+    assert days == {(d.date(), d.date()) for d in (T0 - timedelta(days=1), T0)}
+
+
+def test_past_points_are_deleted_in_the_other_layout(spark, warehouse):
+    table = fact_table(warehouse, by=CREATED)
+    ingest_documents(table, docs(spark, point(1, 20), point(13, 20)), T0 - timedelta(days=2), options=HOURLY)
+    ingest_documents(table, docs(spark, point(2, 5)), T0, options=IngestOptions(mode="wallclock", delete_past=True))
+    assert sorted(k[1].hour for k in fact(table)) == [2, 13]
+
+
 def stamped(spark, *pairs):
     names = FORECAST_FACT.names
     out = []

@@ -1,6 +1,6 @@
 """Keyed loads whose rows change their partition, null keys, marks in commits, and versions of one moment."""
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -103,6 +103,44 @@ def test_conditions_reach_the_scan(spark, warehouse, monkeypatch):
     plans.clear()
     loads.archive_by_year(table, warehouse.table("old", "day"), "waktu", 2024)
     assert any("LessThan(waktu,2024-01-01T00:00)" in plan(p) for p in plans)
+    assert not any("day < 2024-01-01" in filters(p) for p in plans)
+    plans.clear()
+    loads.archive_by_year(table, warehouse.table("older", "day"), "waktu", 2024, day="day")
+    assert all("< 2024-01-01" in filters(p) for p in plans[:1])
+
+
+def filters(frame):
+    return " ".join(line for line in plan(frame).splitlines() if "PartitionFilters" in line)
+
+
+def test_labels_and_retention_open_the_days_they_need(spark, warehouse, monkeypatch):
+    """A fact by the date of creation: days behind the window are dropped, the others keep their files."""
+    noon = datetime(2024, 3, 1, 12)
+    table = warehouse.table("fact", "created_date")
+    stamps = [noon - timedelta(days=d, hours=h) for d in (0, 1, 2, 29, 30, 31, 60) for h in (0, 1)] + [None]
+    fact = spark.createDataFrame([(i, s) for i, s in enumerate(stamps)], "id int, created_at timestamp_ntz")
+    table.replace(
+        fact.select(
+            "*", F.lit(None).cast("timestamp_ntz").alias("last_updated"), F.lit(None).cast("double").alias("data_age_minutes"),
+            F.lit("OLD").alias("freshness_status"), F.col("created_at").cast("date").alias("created_date"),
+        )
+    )
+    before = {f["value"]: f["path"] for f in table.state()["folders"]}
+    plans = []
+    real = type(fact).where
+    monkeypatch.setattr(type(fact), "where", lambda self, c: plans.append(real(self, c)) or plans[-1])
+    assert freshness.refresh_row_labels(table, noon, day="created_date") == 5
+    assert "created_date" in filters(plans[0]) and ">= 2024-02-28" in filters(plans[0])
+    plans.clear()
+    assert freshness.apply_retention(table, noon, day="created_date") == 5
+    assert any("<= 2024-01-31" in filters(p) for p in plans)
+    monkeypatch.undo()
+    kept = {r["id"]: r["freshness_status"] for r in table.read().collect()}
+    assert sorted(kept) == [0, 1, 2, 3, 4, 5, 6, 7, 8, 14]
+    assert {i for i, label in kept.items() if label == "OLD"} == {5, 6, 7, 8, 14}
+    after = {f["value"]: f["path"] for f in table.state()["folders"]}
+    assert set(before) - set(after) == {"2024-01-30", "2024-01-01"}
+    assert {v for v in after if after[v] == before[v]} == {"2024-02-01", None}
 
 
 # ---------------------------------------------------------------- one moment
