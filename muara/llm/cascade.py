@@ -1,7 +1,7 @@
 """Quality rules as a short-circuit cascade, cheapest rejection first.
 
-Every rule is a function of one whole text. A sample tells each rule's cost and how much it rejects; the rules then
-run in the order of rejection per cost and stop at the first that rejects. The order changes the work only: a
+Every rule is a function of one whole text. A sample tells each rule's cost and how much it rejects, both behind the
+rules that run before it; the rules run in the order of rejection per cost and stop at the first that rejects. The order changes the work only: a
 document is kept when no rule rejects it.
 """
 
@@ -100,31 +100,118 @@ OWN_RULES = (
 )
 
 
-def rule_order(docs: DataFrame, rules: Sequence[Rule], sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
+class Timed(Measures):
+    """Measures that also tell what each of them cost without the others, and what it was made from."""
+
+    def __init__(self, text: str | None):
+        super().__init__(text)
+        self.spent: dict[str, int] = {}
+        self.uses: set[tuple[str, str]] = set()
+        self.open: list[str] = []
+        self.inner = [0]
+
+    def __getattr__(self, name: str):
+        self.uses.add((self.open[-1], name))
+        known = self.__dict__["_known"]
+        return known[name] if name in known else self.timed(name, lambda: super(Timed, self).__getattr__(name))
+
+    def timed(self, name: str, work: Callable[[], object]):
+        self.open.append(name)
+        self.inner.append(0)
+        start = time.perf_counter_ns()
+        result = work()
+        took = time.perf_counter_ns() - start
+        self.spent[name] = took - self.inner.pop()
+        self.inner[-1] += took
+        self.open.pop()
+        return result
+
+
+def _owner(rule: int) -> str:
+    return f"rule {rule}"
+
+
+def rule_order(
+    docs: DataFrame,
+    rules: Sequence[Rule],
+    before: Sequence[Rule] = (),
+    made: Sequence[str] = (),
+    sample_rows: int = SAMPLE_ROWS,
+) -> list[Rule]:
     """Rules by estimated rejections per second, most first; ties and an empty sample keep the given order.
 
-    The sample is measured where its rows are; one row per rule comes to the driver.
+    Each place goes to the rule that rejects most per second of the documents that come so far; measures that the rules
+    ahead of it have made, those of ``before`` and those in ``made`` included, cost nothing more.
+
+    The sample is measured where its rows are. To the driver comes a row for each measure and each set of rules that
+    reject a document together.
     """
     total = docs.count()
     part = docs.select("text").sample(min(1.0, sample_rows / total), 7) if total else docs.select("text").limit(0)
+    every = [*before, *rules]
 
     def measure(batches):
         import pyarrow as pa
 
-        spent, hits = [0] * len(rules), [0] * len(rules)
+        spent: dict[tuple[int, str, str], int] = {}
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                for k, rule in enumerate(rules):
-                    start = time.perf_counter_ns()
-                    hits[k] += rule.rejects(Measures(text))
-                    spent[k] += time.perf_counter_ns() - start
-        yield pa.RecordBatch.from_pydict({"rule": list(range(len(rules))), "spent": spent, "hits": hits})
-
-    found = map_arrow(part, measure, "rule long, spent long, hits long").groupBy("rule").agg(
-        F.sum("spent").alias("spent"), F.sum("hits").alias("hits")
+                m = Timed(text)
+                m.timed("made", lambda: [getattr(m, name) for name in made])  # noqa: B023
+                hits = [m.timed(_owner(k), lambda: rule.rejects(m)) for k, rule in enumerate(every)]  # noqa: B023
+                mask = sum(1 << k for k, hit in enumerate(hits) if hit)
+                for owner, n in [("", 1), *m.spent.items()]:
+                    spent[mask, owner, ""] = spent.get((mask, owner, ""), 0) + n
+                spent.update({(0, owner, used): 0 for owner, used in m.uses})
+        keys = list(zip(*spent, strict=True)) or [(), (), ()]
+        kinds = (pa.int64(), pa.string(), pa.string())
+        columns = [pa.array(k, kind) for k, kind in zip(keys, kinds, strict=True)]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(list(spent.values()), pa.int64())], names=["mask", "owner", "used", "n"])
+
+    found = map_arrow(part, measure, "mask long, owner string, used string, n long").groupBy("mask", "owner", "used").agg(F.sum("n").alias("n"))
+    rows = [tuple(r) for r in found.collect()]
+    order = cheapest_first(
+        len(every),
+        {mask: n for mask, owner, _, n in rows if not owner},
+        {(mask, owner): n for mask, owner, used, n in rows if owner and not used},
+        {(owner, used) for _, owner, used, _ in rows if used},
+        len(before),
     )
-    worth = {r["rule"]: r["hits"] / max(1, r["spent"]) for r in found.collect()}
-    return [rules[k] for k in sorted(range(len(rules)), key=lambda k: (-worth.get(k, 0.0), k))]
+    return [every[k] for k in order]
+
+
+def cheapest_first(n_rules: int, documents: dict[int, int], spent: dict[tuple[int, str], int], uses: set[tuple[str, str]], first: int = 0) -> list[int]:
+    """The rules after the ``first`` ones in the order of rejections per cost, given all that runs before each.
+
+    ``documents`` counts the sample by the set of rules that reject (a bit for each), ``spent`` is the time by set and
+    measure, ``uses`` the measures that a measure or rule is made from.
+    """
+
+    def needs(owner: str) -> set[str]:
+        reached, waiting = {owner}, [owner]
+        while waiting:
+            at = waiting.pop()
+            new = {used for by, used in uses if by == at} - reached
+            reached |= new
+            waiting += new
+        return reached
+
+    needed = [needs(_owner(k)) for k in range(n_rules)]
+    known = needs("made").union(*needed[:first])
+    gone, order, rest = (1 << first) - 1, [], list(range(first, n_rules))
+    while rest:
+        alive = [mask for mask in documents if not mask & gone]
+
+        def worth(rule: int) -> float:
+            cost = sum(spent.get((mask, owner), 0) for mask in alive for owner in needed[rule] - known)  # noqa: B023
+            return sum(documents[mask] for mask in alive if mask >> rule & 1) / max(1, cost)  # noqa: B023
+
+        best = max(rest, key=lambda k: (worth(k), -k))
+        order.append(best)
+        rest.remove(best)
+        gone |= 1 << best
+        known = known | needed[best]
+    return order
 
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -137,7 +224,7 @@ def quality(docs: DataFrame, counts: bool = True) -> DataFrame:
     Other columns pass through; columns with the names of the new ones are replaced.
     """
     base = list(BASE_RULES)
-    own = rule_order(docs, OWN_RULES if counts else [*BASE_RULES, *OWN_RULES])
+    own = rule_order(docs, OWN_RULES, base, COUNTS) if counts else rule_order(docs, [*base, *OWN_RULES])
     added = [(c, "long") for c in COUNTS] * counts + [("base_failed", "boolean")] * counts + [("kept", "boolean")]
     kept_columns = [c for c in docs.columns if c.lower() not in {n for n, _ in added}]
     text_at = kept_columns.index("text")

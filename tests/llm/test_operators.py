@@ -95,3 +95,31 @@ def test_secret_base(docs):
     found = secret_scan.secrets(docs)
     base = rows(found, "doc_id", "n_assign", "n_access", "n_hex", "base_sha256")
     assert base == Counter((i, *brute.secret_base(t)[:4]) for i, t in given(docs))
+
+
+def test_rules_come_in_the_order_of_rejections_per_cost_behind_the_others():
+    uses = {("rule 0", "x"), ("rule 1", "x"), ("rule 2", "y"), ("rule 3", "z"), ("x", "data")}
+    cost = {"data": 40, "x": 60, "y": 30, "z": 500, "rule 0": 1, "rule 1": 1, "rule 2": 1, "rule 3": 6}
+    documents = {0b0000: 100, 0b0001: 60, 0b0010: 10, 0b0100: 12, 0b1001: 5}
+    spent = {(mask, owner): n * ns for mask, n in documents.items() for owner, ns in cost.items()}
+    # Rule 1 costs next to nothing once rule 0 has made x; rule 3 rejects nothing that rule 0 leaves.
+    assert cascade.cheapest_first(4, documents, spent, uses) == [0, 1, 2, 3]
+    assert cascade.cheapest_first(4, documents, spent, uses, first=1) == [1, 2, 3]
+    # With z made anyway rule 3 costs its own time only, and its 5 in 6 are more than rule 0's 65 in 101.
+    assert cascade.cheapest_first(4, documents, spent, uses | {("made", "z")}) == [3, 0, 1, 2]
+    assert cascade.cheapest_first(3, {}, {}, set()) == [0, 1, 2]
+
+
+def test_a_sample_tells_what_each_measure_cost_and_uses(spark, folder):
+    m = cascade.Timed("a b c d " * 200)
+    for k, rule in enumerate(cascade.OWN_RULES):
+        m.timed(f"rule {k}", lambda: rule.rejects(m))  # noqa: B023
+    assert {("rule 0", "n_symbols"), ("rule 0", "n_words"), ("n_words", "words"), ("words", "data"), ("rule 3", "n_words")} <= m.uses
+    assert set(m.spent) == {"rule 0", "rule 1", "rule 2", "rule 3"} | {used for _, used in m.uses}
+    assert all(ns >= 0 for ns in m.spent.values())
+    docs = documents(spark, folder)
+    every = [*cascade.BASE_RULES, *cascade.OWN_RULES]
+    assert Counter(r.name for r in cascade.rule_order(docs, every)) == Counter(r.name for r in every)
+    behind = cascade.rule_order(docs, cascade.OWN_RULES, cascade.BASE_RULES, cascade.COUNTS)
+    assert Counter(r.name for r in behind) == Counter(r.name for r in cascade.OWN_RULES)
+    assert cascade.rule_order(docs.limit(0), cascade.OWN_RULES, cascade.BASE_RULES) == list(cascade.OWN_RULES)
