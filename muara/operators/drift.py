@@ -23,30 +23,44 @@ EXPECTED = {
 
 def _kind(value: Column) -> Column:
     """STRING, NUMBER, BOOLEAN, ARRAY, OBJECT, or null for a JSON null."""
-    name = F.regexp_extract(F.schema_of_variant(value), "^([A-Z]+)", 1)
+    name = F.substring_index(F.substring_index(F.schema_of_variant(value), "<", 1), "(", 1)
     number = name.isin("BIGINT", "DECIMAL", "DOUBLE", "FLOAT", "INT", "TINYINT", "SMALLINT")
     return F.when(number, "NUMBER").when(name != "VOID", name)
 
 
-def _list(value: str, path: str) -> Column:
-    return F.expr(f"try_variant_get({value}, '{path}', 'array<variant>')")
+def _lists(values: Column, path: str) -> Column:
+    """The members, in one array, of all lists that these variants hold at a path."""
+    lists = F.transform(values, lambda value: F.try_variant_get(value, path, "array<variant>"))
+    return F.flatten(F.filter(lists, lambda many: many.isNotNull()))
+
+
+def _part(name: str, value: Column, path: str) -> Column:
+    """A header or item as its sort and its fields' names and kinds; fields are null where it is no object."""
+    fields = F.map_entries(F.try_variant_get(value, path, "map<string,variant>"))
+    named = F.transform(fields, lambda entry: F.struct(entry["key"].alias("name"), _kind(entry["value"]).alias("kind")))
+    return F.struct(F.lit(name).alias("part"), named.alias("fields"))
 
 
 def document_fields(documents: DataFrame, run: str) -> DataFrame:
     """(run, field, kind, n): how many headers or items of a landing run hold a field of a kind, and their number in
     all as field ``lokasi`` and ``item``. Documents are objects of variants, so nothing has to be known before; those
-    that are no JSON, and parts that are not of the feed's shape, hold no fields."""
+    that are no JSON, and parts that are not of the feed's shape, hold no fields.
+
+    A document is parsed once. Its parts are first counted by all their fields and kinds together, as most parts of a
+    run have the same; only these counts become a row per field. The outer explode keeps Spark from putting a filter
+    before it that would parse each document again.
+    """
     parsed = documents.select(F.col(run).alias("run"), F.try_parse_json("doc").alias("doc"))
-    heads = parsed.select("run", F.lit("lokasi").alias("part"), F.expr("try_variant_get(doc, '$.lokasi', 'map<string,variant>')").alias("fields"))
-    entries = parsed.select("run", F.explode(_list("doc", "$.data")).alias("entry"))
-    groups = entries.select("run", F.explode(_list("entry", "$.cuaca")).alias("many"))
-    items = groups.select("run", F.explode(_list("many", "$")).alias("item"))
-    items = items.select("run", F.lit("item").alias("part"), F.expr("try_variant_get(item, '$', 'map<string,variant>')").alias("fields"))
-    parts = heads.unionByName(items).where("fields is not null")
-    name = F.when(F.col("part") == "lokasi", F.concat(F.lit("lokasi."), F.col("name"))).otherwise(F.col("name"))
-    held = parts.select("run", "part", F.explode("fields").alias("name", "value")).select("run", name.alias("field"), _kind(F.col("value")).alias("kind"))
-    totals = parts.select("run", F.col("part").alias("field"), F.lit("OBJECT").alias("kind"))
-    return held.unionByName(totals).groupBy("run", "field", "kind").agg(F.count(F.lit(1)).alias("n"))
+    entries = F.try_variant_get("doc", "$.data", "array<variant>")
+    items = F.transform(_lists(_lists(entries, "$.cuaca"), "$"), lambda item: _part("item", item, "$"))
+    heads = F.array(_part("lokasi", F.col("doc"), "$.lokasi"))
+    parts = parsed.select("run", F.explode_outer(F.concat(heads, F.coalesce(items, F.array()))).alias("p")).select("run", "p.*")
+    alike = parts.where("fields is not null").groupBy("run", "part", "fields").agg(F.count(F.lit(1)).alias("n"))
+    prefix = F.when(F.col("part") == "lokasi", "lokasi.").otherwise("")
+    each = F.transform("fields", lambda f: F.struct(F.concat(prefix, f["name"]).alias("field"), f["kind"].alias("kind")))
+    total = F.array(F.struct(F.col("part").alias("field"), F.lit("OBJECT").alias("kind")))
+    held = alike.select("run", "n", F.inline_outer(F.concat(total, each)))
+    return held.groupBy("run", "field", "kind").agg(F.sum("n").alias("n"))
 
 
 def field_drift(documents: DataFrame, run: str, expected: dict[str, str] | None = None) -> DataFrame:
@@ -57,29 +71,37 @@ def field_drift(documents: DataFrame, run: str, expected: dict[str, str] | None
     in, ``kinds`` names what was found instead. One row per run and field is all that is compared.
     """
     expected = expected or EXPECTED
-    spark = documents.sparkSession
-    wanted = spark.createDataFrame([(f, "lokasi" if f.startswith("lokasi.") else "item", k.split()) for f, k in expected.items()], "field string, part string, kinds array<string>")
-    found = document_fields(documents, run)
-    totals = found.where("field in ('lokasi', 'item') and kind = 'OBJECT'").select("run", F.col("field").alias("part"), F.col("n").alias("total"))
-    held = found.where("field not in ('lokasi', 'item')")
-    known = totals.join(wanted, "part")
-    matched = known.join(held.withColumnRenamed("run", "held_run").withColumnRenamed("field", "held_field"), (F.col("run").eqNullSafe(F.col("held_run"))) & (F.col("field") == F.col("held_field")), "left")
-    wrong = F.col("kind").isNotNull() & ~F.array_contains("kinds", F.col("kind"))
-    per_field = matched.groupBy("run", "field", "total").agg(
-        F.sum(F.when(F.col("held_field").isNotNull(), F.col("n")).otherwise(0)).alias("present"),
-        F.sum(F.when(wrong, F.col("n")).otherwise(0)).alias("wrong"),
+    wanted = F.array(*[F.struct(F.lit(f).alias("field"), F.lit("lokasi" if f.startswith("lokasi.") else "item").alias("part")) for f in expected])
+    readable = F.try_element_at(F.create_map(*[x for f, kinds in expected.items() for x in (F.lit(f), F.array(*map(F.lit, kinds.split())))]), F.col("field"))
+    no_number, no_kind = F.lit(None).cast("bigint"), F.lit(None).cast("string")
+    sort, counted = F.col("field"), F.col("n")
+    # A run's total of headers or items becomes a row for each field they should have, so no join is needed.
+    due = F.transform(
+        F.filter(wanted, lambda w: w["part"] == sort),
+        lambda w: F.struct(w["field"].alias("field"), counted.alias("total"), no_kind.alias("kind"), no_number.alias("n")),
+    )
+    held = F.array(F.struct("field", no_number.alias("total"), "kind", "n"))
+    is_total = sort.isin("lokasi", "item")
+    rows = F.when(is_total & (F.col("kind") == "OBJECT"), due).when(~is_total, held)
+    marked = document_fields(documents, run).select("run", F.inline(rows))
+    wrong = F.col("kind").isNotNull() & ~F.coalesce(F.array_contains(readable, F.col("kind")), F.lit(False))
+    per_field = marked.groupBy("run", "field").agg(
+        F.max("total").alias("total"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("present"),
+        F.coalesce(F.sum(F.when(wrong, F.col("n"))), F.lit(0)).alias("wrong"),
         F.array_join(F.array_sort(F.collect_set(F.when(wrong, F.col("kind")))), ",").alias("found_kinds"),
     )
-    nothing = F.lit("")
     absent = F.when(F.col("present") == 0, "vanished").when(F.col("present") < F.col("total"), "missing")
+
+    def change(applies: Column, status: Column, kinds: Column, n: Column) -> Column:
+        return F.when(applies, F.struct(status.alias("status"), kinds.alias("kinds"), n.alias("n")))
+
+    compared = readable.isNotNull() & F.col("total").isNotNull()
     changes = F.array_compact(
         F.array(
-            F.when(absent.isNotNull(), F.struct(absent.alias("status"), nothing.alias("kinds"), (F.col("total") - F.col("present")).alias("n"))),
-            F.when(F.col("wrong") > 0, F.struct(F.lit("retyped").alias("status"), F.col("found_kinds").alias("kinds"), F.col("wrong").alias("n"))),
+            change(compared & absent.isNotNull(), absent, F.lit(""), F.col("total") - F.col("present")),
+            change(compared & (F.col("wrong") > 0), F.lit("retyped"), F.col("found_kinds"), F.col("wrong")),
+            change(readable.isNull(), F.lit("added"), F.col("found_kinds"), F.col("present")),
         )
     )
-    drifted = per_field.select("run", "field", F.inline(changes))
-    added = held.join(wanted.select("field"), "field", "left_anti").groupBy("run", "field").agg(
-        F.array_join(F.array_sort(F.collect_set("kind")), ",").alias("kinds"), F.sum("n").alias("n")
-    )
-    return drifted.unionByName(added.withColumn("status", F.lit("added")))
+    return per_field.select("run", "field", F.inline(changes))

@@ -147,6 +147,49 @@ def test_added_vanished_missing_and_retyped_fields_come_out(spark):
     assert drift.field_drift(frame.limit(0), "run").isEmpty()
 
 
+def plain_fields(documents):
+    """What ``document_fields`` counts, document by document."""
+    kinds = {str: "STRING", bool: "BOOLEAN", int: "NUMBER", float: "NUMBER", list: "ARRAY", dict: "OBJECT", type(None): None}
+    counts = Counter()
+    for run, doc in documents:
+        try:
+            parsed = json.loads(doc) if doc is not None else None
+        except ValueError:
+            continue
+        parsed = parsed if isinstance(parsed, dict) else {}
+        lists = lambda values: [v for many in values if isinstance(many, list) for v in many]
+        groups = lists(e.get("cuaca") for e in lists([parsed.get("data")]) if isinstance(e, dict))
+        parts = [("lokasi", "lokasi.", parsed.get("lokasi"))] + [("item", "", i) for i in lists(groups)]
+        for part, prefix, held in parts:
+            if isinstance(held, dict):
+                counts.update([(run, part, "OBJECT"), *[(run, prefix + f, kinds[type(v)]) for f, v in held.items()]])
+    return counts
+
+
+def test_fields_of_odd_documents_are_counted_one_by_one(spark):
+    item = {"t": 1, "hu": None, "a<b(c": {"x": [1, "y"]}, "ws": 1.25, "gust": [[1.5], {}], "ok": True, "item": {"z": 1}, "lokasi": 3}
+    documents = [
+        ("r", document([item, {}, [item], "text", None, 7])),
+        ("r", json.dumps({"lokasi": {"adm4": 1e300, "": "x", "lokasi.adm4": []}, "data": [{"cuaca": None}, {"cuaca": [[{"t": 12345678901234567890}], {"t": 1}, None]}, None]})),
+        ("r", json.dumps({"lokasi": [1], "data": {"cuaca": [[item]]}})),
+        (None, json.dumps({"lokasi": None, "data": [{"cuaca": [[{"hu": "1"}, {"hu": 1}], [{"hu": "1"}]]}]})),
+        ("empty", "{}"), ("empty", "null"), ("empty", ""), ("empty", None), ("empty", "{no json"),
+    ]
+    frame = spark.createDataFrame(documents, "run string, doc string")
+    rows = drift.document_fields(frame, "run").collect()
+    assert Counter({(r["run"], r["field"], r["kind"]): r["n"] for r in rows}) == plain_fields(documents) and len(rows) == len(plain_fields(documents))
+    own = {r["field"]: (r["status"], r["kinds"], r["n"]) for r in drift.field_drift(frame, "run", {"hu": "STRING"}).where("run is null").collect()}
+    assert own == {"hu": ("retyped", "NUMBER", 1)}
+
+
+def test_drift_parses_each_document_once(spark):
+    frame = spark.createDataFrame([("r", document([{"t": 1}]))], "run string, doc string")
+    parsed = F.udf(lambda doc: (seen.add(1), doc)[1])
+    seen = spark.sparkContext.accumulator(0)
+    assert not drift.field_drift(frame.repartition(1).select("run", parsed("doc").alias("doc")), "run").isEmpty()
+    assert seen.value == 1
+
+
 # ---------------------------------------------------------------- ledger
 
 OPTIONS = IngestOptions(mode="wallclock")
