@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 ERROR, SURE = 0.02, 0.82
 #: Exact counts that run side by side.
 PARALLEL = 4
+#: One of so many slices of a table's values shows most repeats; tables up to so many rows are counted without.
+SLICES, SMALL = 32, 100_000
 #: Bits of a mask of columns.
 WORD = 62
 
@@ -28,7 +30,8 @@ def minimal_keys(rows: DataFrame, most_columns: int = 2, columns: Sequence[str]
 
     Columns with a null are no part of a key; nor are arrays, maps, structs and binaries. Sets are tried by size, and
     supersets of a key never. One pass per size rules out, by sketches, the sets that are clearly not unique; what is
-    left is counted exactly. A table without rows has no keys.
+    left is counted exactly, in a large table first in a slice of its values: equal values are in the same slice, so a
+    repeat there is proof, and only sets without one are counted in all rows. A table without rows has no keys.
     """
     names = columns or [f.name for f in rows.schema.fields if _comparable(f.dataType)]
     measures = [F.count(F.lit(1)).alias("n")] + [F.count(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)]
@@ -46,17 +49,27 @@ def minimal_keys(rows: DataFrame, most_columns: int = 2, columns: Sequence[str]
         tried = [s for s in tried if size == 1 or most(s[:-1]) * most(s[-1:]) >= SURE * total]
         if not tried:
             continue
-        shown = [F.approx_count_distinct(F.struct(*[F.col(f"`{c}`") for c in s]), ERROR).alias(f"s{k}") for k, s in enumerate(tried)]
-        guess = rows.agg(*shown).first()
+        # Sketches of hashes made beforehand: Spark compiles a projection, but not what a sketch is given.
+        hashes = rows.select(*[_hash(s).alias(f"s{k}") for k, s in enumerate(tried)])
+        guess = hashes.agg(*[F.approx_count_distinct(f"s{k}", ERROR).alias(f"s{k}") for k in range(len(tried))]).first()
         distinct |= {s: int(guess[f"s{k}"] / SURE) + 1 for k, s in enumerate(tried)}
         likely = [s for k, s in enumerate(tried) if guess[f"s{k}"] >= SURE * total]
         with ThreadPoolExecutor(PARALLEL) as pool:  # each thread only submits a job
-            unique = list(pool.map(lambda s: _unique(rows, s), likely))
+            unique = list(pool.map(lambda s: _unique(rows, s, total), likely))
         found += [s for s, yes in zip(likely, unique, strict=True) if yes]
     return found
 
 
-def _unique(rows: DataFrame, columns: Sequence[str]) -> bool:
+def _hash(columns: Sequence[str]) -> Column:
+    return F.xxhash64(*[F.col(f"`{c}`") for c in columns])
+
+
+def _unique(rows: DataFrame, columns: Sequence[str], total: int) -> bool:
+    slices = [rows.where(_hash(columns) % SLICES == 0)] if total > SMALL else []
+    return all(_no_repeats(part, columns) for part in (*slices, rows))
+
+
+def _no_repeats(rows: DataFrame, columns: Sequence[str]) -> bool:
     return rows.groupBy(*[F.col(f"`{c}`") for c in columns]).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
 
 

@@ -89,6 +89,43 @@ def test_minimal_keys_equal_the_plain_search(spark, seed):
     assert discovery.minimal_keys(frame.limit(0), 3) == []
 
 
+def test_sets_with_repeats_are_not_counted_in_all_rows(spark, monkeypatch):
+    """Two of the pairs are nearly unique; their repeats show in a slice, and only keys are counted in all rows."""
+    n, counted, real = 120_000, Counter(), discovery._no_repeats
+    kept = F.when(F.col("id") < n - 2_000, F.col("id")).otherwise(F.col("id") - 2_000)
+    rows = spark.range(n).select((kept % 40_000).alias("a"), F.floor(kept / 40_000).alias("b"), F.floor(kept / 40_000).alias("c"), F.col("id").alias("k"))
+
+    def no_repeats(part, columns):
+        counted[tuple(columns)] = max(counted[tuple(columns)], part.count())
+        return real(part, columns)
+
+    monkeypatch.setattr(discovery, "_no_repeats", no_repeats)
+    assert discovery.minimal_keys(rows) == [("k",)]
+    assert counted[("k",)] == n and 0 < counted[("a", "b")] < n / 8 and 0 < counted[("a", "c")] < n / 8
+
+
+def test_one_repeat_is_found_in_or_out_of_the_slice(spark, monkeypatch):
+    monkeypatch.setattr(discovery, "SMALL", 0)
+    inside = set()
+    for twice in range(0, 4_000, 800):
+        rows = spark.range(4_001).select(F.when(F.col("id") == 4_000, twice).otherwise(F.col("id")).alias("k"))
+        inside.add(rows.where(discovery._hash(["k"]) % 2 == 0).where(F.col("k") == twice).isEmpty())
+        monkeypatch.setattr(discovery, "SLICES", 2)
+        assert discovery.minimal_keys(rows) == []
+    assert inside == {True, False} and discovery.minimal_keys(spark.range(4_001)) == [("id",)]
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_minimal_keys_by_slices_equal_the_plain_search(spark, seed, monkeypatch):
+    monkeypatch.setattr(discovery, "SMALL", 0)
+    monkeypatch.setattr(discovery, "SLICES", 3)
+    rng = random.Random(seed)
+    rows = [(rng.randrange(30), rng.randrange(12), rng.choice([0.0, -0.0, 1.5, float("nan")]), rng.choice("abcd"), i // 2) for i in range(40)]
+    frame = spark.createDataFrame(rows, "a int, b int, c double, d string, e int")
+    plain = [(a, b, "nan" if c != c else c, d, e) for a, b, c, d, e in rows]
+    assert sorted(discovery.minimal_keys(frame, 3)) == plain_keys(plain, list("abcde"), 3)
+
+
 def test_declared_keys_of_the_tables_are_found(spark, folder):
     tables = {name: read_table(spark, folder, name) for name in PLAIN_TABLES}
     found = {(r["table_name"], r["key_columns"]) for r in discovery.discovered_keys(spark, tables).collect()}
