@@ -87,7 +87,11 @@ def kpi_daily(orders: DataFrame, trips: DataFrame, approximate: bool = False) ->
 def _deliveries_per_day(trips: DataFrame) -> DataFrame:
     """Exact distinct counts in one pass over the trips: each trip is two rows, one for its driver with the
     measures and one for its vehicle. They are added up per (day, kind, id) and then per day, so a hot day is
-    reduced by many tasks."""
+    reduced by many tasks.
+
+    Few trips of a task share a day and an id, so a task's hash table would grow with its share of the file. Rows are
+    dealt out by a hash first, in parts of a bounded size; a part with a frequent id is split, so ids meet once more.
+    """
 
     def tagged(kind: str, key: str, measured: bool) -> Column:
         measures = {"n": F.lit(1), "km": F.col("distance_km"), "hours": F.col("hours"), "on_time": F.col("on_time")}
@@ -96,7 +100,9 @@ def _deliveries_per_day(trips: DataFrame) -> DataFrame:
         return F.struct(F.lit(kind).alias("kind"), F.col(key).cast("bigint").alias("id"), *shown)
 
     both = F.inline(F.array(tagged("driver", "driver_id", True), tagged("vehicle", "vehicle_id", False)))
-    per_id = trips.select(F.col("delivery_date").alias("kpi_date"), both).groupBy("kpi_date", "kind", "id").agg(
+    rows = trips.select(F.col("delivery_date").alias("kpi_date"), both)
+    dealt = rows.withColumn("spread", F.xxhash64("kpi_date", "kind", "id")).hint("rebalance", "spread")
+    per_id = dealt.groupBy("kpi_date", "kind", "id").agg(
         F.count("n").alias("n"),
         F.sum("km").alias("km"),
         F.sum("hours").alias("hours"),

@@ -147,3 +147,30 @@ def test_sketches_stay_within_their_error_on_many_ids(spark):
     for got, true in ((year["active_drivers"], 60_000), (year["active_vehicles"], 20_000)):
         assert abs(got - true) <= 3 * marts.STORED_ERROR * true
     assert year["total_deliveries"] == 60_000 and year["on_time_delivery_rate"] == 100.0
+
+
+def test_days_are_counted_in_parts_of_a_bounded_size(spark):
+    """A frequent driver and trips without an id or a date are split among parts and meet again."""
+    plain = [
+        (None if k % 7 == 0 else 5 if k % 3 else k, k % 501 or None, None if k % 11 == 0 else date(2024, 1, 1 + k % 2), float(k % 10), None if k % 13 == 0 else k % 30, k % 4 == 0)
+        for k in range(20_000)
+    ]
+    rows = spark.createDataFrame(plain, "driver_id int, vehicle_id int, delivery_date date, distance_km double, hours bigint, on_time boolean")
+    advisory = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(advisory)
+    spark.conf.set(advisory, "64k")
+    try:
+        counted = marts._deliveries_per_day(rows.repartition(6))
+        got = {r["kpi_date"]: tuple(r)[1:] for r in counted.collect()}
+        plan = counted._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(advisory, before)
+    wanted = {}
+    for day in {r[2] for r in plain}:
+        of = [r for r in plain if r[2] == day]
+        hours = [r[4] for r in of if r[4] is not None]
+        ids = [len({r[i] for r in of} - {None}) for i in (0, 1)]
+        wanted[day] = (len(of), sum(r[3] for r in of), *ids, sum(hours) / len(hours), round(100 * sum(r[5] for r in of) / len(of), 2))
+    assert {d: tuple(round(v, 2) for v in r) for d, r in got.items()} == {d: tuple(round(v, 2) for v in r) for d, r in wanted.items()}
+    partial, dealt = plan.index("partial_count"), plan.index("REBALANCE_PARTITIONS_BY_COL")
+    assert partial < dealt, "rows are dealt out before the first aggregation"
